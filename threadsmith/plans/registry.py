@@ -23,4 +23,8 @@ def register(name: str, oracle: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read a driver table.  Time rendering and month buckets are defined in UTC, so the
+    session time zone is pinned (the tables' timestamps are zone-less)."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
