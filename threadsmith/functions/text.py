@@ -58,8 +58,22 @@ def sentence_pattern(delimiters: str) -> str:
     return f"[^{d}]*[{d}]|[^{d}]+\\z"
 
 
+# Whitespace characters of str.isspace() beyond Java's ASCII \s set.
+EXOTIC_SPACES = ("\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+                 + "\u2028\u2029\u202f\u205f\u3000")
+
+
+def ascii_spaced(text) -> Column:
+    """Map the non-ASCII whitespace characters to a space (1:1, so offsets and lengths
+    are kept); afterwards Java's fast ASCII ``\\s``/``\\S`` classes give Python's
+    whitespace semantics."""
+    return F.translate(_col(text), EXOTIC_SPACES, " " * len(EXOTIC_SPACES))
+
+
 def py_strip(c) -> Column:
-    return F.trim(_col(c), F.lit(TRIM_CHARS))
+    """Python ``str.strip()``: every ``str.isspace()`` character is stripped (non-ASCII
+    spaces are first mapped to ' ', so the ASCII trim set suffices)."""
+    return F.trim(ascii_spaced(_col(c)), F.lit(TRIM_CHARS))
 
 
 def split_sentences(text, delimiters: str) -> Column:
@@ -131,4 +145,4 @@ def words(text) -> Column:
 
 def whitespace_tokens(text) -> Column:
     """Python ``str.split()`` tokens (runs of non-whitespace)."""
-    return F.regexp_extract_all(_col(text), F.lit(f"[^{PY_SPACE_CLASS}]+"), 0)
+    return F.regexp_extract_all(ascii_spaced(text), F.lit("\\S+"), 0)

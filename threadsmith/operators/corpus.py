@@ -38,45 +38,55 @@ def open_question(keys, seed: str):
     return templates.pick(bank, pick_index(uniform(keys, "tmpl", seed), len(bank)))
 
 
+def keep_rows(df: DataFrame, keep, **cols) -> DataFrame:
+    """Project ``cols`` and keep rows where ``keep`` holds, evaluating every expression
+    once: the candidate row is built as a struct and filtered inside a generator, so the
+    optimizer cannot push the (expensive) predicate below the projection and recompute it."""
+    row = F.struct(*[c.alias(n) for n, c in cols.items()], keep.alias("__keep"))
+    return df.select(F.inline(F.filter(F.array(row), lambda r: r["__keep"]))).drop("__keep")
+
+
 def original_rows(posts: DataFrame, cfg: CorpusConfig, lexicon: DataFrame | None,
                   id_col: str = "id", text_col: str = "text") -> DataFrame:
-    """Instruction rows from original posts: ``id, round, arm, instruction, input, output``."""
+    """Instruction rows from original posts: ``id, round, arm, instruction, input, output``.
+
+    Plan: the draw is narrow; only topic-arm rows take part in the topic join (the other
+    arms never shuffle); results are united."""
     keys = [id_col, "round"]
     base = rounds(posts.select(id_col, text_col), cfg.augmentation_original)
     base = base.withColumn("arm", arm_of(uniform(keys, "arm", cfg.seed), cfg.arm_thresholds()))
-    sents = split_sentences(F.col(text_col), cfg.delimiters)
-    base = base.withColumn("__s", F.when(F.col("arm") == "complete", sents))
+    text = F.col(text_col)
+    open_q = open_question(keys, cfg.seed)
+    gate = cfg.response_thresh
+
+    # arms open / complete / plain: narrow
+    nt = base.filter(F.col("arm") != "topic")
+    nt = nt.withColumn("__s", F.when(F.col("arm") == "complete", split_sentences(text, cfg.delimiters)))
     n = F.size("__s")
-    k = randint(uniform(keys, "cut", cfg.seed), F.lit(1), n - 1)
     multi = (F.col("arm") == "complete") & (n > 1)
-    base = base.withColumn("__k", F.when(multi, k))
-    prefix = F.array_join(F.slice("__s", F.lit(1), F.col("__k")), "")
+    nt = nt.withColumn("__k", F.when(multi, randint(uniform(keys, "cut", cfg.seed), F.lit(1), n - 1)))
+    nt = nt.withColumn("__prefix", F.when(multi, F.array_join(F.slice("__s", F.lit(1), F.col("__k")), "")))
     rest = F.array_join(F.slice("__s", F.col("__k") + 1, n - F.col("__k")), "")
-    open_q = open_question(keys, cfg.seed)
-    text = F.col(text_col)
-
+    arm = F.col("arm")
+    instruction = (F.when(arm == "open", open_q).when(multi, F.col("__prefix"))
+                   .when(arm == "complete", open_q).otherwise(F.lit("")))
+    keep = (F.when(arm == "open", passes_gate(text, gate))
+            .when(multi, passes_gate(F.col("__prefix"), gate)).otherwise(F.lit(True)))
+    nt_rows = keep_rows(nt, keep, **{id_col: F.col(id_col), "round": F.col("round"), "arm": arm,
+                                     "instruction": instruction, "input": F.lit(""),
+                                     "output": F.when(multi, rest).otherwise(text)})
+
+    # arm topic: topic question (or the open question when there is none), gated on the text
+    tp = base.filter(F.col("arm") == "topic")
     if lexicon is not None:
-        topics = choose_topics(base.filter(F.col("arm") == "topic"), keys, text_col, lexicon, cfg)
-        base = base.join(topics.select(*keys, "topic_instruction"), keys, "left")
-        topic_instr = F.col("topic_instruction")
+        topics = choose_topics(tp, keys, text_col, lexicon, cfg)
+        tp = tp.join(topics.select(*keys, "topic_instruction"), keys, "left")
+        t_instr = F.coalesce(F.col("topic_instruction"), open_q)
     else:
-        topic_instr = F.lit(None).cast("string")
-
-    arm = F.col("arm")
-    instruction = (F.when(arm == "open", open_q)
-                   .when(multi, prefix)
-                   .when(arm == "complete", open_q)
-                   .when(arm == "topic", F.coalesce(topic_instr, open_q))
-                   .otherwise(F.lit("")))
-    output = F.when(multi, rest).otherwise(text)
-    keep = (F.when(arm == "open", passes_gate(text, cfg.response_thresh))
-            .when(multi, passes_gate(prefix, cfg.response_thresh))
-            .when(arm == "complete", F.lit(True))
-            .when(arm == "topic", passes_gate(text, cfg.response_thresh))
-            .otherwise(F.lit(True)))
-    return (base.filter(keep)
-            .select(id_col, "round", "arm", instruction.alias("instruction"),
-                    F.lit("").alias("input"), output.alias("output")))
+        t_instr = open_q
+    tp_rows = tp.filter(passes_gate(text, gate)).select(
+        id_col, "round", "arm", t_instr.alias("instruction"), F.lit("").alias("input"), text.alias("output"))
+    return nt_rows.unionByName(tp_rows)
 
 
 def thread_contexts(turns: DataFrame, conv_col: str = "conv_id", order_col: str = "turn",
@@ -108,7 +118,7 @@ def reply_topic_rows(pairs: DataFrame, cfg: CorpusConfig, id_cols: list[str],
     keys = id_cols
     lucky = pairs.filter(uniform(keys, "aug", cfg.seed) < cfg.reply_topic_prob)
     topics = choose_topics(lucky.select(*keys, F.col("last_context").alias("__ctx")),
-                           keys, "__ctx", lexicon, cfg)
+                           keys, "__ctx", lexicon, cfg).filter(F.col("topic_instruction").isNotNull())
     return (lucky.join(topics, keys, "inner")
             .select(*keys, F.col("topic_instruction").alias("instruction"),
                     F.lit("").alias("input"), "output"))

@@ -42,12 +42,14 @@ def topic_sentence(sents, trim_chars: str, keys, seed: str):
 
 def choose_topics(df: DataFrame, keys: list[str], text_col: str, lexicon: DataFrame,
                   cfg: CorpusConfig) -> DataFrame:
-    """``keys..., topic, topic_instruction`` for every row with more than one sentence
-    (rows with <=1 sentence have no topic, i.e. NULL after a left join)."""
+    """``keys..., topic, topic_instruction`` for every input row; both are NULL when the
+    text has at most one sentence.  The sentence list is computed once per row (no filter
+    on it is pushed below its projection); only the chosen sentence's words are exploded,
+    tagged by a broadcast join and re-assembled per key."""
     sents = split_sentences(F.col(text_col), cfg.delimiters)
     t = (df.select(*keys, sents.alias("__s"))
-         .filter(F.size("__s") > 1)
-         .select(*keys, topic_sentence(F.col("__s"), cfg.topic_trim, keys, cfg.seed).alias("__sent")))
+         .select(*keys, F.when(F.size("__s") > 1, topic_sentence(F.col("__s"), cfg.topic_trim, keys, cfg.seed))
+                 .alias("__sent")))
     nouns = broadcast_if_small(noun_set(lexicon), cfg.broadcast_max_rows)
     exploded = t.select(*keys, "__sent",
                         F.posexplode_outer(words(F.col("__sent"))).alias("__pos", "__word"))
@@ -60,7 +62,7 @@ def choose_topics(df: DataFrame, keys: list[str], text_col: str, lexicon: DataFr
     )
     cnt = F.size("__nouns")
     noun = F.when(cnt > 0, F.get(F.col("__nouns"), pick_index(uniform(keys, "noun", cfg.seed), cnt))["__word"])
-    topic = F.coalesce(noun, F.col("__sent"))
+    topic = F.when(F.col("__sent").isNotNull(), F.coalesce(noun, F.col("__sent")))
     tmpl = templates.pick(templates.TOPIC_TEMPLATES,
                           pick_index(uniform(keys, "ttmpl", cfg.seed), len(templates.TOPIC_TEMPLATES)))
     return per_key.select(*keys, topic.alias("topic"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from threadsmith.config import IGNORE_LABEL, CorpusConfig
 from threadsmith.functions.draws import pick_index, uniform
-from threadsmith.functions.text import PY_SPACE_CLASS, whitespace_tokens
+from threadsmith.functions.text import ascii_spaced, whitespace_tokens
 
 
 def format_rows(rows: DataFrame) -> DataFrame:
@@ -151,7 +151,7 @@ def left_trim_to_budget(text: Column, cfg: CorpusConfig) -> Column:
     c, so with ``need = n_tokens - cutoff`` the smallest valid cut is the first multiple of
     the step at or after the end of token ``need``: one pass, no loop."""
     step, cut = cfg.chat_trim_step, cfg.chat_cutoff
-    pieces = F.regexp_extract_all(text, F.lit(f"[{PY_SPACE_CLASS}]*[^{PY_SPACE_CLASS}]+"), 0)
+    pieces = F.regexp_extract_all(ascii_spaced(text), F.lit("\\s*\\S+"), 0)
     need = F.size(pieces) - F.lit(cut)
     end_need = F.length(F.array_join(F.slice(pieces, F.lit(1), F.greatest(need, F.lit(1))), ""))
     start = (F.ceil(end_need / F.lit(step)) * step + 1).cast("int")

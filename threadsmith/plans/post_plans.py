@@ -158,7 +158,7 @@ def url_shape_quote_flag(spark: SparkSession, sf: str) -> DataFrame:
     return x.withColumn("kind", kind)
 
 
-@register("post_route", oracle="""
+@register("post_route", oracle=f"""
 WITH e AS (SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS ts_raw, event_type, user_id,
                   json_extract_string(coalesce(json_extract_string(props, '$.tweet'), props), '$.k') AS k, value
            FROM events),
@@ -171,7 +171,7 @@ b AS (SELECT event_id, ts_raw AS ts,
       FROM e WHERE ts_raw IS NOT NULL AND ts_raw <> 0),
 r AS (SELECT *, starts_with(body, 'RT @') AS is_retweet FROM b)
 SELECT event_id, ts, CASE WHEN is_reply THEN 'reply' ELSE 'original' END AS kind, body
-FROM r WHERE trim(body, ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)) <> '(media)'
+FROM r WHERE {S.py_strip('body')} <> '(media)'
   AND NOT (is_reply AND is_quote) AND (is_reply OR (NOT is_quote AND NOT is_retweet))
 ORDER BY ts, event_id""")
 def post_route(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from threadsmith.config import LINK_PLACEHOLDER, MEDIA_PLACEHOLDER
 from threadsmith.functions.draws import sql_uniform
-from threadsmith.functions.text import sentence_pattern
+from threadsmith.functions.text import EXOTIC_SPACES, sentence_pattern
 
 WS = "(' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))"
 NL = "chr(10)"
@@ -24,10 +24,20 @@ def lit_text(s: str) -> str:
     return " || chr(10) || ".join(q(p) for p in parts) if len(parts) > 1 else q(s)
 
 
+def ascii_spaced(x: str) -> str:
+    """Twin of ``functions.text.ascii_spaced``."""
+    src = " || ".join(f"chr({ord(c)})" for c in EXOTIC_SPACES)
+    return f"translate({x}, {src}, '{' ' * len(EXOTIC_SPACES)}')"
+
+
+def py_strip(x: str) -> str:
+    return f"trim({ascii_spaced(x)}, {WS})"
+
+
 def sents(text: str, delimiters: str) -> str:
     pat = q(sentence_pattern(delimiters))
     return (f"list_transform(list_filter(regexp_extract_all({text}, {pat}), "
-            f"lambda s: trim(s, {WS}) NOT IN ('', '{MEDIA_PLACEHOLDER}', '{LINK_PLACEHOLDER}')), "
+            f"lambda s: {py_strip('s')} NOT IN ('', '{MEDIA_PLACEHOLDER}', '{LINK_PLACEHOLDER}')), "
             f"lambda s: replace(s, {NL}, ''))")
 
 
