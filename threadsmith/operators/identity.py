@@ -44,9 +44,13 @@ def lookup_gate(n_unknown_followers: Column, cfg: CorpusConfig, consent: bool =
     return (n_unknown_followers <= F.lit(cfg.max_follower_lookup)) | F.lit(consent)
 
 
-def lookup_batches(lookup_ids: DataFrame, cfg: CorpusConfig, n_buckets: int) -> DataFrame:
+def lookup_batches(lookup_ids: DataFrame, cfg: CorpusConfig, n_buckets: int | None = None,
+                   rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Ids hashed into buckets, numbered inside a bucket, ``lookup_batch`` per request,
-    comma-joined.  No global row_number (that would be a single task)."""
+    comma-joined.  No global row_number (that would be a single task); by default the
+    bucket count follows the id count."""
+    if n_buckets is None:
+        n_buckets = max(1, -(-lookup_ids.count() // rows_per_bucket))
     b = lookup_ids.withColumn("bucket", pick_index(uniform(["user_id"], "bucket", cfg.seed), n_buckets).cast("bigint"))
     rn = F.row_number().over(Window.partitionBy("bucket").orderBy("user_id"))
     b = b.withColumn("batch", F.floor((rn - 1) / cfg.lookup_batch).cast("bigint"))

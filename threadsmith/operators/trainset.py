@@ -93,11 +93,19 @@ def length_quantiles(df: DataFrame, ids_col: str = "input_ids",
         F.col("z.q").alias("quantile"), F.col("z.v").alias("length"))
 
 
-def assign_batches(df: DataFrame, keys: list[str], cfg: CorpusConfig, n_buckets: int,
-                   ids_col: str = "input_ids") -> DataFrame:
+def bucket_count(df: DataFrame, rows_per_bucket: int) -> int:
+    """Buckets so that each holds about ``rows_per_bucket`` rows (one count job)."""
+    return max(1, -(-df.count() // rows_per_bucket))
+
+
+def assign_batches(df: DataFrame, keys: list[str], cfg: CorpusConfig, n_buckets: int | None = None,
+                   ids_col: str = "input_ids", rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Rows are hashed into ``n_buckets`` buckets and drawn in a shuffled order inside
-    each bucket; consecutive ``batch_size`` rows form a batch.  Each bucket is one task
-    (size ~ rows / n_buckets, choose n_buckets from the row count at scale)."""
+    each bucket; consecutive ``batch_size`` rows form a batch.  Each bucket is one sorted
+    window partition, so ``n_buckets`` defaults to rows / ``rows_per_bucket`` (hash
+    buckets are balanced by construction - no hot key is possible)."""
+    if n_buckets is None:
+        n_buckets = bucket_count(df, rows_per_bucket)
     b = pick_index(uniform(keys, "bucket", cfg.seed), n_buckets)
     order = uniform(keys, "order", cfg.seed)
     x = df.withColumn("bucket", b.cast("bigint")).withColumn("__ord", order)

@@ -7,7 +7,7 @@ messages even for a conversation holding a third of all rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadsmith.config import TRANSCRIPT_SEPARATOR, USER_URL_PREFIX, CorpusConfig
@@ -151,11 +151,14 @@ def group_names(names: DataFrame, counts: DataFrame, users: DataFrame, owner: st
     two most active known handles other than the owner's (count desc, handle asc)."""
     u = broadcast_if_small(users.select(F.col("user_id").alias("participant_id"), "handle"), cfg.broadcast_max_rows)
     c = counts.join(u, "participant_id", "left")
-    per = c.groupBy("conversation_id").agg(
-        F.count(F.lit(1)).alias("n_participants"),
-        F.array_sort(F.collect_list(F.when(F.col("handle").isNotNull() & (F.col("handle") != owner),
-                                           F.struct(F.negative("n_messages").alias("k"), F.col("handle"))))
-                     ).alias("__hs"))
+    n_part = c.groupBy("conversation_id").agg(F.count(F.lit(1)).alias("n_participants"))
+    # top-2 known handles (count desc, handle asc): a ranked window with a limit, which
+    # Spark plans as a group limit applied before the shuffle (no full group is collected)
+    known = c.filter(F.col("handle").isNotNull() & (F.col("handle") != owner))
+    rank = F.row_number().over(Window.partitionBy("conversation_id").orderBy(F.desc("n_messages"), F.asc("handle")))
+    top = known.withColumn("__r", rank).filter(F.col("__r") <= 2).groupBy("conversation_id").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("__r"), F.col("handle")))).alias("__hs"))
+    per = n_part.join(top, "conversation_id", "left")
     x = names.join(per, "conversation_id", "left").withColumn("n_participants", F.coalesce("n_participants", F.lit(0)))
     safe = filename_safe(F.col("official_name"))
     base = F.when(F.length(safe) < 2, F.col("conversation_id")).otherwise(safe)
