@@ -76,7 +76,10 @@ def original_rows(posts: DataFrame, cfg: CorpusConfig, lexicon: DataFrame | None
                                      "instruction": instruction, "input": F.lit(""),
                                      "output": F.when(multi, rest).otherwise(text)})
 
-    # arm topic: topic question (or the open question when there is none), gated on the text
+    # arm topic: topic question (or the open question when there is none), gated on the
+    # text.  Only these rows meet the topic table; the join is left to AQE (broadcast
+    # while the topic table is small, sort-merge beyond) - carrying the text through the
+    # topic aggregation instead would force a sort-based aggregate over the texts.
     tp = base.filter(F.col("arm") == "topic")
     if lexicon is not None:
         topics = choose_topics(tp, keys, text_col, lexicon, cfg)
@@ -84,6 +87,7 @@ def original_rows(posts: DataFrame, cfg: CorpusConfig, lexicon: DataFrame | None
         t_instr = F.coalesce(F.col("topic_instruction"), open_q)
     else:
         t_instr = open_q
+    # the text gate is cheap, so letting the optimizer push it below the join is a win
     tp_rows = tp.filter(passes_gate(text, gate)).select(
         id_col, "round", "arm", t_instr.alias("instruction"), F.lit("").alias("input"), text.alias("output"))
     return nt_rows.unionByName(tp_rows)
@@ -117,11 +121,10 @@ def reply_topic_rows(pairs: DataFrame, cfg: CorpusConfig, id_cols: list[str],
     context message; skipped when that message has no topic."""
     keys = id_cols
     lucky = pairs.filter(uniform(keys, "aug", cfg.seed) < cfg.reply_topic_prob)
-    topics = choose_topics(lucky.select(*keys, F.col("last_context").alias("__ctx")),
-                           keys, "__ctx", lexicon, cfg).filter(F.col("topic_instruction").isNotNull())
-    return (lucky.join(topics, keys, "inner")
-            .select(*keys, F.col("topic_instruction").alias("instruction"),
-                    F.lit("").alias("input"), "output"))
+    topics = choose_topics(lucky.select(*keys, "output", F.col("last_context").alias("__ctx")),
+                           keys, "__ctx", lexicon, cfg, carry=["output"])
+    return (topics.filter(F.col("topic_instruction").isNotNull())
+            .select(*keys, F.col("topic_instruction").alias("instruction"), F.lit("").alias("input"), "output"))
 
 
 def context_histogram(pairs: DataFrame) -> DataFrame:
@@ -129,6 +132,14 @@ def context_histogram(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("n_context").agg(F.count(F.lit(1)).alias("n_pairs"))
 
 
+def shuffled(df: DataFrame, key_col: str = "shuffle_key", num_partitions: int | None = None) -> DataFrame:
+    """A stable shuffled order.  The md5 key is uniform, so hash-partitioning on it
+    and sorting inside each partition yields a deterministic pseudo-random permutation
+    without the sampling pass a global range sort needs."""
+    parts = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(parts, key_col).sortWithinPartitions(key_col)
+
+
 def shuffle_key(cols: list, seed: str):
     """A stable shuffle key (md5 of the row identity), not ``rand()``."""
     return F.md5(F.concat_ws("|", F.lit(seed), *[F.col(c).cast("string") for c in cols], F.lit("shuf")))

@@ -41,21 +41,29 @@ def topic_sentence(sents, trim_chars: str, keys, seed: str):
 
 
 def choose_topics(df: DataFrame, keys: list[str], text_col: str, lexicon: DataFrame,
-                  cfg: CorpusConfig) -> DataFrame:
-    """``keys..., topic, topic_instruction`` for every input row; both are NULL when the
-    text has at most one sentence.  The sentence list is computed once per row (no filter
-    on it is pushed below its projection); only the chosen sentence's words are exploded,
-    tagged by a broadcast join and re-assembled per key."""
+                  cfg: CorpusConfig, carry: list[str] | None = None) -> DataFrame:
+    """``keys..., carry..., topic, topic_instruction`` for every input row; topic and
+    instruction are NULL when the text has at most one sentence.
+
+    Plan: the sentence list is computed once per row; only the chosen sentence's words
+    are exploded, tagged by a broadcast join (noun set size-checked) and re-assembled per
+    key.  The row's other columns ride along on its first exploded word only, so the
+    aggregation (partial, map-side) returns whole rows and no join back is needed: one
+    shuffle in total."""
+    carry = [c for c in (carry or []) if c not in keys]
     sents = split_sentences(F.col(text_col), cfg.delimiters)
-    t = (df.select(*keys, sents.alias("__s"))
-         .select(*keys, F.when(F.size("__s") > 1, topic_sentence(F.col("__s"), cfg.topic_trim, keys, cfg.seed))
+    t = (df.select(*keys, *carry, sents.alias("__s"))
+         .select(*keys, *carry, F.when(F.size("__s") > 1, topic_sentence(F.col("__s"), cfg.topic_trim, keys, cfg.seed))
                  .alias("__sent")))
     nouns = broadcast_if_small(noun_set(lexicon), cfg.broadcast_max_rows)
-    exploded = t.select(*keys, "__sent",
+    exploded = t.select(*keys, *carry, "__sent",
                         F.posexplode_outer(words(F.col("__sent"))).alias("__pos", "__word"))
+    first = F.col("__pos").isNull() | (F.col("__pos") == 0)
+    exploded = exploded.select(*keys, *[F.when(first, F.col(c)).alias(c) for c in carry + ["__sent"]],
+                               "__pos", "__word", first.alias("__first"))
     tagged = exploded.join(nouns, F.lower(F.col("__word")) == F.col("__noun"), "left")
     per_key = tagged.groupBy(*keys).agg(
-        F.any_value("__sent").alias("__sent"),
+        *[F.first(c, ignorenulls=True).alias(c) for c in carry + ["__sent"]],
         F.array_sort(F.collect_list(
             F.when(F.col("__noun").isNotNull(), F.struct(F.col("__pos"), F.col("__word")))
         )).alias("__nouns"),
@@ -65,5 +73,5 @@ def choose_topics(df: DataFrame, keys: list[str], text_col: str, lexicon: DataFr
     topic = F.when(F.col("__sent").isNotNull(), F.coalesce(noun, F.col("__sent")))
     tmpl = templates.pick(templates.TOPIC_TEMPLATES,
                           pick_index(uniform(keys, "ttmpl", cfg.seed), len(templates.TOPIC_TEMPLATES)))
-    return per_key.select(*keys, topic.alias("topic"),
+    return per_key.select(*keys, *carry, topic.alias("topic"),
                           F.replace(tmpl, F.lit(templates.TOPIC_SLOT), topic).alias("topic_instruction"))

@@ -184,7 +184,7 @@ FROM tsrc LEFT JOIN p_topic USING (doc_id, round)""")
 def topic_prompt(spark: SparkSession, sf: str) -> DataFrame:
     d = posts(spark, sf).withColumn("round", F.lit(0).cast("bigint"))
     tp = topics.choose_topics(d, ["doc_id", "round"], "text", lexicon(spark, sf), CFG)
-    return d.join(tp, ["doc_id", "round"], "left").select("doc_id", "topic", "topic_instruction")
+    return tp.select("doc_id", "topic", "topic_instruction")
 
 
 @register("reply_pairs", oracle=f"WITH {replies_sql()} SELECT conv_id, turn, n_context, instruction, input, output FROM rp")
@@ -210,7 +210,7 @@ SELECT *, md5(concat_ws('|', '{CFG.seed}', source, id, CAST(round AS VARCHAR), '
 FROM u ORDER BY shuffle_key""")
 def shuffled_corpus(spark: SparkSession, sf: str) -> DataFrame:
     u = corpus_union(spark, sf)
-    return u.withColumn("shuffle_key", corpus.shuffle_key(["source", "id", "round"], CFG.seed)).orderBy("shuffle_key")
+    return corpus.shuffled(u.withColumn("shuffle_key", corpus.shuffle_key(["source", "id", "round"], CFG.seed)))
 
 
 @register("corpus_counters", oracle=f"""{union_sql()}

@@ -6,15 +6,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadsmith.operators.corpus import shuffle_key
+from threadsmith.operators.corpus import shuffle_key, shuffled
 
 
 def write_instruction_dataset(rows: DataFrame, path: str, seed: str = "42", fmt: str = "json",
                               id_cols=("source", "id", "round")) -> None:
-    """K1: rows in a stable shuffled order (md5 key, range-partitioned sort), non-ASCII
-    kept (JSON lines / parquet)."""
+    """K1: rows in a stable shuffled order (md5 key; hash partitions sorted by the key),
+    non-ASCII kept (JSON lines / parquet)."""
     cols = [c for c in id_cols if c in rows.columns]
-    keyed = rows.withColumn("__k", shuffle_key(cols, seed)).orderBy("__k").drop("__k")
+    keyed = shuffled(rows.withColumn("__k", shuffle_key(cols, seed)), "__k").drop("__k")
     keyed.select("instruction", "input", "output").write.mode("overwrite").format(fmt).save(path)
 
 
