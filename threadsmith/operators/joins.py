@@ -6,11 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+_SIZE_CHECKS: dict = {}
+
+
 def broadcast_if_small(dim: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only after counting the dimension; beyond ``max_rows`` the plain
-    frame is returned and Spark/AQE choose a shuffle join."""
-    n = dim.count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    frame is returned and Spark/AQE choose a shuffle join.  The decision is remembered per
+    plan (semantic hash) for the session, so one dimension is counted once."""
+    key = (dim.sparkSession.sparkContext.applicationId, dim.semanticHash(), max_rows)
+    small = _SIZE_CHECKS.get(key)
+    if small is None:
+        small = dim.limit(max_rows + 1).count() <= max_rows
+        _SIZE_CHECKS[key] = small
+    return F.broadcast(dim) if small else dim
 
 
 def lookup_handle(df: DataFrame, users: DataFrame, id_col: str, out_col: str,
