@@ -26,7 +26,7 @@ def cache_join(posts: DataFrame, cache: DataFrame, id_col: str = "id") -> DataFr
     c = cache.select(F.col(id_col), F.col("responses"))
     j = posts.join(c, id_col, "left")
     return j.withColumn("hit", F.col("responses").isNotNull()).withColumn(
-        "n_cached", F.coalesce(F.size("responses"), F.lit(0)))
+        "n_cached", F.when(F.col("responses").isNull(), F.lit(0)).otherwise(F.size("responses")))
 
 
 def pending_requests(posts: DataFrame, cache: DataFrame, cfg: CorpusConfig,
