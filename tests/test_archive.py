@@ -34,6 +34,10 @@ def test_normalise_branches(spark, arch):
     assert "11" not in n and "12" not in n                      # no created_at / epoch 0
     assert n["1"].ts == 1553004317 and n["1"].is_reply is False
     assert n["2"].body == "thanks for the tip" and n["2"].is_reply
+    assert n["2"].html == ('Replying to <a href="https://twitter.com/bob/status/111">@bob and @carol</a><br>'
+                           '<p><blockquote>thanks for the tip</blockquote>'
+                           '<a href="https://twitter.com/me_owner/status/2">Tue Mar 19 14:05:17 +0000 2019</a></p>')
+    assert n["5"].html.startswith('<p><blockquote>look at this <a href="https://twitter.com/someone/status/12345">')
     assert n["3"].body == "following up on my own post" and n["3"].is_reply
     assert n["4"].is_reply                                     # key present with JSON null
     assert n["5"].body == "look at this (link)" and n["5"].is_quote

@@ -142,8 +142,10 @@ def normalize(parsed: DataFrame, owner: str) -> DataFrame:
     is_reply_hdr = F.col("has_reply_key")
     body = F.when(is_reply_hdr, rp["body"]).otherwise(md)
     html_body = F.when(is_reply_hdr, rp_html["body"]).otherwise(html)
+    permalink = F.concat(F.lit(STATUS_URL_PREFIX + owner + "/status/"), p["id_str"])
     html_full = F.concat(F.when(is_reply_hdr, rp["header_html"]).otherwise(F.lit("")), F.lit("<p><blockquote>"),
-                         F.regexp_replace(html_body, "\\R", "<br>\n"), F.lit("</blockquote>"))
+                         F.regexp_replace(html_body, "\\R", "<br>\n"), F.lit("</blockquote>"),
+                         F.lit('<a href="'), permalink, F.lit('">'), p["created_at"], F.lit("</a></p>"))
     r, q, rt = type_flags(F.col("__urls"), F.col("has_reply_str_key"), text)
     return x.select(
         *[c for c in parsed.columns if c not in ("p",) and not c.startswith("has_")],
