@@ -42,9 +42,10 @@ def build_vocab(texts: DataFrame, text_cols: list[str], cfg: CorpusConfig) -> Da
 
 
 def encode(rows: DataFrame, keys: list[str], fields: list[str], vocab: DataFrame, cfg: CorpusConfig) -> DataFrame:
-    """Token ids of each text field (``<field>_ids``), unknown tokens -> ``unk_id``.
-    One explode, one broadcast join (vocabulary <= ``vocab_size`` rows) and one
-    aggregation per row key."""
+    """``keys..., <field>_ids...``: token ids of each text field, unknown tokens ->
+    ``unk_id``.  One explode (outer, so every row key survives), one broadcast join
+    (vocabulary <= ``vocab_size`` rows by construction) and one aggregation per row key;
+    the texts themselves are not shuffled again (join the ids back only if needed)."""
     parts = None
     for f in fields:
         p = rows.select(*keys, F.lit(f).alias("__field"),
@@ -59,8 +60,7 @@ def encode(rows: DataFrame, keys: list[str], fields: list[str], vocab: DataFrame
             F.array_sort(F.collect_list(F.when((F.col("__field") == f) & F.col("__pos").isNotNull(),
                                                F.struct(F.col("__pos"), tid.alias("id"))))),
             lambda s: s["id"]).alias(f"{f}_ids"))
-    enc = j.groupBy(*keys).agg(*aggs)
-    return rows.join(enc, keys, "left")
+    return j.groupBy(*keys).agg(*aggs)
 
 
 def assemble(df: DataFrame, cfg: CorpusConfig, prompt_col: str = "context_ids",
