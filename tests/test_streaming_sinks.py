@@ -1,5 +1,7 @@
 """Streaming corpus equals the batch corpus; sinks and dataset readers round-trip."""
 
+import contextlib
+import io
 import json
 import os
 
@@ -70,3 +72,22 @@ def test_generation_modes(spark):
     body = generation.request_json(generation.render_requests(
         generation.pending_requests(posts, cache, ASCII), ASCII)).first().body
     assert json.loads(body)["max_tokens"] == 128
+
+
+def test_parquet_table_spread(spark, tmpdir_fresh):
+    """Few row groups -> spread over the cores; as many files as cores -> left as scanned."""
+    from threadsmith.sources.datasets import read_parquet_table
+    cores = spark.sparkContext.defaultParallelism
+    one = os.path.join(tmpdir_fresh, "one")
+    spark.range(1000).coalesce(1).write.parquet(one)
+    t = read_parquet_table(spark, one)
+    assert t.rdd.getNumPartitions() == cores
+    assert sorted(r.id for r in t.collect()) == list(range(1000))
+    many = os.path.join(tmpdir_fresh, "many")
+    spark.range(1000).repartition(cores).write.parquet(many)
+    m = read_parquet_table(spark, many)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        m.explain()
+    assert "RoundRobinPartitioning" not in buf.getvalue()
+    assert m.count() == 1000

@@ -9,6 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from threadsmith.sources.datasets import read_parquet_table
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -27,4 +29,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     session time zone is pinned (the tables' timestamps are zone-less)."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
