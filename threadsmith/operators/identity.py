@@ -34,6 +34,30 @@ def universe(following: DataFrame, followers: DataFrame, dms: DataFrame, groups:
     return without, only, without.unionByName(only)
 
 
+def membership(following: DataFrame, followers: DataFrame, dms: DataFrame, users: DataFrame,
+               groups: DataFrame | None = None) -> DataFrame:
+    """R1-R5 and J3 in one aggregation: every id with its row count per source
+    (``n_following``, ``n_followers``, ``n_dm``, ``n_group``, ``n_known``) and the set flags
+    ``in_all``, ``only_follower``, ``unknown``, ``unknown_follower``.  Each set is then a
+    filter, so the whole set algebra is one shuffle on the id, combined map-side (a hot id
+    is one partial row per task) instead of a chain of distinct/anti joins."""
+    srcs = [("following", following), ("followers", followers), ("dm", dms), ("known", users)]
+    if groups is not None:
+        srcs.append(("group", groups))
+    tagged = None
+    for tag, df in srcs:
+        t = df.select("user_id", F.lit(tag).alias("__src"))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    tags = ["following", "followers", "dm", "group", "known"]
+    m = tagged.groupBy("user_id").agg(*[F.count_if(F.col("__src") == t).alias(f"n_{t}") for t in tags])
+    without = (F.col("n_following") > 0) | (F.col("n_dm") > 0) | (F.col("n_group") > 0)
+    only = (F.col("n_followers") > 0) & ~without
+    return (m.withColumn("only_follower", only)
+            .withColumn("in_all", without | only)
+            .withColumn("unknown", F.col("in_all") & (F.col("n_known") == 0))
+            .withColumn("unknown_follower", F.col("unknown") & F.col("only_follower")))
+
+
 def unknown(id_set: DataFrame, users: DataFrame) -> DataFrame:
     """Ids without a handle in ``users``."""
     return id_set.join(users.select("user_id"), "user_id", "left_anti")

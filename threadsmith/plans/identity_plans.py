@@ -34,13 +34,9 @@ def id_sets(spark, sf):
     return following, followers, dms
 
 
-def resolved(spark, sf):
+def members(spark, sf) -> DataFrame:
     following, followers, dms = id_sets(spark, sf)
-    without, only, everyone = identity.universe(following, followers, dms)
-    u = users(spark, sf)
-    unk = identity.unknown(everyone, u)
-    unk_f = unk.join(only, "user_id", "left_semi")
-    return following, followers, without, only, everyone, u, unk, unk_f
+    return identity.membership(following, followers, dms, users(spark, sf).select("user_id"))
 
 
 SETS_SQL = """fo AS (SELECT CAST(o_custkey AS VARCHAR) AS user_id FROM orders WHERE o_orderstatus = 'O'),
@@ -58,24 +54,22 @@ unkf AS (SELECT user_id FROM unk INTERSECT SELECT user_id FROM oo)"""
 @register("id_universe", oracle=f"""WITH {SETS_SQL}
 SELECT user_id, user_id IN (SELECT user_id FROM oo) AS only_follower FROM al""")
 def id_universe(spark: SparkSession, sf: str) -> DataFrame:
-    _, _, without, only, _, _, _, _ = resolved(spark, sf)
-    return (without.withColumn("only_follower", F.lit(False))
-            .unionByName(only.withColumn("only_follower", F.lit(True))))
+    return members(spark, sf).filter("in_all").select("user_id", "only_follower")
 
 
 @register("followers_only", oracle=f"WITH {SETS_SQL} SELECT user_id FROM oo")
 def followers_only(spark: SparkSession, sf: str) -> DataFrame:
-    return resolved(spark, sf)[3]
+    return members(spark, sf).filter("only_follower").select("user_id")
 
 
 @register("unknown_ids", oracle=f"WITH {SETS_SQL} SELECT user_id FROM unk")
 def unknown_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return resolved(spark, sf)[6]
+    return members(spark, sf).filter("unknown").select("user_id")
 
 
 @register("unknown_followers", oracle=f"WITH {SETS_SQL} SELECT user_id FROM unkf")
 def unknown_followers(spark: SparkSession, sf: str) -> DataFrame:
-    return resolved(spark, sf)[7]
+    return members(spark, sf).filter("unknown_follower").select("user_id")
 
 
 GATE_SQL = f"""{SETS_SQL},
@@ -95,30 +89,25 @@ SELECT CAST(n_following AS BIGINT) AS n_following, CAST(n_followers AS BIGINT) A
        CAST(floor(2.1 * n_unknown_followers) AS BIGINT) AS est_follower_kb
 FROM gate""")
 def lookup_gate(spark: SparkSession, sf: str) -> DataFrame:
-    return _gate(spark, sf)[0]
-
-
-def _gate(spark, sf):
-    """Counts in one aggregation over tagged id sets; the gate is a scalar subquery
-    (no cross join); the lookup set drops follower-only ids when the gate says so."""
-    following, followers, without, only, everyone, u, unk, unk_f = resolved(spark, sf)
-    _, _, dms = id_sets(spark, sf)
-    tagged = None
-    for tag, df in (("fo", following), ("fr", followers), ("dm", dms), ("al", everyone), ("unk", unk),
-                    ("unkf", unk_f)):
-        t = df.select(F.lit(tag).alias("tag"))
-        tagged = t if tagged is None else tagged.unionByName(t)
-    names = {"fo": "n_following", "fr": "n_followers", "dm": "n_dm_ids", "al": "n_universe", "unk": "n_unknown",
-             "unkf": "n_unknown_followers"}
-    counts = tagged.groupBy().agg(*[F.count_if(F.col("tag") == t).alias(n) for t, n in names.items()])
-    include = counts.select(identity.lookup_gate(F.col("n_unknown_followers"), CFG)).scalar()
-    lookup = (unk.join(unk_f.withColumn("__f", F.lit(True)), "user_id", "left")
-              .filter(include | F.col("__f").isNull()).select("user_id"))
-    n_lookup = lookup.agg(F.count(F.lit(1))).scalar()
-    out = (counts.withColumn("include_followers", identity.lookup_gate(F.col("n_unknown_followers"), CFG))
-           .withColumn("n_lookup", n_lookup)
-           .withColumn("est_follower_kb", F.floor(F.lit(2.1) * F.col("n_unknown_followers")).cast("bigint")))
-    return out, lookup
+    """One aggregation over the membership table.  The unknown followers are a subset of
+    the unknown ids, so the lookup size follows from the counts without another pass."""
+    counts = members(spark, sf).agg(
+        F.sum("n_following").alias("n_following"), F.sum("n_followers").alias("n_followers"),
+        F.count_if(F.col("n_dm") > 0).alias("n_dm_ids"), F.count_if("in_all").alias("n_universe"),
+        F.count_if("unknown").alias("n_unknown"), F.count_if("unknown_follower").alias("n_unknown_followers"))
+    include = identity.lookup_gate(F.col("n_unknown_followers"), CFG)
+    n_lookup = F.when(include, F.col("n_unknown")).otherwise(F.col("n_unknown") - F.col("n_unknown_followers"))
+    return counts.select(*[F.col(c).cast("bigint") for c in counts.columns], include.alias("include_followers"),
+                         n_lookup.cast("bigint").alias("n_lookup"),
+                         F.floor(F.lit(2.1) * F.col("n_unknown_followers")).cast("bigint").alias("est_follower_kb"))
+
+
+def lookup_ids(spark, sf) -> DataFrame:
+    """The unknown ids to look up; follower-only ones are dropped when the gate (a scalar
+    subquery over the unknown-follower count, no cross join) says so."""
+    m = members(spark, sf)
+    include = identity.lookup_gate(m.agg(F.count_if("unknown_follower")).scalar(), CFG)
+    return m.filter(F.col("unknown") & (include | ~F.col("only_follower"))).select("user_id")
 
 
 @register("following_report", oracle=f"""WITH {SETS_SQL}
@@ -140,8 +129,7 @@ rn AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY bucket ORDER BY use
 SELECT bucket, batch, CAST(count(*) AS BIGINT) AS n_ids, array_to_string(list_sort(list(user_id)), ',') AS ids
 FROM rn GROUP BY bucket, batch""")
 def lookup_batches(spark: SparkSession, sf: str) -> DataFrame:
-    _, lookup = _gate(spark, sf)
-    b = identity.lookup_batches(lookup, CFG, N_BUCKETS)
+    b = identity.lookup_batches(lookup_ids(spark, sf), CFG, N_BUCKETS)
     return b.select("bucket", "batch", F.col("n_ids").cast("bigint"), "ids")
 
 
