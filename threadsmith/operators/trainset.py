@@ -132,25 +132,26 @@ def chat_windows(pairs: DataFrame, cfg: CorpusConfig, conv_col: str = "conv_id",
                  q_col: str = "question", a_col: str = "answer", delimiter: str = "||") -> DataFrame:
     """context = ``q||a||`` of up to ``chat_history_pairs - 1`` earlier pairs + the
     current question, with ``<br>`` removed.  The frame is bounded, so instead of a window
-    over a whole conversation every pair is copied to the (at most 3) later pairs that see
-    it and grouped on ``(conv, pair)`` - balanced even for a huge conversation."""
-    h = cfg.chat_history_pairs - 1
-    src = pairs.select(conv_col, pair_col, q_col, a_col)
-    fwd = src.withColumn("__lag", F.explode(F.sequence(F.lit(1), F.lit(h)))) if h > 0 else None
+    over a whole conversation every pair is copied to itself and to the (at most 3) later
+    pairs that see it, and grouped on ``(conv, pair)``: one shuffle, balanced even for a
+    huge conversation, and no join back (the copy at lag 0 carries the pair itself; a
+    group without it lies past the end of the conversation)."""
+    h = max(cfg.chat_history_pairs - 1, 0)
     clean_q = F.replace(F.col(q_col), F.lit("<br>"), F.lit(""))
-    if fwd is not None:
-        fwd = fwd.select(conv_col, (F.col(pair_col) + F.col("__lag")).alias(pair_col), F.col("__lag"),
-                         F.concat(clean_q, F.lit(delimiter), F.coalesce(F.col(a_col), F.lit("")),
-                                  F.lit(delimiter)).alias("__piece"))
-        hist = fwd.groupBy(conv_col, pair_col).agg(
-            F.array_sort(F.collect_list(F.struct(F.negative(F.col("__lag")).alias("k"), F.col("__piece").alias("p"))))
-            .alias("__hist"))
-        out = src.join(hist, [conv_col, pair_col], "left")
-        prefix = F.coalesce(F.array_join(F.transform(F.col("__hist"), lambda s: s["p"]), ""), F.lit(""))
-    else:
-        out, prefix = src, F.lit("")
-    ctx = F.replace(F.concat(prefix, clean_q), F.lit("<br>"), F.lit(""))
-    return out.withColumn("context", ctx).drop("__hist")
+    lag = F.col("__lag")
+    fwd = pairs.select(conv_col, pair_col, q_col, a_col, F.explode(F.sequence(F.lit(0), F.lit(h))).alias("__lag"))
+    fwd = fwd.select(conv_col, (F.col(pair_col) + lag).alias(pair_col), lag,
+                     F.when(lag == 0, F.col(q_col)).alias("__q"), F.when(lag == 0, F.col(a_col)).alias("__a"),
+                     F.when(lag > 0, F.concat(clean_q, F.lit(delimiter), F.coalesce(F.col(a_col), F.lit("")),
+                                              F.lit(delimiter))).alias("__piece"))
+    g = fwd.groupBy(conv_col, pair_col).agg(
+        F.count_if(lag == 0).alias("__self"),
+        F.max("__q").alias(q_col), F.max("__a").alias(a_col),
+        F.array_sort(F.collect_list(F.when(lag > 0, F.struct(F.negative(lag).alias("k"), F.col("__piece").alias("p")))))
+        .alias("__hist"))
+    prefix = F.array_join(F.transform(F.col("__hist"), lambda s: s["p"]), "")
+    ctx = F.replace(F.concat(prefix, F.replace(F.col(q_col), F.lit("<br>"), F.lit(""))), F.lit("<br>"), F.lit(""))
+    return g.filter(F.col("__self") > 0).select(conv_col, pair_col, q_col, a_col, ctx.alias("context"))
 
 
 def left_trim_to_budget(text: Column, cfg: CorpusConfig) -> Column:
