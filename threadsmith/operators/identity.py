@@ -46,10 +46,16 @@ def membership(following: DataFrame, followers: DataFrame, dms: DataFrame, users
         srcs.append(("group", groups))
     tagged = None
     for tag, df in srcs:
-        t = df.select("user_id", F.lit(tag).alias("__src"))
+        t = df.select("user_id", F.lit(tag).alias("source"))
         tagged = t if tagged is None else tagged.unionByName(t)
+    return membership_of(tagged)
+
+
+def membership_of(tagged: DataFrame) -> DataFrame:
+    """``membership`` from ``(user_id, source)`` rows, source in following / followers /
+    dm / group / known (lets a caller tag several sources in one scan)."""
     tags = ["following", "followers", "dm", "group", "known"]
-    m = tagged.groupBy("user_id").agg(*[F.count_if(F.col("__src") == t).alias(f"n_{t}") for t in tags])
+    m = tagged.groupBy("user_id").agg(*[F.count_if(F.col("source") == t).alias(f"n_{t}") for t in tags])
     without = (F.col("n_following") > 0) | (F.col("n_dm") > 0) | (F.col("n_group") > 0)
     only = (F.col("n_followers") > 0) & ~without
     return (m.withColumn("only_follower", only)

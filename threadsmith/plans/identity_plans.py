@@ -35,8 +35,18 @@ def id_sets(spark, sf):
 
 
 def members(spark, sf) -> DataFrame:
-    following, followers, dms = id_sets(spark, sf)
-    return identity.membership(following, followers, dms, users(spark, sf).select("user_id"))
+    """The membership table from one ``orders`` scan (each order tags its ids with their
+    source) plus the known users."""
+    o = table(spark, sf, "orders")
+    st, ck = F.col("o_orderstatus"), F.col("o_custkey").cast("string")
+    conv = F.concat_ws("-", ck, F.col("o_orderkey").cast("string"))
+    tags = (F.when(st == "O", F.array(F.struct(ck.alias("user_id"), F.lit("following").alias("source"))))
+            .when(st == "F", F.array(F.struct(ck.alias("user_id"), F.lit("followers").alias("source"))))
+            .when(st == "P", F.transform(F.split(conv, "-"),
+                                         lambda x: F.struct(x.alias("user_id"), F.lit("dm").alias("source")))))
+    tagged = o.select(F.inline(tags)).filter(F.col("user_id").isNotNull())
+    known = users(spark, sf).select("user_id", F.lit("known").alias("source"))
+    return identity.membership_of(tagged.unionByName(known))
 
 
 SETS_SQL = """fo AS (SELECT CAST(o_custkey AS VARCHAR) AS user_id FROM orders WHERE o_orderstatus = 'O'),
