@@ -273,8 +273,7 @@ def group_transcript(spark: SparkSession, sf: str) -> DataFrame:
     pn = pn.groupBy("conversation_id").agg(
         english_list(F.transform(F.array_sort(F.collect_list(F.struct("participant_id", "__h"))),
                                  lambda s: s["__h"])).alias("participant_names"))
-    lines = lines.join(names, "conversation_id", "left").join(pn, "conversation_id", "left")
-    t = TR.transcripts(lines, "conversation_id", ["ts", "msg_ord"],
+    t = TR.transcripts(lines.select("conversation_id", "ts", "msg_ord", "line"), "conversation_id", ["ts", "msg_ord"],
                        TR.group_header(F.col("official_name"), F.col("participant_names")), CFG.part_size,
-                       title_cols=["official_name", "participant_names"])
+                       titles=names.join(pn, "conversation_id", "left"))
     return t.select("conversation_id", "part", F.col("n_messages").cast("bigint"), "transcript")
