@@ -177,21 +177,31 @@ def group_names(names: DataFrame, counts: DataFrame, users: DataFrame, owner: st
     return x.select("conversation_id", "official_name", name.alias("group_name"), "n_participants")
 
 
-def handle_lists(events: DataFrame, users: DataFrame, cfg: CorpusConfig) -> DataFrame:
+def handle_lists(events: DataFrame, users: DataFrame, cfg: CorpusConfig, carry: list[str] | None = None) -> DataFrame:
     """``user_ids`` -> ``'a, b and c'`` of handles (url template when unknown), order
-    kept; one explode + lookup + ordered re-aggregation per event."""
-    x = events.select("conversation_id", "msg_ord", F.posexplode("user_ids").alias("__p", "__id"))
+    kept; one explode + lookup + ordered re-aggregation per event.  ``carry`` columns ride
+    along on the first element only, so the re-aggregation returns the whole event."""
+    carry = carry or []
+    x = events.select("conversation_id", "msg_ord", *carry, F.posexplode_outer("user_ids").alias("__p", "__id"))
+    first = F.coalesce(F.col("__p"), F.lit(0)) == 0
+    x = x.select("conversation_id", "msg_ord", "__p", "__id", *[F.when(first, F.col(c)).alias(c) for c in carry])
     x = with_handles(x, users, [("__id", "__h")], cfg)
     return x.groupBy("conversation_id", "msg_ord").agg(
         english_list(F.transform(F.array_sort(F.collect_list(F.struct("__p", "__h"))), lambda s: s["__h"]))
-        .alias("names"))
+        .alias("names"),
+        *[F.any_value(c, ignoreNulls=True).alias(c) for c in carry])
 
 
 def group_lines(events: DataFrame, users: DataFrame, owner: str, cfg: CorpusConfig) -> DataFrame:
-    """Render each event."""
+    """Render each event.  Only add/leave events need a handle list; they are
+    re-aggregated with their own fields, the other kinds are rendered in place (no join
+    of every event with the lists)."""
     x = with_handles(events, users, [("actor_id", "__from")], cfg)
-    lists = handle_lists(events.filter(F.col("kind").isin(ADD, LEAVE)), users, cfg)
-    x = x.join(lists, ["conversation_id", "msg_ord"], "left")
+    listed = F.col("kind").isin(ADD, LEAVE)
+    plain = x.filter(~listed).withColumn("names", F.lit(None).cast("string"))
+    carry = [c for c in x.columns if c not in ("conversation_id", "msg_ord")]
+    lists = handle_lists(x.filter(listed), users, cfg, carry=carry)
+    x = plain.unionByName(lists.select(*plain.columns))
     k, frm, when = F.col("kind"), F.col("__from"), F.concat(F.lit(": ("), F.col("created_at"), F.lit(")\n\n"))
     line = (F.when(k == MESSAGE, F.concat(frm, when, quote_body(F.col("text"))))
             .when(k == RENAME, F.concat(frm, when, F.lit("_changed group name to: "), escape_markdown(F.col("name")),
