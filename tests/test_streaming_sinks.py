@@ -91,3 +91,25 @@ def test_parquet_table_spread(spark, tmpdir_fresh):
         m.explain()
     assert "RoundRobinPartitioning" not in buf.getvalue()
     assert m.count() == 1000
+
+
+def test_broadcast_check_sees_new_files(spark, tmpdir_fresh):
+    """The memoised size check is keyed on the input files: an appended file re-counts."""
+    from threadsmith.operators.joins import broadcast_if_small
+    d = os.path.join(tmpdir_fresh, "dim")
+    spark.range(5).write.parquet(d)
+
+    def hinted():
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            spark.range(3).join(broadcast_if_small(spark.read.parquet(d), 8), "id").explain()
+        return "BroadcastExchange" in buf.getvalue()
+
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only the hint may broadcast
+    try:
+        assert hinted()
+        spark.range(5, 20).write.mode("append").parquet(d)
+        assert not hinted()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)

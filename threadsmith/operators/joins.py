@@ -12,8 +12,10 @@ _SIZE_CHECKS: dict = {}
 def broadcast_if_small(dim: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only after counting the dimension; beyond ``max_rows`` the plain
     frame is returned and Spark/AQE choose a shuffle join.  The decision is remembered per
-    plan (semantic hash) for the session, so one dimension is counted once."""
-    key = (dim.sparkSession.sparkContext.applicationId, dim.semanticHash(), max_rows)
+    plan (semantic hash) and input files for the session, so one dimension is counted
+    once, and counted again when files are added to it (e.g. between micro-batches)."""
+    key = (dim.sparkSession.sparkContext.applicationId, dim.semanticHash(), tuple(sorted(dim.inputFiles())),
+           max_rows)
     small = _SIZE_CHECKS.get(key)
     if small is None:
         small = dim.limit(max_rows + 1).count() <= max_rows
