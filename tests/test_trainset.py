@@ -64,3 +64,21 @@ def test_vocab_ids_and_encoding(spark):
     assert {r.token: r.token_id for r in v.collect()} == {"a": 4, "b": 5}
     enc = trainset.encode(df, ["k"], ["text"], v, ASCII).collect()
     assert {r.k: list(r.text_ids) for r in enc} == {1: [4, 5, 4, 1], 2: [5, 4, 1]}
+
+
+def test_chat_window_hot_conversation_matches_loop(spark):
+    """One conversation of 400 pairs next to small ones, against the reference-style loop
+    (append the pair, keep the last 4, join earlier pairs then the current question)."""
+    rows = [(7, i, f"q{i}" + ("<br>" if i % 5 == 0 else ""), f"a{i}" if i % 3 else "") for i in range(400)]
+    rows += [(c, i, f"c{c}q{i}", f"c{c}a{i}") for c in (1, 2) for i in range(3)]
+    pairs = spark.createDataFrame(rows, "conv_id int, pair_no long, question string, answer string")
+    got = {(r.conv_id, r.pair_no): r.context for r in trainset.chat_windows(pairs, ASCII).collect()}
+    want = {}
+    for conv in (7, 1, 2):
+        hist = []
+        for c, i, q, a in [r for r in rows if r[0] == conv]:
+            hist.append((q, a))
+            hist = hist[-ASCII.chat_history_pairs:]
+            ctx = "".join(f"{hq}||{ha}||" for hq, ha in hist[:-1]) + hist[-1][0]
+            want[(c, i)] = ctx.replace("<br>", "")
+    assert got == want
