@@ -135,9 +135,10 @@ def context_histogram(pairs: DataFrame) -> DataFrame:
 def shuffled(df: DataFrame, key_col: str = "shuffle_key", num_partitions: int | None = None) -> DataFrame:
     """A stable shuffled order.  The md5 key is uniform, so hash-partitioning on it
     and sorting inside each partition yields a deterministic pseudo-random permutation
-    without the sampling pass a global range sort needs."""
-    parts = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(parts, key_col).sortWithinPartitions(key_col)
+    without the sampling pass a global range sort needs.  By default the partition count
+    is the session's ``spark.sql.shuffle.partitions``, which AQE may coalesce."""
+    parted = df.repartition(num_partitions, key_col) if num_partitions else df.repartition(key_col)
+    return parted.sortWithinPartitions(key_col)
 
 
 def shuffle_key(cols: list, seed: str):
