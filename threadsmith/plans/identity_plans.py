@@ -102,7 +102,8 @@ def lookup_gate(spark: SparkSession, sf: str) -> DataFrame:
     """One aggregation over the membership table.  The unknown followers are a subset of
     the unknown ids, so the lookup size follows from the counts without another pass."""
     counts = members(spark, sf).agg(
-        F.sum("n_following").alias("n_following"), F.sum("n_followers").alias("n_followers"),
+        F.coalesce(F.sum("n_following"), F.lit(0)).alias("n_following"),
+        F.coalesce(F.sum("n_followers"), F.lit(0)).alias("n_followers"),
         F.count_if(F.col("n_dm") > 0).alias("n_dm_ids"), F.count_if("in_all").alias("n_universe"),
         F.count_if("unknown").alias("n_unknown"), F.count_if("unknown_follower").alias("n_unknown_followers"))
     include = identity.lookup_gate(F.col("n_unknown_followers"), CFG)
