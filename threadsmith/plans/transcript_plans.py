@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadsmith.config import ASCII, TRANSCRIPT_SEPARATOR, USER_URL_PREFIX
-from threadsmith.functions.text import LINE_BREAK, english_list
+from threadsmith.functions.text import LINE_BREAK, english_list, escape_markdown
 from threadsmith.functions.timefmt import render_dm_time
 from threadsmith.operators import transcripts as TR
 from threadsmith.operators.ordering import part_numbers
@@ -48,9 +48,12 @@ def dm_transcripts(spark, sf) -> DataFrame:
     u = users(spark, sf)
     lines = TR.dm_lines(dm_messages(spark, sf), u, CFG)
     lines = TR.other_party(lines, u, OWNER, CFG)
-    lines = TR.with_handles(lines, u, [("other_user_id", "other_name")], CFG)
-    t = TR.transcripts(lines, "other_user_id", ["ts", "conversation_id", "msg_ord"],
-                       TR.dm_header(OWNER, F.col("other_name")), CFG.part_size, title_cols=["other_name"])
+    # the other party's name is looked up once per part, after the aggregation
+    titles = u.select(F.col("user_id").alias("other_user_id"), F.col("handle").alias("__other_handle"))
+    other_name = escape_markdown(F.coalesce(F.col("__other_handle"), TR.user_url(F.col("other_user_id"))))
+    t = TR.transcripts(lines.select("other_user_id", "ts", "conversation_id", "msg_ord", "line"), "other_user_id",
+                       ["ts", "conversation_id", "msg_ord"], TR.dm_header(OWNER, other_name), CFG.part_size,
+                       titles=titles)
     return t.select("other_user_id", "part", F.col("n_messages").cast("bigint"), "transcript")
 
 
