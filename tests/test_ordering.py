@@ -22,3 +22,30 @@ def test_part_numbers(spark):
     p = part_numbers(df, ["g"], ["t"], 10).groupBy("g", "part").agg(F.count("*").alias("n")).collect()
     got = sorted((r.g, r.part, r.n) for r in p)
     assert got == [("a", 1, 10), ("a", 2, 10), ("a", 3, 5), ("b", None, 10)]
+
+
+def test_ordered_index_consistent_over_shuffled_input(spark):
+    """Input whose row order comes from a shuffle (fetch order varies), a payload column
+    the stats branch does not read, and a fixed range partition count (no AQE coalescing):
+    the index must still equal the position in a plain sort."""
+    from pyspark.sql import functions as F
+    from threadsmith.operators.ordering import ordered_index
+    base = spark.range(0, 6000).select(
+        (F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 40)).alias("g"),
+        ((F.col("id") * 7919) % 6000).alias("o"),
+        F.repeat(F.lit("x"), 50).alias("payload"))
+    # a coalescable upstream shuffle with a tiny advisory size: AQE coalesces it by bytes,
+    # so a branch that prunes the payload would see differently grouped input partitions
+    shuffled = base.repartition("o")
+    prev = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        for _ in range(2):
+            got = {(r.g, r.o): r.idx for r in ordered_index(shuffled, ["g"], ["o"], num_partitions=7).collect()}
+            want = {}
+            for g in {k[0] for k in got}:
+                for i, o in enumerate(sorted(o for gg, o in got if gg == g)):
+                    want[(g, o)] = i
+            assert got == want
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)

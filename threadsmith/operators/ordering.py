@@ -5,8 +5,13 @@ group into one task: the frame is range-partitioned on ``(group, order)`` so a h
 is spread over many partitions; inside a partition the rows are sorted and get a
 monotonically increasing id; a small per-(partition, group) table gives each partition's
 offset inside its group (a running sum over partitions), and a join on
-``(partition, group)`` turns local ids into the group-wide 0-based index.  The two
-consumers of the range exchange read the same shuffle output (exchange reuse), and the
+``(partition, group)`` turns local ids into the group-wide 0-based index.
+
+The numbered frame is read twice (stats and rows), and the two reads must see the same
+partition ids.  Exchange reuse cannot be relied on for that: the two branches prune
+different columns, and the range bounds come from a sample whose input order may differ
+between evaluations.  So the numbered frame is materialised once with a reliable
+checkpoint into ``spark.checkpoint.dir``, which also survives executor loss.  The
 per-partition stats do not depend on the order of ties.
 """
 
@@ -15,15 +20,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadsmith.session import cut_lineage
+
 
 def ordered_index(df: DataFrame, group_cols: list[str], order_cols: list, idx_col: str = "idx",
                   count_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
     keys = [*group_cols, *order_cols]
     parted = (df.repartitionByRange(num_partitions, *keys) if num_partitions
               else df.repartitionByRange(*keys))
-    s = (parted.sortWithinPartitions(*keys)
-         .withColumn("__pid", F.spark_partition_id())
-         .withColumn("__mid", F.monotonically_increasing_id()))
+    s = cut_lineage(parted.sortWithinPartitions(*keys)
+                    .withColumn("__pid", F.spark_partition_id())
+                    .withColumn("__mid", F.monotonically_increasing_id()))
     stats = s.groupBy("__pid", *group_cols).agg(F.min("__mid").alias("__first"), F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
