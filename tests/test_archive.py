@@ -111,3 +111,24 @@ def test_dm_and_group_from_archive(spark, arch):
     rendered = {r.kind: r.line for r in transcripts.group_lines(ev, users, "me_owner", ASCII).collect()}
     assert rendered["leave"].endswith("_https://twitter.com/i/user/66 left the group_")
     assert rendered["add"].endswith("_bob added https://twitter.com/i/user/77 and https://twitter.com/i/user/88 to the group_")
+
+
+def test_group_conversation_split_across_records(spark, tmpdir_fresh):
+    """One conversation in two records: every event keeps its own msg_ord and line."""
+    from tests.archive_fixture import _js
+    data = os.path.join(tmpdir_fresh, "data")
+    os.makedirs(data)
+    rec = lambda msgs: {"dmConversation": {"conversationId": "g9", "messages": msgs}}
+    add = lambda i, who: {"participantsJoin": {"initiatingUserId": "1", "userIds": [who],
+                                               "createdAt": f"2022-01-0{i}T00:00:00.000Z"}}
+    _js(os.path.join(data, "direct-messages-group.js"), "groups", [rec([add(1, "2"), add(2, "3")]),
+                                                                   rec([add(3, "4"), add(4, "5")])])
+    ev = archive.group_events_from_archive(spark, data)
+    assert ev.select("msg_ord").distinct().count() == 4
+    users = spark.createDataFrame([("1", "me")], "user_id string, handle string")
+    from threadsmith.config import ASCII
+    lines = transcripts.group_lines(transcripts.group_events(ev), users, "me", ASCII)
+    got = sorted(r.line for r in lines.collect())
+    assert len(got) == 4
+    assert [g.split(" added ")[1].split(" to")[0] for g in got] == [
+        f"https://twitter.com/i/user/{i}" for i in (2, 3, 4, 5)]

@@ -104,11 +104,20 @@ def read_dms(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def group_events_from_archive(spark: SparkSession, data_dir: str) -> DataFrame:
-    """S9 + G1 input: one row per group event with ``kind`` chosen by which member is set."""
+    """S9 + G1 input: one row per group event with ``kind`` chosen by which member is set.
+
+    ``msg_ord`` packs ``(file_ord, row_ord, position in the record)`` into one bigint, so it
+    is unique and in archive order even when a conversation is split across records (it
+    keys the per-event handle lists).  Bit budget: 28 bits for the position and 27 for the
+    record, far above what a single JSON row (< 2 GB) can hold, and 8 for the file."""
     d = read_js(spark, os.path.join(data_dir, GROUP_DM_FILE))
-    c = d.select(F.from_json("json", GROUP_SCHEMA).alias("c")).select("c.dmConversation.*")
+    c = d.select("file_ord", "row_ord", F.from_json("json", GROUP_SCHEMA).alias("c")).select(
+        "file_ord", "row_ord", "c.dmConversation.*")
     m = c.select(F.col("conversationId").alias("conversation_id"),
-                 F.posexplode("messages").alias("msg_ord", "m"))
+                 (F.shiftleft(F.col("file_ord").cast("bigint"), 55) + F.shiftleft(F.col("row_ord").cast("bigint"), 28))
+                 .alias("__rec"),
+                 F.posexplode("messages").alias("__pos", "m"))
+    m = m.withColumn("msg_ord", F.col("__rec") + F.col("__pos"))
     mc, nu, jc, pj, pl = (F.col(f"m.{k}") for k in ("messageCreate", "conversationNameUpdate",
                                                       "joinConversation", "participantsJoin", "participantsLeave"))
     kind = (F.when(mc.isNotNull(), "message").when(nu.isNotNull(), "rename").when(jc.isNotNull(), "join")
