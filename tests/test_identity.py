@@ -27,3 +27,15 @@ def test_membership_equals_set_algebra(spark):
     assert s(m.filter("unknown")) == s(unk)
     assert s(m.filter("unknown_follower")) == s(unk.join(only, "user_id", "left_semi"))
     assert m.filter("user_id = '5'").first().n_following >= 500
+
+
+def test_participant_counts_equal_participants_join_counts(spark):
+    """A4+A5 in one aggregation equals participants LEFT JOIN message counts."""
+    from tests.conftest import SF001
+    from threadsmith.operators import transcripts as TR
+    from threadsmith.plans import transcript_plans as T
+    ev, parts = T.group_parts(spark, SF001)
+    a = sorted(tuple(r) for r in TR.participant_message_counts(ev).collect())
+    b = sorted(tuple(r) for r in TR.message_counts(ev, parts).select("conversation_id", "participant_id",
+                                                                     "n_messages").collect())
+    assert a == b and len(a) > 0

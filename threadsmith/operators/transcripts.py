@@ -138,6 +138,21 @@ def message_counts(events: DataFrame, participants: DataFrame) -> DataFrame:
             .withColumn("n_messages", F.coalesce("n_messages", F.lit(0)).cast("bigint")))
 
 
+def participant_message_counts(events: DataFrame) -> DataFrame:
+    """A4 + A5 in one aggregation: every participant (as in ``group_participants``) with
+    its message count.  Each event emits ``(participant, is_message)`` rows; one partial
+    aggregation on ``(conversation, participant)`` gives the set and the counts (every
+    sender is a participant), instead of two scans and a join."""
+    k = F.col("kind")
+    one = lambda pid, m: F.struct(pid.alias("participant_id"), F.lit(m).alias("__m"))
+    rows = (F.when(k == MESSAGE, F.array(one(F.col("actor_id"), 1)))
+            .when(k.isin(SELF_JOIN, ADD),
+                  F.concat(F.array(one(F.col("actor_id"), 0)),
+                           F.transform(F.coalesce("user_ids", F.array().cast("array<string>")), lambda u: one(u, 0)))))
+    x = events.select("conversation_id", F.inline(rows)).filter(F.col("participant_id").isNotNull())
+    return x.groupBy("conversation_id", "participant_id").agg(F.sum("__m").cast("bigint").alias("n_messages"))
+
+
 def latest_names(events: DataFrame, conversations: DataFrame) -> DataFrame:
     """Latest official name, seeded with ``(0, conversation_id)``; on equal times the
     earlier entry wins.  ``max_by`` combines partially before the shuffle."""

@@ -190,8 +190,8 @@ def group_participants(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("group_msg_counts", oracle=f"WITH {GROUP_SQL} SELECT * FROM gc")
 def group_msg_counts(spark: SparkSession, sf: str) -> DataFrame:
-    ev, parts = group_parts(spark, sf)
-    return TR.message_counts(ev, parts)
+    ev, _ = group_parts(spark, sf)
+    return TR.participant_message_counts(ev)
 
 
 @register("group_latest_name", oracle=f"WITH {GROUP_SQL} SELECT * FROM gn")
@@ -217,8 +217,8 @@ SELECT conversation_id, official_name,
        CAST(n AS BIGINT) AS n_participants
 FROM x""")
 def group_name(spark: SparkSession, sf: str) -> DataFrame:
-    ev, parts = group_parts(spark, sf)
-    counts = TR.message_counts(ev, parts)
+    ev, _ = group_parts(spark, sf)
+    counts = TR.participant_message_counts(ev)
     names = TR.latest_names(ev, ev.select("conversation_id").distinct())
     g = TR.group_names(names, counts, users(spark, sf), OWNER, CFG)
     return g.withColumn("n_participants", F.col("n_participants").cast("bigint"))
