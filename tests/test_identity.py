@@ -39,3 +39,16 @@ def test_participant_counts_equal_participants_join_counts(spark):
     b = sorted(tuple(r) for r in TR.message_counts(ev, parts).select("conversation_id", "participant_id",
                                                                      "n_messages").collect())
     assert a == b and len(a) > 0
+
+
+def test_latest_names_one_aggregation_matches_seeded_union(spark):
+    """Edge cases: a rename at ts 0 loses to the seed, equal times keep the earlier event,
+    a conversation without renames keeps its id."""
+    from threadsmith.operators import transcripts as TR
+    rows = [("a", 1, "rename", "A-first", 0), ("b", 1, "rename", "B1", 5), ("b", 2, "rename", "B2", 5),
+            ("b", 3, "message", None, 9), ("c", 1, "message", None, 3), ("d", 4, "rename", "D4", 7),
+            ("d", 2, "rename", "D2", 8)]
+    ev = spark.createDataFrame(rows, "conversation_id string, msg_ord long, kind string, name string, ts long")
+    a = sorted(tuple(r) for r in TR.latest_names_from_events(ev).collect())
+    b = sorted(tuple(r) for r in TR.latest_names(ev, ev.select("conversation_id").distinct()).collect())
+    assert a == b == [("a", "a"), ("b", "B1"), ("c", "c"), ("d", "D2")]

@@ -165,6 +165,20 @@ def latest_names(events: DataFrame, conversations: DataFrame) -> DataFrame:
         F.max_by("name", F.struct(F.col("ts"), F.negative(F.col("msg_ord")))).alias("official_name"))
 
 
+def latest_names_from_events(events: DataFrame) -> DataFrame:
+    """A6 in one aggregation over all events: the latest rename wins if it sorts after the
+    seed ``(ts 0, msg_ord -1)``, else the conversation id (equal times: earlier wins)."""
+    ren = F.col("kind") == RENAME
+    key = F.when(ren, F.struct(F.col("ts").cast("bigint").alias("t"),
+                               F.negative(F.col("msg_ord").cast("bigint")).alias("o")))
+    agg = events.groupBy("conversation_id").agg(F.max_by(F.when(ren, F.col("name")), key).alias("__n"),
+                                                 F.max(key).alias("__k"))
+    seed = F.struct(F.lit(0).cast("bigint").alias("t"), F.lit(1).cast("bigint").alias("o"))
+    wins = F.col("__k").isNotNull() & (F.col("__k") > seed)
+    return agg.select("conversation_id",
+                      F.when(wins, F.col("__n")).otherwise(F.col("conversation_id")).alias("official_name"))
+
+
 def group_names(names: DataFrame, counts: DataFrame, users: DataFrame, owner: str, cfg: CorpusConfig) -> DataFrame:
     """File-safe official name; too short -> id; when it is the id, derive one from the
     two most active known handles other than the owner's (count desc, handle asc)."""

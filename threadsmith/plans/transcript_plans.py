@@ -197,7 +197,7 @@ def group_msg_counts(spark: SparkSession, sf: str) -> DataFrame:
 @register("group_latest_name", oracle=f"WITH {GROUP_SQL} SELECT * FROM gn")
 def group_latest_name(spark: SparkSession, sf: str) -> DataFrame:
     ev, _ = group_parts(spark, sf)
-    return TR.latest_names(ev, ev.select("conversation_id").distinct())
+    return TR.latest_names_from_events(ev)
 
 
 @register("group_name", oracle=f"""WITH {GROUP_SQL},
@@ -219,7 +219,7 @@ FROM x""")
 def group_name(spark: SparkSession, sf: str) -> DataFrame:
     ev, _ = group_parts(spark, sf)
     counts = TR.participant_message_counts(ev)
-    names = TR.latest_names(ev, ev.select("conversation_id").distinct())
+    names = TR.latest_names_from_events(ev)
     g = TR.group_names(names, counts, users(spark, sf), OWNER, CFG)
     return g.withColumn("n_participants", F.col("n_participants").cast("bigint"))
 
@@ -271,7 +271,7 @@ GROUP BY pt.conversation_id, part""")
 def group_transcript(spark: SparkSession, sf: str) -> DataFrame:
     ev, parts, lines = rendered(spark, sf)
     u = users(spark, sf)
-    names = TR.latest_names(ev, ev.select("conversation_id").distinct())
+    names = TR.latest_names_from_events(ev)
     pn = TR.with_handles(parts, u, [("participant_id", "__h")], CFG)
     pn = pn.groupBy("conversation_id").agg(
         english_list(F.transform(F.array_sort(F.collect_list(F.struct("participant_id", "__h"))),
