@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadsmith.llm import html_density, pii, poisson_mix, quality_net, url_logit
+from threadsmith.llm import decontaminate, html_density, jaccard_join, pii, poisson_mix, quality_net, url_logit
 from threadsmith.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_net.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query("op3_jaccard_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similarity_join(read(spark, sf_dir, "documents"))
+
+
 @query("op4_url_logit")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_logit.judge_urls(read(spark, sf_dir, "pages"))
@@ -67,3 +72,8 @@ FROM (SELECT *, unnest(range(1, mix_n + 1)) AS mix_copy FROM m)
 @query("op6_poisson_mix", MIX_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poisson_mix.mix_sources(read(spark, sf_dir, "documents"))
+
+
+@query("op10_edit_decontamination")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
