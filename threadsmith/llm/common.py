@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -39,16 +41,21 @@ def unit_hash(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def set_up_checkpoints(spark: SparkSession) -> None:
-    """Use the shared folder that the cluster names; sessions without one must name their own."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir.  Where none is named, a local session (as in
+    tests) gets a private one; elsewhere that is an error, as executors could not see it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(folder)
+        folder = tempfile.mkdtemp(prefix="threadsmith-shared-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back: lineage ends here."""
-    set_up_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written as a table to the shared folder and read back: lineage ends here, and a lost executor loses
+    nothing of it."""
+    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
