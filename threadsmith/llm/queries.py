@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadsmith.llm import decontaminate, html_density, jaccard_join, pii, poisson_mix, quality_net, suffix_dedup, url_logit
+from threadsmith.llm import decontaminate, html_density, jaccard_join, multiset_hash, pii, poisson_mix, quality_net, suffix_dedup, url_logit
 from threadsmith.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,57 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_suffix_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
+def _words_sql(text: str) -> str:
+    """DuckDB list of a text's fingerprint words and its number of pieces."""
+    m = multiset_hash
+    lines = f"list_filter(string_split({text}, chr(10)), lambda p: p <> '')"
+    pieces = f"regexp_extract_all({text}, '{m.PIECES}')"
+
+    def number(digest: str, start: int) -> str:
+        return f"CAST(('0x' || substr({digest}, {start}, 15)) AS BIGINT)"
+
+    def total(items: str) -> str:
+        return f"CAST(coalesce(list_sum({items}), 0) % {m.MODULUS} AS BIGINT)"
+    words = [total(f"list_transform({lines}, lambda p: {number(d, start)})")
+             for d in ("md5(p)", "md5('#' || p)") for start in (1, 17)]
+    words += [total(f"list_transform({pieces}, lambda p: ({number('md5(p)', 1)} >> {j}) & {m.SPREAD})")
+              for j in range(m.COUNTERS)]
+    return f"[{', '.join(words)}, CAST(len({pieces}) AS BIGINT)]"
+
+
+def _counters_sql(words: str) -> str:
+    m = multiset_hash
+    lanes = ", ".join(f"CAST(2 * ((q >> {m.LANE_BITS * k}) & {(1 << m.LANE_BITS) - 1}) - {words}[-1] AS DOUBLE)"
+                      for k in range(m.LANES))
+    return f"flatten(list_transform({words}[{m.EXACT + 1}:{m.EXACT + m.COUNTERS}], lambda q: [{lanes}]))"
+
+
+def _likeness_sql(a: str, b: str) -> str:
+    size = f"sqrt(list_dot_product(c_{a}, c_{a}) * list_dot_product(c_{b}, c_{b}))"
+    return (f"CASE WHEN {a} = {b} THEN 1.0 WHEN {size} > 0 THEN "
+            f"round(greatest(0.0, least(1.0, list_dot_product(c_{a}, c_{b}) / {size})), 6) ELSE 0.0 END")
+
+
+def _hex_sql(words: str) -> str:
+    return f"list_aggregate(list_transform({words}, lambda w: lpad(lower(to_hex(w)), 16, '0')), 'string_agg', '')"
+
+
+FINGERPRINT_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+o AS (SELECT *, coalesce(lag(text) OVER (ORDER BY doc_id), last_value(text) OVER (
+        ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS next FROM d),
+e AS (SELECT doc_id, n, text, next, substr(text, 1, n - n // 3) || substr(next, 1, n // 3) AS edited FROM o),
+v AS (SELECT doc_id, n, sha256(edited) AS edited_sha256, {_words_sql('text')} AS w, {_words_sql('edited')} AS x,
+      {_words_sql('next')} AS y FROM e),
+c AS (SELECT *, {_counters_sql('w')} AS c_w, {_counters_sql('x')} AS c_x, {_counters_sql('y')} AS c_y FROM v)
+SELECT doc_id, n AS n_chars, edited_sha256, {_hex_sql('w')} AS fingerprint, {_hex_sql('x')} AS edited_fingerprint,
+       {_likeness_sql('w', 'x')} AS near_edited, {_likeness_sql('w', 'y')} AS near_next
+FROM c
+"""
+
+
+@query("op9_multiset_hash", FINGERPRINT_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset_hash.edited_fingerprints(read(spark, sf_dir, "documents"))
