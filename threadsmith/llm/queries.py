@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadsmith.llm import decontaminate, html_density, jaccard_join, multiset_hash, pii, poisson_mix, quality_net, suffix_dedup, url_logit
+from threadsmith.llm import decontaminate, html_density, jaccard_join, multiset_hash, pii, poisson_mix, quality_net, quote_links, suffix_dedup, url_logit
 from threadsmith.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
 
 
+@query("op7_quote_links")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_links.link_quotations(read(spark, sf_dir, "conversations"))
+
+
 def _words_sql(text: str) -> str:
     """DuckDB list of a text's fingerprint words and its number of pieces."""
     m = multiset_hash
