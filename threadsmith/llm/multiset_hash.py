@@ -17,7 +17,7 @@ from threadsmith.llm.common import cut, text_or_empty
 EXACT, COUNTERS, LANES, LANE_BITS = 4, 20, 3, 20
 PIECE_CHARS = 64
 MODULUS = 1 << 62
-PIECES = r"[^\n.!?,;:]{1,%d}" % PIECE_CHARS
+PIECES = r"[^ \t\n.!?,;:][^\n.!?,;:]{0,%d}" % (PIECE_CHARS - 1)
 #: one bit of each counter in a word
 SPREAD = sum(1 << (LANE_BITS * k) for k in range(LANES))
 ROW_BITS = 33

@@ -246,8 +246,11 @@ def _pack(records: np.ndarray, place: np.ndarray, often: bool) -> list[tuple[int
 
 
 def _first_of_context(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Records sorted by (anchor, context, place), and whether each is the first of its context."""
+    """Distinct records sorted by (anchor, context, place), and whether each is the first of its context."""
     records = records[np.lexsort([records[c] for c in ("pos", "key", "id", "ctx", "h")])]
+    distinct = np.ones(len(records), bool)
+    distinct[1:] = records[1:] != records[:-1]
+    records = records[distinct]
     first = np.ones(len(records), bool)
     first[1:] = (records["h"][1:] != records["h"][:-1]) | (records["ctx"][1:] != records["ctx"][:-1])
     return records, first
