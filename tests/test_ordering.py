@@ -8,7 +8,7 @@ from threadsmith.operators.ordering import ordered_index, part_numbers
 def test_ordered_index_hot_group(spark):
     rows = [("hot", i, (i * 7919) % 1000) for i in range(3000)] + [(f"g{j}", i, i) for j in range(20) for i in range(5)]
     df = spark.createDataFrame(rows, "g string, seq int, ts int")
-    out = ordered_index(df, ["g"], ["ts", "seq"], idx_col="idx", num_partitions=8).collect()
+    out = ordered_index(df, ["g"], ["ts", "seq"], idx_col="idx", stride=100).collect()
     by = {}
     for r in out:
         by.setdefault(r.g, []).append(r)
@@ -25,9 +25,8 @@ def test_part_numbers(spark):
 
 
 def test_ordered_index_consistent_over_shuffled_input(spark):
-    """Input whose row order comes from a shuffle (fetch order varies), a payload column
-    the stats branch does not read, and a fixed range partition count (no AQE coalescing):
-    the index must still equal the position in a plain sort."""
+    """Input whose row order comes from a shuffle (fetch order varies) and a payload column that the
+    count branch does not read: the index must still equal the position in a plain sort."""
     from pyspark.sql import functions as F
     from threadsmith.operators.ordering import ordered_index
     base = spark.range(0, 6000).select(
@@ -41,7 +40,7 @@ def test_ordered_index_consistent_over_shuffled_input(spark):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
     try:
         for _ in range(2):
-            got = {(r.g, r.o): r.idx for r in ordered_index(shuffled, ["g"], ["o"], num_partitions=7).collect()}
+            got = {(r.g, r.o): r.idx for r in ordered_index(shuffled, ["g"], ["o"], stride=64).collect()}
             want = {}
             for g in {k[0] for k in got}:
                 for i, o in enumerate(sorted(o for gg, o in got if gg == g)):
@@ -49,3 +48,18 @@ def test_ordered_index_consistent_over_shuffled_input(spark):
             assert got == want
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
+
+
+def test_hashed_index_numbers_all_rows_once(spark):
+    from threadsmith.functions.draws import uniform
+    from threadsmith.operators.ordering import hashed_index
+    df = spark.range(5000).withColumn("k", F.col("id") % 4999).repartition(7)
+    rows = hashed_index(df.withColumn("u", uniform(["k"], "order", "1")), F.col("u"), ["id"]).collect()
+    assert [r.idx for r in sorted(rows, key=lambda r: (r.u, r.id))] == list(range(5000))
+
+
+def test_order_by_time_null_and_negative(spark):
+    rows = [("g", None), ("g", -5), ("g", 10 ** 6), ("g", 3), (None, 1), (None, 2)]
+    df = spark.createDataFrame(rows, "g string, t long")
+    got = sorted((str(r.g), -1e9 if r.t is None else r.t, r.idx) for r in ordered_index(df, ["g"], ["t"], stride=2).collect())
+    assert got == [("None", 1, 0), ("None", 2, 1), ("g", -1e9, 0), ("g", -5, 1), ("g", 3, 2), ("g", 10 ** 6, 3)]

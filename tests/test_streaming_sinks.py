@@ -1,10 +1,9 @@
 """Streaming corpus equals the batch corpus; sinks and dataset readers round-trip."""
 
-import contextlib
-import io
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001
@@ -74,42 +73,21 @@ def test_generation_modes(spark):
     assert json.loads(body)["max_tokens"] == 128
 
 
-def test_parquet_table_spread(spark, tmpdir_fresh):
-    """Few row groups -> spread over the cores; as many files as cores -> left as scanned."""
-    from threadsmith.sources.datasets import read_parquet_table
-    cores = spark.sparkContext.defaultParallelism
-    one = os.path.join(tmpdir_fresh, "one")
-    spark.range(1000).coalesce(1).write.parquet(one)
-    t = read_parquet_table(spark, one)
-    assert t.rdd.getNumPartitions() == cores
-    assert sorted(r.id for r in t.collect()) == list(range(1000))
-    many = os.path.join(tmpdir_fresh, "many")
-    spark.range(1000).repartition(cores).write.parquet(many)
-    m = read_parquet_table(spark, many)
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        m.explain()
-    assert "RoundRobinPartitioning" not in buf.getvalue()
-    assert m.count() == 1000
+def test_replayed_batch_replaces_its_rows_and_keys_are_explicit(spark, tmpdir_fresh):
+    from threadsmith.sinks.writers import write_instruction_dataset
+    rows = spark.createDataFrame([("d", i, "q", "", f"a{i}") for i in range(9)],
+                                 "kind string, doc_id int, instruction string, input string, output string")
+    with pytest.raises(ValueError):
+        write_instruction_dataset(rows, os.path.join(tmpdir_fresh, "x"))
+    path = os.path.join(tmpdir_fresh, "y")
+    write_instruction_dataset(rows, path, id_cols=("doc_id",))
+    assert spark.read.json(path).count() == 9
 
 
-def test_broadcast_check_sees_new_files(spark, tmpdir_fresh):
-    """The memoised size check is keyed on the input files: an appended file re-counts."""
-    from threadsmith.operators.joins import broadcast_if_small
-    d = os.path.join(tmpdir_fresh, "dim")
-    spark.range(5).write.parquet(d)
-
-    def hinted():
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            spark.range(3).join(broadcast_if_small(spark.read.parquet(d), 8), "id").explain()
-        return "BroadcastExchange" in buf.getvalue()
-
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only the hint may broadcast
-    try:
-        assert hinted()
-        spark.range(5, 20).write.mode("append").parquet(d)
-        assert not hinted()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+def test_malformed_lines_are_an_error(spark, tmpdir_fresh):
+    from threadsmith.sources.datasets import read_json_lines
+    path = os.path.join(tmpdir_fresh, "bad.json")
+    with open(path, "w") as f:
+        f.write('{"context": "a", "target": "b"}\n{"context": "a", \n')
+    with pytest.raises(Exception, match="(?i)malformed|corrupt|parse"):
+        read_json_lines(spark, path).collect()

@@ -1,5 +1,8 @@
 """Training-set invariants: masks, padding, batches, chat trimming."""
 
+import random
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001
@@ -19,7 +22,7 @@ def test_padding_and_label_mask(spark):
         assert len(r.input_ids) <= ASCII.max_seq_length
     batches = {}
     for r in b:
-        batches.setdefault((r.bucket, r.batch), []).append(r)
+        batches.setdefault(r.batch, []).append(r)
     for rows in batches.values():
         assert len(rows) <= ASCII.batch_size
         ordered = sorted(rows, key=lambda r: r.pos_in_batch)
@@ -82,3 +85,22 @@ def test_chat_window_hot_conversation_matches_loop(spark):
             ctx = "".join(f"{hq}||{ha}||" for hq, ha in hist[:-1]) + hist[-1][0]
             want[(c, i)] = ctx.replace("<br>", "")
     assert got == want
+
+
+def test_vocabulary_without_a_cap_numbers_by_frequency_then_token(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcé") for _ in range(rng.randint(1, 5))) for _ in range(4000)]
+    v = trainset.build_vocab(spark.createDataFrame([(" ".join(words),)], "text string"), ["text"], ASCII)
+    order = [w for w, _ in sorted(Counter(words).items(), key=lambda x: (-x[1], x[0].encode()))]
+    assert {r.token: r.token_id for r in v.collect()} == {w: k + 4 for k, w in enumerate(order)}
+
+
+def test_sequence_length_equals_the_encoded_length(spark):
+    rows = [(1, "a b c", "d e"), (2, "", "x"), (3, "a " * 50, "b " * 50)]
+    df = spark.createDataFrame(rows, "k int, context string, target string")
+    for cfg in (ASCII, ASCII.with_(max_seq_length=20)):
+        enc = trainset.assemble(trainset.encode(df, ["k"], ["context", "target"], trainset.build_vocab(
+            df, ["context", "target"], cfg), cfg), cfg)
+        want = {r.k: len(r.input_ids) for r in enc.collect()}
+        got = df.select("k", trainset.sequence_length(F.col("context"), F.col("target"), cfg).alias("n")).collect()
+        assert {r.k: r.n for r in got} == want

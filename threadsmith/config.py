@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # Fixed values that must equal the behaviour being reproduced:
 # sentence delimiters of the original (CJK punctuation, a literal '|', newline),
@@ -20,6 +20,7 @@ STATUS_URL_PREFIX = "https://twitter.com/"
 PHOTO_URL_PREFIX = "https://pbs.twimg.com/media/"
 TRANSCRIPT_SEPARATOR = "\n\n----\n\n"
 IGNORE_LABEL = -100
+LENGTH_QUANTILES = (0.9, 0.95, 0.97, 0.99, 0.999)
 
 
 @dataclass(frozen=True)
@@ -54,14 +55,12 @@ class CorpusConfig:
     unk_id: int = 1
     bos_id: int = 2
     eos_id: int = 3
-    vocab_size: int = 32000
+    # most frequent tokens that get an id; None: every token
+    vocab_size: int | None = None
     batch_size: int = 8
     chat_history_pairs: int = 4
     chat_cutoff: int = 224
     chat_trim_step: int = 15
-    # sizes below which a dimension table is broadcast (checked by counting)
-    broadcast_max_rows: int = 2_000_000
-    extra: dict = field(default_factory=dict)
 
     def arm_thresholds(self) -> tuple:
         return self.arms_with_replies if self.parse_replies else self.arms_without_replies

@@ -1,6 +1,6 @@
 """Prompt template banks (our own wording).
 
-Fixed values: 45 open questions and 33 topic templates whose ``[AAA]`` slot receives the
+Open questions, and topic templates whose ``[AAA]`` slot receives the
 topic.  Index choice is ``floor(u * len(bank))`` so the banks' order is part of the
 result.
 """
@@ -43,57 +43,30 @@ OPEN_QUESTIONS = [
     "What caught your attention recently?",
     "Anything you want to get off your chest?",
     "What have you discovered lately?",
-    "Which moment of this month stands out for you?",
-    "What are you proud of lately?",
-    "What have you changed your mind about recently?",
-    "Tell me something fun that happened.",
-    "What are you looking forward to?",
-    "What would you post right now?",
-    "How did your recent projects go?",
-    "What is a small win you had lately?",
-    "What idea has been stuck in your head?",
-    "What happened since we last spoke?",
-    "What is keeping you curious these days?",
-    "Give me an update on your life.",
-    "What did today teach you?",
-    "Any recent experience worth sharing?",
-    "What is new in your world?",
 ]
 
 TOPIC_TEMPLATES = [
-    "What do you think about [AAA]?",
-    "How does [AAA] fit into everyday life?",
-    "Have you had any experience with [AAA]?",
-    "Which questions about [AAA] deserve more attention?",
-    "Do you have any advice related to [AAA]?",
-    "How is [AAA] connected to other parts of life?",
-    "What trends do you see around [AAA]?",
-    "How much does [AAA] matter to you?",
-    "What makes [AAA] interesting?",
-    "Do you have a story about [AAA]?",
-    "What do you appreciate about [AAA]?",
-    "What is worth discussing about [AAA]?",
-    "Any fresh insight on [AAA]?",
-    "How has [AAA] affected you?",
-    "Did something memorable ever happen with [AAA]?",
-    "What are people saying about [AAA] lately?",
-    "Do you have a special memory of [AAA]?",
-    "How does [AAA] relate to the rest of your life?",
-    "What surprised you about [AAA]?",
-    "Have you heard any anecdotes about [AAA]?",
-    "What fascinates you about [AAA]?",
-    "What impression has [AAA] left on you?",
-    "Any unusual facts about [AAA]?",
-    "What is your own take on [AAA]?",
-    "Do you have a favourite thing about [AAA]?",
-    "What is your unique view of [AAA]?",
-    "How does [AAA] shape the way we think?",
-    "Can you give a fun example involving [AAA]?",
-    "What is remarkable about [AAA]?",
-    "What inspiring thought do you have about [AAA]?",
-    "Have you had a strange experience with [AAA]?",
-    "What draws you to [AAA]?",
-    "What excites you about [AAA]?",
+    "Say a few words about [AAA].",
+    "[AAA] came up in conversation. What would you add?",
+    "Write a short note that mentions [AAA].",
+    "Suppose a friend asks you about [AAA]. What do you answer?",
+    "Where does [AAA] show up in your week?",
+    "Sum up [AAA] in one post.",
+    "Post an update on [AAA].",
+    "If [AAA] were today's subject, how would you begin?",
+    "Give me your honest view on [AAA].",
+    "Remind me why [AAA] is worth a post.",
+    "When did you last deal with [AAA]?",
+    "Somebody new wants to understand [AAA]. Help them out.",
+    "Start a thread on [AAA].",
+    "Which side of [AAA] do people overlook?",
+    "Let's talk [AAA]. You go first.",
+    "Keep it brief: [AAA].",
+    "Describe [AAA] the way you would to a neighbour.",
+    "Pick [AAA] as your theme and write.",
+    "What would you change about [AAA]?",
+    "Tell us where you stand on [AAA].",
+    "One thought on [AAA], please.",
 ]
 
 

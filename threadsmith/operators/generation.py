@@ -11,14 +11,12 @@ from pyspark.sql import functions as F
 from threadsmith.config import CorpusConfig
 from threadsmith.functions.draws import uniform
 from threadsmith.functions.text import passes_gate
-from threadsmith.operators.corpus import open_question
+from threadsmith.operators.corpus import open_question, rounds
 
 # Our own request wording for the two request kinds.
-SYSTEM_QA = ("Write one question, in the language of the user's text, that the text would answer well. "
-             "If that is too hard, ask a general question such as 'What happened recently?'.")
-SYSTEM_CONTINUE = ("Write a very short lead-in, in the language of the user's text, that the text could "
-                   "naturally follow. Do not repeat the text; output the lead-in only.")
-USER_PREFIX = "User input: "
+SYSTEM_QA = "A message follows. Reply with the single question that its author was most likely asked before writing it."
+SYSTEM_CONTINUE = "A message follows. Reply with one opening phrase after which the message reads as the rest of a sentence."
+USER_PREFIX = "Message: "
 
 
 def cache_join(posts: DataFrame, cache: DataFrame, id_col: str = "id") -> DataFrame:
@@ -34,7 +32,7 @@ def pending_requests(posts: DataFrame, cache: DataFrame, cfg: CorpusConfig,
     """One request per missing cache slot ``[n_cached, max_generated)`` for posts
     passing the gate; none in cache-only mode."""
     if cfg.cache_only:
-        return posts.select(id_col).limit(0).withColumn("idx", F.lit(0)).withColumn("kind", F.lit(""))
+        return posts.limit(0).select(id_col, F.lit(0).alias("idx"), F.lit("").alias("kind"), text_col)
     j = cache_join(posts.filter(passes_gate(F.col(text_col), cfg.response_thresh)), cache, id_col)
     j = j.filter(F.col("n_cached") < cfg.max_generated)
     j = j.withColumn("idx", F.explode(F.sequence(F.col("n_cached"), F.lit(cfg.max_generated - 1))))
@@ -71,7 +69,7 @@ def response_rows(posts: DataFrame, cache: DataFrame, cfg: CorpusConfig,
         cache.select(id_col, "responses"), id_col, "inner")
     if cfg.cache_only:
         j = j.filter(F.size("responses") >= cfg.max_generated)
-    j = j.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(max(cfg.augmentation_original, 1) - 1))))
+    j = rounds(j, cfg.augmentation_original)
     j = j.filter(F.col("round") < F.size("responses"))
     return j.select(id_col, "round", F.get(F.col("responses"), F.col("round")).alias("instruction"),
                     F.lit("").alias("input"), F.col(text_col).alias("output"))
@@ -80,15 +78,13 @@ def response_rows(posts: DataFrame, cache: DataFrame, cfg: CorpusConfig,
 def seed_rows(posts: DataFrame, cfg: CorpusConfig, round_no: int = 0,
               id_col: str = "id", text_col: str = "text") -> DataFrame:
     """In round 0, 10% gated open questions and the next 10% unconditional rows."""
-    if round_no != 0:
-        return posts.select(id_col).limit(0)
     keys = [id_col, "round"]
     p = posts.select(id_col, text_col).withColumn("round", F.lit(round_no))
     u = uniform(keys, "seed", cfg.seed)
     p = p.withColumn("__u", u)
     open_row = (F.col("__u") < cfg.seed_open_prob) & passes_gate(F.col(text_col), cfg.response_thresh)
     plain_row = (F.col("__u") >= cfg.seed_open_prob) & (F.col("__u") < cfg.seed_open_prob + cfg.seed_uncond_prob)
-    return p.filter(open_row | plain_row).select(
+    return p.filter((open_row | plain_row) & F.lit(round_no == 0)).select(
         id_col, "round",
         F.when(F.col("__u") < cfg.seed_open_prob, open_question(keys, cfg.seed)).otherwise(F.lit("")).alias("instruction"),
         F.lit("").alias("input"), F.col(text_col).alias("output"))

@@ -6,12 +6,13 @@ the id (no group can be hot: an id is one row after de-duplication)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadsmith.config import UNKNOWN_HANDLE, USER_URL_PREFIX, CorpusConfig
-from threadsmith.functions.draws import pick_index, uniform
+from threadsmith.functions.draws import uniform
 from threadsmith.operators.joins import lookup_handle
+from threadsmith.operators.ordering import hashed_index
 
 
 def ids(df: DataFrame, col: str) -> DataFrame:
@@ -74,24 +75,19 @@ def lookup_gate(n_unknown_followers: Column, cfg: CorpusConfig, consent: bool =
     return (n_unknown_followers <= F.lit(cfg.max_follower_lookup)) | F.lit(consent)
 
 
-def lookup_batches(lookup_ids: DataFrame, cfg: CorpusConfig, n_buckets: int | None = None,
-                   rows_per_bucket: int = 1_000_000) -> DataFrame:
-    """Ids hashed into buckets, numbered inside a bucket, ``lookup_batch`` per request,
-    comma-joined.  No global row_number (that would be a single task); by default the
-    bucket count follows the id count."""
-    if n_buckets is None:
-        n_buckets = max(1, -(-lookup_ids.count() // rows_per_bucket))
-    b = lookup_ids.withColumn("bucket", pick_index(uniform(["user_id"], "bucket", cfg.seed), n_buckets).cast("bigint"))
-    rn = F.row_number().over(Window.partitionBy("bucket").orderBy("user_id"))
-    b = b.withColumn("batch", F.floor((rn - 1) / cfg.lookup_batch).cast("bigint"))
-    return b.groupBy("bucket", "batch").agg(
+def lookup_batches(lookup_ids: DataFrame, cfg: CorpusConfig) -> DataFrame:
+    """Ids numbered in a drawn order, ``lookup_batch`` per request, comma-joined.  The
+    numbering is over cells of the draw, so no task holds more than one of them."""
+    b = hashed_index(lookup_ids, uniform(["user_id"], "order", cfg.seed), ["user_id"])
+    b = b.withColumn("batch", F.floor(F.col("idx") / cfg.lookup_batch).cast("bigint"))
+    return b.groupBy("batch").agg(
         F.count(F.lit(1)).alias("n_ids"),
         F.array_join(F.array_sort(F.collect_list("user_id")), ",").alias("ids"))
 
 
 def report_lines(id_rows: DataFrame, users: DataFrame, cfg: CorpusConfig) -> DataFrame:
     """``handle profile-url`` per id (unknown -> placeholder handle), not de-duplicated."""
-    x = lookup_handle(id_rows, users, "user_id", "__h", F.lit(UNKNOWN_HANDLE), cfg.broadcast_max_rows)
+    x = lookup_handle(id_rows, users, "user_id", "__h", F.lit(UNKNOWN_HANDLE))
     return x.select("*", F.concat(F.col("__h"), F.lit(" " + USER_URL_PREFIX), F.col("user_id")).alias("line")).drop("__h")
 
 

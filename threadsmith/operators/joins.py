@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and dimension lookups (id -> handle)."""
+"""Dimension lookups (id -> handle).  The join strategy is left to Spark, which broadcasts by bytes."""
 
 from __future__ import annotations
 
@@ -6,28 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-_SIZE_CHECKS: dict = {}
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after counting the dimension; beyond ``max_rows`` the plain
-    frame is returned and Spark/AQE choose a shuffle join.  The decision is remembered per
-    plan (semantic hash) and input files for the session, so one dimension is counted
-    once, and counted again when files are added to it (e.g. between micro-batches)."""
-    key = (dim.sparkSession.sparkContext.applicationId, dim.semanticHash(), tuple(sorted(dim.inputFiles())),
-           max_rows)
-    small = _SIZE_CHECKS.get(key)
-    if small is None:
-        small = dim.limit(max_rows + 1).count() <= max_rows
-        _SIZE_CHECKS[key] = small
-    return F.broadcast(dim) if small else dim
-
-
 def lookup_handle(df: DataFrame, users: DataFrame, id_col: str, out_col: str,
-                  default: Column | None = None, max_rows: int = 2_000_000) -> DataFrame:
+                  default: Column | None = None) -> DataFrame:
     """Left-outer lookup ``id -> handle`` with a default for unknown ids."""
     u = users.select(F.col("user_id").alias("__uid"), F.col("handle").alias("__handle"))
-    u = broadcast_if_small(u, max_rows)
     joined = df.join(u, df[id_col] == F.col("__uid"), "left")
     val = F.col("__handle") if default is None else F.coalesce(F.col("__handle"), default)
     return joined.withColumn(out_col, val).drop("__uid", "__handle")

@@ -72,15 +72,16 @@ def upgrade_decisions(files: DataFrame) -> DataFrame:
     lw, lh, rw, rh = F.col("local_w"), F.col("local_h"), F.col("remote_w"), F.col("remote_h")
     all_unknown = (lw == -1) & (lh == -1) & (rw == -1) & (rh == -1)
     any_unknown = (lw == -1) | (lh == -1) | (rw == -1) | (rh == -1)
-    pb, pa = lw * lh, rw * rh
-    decision = (F.when(F.col("status") != 200, "fail").when(rb == lb, "same_size")
+    pb, pa = lw.cast("bigint") * lh, rw.cast("bigint") * rh
+    unreadable = (lb == 0) | (pb == 0)
+    decision = (F.when((F.col("status") != 200) | unreadable, "fail").when(rb == lb, "same_size")
                 .when(all_unknown, "replaced").when(any_unknown, "inconclusive")
                 .when(pa >= pb, "replaced").otherwise("smaller_pixels"))
     success = F.col("decision").isin("same_size", "replaced", "smaller_pixels")
     downloaded = F.when(F.col("decision").isin("fail", "same_size"), F.lit(0)).otherwise(rb)
-    pct_bytes = F.when(F.col("decision") == "replaced", F.lit(100.0) * (rb - lb) / lb)
+    pct_bytes = F.when(F.col("decision") == "replaced", F.try_divide(F.lit(100.0) * (rb - lb), lb))
     pct_pixels = F.when(F.col("decision").isin("replaced", "smaller_pixels") & ~all_unknown,
-                        F.lit(100.0) * (pa - pb) / pb)
+                        F.try_divide(F.lit(100.0) * (pa - pb), pb))
     return (files.withColumn("decision", decision).withColumn("success", success)
             .withColumn("bytes_downloaded", downloaded.cast("bigint"))
             .withColumn("pct_bytes", pct_bytes).withColumn("pct_pixels", pct_pixels)

@@ -1,50 +1,69 @@
-"""Skew-safe ordering helpers.
-
-``ordered_index`` numbers the rows of every group in a total order without putting a
-group into one task: the frame is range-partitioned on ``(group, order)`` so a hot group
-is spread over many partitions; inside a partition the rows are sorted and get a
-monotonically increasing id; a small per-(partition, group) table gives each partition's
-offset inside its group (a running sum over partitions), and a join on
-``(partition, group)`` turns local ids into the group-wide 0-based index.
-
-The numbered frame is read twice (stats and rows), and the two reads must see the same
-partition ids.  Exchange reuse cannot be relied on for that: the two branches prune
-different columns, and the range bounds come from a sample whose input order may differ
-between evaluations.  So the numbered frame is materialised once with a reliable
-checkpoint into ``spark.checkpoint.dir``, which also survives executor loss.  The
-per-partition stats do not depend on the order of ties.
-"""
+"""Skew-safe numbering.
+
+``ordered_index`` numbers the rows of every group without putting a group into one task: rows are numbered
+inside ``(group, stride)``, a stride being a range of the first order column, and the counts of the strides, a
+much smaller table, give each stride's offset in its group.  ``hashed_index`` numbers all rows in the order of a
+uniform draw the same way, its strides being equal cells of the draw.  Both depend on the rows alone: no
+checkpoint, partition ids or jobs at plan-build time."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadsmith.session import cut_lineage
+#: strides of numeric order columns; a day where the order column is a time in seconds
+STRIDE = 4096
+DAY = 86400
+#: cells of a uniform draw; one row a cell is ever in one task
+CELLS = 1 << 16
+
+
+def stride_of(df: DataFrame, order_col: str, stride: int) -> Column:
+    """Stride number of the first order column (numeric, or a timestamp taken in seconds); nulls come first."""
+    value = F.col(order_col)
+    if dict(df.dtypes)[order_col].startswith("timestamp"):
+        value, stride = F.unix_seconds(value.cast("timestamp")), DAY
+    return F.coalesce(F.floor(value / stride).cast("bigint"), F.lit(-(1 << 63)).cast("bigint"))
 
 
 def ordered_index(df: DataFrame, group_cols: list[str], order_cols: list, idx_col: str = "idx",
-                  count_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
-    keys = [*group_cols, *order_cols]
-    parted = (df.repartitionByRange(num_partitions, *keys) if num_partitions
-              else df.repartitionByRange(*keys))
-    s = cut_lineage(parted.sortWithinPartitions(*keys)
-                    .withColumn("__pid", F.spark_partition_id())
-                    .withColumn("__mid", F.monotonically_increasing_id()))
-    stats = s.groupBy("__pid", *group_cols).agg(F.min("__mid").alias("__first"), F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+                  count_col: str | None = None, stride: int = STRIDE) -> DataFrame:
+    """``df`` with the 0-based place of each row in its group's order (and the group's size)."""
+    x = df.withColumn("__stride", stride_of(df, order_cols[0], stride))
+    sizes = x.groupBy(*group_cols, "__stride").agg(F.count(F.lit(1)).alias("__n"))
+    group = Window.partitionBy(*group_cols)
+    before = group.orderBy("__stride").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(group_cols)],
+                           F.col("__stride").alias("__s"),
+                           F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
+                           F.sum("__n").over(group).alias("__size"))
+    place = F.row_number().over(Window.partitionBy(*group_cols, "__stride").orderBy(*order_cols))
+    same = F.col("__stride") == F.col("__s")
+    for i, c in enumerate(group_cols):
+        same &= F.col(c).eqNullSafe(F.col(f"__g{i}"))
+    out = x.withColumn("__in_stride", place).join(offsets, same)
+    out = out.withColumn(idx_col, (F.col("__off") + F.col("__in_stride") - 1).cast("bigint"))
     if count_col:
-        stats = stats.withColumn(count_col, F.sum("__n").over(Window.partitionBy(*group_cols)))
-    out = s.join(stats, ["__pid", *group_cols])
-    out = out.withColumn(idx_col, (F.col("__off") + F.col("__mid") - F.col("__first")).cast("bigint"))
-    return out.drop("__pid", "__mid", "__first", "__n", "__off")
+        out = out.withColumn(count_col, F.col("__size"))
+    return out.drop("__stride", "__s", "__off", "__size", "__in_stride", *[f"__g{i}" for i in range(len(group_cols))])
+
+
+def hashed_index(df: DataFrame, draw: Column, ties: list[str], idx_col: str = "idx") -> DataFrame:
+    """``df`` with the 0-based place of each row among all rows in the order of a uniform draw, then ``ties``."""
+    x = df.withColumn("__u", draw).withColumn("__cell", F.floor(F.col("__u") * CELLS).cast("int"))
+    before = Window.orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = x.groupBy(F.col("__cell").alias("__c")).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = sizes.select("__c", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    place = F.row_number().over(Window.partitionBy("__cell").orderBy("__u", *ties))
+    out = x.withColumn("__in_stride", place).join(offsets, F.col("__cell") == F.col("__c"))
+    return out.withColumn(idx_col, (F.col("__off") + F.col("__in_stride") - 1).cast("bigint")).drop(
+        "__u", "__cell", "__c", "__off", "__in_stride")
 
 
 def part_numbers(df: DataFrame, group_cols: list[str], order_cols: list, part_size: int,
-                 idx_col: str = "msg_idx", part_col: str = "part") -> DataFrame:
+                 idx_col: str = "msg_idx", part_col: str = "part", stride: int = STRIDE) -> DataFrame:
     """1-based part of ``part_size`` messages when the group has more than
     ``part_size`` messages, else NULL (unnumbered)."""
-    x = ordered_index(df, group_cols, order_cols, idx_col=idx_col, count_col="__cnt")
+    x = ordered_index(df, group_cols, order_cols, idx_col=idx_col, count_col="__cnt", stride=stride)
     part = F.when(F.col("__cnt") > part_size, F.floor(F.col(idx_col) / part_size) + 1).cast("bigint")
     return x.withColumn(part_col, part).withColumnRenamed("__cnt", "group_size")

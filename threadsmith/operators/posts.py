@@ -41,7 +41,7 @@ def parse_posts(raw: DataFrame, json_col: str = "json") -> DataFrame:
     j = unwrap_envelope(F.col(json_col))
     keep = [c for c in raw.columns if c != json_col]
     return raw.select(*keep, j.alias("__j")).select(
-        *keep, F.from_json("__j", POST_SCHEMA).alias("p"),
+        *keep, F.from_json("__j", POST_SCHEMA, {"mode": "FAILFAST"}).alias("p"),
         has_key(F.col("__j"), "in_reply_to_status_id").alias("has_reply_key"),
         has_key(F.col("__j"), "in_reply_to_status_id_str").alias("has_reply_str_key"),
         has_key(F.col("__j"), "in_reply_to_screen_name").alias("has_screen_key"),
@@ -69,8 +69,9 @@ def effective_urls(p: Column, has_entities: Column, has_media_key: Column, text:
 
 def replace_urls(body: Column, url_list: Column, replacement) -> Column:
     """Sequentially replace each entity's ``url`` (all occurrences) with
-    ``replacement(entity)``."""
-    return F.aggregate(url_list, body, lambda acc, u: F.replace(acc, u["url"], replacement(u)))
+    ``replacement(entity)``; entities without a url or its expansion are skipped."""
+    whole = F.filter(url_list, lambda u: u["url"].isNotNull() & u["expanded_url"].isNotNull())
+    return F.aggregate(whole, body, lambda acc, u: F.replace(acc, u["url"], replacement(u)))
 
 
 def link_markdown(body: Column, url_list: Column) -> Column:

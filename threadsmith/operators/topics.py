@@ -16,7 +16,6 @@ from threadsmith.config import CorpusConfig
 from threadsmith.functions import templates
 from threadsmith.functions.draws import pick_index, uniform
 from threadsmith.functions.text import split_sentences, words
-from threadsmith.operators.joins import broadcast_if_small
 
 
 def lexicon_from_text(df: DataFrame, text_col: str = "text", min_noun_len: int = 4) -> DataFrame:
@@ -55,7 +54,7 @@ def choose_topics(df: DataFrame, keys: list[str], text_col: str, lexicon: DataFr
     t = (df.select(*keys, *carry, sents.alias("__s"))
          .select(*keys, *carry, F.when(F.size("__s") > 1, topic_sentence(F.col("__s"), cfg.topic_trim, keys, cfg.seed))
                  .alias("__sent")))
-    nouns = broadcast_if_small(noun_set(lexicon), cfg.broadcast_max_rows)
+    nouns = noun_set(lexicon)
     exploded = t.select(*keys, *carry, "__sent",
                         F.posexplode_outer(words(F.col("__sent"))).alias("__pos", "__word"))
     first = F.col("__pos").isNull() | (F.col("__pos") == 0)

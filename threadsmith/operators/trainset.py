@@ -1,18 +1,18 @@
 """Training-set preparation.
 
-Tokenisation is re-aimed: a corpus vocabulary is built in Spark (whitespace tokens,
-top-K by frequency, ids after the special ids) and rows are encoded by a broadcast join
-whose size is bounded by K.  Batching hashes rows into buckets, numbers rows inside each
-bucket, pads to the batch maximum and builds the label mask."""
+Tokenisation is re-aimed: a corpus vocabulary is built in Spark (whitespace tokens by
+frequency, ids after the special ids) and rows are encoded by a join with it.  Batching
+cuts a drawn order of all rows, pads to the batch maximum and builds the label mask."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadsmith.config import IGNORE_LABEL, CorpusConfig
-from threadsmith.functions.draws import pick_index, uniform
+from threadsmith.config import IGNORE_LABEL, LENGTH_QUANTILES, CorpusConfig
+from threadsmith.functions.draws import uniform
 from threadsmith.functions.text import ascii_spaced, whitespace_tokens
+from threadsmith.operators.ordering import hashed_index
 
 
 def format_rows(rows: DataFrame) -> DataFrame:
@@ -26,32 +26,41 @@ def format_rows(rows: DataFrame) -> DataFrame:
 
 
 def build_vocab(texts: DataFrame, text_cols: list[str], cfg: CorpusConfig) -> DataFrame:
-    """``token, token_id, freq``: the ``vocab_size`` most frequent whitespace tokens
-    (ties by token), ids starting after the special ids.  The count is a partial
-    aggregation; the top-K is a bounded take-ordered, so the final numbering runs on at
-    most K rows."""
+    """``token, token_id, freq``: whitespace tokens numbered by falling frequency, then token, ids
+    starting after the special ids; with ``vocab_size`` only the ids up to it.
+
+    Tokens are numbered inside (frequency, first characters); the counts of these, and of the
+    frequencies alone, give the offsets, so no task holds more than one of the three levels."""
     toks = None
     for c in text_cols:
         t = texts.select(F.explode(whitespace_tokens(F.col(c))).alias("token"))
         toks = t if toks is None else toks.unionByName(t)
-    freq = toks.groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
-    top = freq.orderBy(F.desc("freq"), F.asc("token")).limit(cfg.vocab_size)
+    freq = toks.groupBy("token").agg(F.count(F.lit(1)).alias("freq")).withColumn("__p", F.substring("token", 1, 3))
+    sizes = freq.groupBy("freq", "__p").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.unboundedPreceding
+    by_freq = sizes.groupBy("freq").agg(F.sum("__n").alias("__n")).select("freq", F.coalesce(F.sum("__n").over(
+        Window.orderBy(F.desc("freq")).rowsBetween(earlier, -1)), F.lit(0)).alias("__base"))
+    by_prefix = sizes.select("freq", "__p", F.coalesce(F.sum("__n").over(
+        Window.partitionBy("freq").orderBy("__p").rowsBetween(earlier, -1)), F.lit(0)).alias("__skip"))
+    offsets = by_prefix.join(by_freq, "freq").select("freq", "__p", (F.col("__base") + F.col("__skip")).alias("__off"))
+    place = F.row_number().over(Window.partitionBy("freq", "__p").orderBy("token"))
     first_id = max(cfg.pad_id, cfg.unk_id, cfg.bos_id, cfg.eos_id) + 1
-    w = Window.orderBy(F.desc("freq"), F.asc("token"))
-    return top.withColumn("token_id", (F.row_number().over(w) + first_id - 1).cast("int"))
+    out = freq.withColumn("__rn", place).join(offsets, ["freq", "__p"]).select(
+        "token", "freq", (F.col("__off") + F.col("__rn") + (first_id - 1)).cast("int").alias("token_id"))
+    return out if cfg.vocab_size is None else out.filter(F.col("token_id") < first_id + cfg.vocab_size)
 
 
 def encode(rows: DataFrame, keys: list[str], fields: list[str], vocab: DataFrame, cfg: CorpusConfig) -> DataFrame:
     """``keys..., <field>_ids...``: token ids of each text field, unknown tokens ->
-    ``unk_id``.  One explode (outer, so every row key survives), one broadcast join
-    (vocabulary <= ``vocab_size`` rows by construction) and one aggregation per row key;
+    ``unk_id``.  One explode (outer, so every row key survives), one vocabulary join (its
+    strategy is Spark's choice, as the vocabulary has no bound) and one aggregation per row key;
     the texts themselves are not shuffled again (join the ids back only if needed)."""
     parts = None
     for f in fields:
         p = rows.select(*keys, F.lit(f).alias("__field"),
                         F.posexplode_outer(whitespace_tokens(F.col(f))).alias("__pos", "__tok"))
         parts = p if parts is None else parts.unionByName(p)
-    v = F.broadcast(vocab.select(F.col("token").alias("__tok"), F.col("token_id")))
+    v = vocab.select(F.col("token").alias("__tok"), F.col("token_id"))
     j = parts.join(v, "__tok", "left")
     tid = F.coalesce(F.col("token_id"), F.lit(cfg.unk_id))
     aggs = []
@@ -83,41 +92,35 @@ def drop_overlength(df: DataFrame, max_len: int, ids_col: str = "input_ids") ->
     return df.filter(F.size(ids_col) <= max_len)
 
 
+def sequence_length(context: Column, target: Column, cfg: CorpusConfig) -> Column:
+    """Length of the assembled ``input_ids`` from the token counts alone: no vocabulary is needed."""
+    m = cfg.max_seq_length
+    prompt = F.least(F.size(whitespace_tokens(context)), F.lit(m - 1)) + 1
+    return F.least(prompt + F.least(F.size(whitespace_tokens(target)), F.lit(m)) + 1, F.lit(m))
+
+
 def length_quantiles(df: DataFrame, ids_col: str = "input_ids",
-                     qs=(0.9, 0.95, 0.97, 0.99, 0.999)) -> DataFrame:
+                     qs=LENGTH_QUANTILES) -> DataFrame:
     """Exact linearly-interpolated quantiles of the sequence length.  ``percentile``
     keeps a value->count map, bounded by the number of distinct lengths (<= max length)."""
-    agg = df.agg(F.percentile(F.size(ids_col), F.array(*[F.lit(q) for q in qs])).alias("__v"))
+    length = F.col(ids_col) if not dict(df.dtypes)[ids_col].startswith("array") else F.size(ids_col)
+    agg = df.agg(F.percentile(length, F.array(*[F.lit(q) for q in qs])).alias("__v"))
     qarr = F.array(*[F.lit(q) for q in qs])
     return agg.select(F.explode(F.arrays_zip(qarr.alias("q"), F.col("__v").alias("v"))).alias("z")).select(
         F.col("z.q").alias("quantile"), F.col("z.v").alias("length"))
 
 
-def bucket_count(df: DataFrame, rows_per_bucket: int) -> int:
-    """Buckets so that each holds about ``rows_per_bucket`` rows (one count job)."""
-    return max(1, -(-df.count() // rows_per_bucket))
-
-
-def assign_batches(df: DataFrame, keys: list[str], cfg: CorpusConfig, n_buckets: int | None = None,
-                   ids_col: str = "input_ids", rows_per_bucket: int = 1_000_000) -> DataFrame:
-    """Rows are hashed into ``n_buckets`` buckets and drawn in a shuffled order inside
-    each bucket; consecutive ``batch_size`` rows form a batch.  Each bucket is one sorted
-    window partition, so ``n_buckets`` defaults to rows / ``rows_per_bucket`` (hash
-    buckets are balanced by construction - no hot key is possible)."""
-    if n_buckets is None:
-        n_buckets = bucket_count(df, rows_per_bucket)
-    b = pick_index(uniform(keys, "bucket", cfg.seed), n_buckets)
-    order = uniform(keys, "order", cfg.seed)
-    x = df.withColumn("bucket", b.cast("bigint")).withColumn("__ord", order)
-    rn = F.row_number().over(Window.partitionBy("bucket").orderBy("__ord", *keys))
-    x = x.withColumn("__rn", rn).withColumn("batch", F.floor((F.col("__rn") - 1) / cfg.batch_size).cast("bigint"))
+def assign_batches(df: DataFrame, keys: list[str], cfg: CorpusConfig, ids_col: str = "input_ids") -> DataFrame:
+    """Rows in a drawn order, ``batch_size`` consecutive rows a batch."""
+    x = hashed_index(df, uniform(keys, "order", cfg.seed), keys, idx_col="__rn")
+    x = x.withColumn("batch", F.floor(F.col("__rn") / cfg.batch_size).cast("bigint"))
     return x.withColumn("length", F.size(ids_col))
 
 
 def pad_and_mask(batched: DataFrame, cfg: CorpusConfig, ids_col: str = "input_ids") -> DataFrame:
     """Order by length desc inside the batch, pad to the batch maximum,
     labels = ignore x (seq_len-1) + ids[seq_len-1:] + ignore x padding."""
-    wb = Window.partitionBy("bucket", "batch")
+    wb = Window.partitionBy("batch")
     x = batched.withColumn("longest", F.max("length").over(wb))
     x = x.withColumn("pos_in_batch", F.row_number().over(wb.orderBy(F.desc("length"), F.col("__rn"))).cast("bigint"))
     pad = F.col("longest") - F.col("length")
@@ -125,7 +128,7 @@ def pad_and_mask(batched: DataFrame, cfg: CorpusConfig, ids_col: str = "input_id
     labels = F.concat(F.array_repeat(F.lit(IGNORE_LABEL), F.col("seq_len") - 1),
                       F.slice(F.col(ids_col), F.col("seq_len"), F.col("length") - F.col("seq_len") + 1),
                       F.array_repeat(F.lit(IGNORE_LABEL), pad))
-    return x.withColumn("labels", labels).drop("__ord", "__rn")
+    return x.withColumn("labels", labels).drop("__rn")
 
 
 def chat_windows(pairs: DataFrame, cfg: CorpusConfig, conv_col: str = "conv_id", pair_col: str = "pair_no",

@@ -1,6 +1,6 @@
 """Direct-message and group transcripts.
 
-Plan shape: messages are flat rows; handles come from a size-checked broadcast lookup;
+Plan shape: messages are flat rows; handles come from a lookup join;
 conversations are numbered with the skew-safe ordered index and cut into parts of
 ``part_size`` messages, so the string aggregation of a part never exceeds ``part_size``
 messages even for a conversation holding a third of all rows."""
@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 from threadsmith.config import TRANSCRIPT_SEPARATOR, USER_URL_PREFIX, CorpusConfig
 from threadsmith.functions.text import english_list, escape_markdown, filename_safe, quote_body
 from threadsmith.functions.timefmt import dm_epoch
-from threadsmith.operators.joins import broadcast_if_small
-from threadsmith.operators.ordering import part_numbers
+from threadsmith.operators.ordering import DAY, part_numbers
 
 MESSAGE = "message"
 RENAME = "rename"
@@ -28,14 +27,16 @@ def user_url(uid: Column) -> Column:
 
 
 def expand_urls(body: Column, urls: Column) -> Column:
-    """Replace every short url by its expansion, in entity order."""
-    return F.aggregate(F.coalesce(urls, F.array().cast("array<struct<url:string,expanded:string>>")), body,
+    """Replace every short url by its expansion, in entity order; entities lacking either are skipped."""
+    whole = F.filter(F.coalesce(urls, F.array().cast("array<struct<url:string,expanded:string>>")),
+                     lambda u: u["url"].isNotNull() & u["expanded"].isNotNull())
+    return F.aggregate(whole, body,
                        lambda acc, u: F.replace(acc, u["url"], u["expanded"]))
 
 
 def with_handles(df: DataFrame, users: DataFrame, pairs: list[tuple[str, str]], cfg: CorpusConfig) -> DataFrame:
     """J1 for several id columns: ``out = handle`` or the profile-url template."""
-    u = broadcast_if_small(users.select("user_id", "handle"), cfg.broadcast_max_rows)
+    u = users.select("user_id", "handle")
     for id_col, out_col in pairs:
         uu = u.select(F.col("user_id").alias("__lk_u"), F.col("handle").alias("__lk_h"))
         df = (df.join(uu, df[id_col] == F.col("__lk_u"), "left")
@@ -46,9 +47,14 @@ def with_handles(df: DataFrame, users: DataFrame, pairs: list[tuple[str, str]],
 
 def dm_messages_from_archive(convs: DataFrame) -> DataFrame:
     """``dmConversation`` records -> one row per message carrying every required
-    field (senderId, recipientId, text, createdAt)."""
-    m = convs.select(F.col("dmConversation.conversationId").alias("conversation_id"),
-                     F.posexplode("dmConversation.messages").alias("msg_ord", "m"))
+    field (senderId, recipientId, text, createdAt).  ``msg_ord`` packs file, record and
+    position, so that a conversation split over records keeps its order at equal times."""
+    record = F.lit(0).cast("bigint")
+    if {"file_ord", "row_ord"} <= set(convs.columns):
+        record = F.shiftleft(F.col("file_ord").cast("bigint"), 55) + F.shiftleft(F.col("row_ord").cast("bigint"), 28)
+    m = convs.select(F.col("dmConversation.conversationId").alias("conversation_id"), record.alias("__rec"),
+                     F.posexplode("dmConversation.messages").alias("__pos", "m"))
+    m = m.withColumn("msg_ord", F.col("__rec") + F.col("__pos"))
     mc = F.col("m.messageCreate")
     return m.filter(mc.isNotNull()).select(
         "conversation_id", "msg_ord",
@@ -74,8 +80,7 @@ def other_party(lines: DataFrame, users: DataFrame, owner: str, cfg: CorpusConfi
     owner's, else the first."""
     parts = F.split(F.col("conversation_id"), "-")
     x = lines.withColumn("__u1", F.get(parts, 0)).withColumn("__u2", F.get(parts, 1))
-    u = broadcast_if_small(users.select(F.col("user_id").alias("__u1"), F.col("handle").alias("__h1")),
-                           cfg.broadcast_max_rows)
+    u = users.select(F.col("user_id").alias("__u1"), F.col("handle").alias("__h1"))
     x = x.join(u, "__u1", "left")
     other = F.when(F.col("__h1") == F.lit(owner), F.col("__u2")).otherwise(F.col("__u1"))
     return x.withColumn("other_user_id", other).drop("__u1", "__u2", "__h1")
@@ -88,7 +93,7 @@ def transcripts(lines: DataFrame, group_col: str, order_cols: list, header: Colu
     ``header`` may use ``part`` (NULL when unnumbered).  Per-conversation ``titles`` (keyed
     by ``group_col``) are joined after the aggregation, i.e. to one row per part, so a hot
     conversation's messages never meet a join on the conversation id."""
-    numbered = part_numbers(lines, [group_col], order_cols, part_size, idx_col="__idx", part_col="part")
+    numbered = part_numbers(lines, [group_col], order_cols, part_size, idx_col="__idx", part_col="part", stride=DAY)
     keep = [c for c in (title_cols or []) if c in numbered.columns]
     agg = numbered.groupBy(group_col, "part").agg(
         F.count(F.lit(1)).alias("n_messages"),
@@ -182,12 +187,14 @@ def latest_names_from_events(events: DataFrame) -> DataFrame:
 def group_names(names: DataFrame, counts: DataFrame, users: DataFrame, owner: str, cfg: CorpusConfig) -> DataFrame:
     """File-safe official name; too short -> id; when it is the id, derive one from the
     two most active known handles other than the owner's (count desc, handle asc)."""
-    u = broadcast_if_small(users.select(F.col("user_id").alias("participant_id"), "handle"), cfg.broadcast_max_rows)
+    u = users.select(F.col("user_id").alias("participant_id"), "handle")
     c = counts.join(u, "participant_id", "left")
-    n_part = c.groupBy("conversation_id").agg(F.count(F.lit(1)).alias("n_participants"))
+    is_known = F.col("handle").isNotNull() & (F.col("handle") != owner)
+    n_part = c.groupBy("conversation_id").agg(F.count(F.lit(1)).alias("n_participants"),
+                                              F.count_if(is_known).alias("__known"))
     # top-2 known handles (count desc, handle asc): a ranked window with a limit, which
     # Spark plans as a group limit applied before the shuffle (no full group is collected)
-    known = c.filter(F.col("handle").isNotNull() & (F.col("handle") != owner))
+    known = c.filter(is_known)
     rank = F.row_number().over(Window.partitionBy("conversation_id").orderBy(F.desc("n_messages"), F.asc("handle")))
     top = known.withColumn("__r", rank).filter(F.col("__r") <= 2).groupBy("conversation_id").agg(
         F.array_sort(F.collect_list(F.struct(F.col("__r"), F.col("handle")))).alias("__hs"))
@@ -196,7 +203,7 @@ def group_names(names: DataFrame, counts: DataFrame, users: DataFrame, owner: st
     safe = filename_safe(F.col("official_name"))
     base = F.when(F.length(safe) < 2, F.col("conversation_id")).otherwise(safe)
     hs = F.transform(F.coalesce("__hs", F.array()), lambda s: s["handle"])
-    nh, n = F.size(hs), F.col("n_participants")
+    nh, n = F.coalesce("__known", F.lit(0)), F.col("n_participants")
     derived = (F.when(nh == 1, F.concat(F.get(hs, 0), F.lit("_and_"), (n - 1).cast("string"), F.lit("_more")))
                .when((nh == 2) & (n == 3), F.concat(F.get(hs, 0), F.lit("_and_"), F.get(hs, 1), F.lit("_and_" + owner)))
                .when(nh >= 2, F.concat(F.get(hs, 0), F.lit("_and_"), F.get(hs, 1), F.lit("_and_"),

@@ -16,7 +16,7 @@ from threadsmith.plans.registry import register, table
 
 CFG = ASCII
 GATE_THRESH_LONG = 40
-T = CFG.arm_thresholds()
+WITH_REPLIES = CFG.with_(parse_replies=True)
 
 
 # ---------------------------------------------------------------- shared pieces
@@ -28,8 +28,8 @@ def lexicon(spark: SparkSession, sf: str) -> DataFrame:
     return topics.lexicon_from_text(table(spark, sf, "benchmark"), "text")
 
 
-def originals(spark: SparkSession, sf: str) -> DataFrame:
-    return corpus.original_rows(posts(spark, sf), CFG, lexicon(spark, sf), id_col="doc_id")
+def originals(spark: SparkSession, sf: str, cfg=CFG) -> DataFrame:
+    return corpus.original_rows(posts(spark, sf), cfg, lexicon(spark, sf), id_col="doc_id")
 
 
 def reply_pairs_df(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,7 +43,8 @@ def reply_topics_df(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def corpus_union(spark: SparkSession, sf: str) -> DataFrame:
-    o = originals(spark, sf).select(F.lit("original").alias("source"), F.col("doc_id").cast("string").alias("id"),
+    """Originals, replies and reply topics; with replies the originals draw by the arms for that case."""
+    o = originals(spark, sf, WITH_REPLIES).select(F.lit("original").alias("source"), F.col("doc_id").cast("string").alias("id"),
                                     F.col("round").cast("bigint").alias("round"), "instruction", "input", "output")
     r = reply_pairs_df(spark, sf)
     rid = F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
@@ -83,7 +84,8 @@ def topics_sql(src: str, text: str, keys: list[str], prefix: str) -> str:
                      '[AAA]', topic) AS topic_instruction FROM {p}tp)"""
 
 
-def originals_sql() -> str:
+def originals_sql(cfg=CFG) -> str:
+    T = cfg.arm_thresholds()
     keys = ["doc_id", "round"]
     no = len(templates.OPEN_QUESTIONS)
     openq = f"{templates.sql_list(templates.OPEN_QUESTIONS)}[{S.pick(S.u(keys, 'tmpl'), str(no))} + 1]"
@@ -139,7 +141,7 @@ rt AS (SELECT lucky.conv_id, lucky.turn, r_topic.topic_instruction AS instructio
 
 
 def union_sql() -> str:
-    return f"""WITH {originals_sql()},
+    return f"""WITH {originals_sql(WITH_REPLIES)},
 {reply_topics_sql().replace(LEX_SQL + ',', '', 1)},
 u AS (
   SELECT 'original' AS source, CAST(doc_id AS VARCHAR) AS id, round, instruction, input, output FROM orig

@@ -16,7 +16,6 @@ from threadsmith.plans import sqlfrag as S
 from threadsmith.plans.registry import register, table
 
 CFG = ASCII
-N_BUCKETS = 4
 
 
 def users(spark, sf) -> DataFrame:
@@ -134,14 +133,13 @@ def following_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("lookup_batches", oracle=f"""WITH {GATE_SQL},
-bk AS (SELECT user_id, CAST(floor({S.u(['user_id'], 'bucket')} * {N_BUCKETS}) AS BIGINT) AS bucket FROM lk),
-rn AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY bucket ORDER BY user_id) - 1) / {CFG.lookup_batch})
-                      AS BIGINT) AS batch FROM bk)
-SELECT bucket, batch, CAST(count(*) AS BIGINT) AS n_ids, array_to_string(list_sort(list(user_id)), ',') AS ids
-FROM rn GROUP BY bucket, batch""")
+rn AS (SELECT *, CAST(floor((row_number() OVER (ORDER BY {S.u(['user_id'], 'order')}, user_id) - 1) / {CFG.lookup_batch})
+                      AS BIGINT) AS batch FROM lk)
+SELECT batch, CAST(count(*) AS BIGINT) AS n_ids, array_to_string(list_sort(list(user_id)), ',') AS ids
+FROM rn GROUP BY batch""")
 def lookup_batches(spark: SparkSession, sf: str) -> DataFrame:
-    b = identity.lookup_batches(lookup_ids(spark, sf), CFG, N_BUCKETS)
-    return b.select("bucket", "batch", F.col("n_ids").cast("bigint"), "ids")
+    b = identity.lookup_batches(lookup_ids(spark, sf), CFG)
+    return b.select("batch", F.col("n_ids").cast("bigint"), "ids")
 
 
 HARVEST_SQL = """obs AS (

@@ -1,6 +1,6 @@
 """Training-set queries over ``conversations`` and ``documents``.
 
-Instruction rows = the gated reply pairs of ``conversations``; the vocabulary is built
+Instruction rows = the whole corpus (originals, replies, reply topics); the vocabulary is built
 from ``documents``; chat windows pair each user turn with the assistant turn after it."""
 
 from __future__ import annotations
@@ -13,17 +13,16 @@ from threadsmith.functions.text import PY_SPACE_CLASS
 from threadsmith.operators import trainset
 from threadsmith.operators.ordering import ordered_index
 from threadsmith.plans import sqlfrag as S
-from threadsmith.plans.corpus_plans import reply_pairs_df, replies_sql
+from threadsmith.plans.corpus_plans import corpus_union, union_sql
 from threadsmith.plans.registry import register, table
 
 CFG = ASCII
-N_BUCKETS = 8
-KEYS = ["conv_id", "turn"]
+KEYS = ["source", "id", "round"]
 TOK_RE = f"[^{PY_SPACE_CLASS}]+"
 
 
 def formatted(spark: SparkSession, sf: str) -> DataFrame:
-    return trainset.format_rows(reply_pairs_df(spark, sf)).select(*KEYS, "context", "target")
+    return trainset.format_rows(corpus_union(spark, sf)).select(*KEYS, "context", "target")
 
 
 def vocab(spark: SparkSession, sf: str) -> DataFrame:
@@ -36,7 +35,7 @@ def encoded(spark: SparkSession, sf: str, cfg=CFG) -> DataFrame:
 
 
 def batched(spark: SparkSession, sf: str) -> DataFrame:
-    b = trainset.assign_batches(encoded(spark, sf), KEYS, CFG, N_BUCKETS)
+    b = trainset.assign_batches(encoded(spark, sf), KEYS, CFG)
     return trainset.pad_and_mask(b, CFG)
 
 
@@ -54,43 +53,42 @@ def chat(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- SQL
-ROWS_SQL = f"""{replies_sql()},
-frows AS (SELECT conv_id, turn, 'Instruction: ' || instruction || chr(10) ||
+ROWS_SQL = f"""{union_sql()},
+frows AS (SELECT source, id, round, 'Instruction: ' || instruction || chr(10) ||
                  CASE WHEN length(input) > 0 THEN 'Input: ' || input || chr(10) ELSE '' END || 'Answer: ' AS context,
-                 output AS target FROM rp)"""
+                 output AS target FROM u)"""
 VOCAB_SQL = f"""vtok AS (SELECT unnest(regexp_extract_all(text, {S.q(TOK_RE)})) AS token FROM documents),
 vfreq AS (SELECT token, count(*) AS freq FROM vtok GROUP BY token),
 vocab AS (SELECT token, freq, CAST(row_number() OVER (ORDER BY freq DESC, token ASC) + 3 AS INTEGER) AS token_id
-          FROM vfreq QUALIFY token_id <= {CFG.vocab_size + 3})"""
+          FROM vfreq)"""
 PROFILE = CFG.with_(max_seq_length=4096)
 
 
 def enc_sql(M: int) -> str:
     return f"""{ROWS_SQL},
 {VOCAB_SQL},
-tk AS (SELECT conv_id, turn, f, unnest(generate_series(0, len(ts) - 1)) AS pos, unnest(ts) AS token
-       FROM (SELECT conv_id, turn, 'context' AS f, regexp_extract_all(context, {S.q(TOK_RE)}) AS ts FROM frows
+tk AS (SELECT source, id, round, f, unnest(generate_series(0, len(ts) - 1)) AS pos, unnest(ts) AS token
+       FROM (SELECT source, id, round, 'context' AS f, regexp_extract_all(context, {S.q(TOK_RE)}) AS ts FROM frows
              UNION ALL
-             SELECT conv_id, turn, 'target', regexp_extract_all(target, {S.q(TOK_RE)}) FROM frows)),
-tid AS (SELECT conv_id, turn, f, list(coalesce(v.token_id, {CFG.unk_id}) ORDER BY pos) AS ids
+             SELECT source, id, round, 'target', regexp_extract_all(target, {S.q(TOK_RE)}) FROM frows)),
+tid AS (SELECT source, id, round, f, list(coalesce(v.token_id, {CFG.unk_id}) ORDER BY pos) AS ids
         FROM tk LEFT JOIN vocab v USING (token) GROUP BY ALL),
-asm AS (SELECT r.conv_id, r.turn,
+asm AS (SELECT r.source, r.id, r.round,
                list_concat(coalesce(c.ids, []::INTEGER[])[1:{M - 1}], [{CFG.bos_id}]) AS p,
                coalesce(t.ids, []::INTEGER[])[1:{M}] AS t
-        FROM frows r LEFT JOIN tid c ON c.conv_id = r.conv_id AND c.turn = r.turn AND c.f = 'context'
-                     LEFT JOIN tid t ON t.conv_id = r.conv_id AND t.turn = r.turn AND t.f = 'target'),
-enc AS (SELECT conv_id, turn, len(p) AS seq_len, list_concat(p, t, [{CFG.eos_id}])[1:{M}] AS input_ids FROM asm)"""
+        FROM frows r LEFT JOIN tid c ON c.source = r.source AND c.id = r.id AND c.round = r.round AND c.f = 'context'
+                     LEFT JOIN tid t ON t.source = r.source AND t.id = r.id AND t.round = r.round AND t.f = 'target'),
+enc AS (SELECT source, id, round, len(p) AS seq_len, list_concat(p, t, [{CFG.eos_id}])[1:{M}] AS input_ids FROM asm)"""
 
 
 ENC_SQL = enc_sql(CFG.max_seq_length)
-U_B = S.u(KEYS, "bucket")
 U_O = S.u(KEYS, "order")
 BATCH_SQL = f"""{ENC_SQL},
-bk AS (SELECT *, CAST(floor({U_B} * {N_BUCKETS}) AS BIGINT) AS bucket, len(input_ids) AS length, {U_O} AS ord FROM enc),
-rn AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY ord, conv_id, turn) AS rn FROM bk),
+bk AS (SELECT *, len(input_ids) AS length, {U_O} AS ord FROM enc),
+rn AS (SELECT *, row_number() OVER (ORDER BY ord, source, id, round) AS rn FROM bk),
 bt AS (SELECT *, CAST(floor((rn - 1) / {CFG.batch_size}) AS BIGINT) AS batch FROM rn),
-pb AS (SELECT *, max(length) OVER (PARTITION BY bucket, batch) AS longest,
-              CAST(row_number() OVER (PARTITION BY bucket, batch ORDER BY length DESC, rn) AS BIGINT) AS pos_in_batch
+pb AS (SELECT *, max(length) OVER (PARTITION BY batch) AS longest,
+              CAST(row_number() OVER (PARTITION BY batch ORDER BY length DESC, rn) AS BIGINT) AS pos_in_batch
        FROM bt)"""
 PAIRS_SQL = """pairs AS (SELECT u.conv_id, CAST(row_number() OVER (PARTITION BY u.conv_id ORDER BY u.turn) - 1 AS BIGINT)
                       AS pair_no, u.text AS q, coalesce(a.text, '') AS a
@@ -106,7 +104,7 @@ cw AS (SELECT conv_id, pair_no, q, a,
 PIECE_RE = f"[{PY_SPACE_CLASS}]*[^{PY_SPACE_CLASS}]+"
 
 
-@register("format_rows", oracle=f"WITH {ROWS_SQL} SELECT * FROM frows")
+@register("format_rows", oracle=f"{ROWS_SQL} SELECT * FROM frows")
 def format_rows(spark: SparkSession, sf: str) -> DataFrame:
     return formatted(spark, sf)
 
@@ -116,8 +114,8 @@ def vocab_q(spark: SparkSession, sf: str) -> DataFrame:
     return vocab(spark, sf).select("token", F.col("freq").cast("bigint"), "token_id")
 
 
-@register("encode_rows", oracle=f"""WITH {ENC_SQL}
-SELECT conv_id, turn, CAST(seq_len AS BIGINT) AS seq_len, CAST(len(input_ids) AS BIGINT) AS n_ids,
+@register("encode_rows", oracle=f"""{ENC_SQL}
+SELECT source, id, round, CAST(seq_len AS BIGINT) AS seq_len, CAST(len(input_ids) AS BIGINT) AS n_ids,
        array_to_string(input_ids, ',') AS input_ids FROM enc""")
 def encode_rows(spark: SparkSession, sf: str) -> DataFrame:
     e = encoded(spark, sf)
@@ -125,28 +123,30 @@ def encode_rows(spark: SparkSession, sf: str) -> DataFrame:
                     F.array_join("input_ids", ",").alias("input_ids"))
 
 
-@register("length_quantiles", oracle=f"""WITH {enc_sql(PROFILE.max_seq_length)}
+@register("length_quantiles", oracle=f"""{enc_sql(PROFILE.max_seq_length)}
 SELECT unnest([0.9, 0.95, 0.97, 0.99, 0.999]::DOUBLE[]) AS quantile,
        unnest(quantile_cont(len(input_ids), [0.9, 0.95, 0.97, 0.99, 0.999]::DOUBLE[])) AS length FROM enc""")
 def length_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     """Length profile at max length 4096 (as the original profiling script)."""
-    q = trainset.length_quantiles(encoded(spark, sf, PROFILE))
+    rows = formatted(spark, sf)
+    lengths = rows.select(trainset.sequence_length(F.col("context"), F.col("target"), PROFILE).alias("length"))
+    q = trainset.length_quantiles(lengths, "length")
     return q.select(F.col("quantile").cast("double"), F.col("length").cast("double"))
 
 
-@register("padded_batches", oracle=f"""WITH {BATCH_SQL}
-SELECT conv_id, turn, bucket, batch, pos_in_batch, CAST(length AS BIGINT) AS length, CAST(longest AS BIGINT) AS longest,
+@register("padded_batches", oracle=f"""{BATCH_SQL}
+SELECT source, id, round, batch, pos_in_batch, CAST(length AS BIGINT) AS length, CAST(longest AS BIGINT) AS longest,
        array_to_string(list_concat(input_ids, list_transform(range(0, longest - length), lambda x: {CFG.pad_id})), ',')
          AS padded_ids
 FROM pb""")
 def padded_batches(spark: SparkSession, sf: str) -> DataFrame:
     b = batched(spark, sf)
-    return b.select(*KEYS, "bucket", "batch", "pos_in_batch", F.col("length").cast("bigint"),
+    return b.select(*KEYS, "batch", "pos_in_batch", F.col("length").cast("bigint"),
                     F.col("longest").cast("bigint"), F.array_join("padded_ids", ",").alias("padded_ids"))
 
 
-@register("label_mask", oracle=f"""WITH {BATCH_SQL}
-SELECT conv_id, turn, CAST(seq_len AS BIGINT) AS seq_len,
+@register("label_mask", oracle=f"""{BATCH_SQL}
+SELECT source, id, round, CAST(seq_len AS BIGINT) AS seq_len,
        array_to_string(list_concat(list_transform(range(0, seq_len - 1), lambda x: -100),
                                    input_ids[seq_len:length],
                                    list_transform(range(0, longest - length), lambda x: -100)), ',') AS labels

@@ -78,9 +78,9 @@ def group_raw(spark, sf) -> DataFrame:
 
 
 def group_parts(spark, sf):
-    ev = TR.group_events(group_raw(spark, sf))
-    parts = TR.group_participants(ev)
-    return ev, parts
+    """Rendered events pass the required-field filters; participants come from all events."""
+    raw = group_raw(spark, sf)
+    return TR.group_events(raw), TR.group_participants(raw)
 
 
 # ---------------------------------------------------------------- SQL

@@ -1,15 +1,13 @@
 """Session helpers.
 
 ``local_session`` is for tests and the local benchmark only; on a cluster the caller owns
-the session.  ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the session and only
-sets one when it is unset (local runs)."""
+the session."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "threadsmith") -> SparkSession:
@@ -31,23 +29,3 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster; a private scratch folder is
-    created only when the session has none (tests, local runs)."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="threadsmith-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return d
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

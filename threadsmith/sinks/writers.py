@@ -11,10 +11,12 @@ from threadsmith.operators.corpus import shuffle_key, shuffled
 
 def write_instruction_dataset(rows: DataFrame, path: str, seed: str = "42", fmt: str = "json",
                               id_cols=("source", "id", "round")) -> None:
-    """K1: rows in a stable shuffled order (md5 key; hash partitions sorted by the key),
-    non-ASCII kept (JSON lines / parquet)."""
-    cols = [c for c in id_cols if c in rows.columns]
-    keyed = shuffled(rows.withColumn("__k", shuffle_key(cols, seed)), "__k").drop("__k")
+    """K1: rows in a stable shuffled order (md5 key of the id columns, which must exist; hash
+    partitions sorted by the key), non-ASCII kept (JSON lines / parquet)."""
+    missing = [c for c in id_cols if c not in rows.columns]
+    if missing or not id_cols:
+        raise ValueError(f"id columns {missing} are not in the rows; name those that identify a row")
+    keyed = shuffled(rows.withColumn("__k", shuffle_key(list(id_cols), seed)), "__k").drop("__k")
     keyed.select("instruction", "input", "output").write.mode("overwrite").format(fmt).save(path)
 
 
@@ -29,8 +31,9 @@ def write_tokenised(rows: DataFrame, path: str) -> None:
 
 
 def write_posts_by_month(posts: DataFrame, path: str) -> None:
-    """K4: posts laid out by kind/year/month (partition pruning on later reads)."""
-    posts.repartition("kind", "year", "month").write.mode("overwrite").partitionBy(
+    """K4: posts laid out by kind/year/month (partition pruning on later reads).  The rebalance keeps
+    a month together while it is small and splits a large one over tasks."""
+    posts.hint("rebalance", "kind", "year", "month").write.mode("overwrite").partitionBy(
         "kind", "year", "month").parquet(path)
 
 

@@ -4,7 +4,8 @@ An archive ``.js`` file is one JavaScript assignment line followed by a JSON arr
 file is read whole (``wholetext``), its first line replaced by ``[`` (or ``[ {`` when that
 line opens the first object), parsed as ``array<string>`` (each element kept as raw
 JSON) and exploded with its position, so the file order and element order survive for
-stable sorts and last-write-wins rules.  Files with at most one line yield no rows."""
+stable sorts and last-write-wins rules.  Files with at most one line yield no rows, malformed
+ones are an error."""
 
 from __future__ import annotations
 
@@ -23,12 +24,15 @@ DM_FILE = "direct-messages.js"
 GROUP_DM_FILE = "direct-messages-group.js"
 MEDIA_DIRS = ("tweet_media", "tweets_media")
 
+#: malformed JSON is an error, not an empty result
+STRICT = {"mode": "FAILFAST"}
+
 
 def js_array_body(value):
     """Column transform: JS assignment text -> JSON array text (NULL for <= 1 line)."""
     nl = F.instr(value, "\n")
     first = F.substring_index(value, "\n", 1)
-    rest = F.substring(value, nl + 1, F.lit(1 << 30))
+    rest = F.substr(value, nl + 1)
     head = F.when(F.instr(first, "{") > 0, F.lit("[ {")).otherwise(F.lit("["))
     return F.when(nl > 0, F.concat(head, F.lit("\n"), rest))
 
@@ -38,7 +42,7 @@ def read_js(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     body = js_array_body(F.col("value"))
-    arr = F.from_json(body, "array<string>")
+    arr = F.from_json(body, "array<string>", STRICT)
     rows = raw.select("file", F.posexplode(arr).alias("row_ord", "json"))
     # file order = the order the paths were given in (a handful of literals, not data)
     local = F.regexp_replace(F.col("file"), "^file:(//)?", "")
@@ -99,7 +103,7 @@ GROUP_SCHEMA = f"dmConversation struct<conversationId:string, messages:array<{GR
 def read_dms(spark: SparkSession, data_dir: str) -> DataFrame:
     """Two-party DM conversations (typed)."""
     d = read_js(spark, os.path.join(data_dir, DM_FILE))
-    return d.select("file_ord", "row_ord", F.from_json("json", DM_SCHEMA).alias("c")).select(
+    return d.select("file_ord", "row_ord", F.from_json("json", DM_SCHEMA, STRICT).alias("c")).select(
         "file_ord", "row_ord", "c.dmConversation")
 
 
@@ -111,7 +115,7 @@ def group_events_from_archive(spark: SparkSession, data_dir: str) -> DataFrame:
     keys the per-event handle lists).  Bit budget: 28 bits for the position and 27 for the
     record, far above what a single JSON row (< 2 GB) can hold, and 8 for the file."""
     d = read_js(spark, os.path.join(data_dir, GROUP_DM_FILE))
-    c = d.select("file_ord", "row_ord", F.from_json("json", GROUP_SCHEMA).alias("c")).select(
+    c = d.select("file_ord", "row_ord", F.from_json("json", GROUP_SCHEMA, STRICT).alias("c")).select(
         "file_ord", "row_ord", "c.dmConversation.*")
     m = c.select(F.col("conversationId").alias("conversation_id"),
                  (F.shiftleft(F.col("file_ord").cast("bigint"), 55) + F.shiftleft(F.col("row_ord").cast("bigint"), 28))

@@ -1,10 +1,8 @@
 """Dataset readers: instruction JSON (S5), JSON lines (S6), response/thread caches (S7),
-captured pages (S8), the tokenised dataset (S10) and parquet tables."""
+captured pages (S8) and the tokenised dataset (S10)."""
 
 from __future__ import annotations
 
-from urllib.parse import urlparse
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,13 +11,13 @@ FORMATTED_SCHEMA = "context string, target string"
 
 
 def read_instruction_array(spark: SparkSession, path: str) -> DataFrame:
-    """A (pretty-printed) JSON array of instruction rows."""
-    return spark.read.schema(INSTRUCTION_SCHEMA).option("multiLine", True).json(path)
+    """A (pretty-printed) JSON array of instruction rows; a malformed file is an error."""
+    return spark.read.schema(INSTRUCTION_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str = FORMATTED_SCHEMA) -> DataFrame:
-    """One JSON object per line."""
-    return spark.read.schema(schema).json(path)
+    """One JSON object per line; a malformed line is an error."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def read_cache_dir(spark: SparkSession, path: str, value_col: str = "responses") -> DataFrame:
@@ -48,39 +46,3 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 def read_tokenised(spark: SparkSession, path: str) -> DataFrame:
     """Reload the tokenised dataset."""
     return spark.read.parquet(path).select("input_ids", "seq_len")
-
-
-def _local_row_groups(files: list[str]) -> int | None:
-    """Total parquet row groups of a few local files (footers only); None when a file is
-    not on the local file system or cannot be read."""
-    try:
-        import pyarrow.parquet as pq
-    except ImportError:
-        return None
-    total = 0
-    for f in files:
-        u = urlparse(f)
-        if u.scheme not in ("", "file"):
-            return None
-        try:
-            total += pq.ParquetFile(u.path).metadata.num_row_groups
-        except (OSError, ValueError):
-            return None
-    return total
-
-
-def read_parquet_table(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table.  A row group is the unit of scan parallelism, so an input of a few
-    files holding fewer row groups than the session has cores would run on a few tasks;
-    such an input is spread round-robin after the scan (filters and column pruning still
-    reach the scan).  An input with at least as many files as cores is returned as
-    scanned: no footer is read and no shuffle is added."""
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if len(files) >= cores:
-        return df
-    groups = _local_row_groups(files)
-    if groups is None or groups >= cores:
-        return df
-    return df.repartition(cores)

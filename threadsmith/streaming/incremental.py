@@ -4,13 +4,12 @@ New post files landing in a directory are turned into instruction rows micro-bat
 micro-batch.  Every draw is a pure function of ``(id, round, salt)``, so the rows of a
 post do not depend on which batch it arrives in: the streamed corpus equals the batch
 corpus.  ``foreachBatch`` runs the batch operators (including the topic join) on each
-micro-batch and appends with the batch id recorded, and the checkpoint gives
-exactly-once progress across restarts and executor loss."""
+micro-batch and writes the folder of its batch id anew, so a batch that is replayed after a crash
+between write and commit replaces its own rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from threadsmith.config import CorpusConfig
 from threadsmith.operators.corpus import original_rows
@@ -25,7 +24,7 @@ def stream_original_rows(spark: SparkSession, posts_dir: str, schema: str, out_d
 
     def emit(batch: DataFrame, batch_id: int) -> None:
         rows = original_rows(batch, cfg, lexicon, id_col=id_col, text_col=text_col)
-        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_dir)
+        rows.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
 
     w = src.writeStream.foreachBatch(emit).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
