@@ -19,18 +19,92 @@ def arch(tmp_path_factory):
 
 def test_scan_parts_and_one_line_file(spark, arch):
     data = os.path.join(arch, "data")
-    files = archive.post_files(data)
-    assert [os.path.basename(f) for f in files] == ["tweet.js", "tweets.js", "tweets-part1.js"]
     rows = archive.read_posts(spark, data)
     per_file = {os.path.basename(r.file): r.n for r in rows.groupBy("file").agg(F.count("*").alias("n")).collect()}
     assert per_file == {"tweets.js": 12, "tweets-part1.js": 1}
-    assert archive.account_username(spark, data).first().username == "me_owner"
-    with pytest.raises(FileNotFoundError):
-        archive.post_files(os.path.join(arch, "nope"))
+    assert archive.account_usernames(spark, data).first().username == "me_owner"
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        archive.read_posts(spark, os.path.join(arch, "nope")).collect()
+
+
+def test_malformed_file_is_an_error(spark, tmpdir_fresh):
+    path = os.path.join(tmpdir_fresh, "following.js")
+    with open(path, "w") as f:
+        f.write('window.YTD.following.part0 = [\n {"following": {"accountId": "1"}}, {"following": ')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        archive.read_following(spark, tmpdir_fresh).collect()
+
+
+def test_many_archives_in_paths_with_spaces(spark, tmpdir_fresh):
+    """Three archives read by one glob: owners, files and repeated post ids stay with their archive."""
+    for k in range(3):
+        root = os.path.join(tmpdir_fresh, f"my archive+{k}")
+        os.makedirs(root)
+        build(root)
+    dirs = os.path.join(tmpdir_fresh, "*", "data")
+    one = normalised_posts(spark, os.path.join(tmpdir_fresh, "my archive+0", "data")).collect()
+    got = normalised_posts(spark, dirs)
+    assert got.count() == 3 * len(one) and got.select("archive").distinct().count() == 3
+    bodies = {(r.archive, r.file_ord, r.row_ord): r.body for r in got.collect()}
+    assert {b for (_, _, _), b in bodies.items()} == {r.body for r in one}
+    rows, replies, users = corpus_from_archive(spark, dirs, CorpusConfig(delimiters=CJK_DELIMITERS),
+                                               thread_cache=spark.createDataFrame([("2", ["an earlier long enough message"])],
+                                                                                  "id string, context array<string>"))
+    assert replies.count() == 9 and {(r.user_id, r.handle) for r in users.collect()} == {("55", "bob")}
+    assert rows.filter("arm = 'reply'").count() == 3
+
+
+def test_media_post_in_two_parts(spark, tmpdir_fresh):
+    """A media post that two parts hold stays two rows with one placeholder each."""
+    from tests.archive_fixture import _js, post
+    root = build(tmpdir_fresh)
+    twice = post("800", "https://t.co/m8", entities={"urls": [], "media": [{"url": "https://t.co/m8"}], "user_mentions": []},
+                 extended_entities={"media": [{"url": "https://t.co/m8", "media_url": "http://pbs.twimg.com/media/AAA.jpg"}]})
+    _js(os.path.join(root, "data", "tweets-part2.js"), "tweets", [twice])
+    got = [r.body for r in normalised_posts(spark, os.path.join(root, "data")).collect() if r.id == "800"]
+    assert got == ["(media)", "(media)"]
+
+
+def test_entities_without_url_and_split_dm_records(spark):
+    from threadsmith.config import ASCII
+    urls = "array<struct<url:string,expanded_url:string,display_url:string,indices:array<int>>>"
+    df = spark.createDataFrame([("go a b", [(None, "x", None, None), ("a", None, None, None), ("b", "B", None, None)])],
+                               f"t string, u {urls}")
+    assert df.select(posts.link_markdown(F.col("t"), F.col("u")).alias("m")).first().m == "go a (link)"
+    message = lambda s: {"messageCreate": {"senderId": "1", "recipientId": "2", "text": s,
+                                           "createdAt": "2022-01-27T15:58:52.744Z", "urls": None, "mediaUrls": None}}
+    rows = [(0, k, {"conversationId": "1-2", "messages": [message(f"r{k}a"), message(f"r{k}b")]}) for k in range(2)]
+    convs = spark.createDataFrame(rows, "file_ord int, row_ord int, " + archive.DM_SCHEMA.replace(" struct", ": struct", 1).replace(
+        "dmConversation: ", "dmConversation "))
+    msgs = transcripts.dm_messages_from_archive(convs)
+    users = spark.createDataFrame([], "user_id string, handle string")
+    lines = transcripts.dm_lines(msgs, users, ASCII).orderBy("ts", "msg_ord").collect()
+    assert [r.line[-3:] for r in lines] == ["r0a", "r0b", "r1a", "r1b"]
+
+
+def test_group_name_counts_all_known_handles(spark):
+    from threadsmith.config import ASCII
+    users = spark.createDataFrame([(str(i), h) for i, h in enumerate(["amy", "bob", "cat"])], "user_id string, handle string")
+    counts = spark.createDataFrame([("g", str(i), 3 - i) for i in range(3)],
+                                   "conversation_id string, participant_id string, n_messages long")
+    names = spark.createDataFrame([("g", "g")], "conversation_id string, official_name string")
+    got = transcripts.group_names(names, counts, users, "me", ASCII).first()
+    assert got.group_name == "amy_and_bob_and_1_more"
+
+
+def test_marked_threads_of_captured_pages(spark):
+    from threadsmith.operators.threads import extract_marked_threads
+    item = '<article role="x"><b>name</b><div data-testid="tweetText" lang="en">{}</div>{}</article>'
+    mark = '<a data-testid="bookmark"></a>'
+    pages = [(1, item.format("first &amp; <i>best</i>", "") + item.format("", "") + item.format("the target", mark) + item.format("later", mark)),
+             (2, item.format("no target", "")), (3, ""), (4, item.format("alone", mark))]
+    df = spark.createDataFrame(pages, "id int, html string")
+    got = {r.id: (r.target_pos, r.target_text, r.context) for r in extract_marked_threads(df, "id", "html").collect()}
+    assert got == {1: (3, "the target", ["first & best"]), 2: (None, None, []), 3: (None, None, []), 4: (1, "alone", [])}
 
 
 def test_normalise_branches(spark, arch):
-    n = {r.id + ("" if r.file_ord == 1 else "#%d" % r.file_ord): r for r in normalised_posts(spark, arch).collect()}
+    n = {r.id + ("" if r.file_ord == 1 else "#%d" % r.file_ord): r for r in normalised_posts(spark, os.path.join(arch, "data")).collect()}
     assert "11" not in n and "12" not in n                      # no created_at / epoch 0
     assert n["1"].ts == 1553004317 and n["1"].is_reply is False
     assert n["2"].body == "thanks for the tip" and n["2"].is_reply
@@ -62,7 +136,7 @@ def test_synthesised_entities_and_reply_header(spark):
 
 
 def test_route_and_corpus(spark, arch):
-    rows, replies, users = corpus_from_archive(spark, arch, CorpusConfig(delimiters=CJK_DELIMITERS))
+    rows, replies, users = corpus_from_archive(spark, os.path.join(arch, "data"), CorpusConfig(delimiters=CJK_DELIMITERS))
     assert sorted(r.id for r in replies.collect()) == ["2", "3", "4"]
     ids = sorted({r.id for r in rows.collect()})
     assert "800" not in ids and "5" not in ids and "6" not in ids

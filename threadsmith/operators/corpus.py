@@ -82,8 +82,11 @@ def original_rows(posts: DataFrame, cfg: CorpusConfig, lexicon: DataFrame | None
     # topic aggregation instead would force a sort-based aggregate over the texts.
     tp = base.filter(F.col("arm") == "topic")
     if lexicon is not None:
-        topics = choose_topics(tp, keys, text_col, lexicon, cfg)
-        tp = tp.join(topics.select(*keys, "topic_instruction"), keys, "left")
+        # posts can share an id (an archive keeps both parts' copies): the text tells them apart
+        tp = tp.withColumn("__text", F.md5(text))
+        topics = choose_topics(tp.dropDuplicates([*keys, "__text"]), keys, text_col, lexicon, cfg, carry=["__text"],
+                               apart=["__text"])
+        tp = tp.join(topics.select(*keys, "__text", "topic_instruction"), [*keys, "__text"], "left")
         t_instr = F.coalesce(F.col("topic_instruction"), open_q)
     else:
         t_instr = open_q

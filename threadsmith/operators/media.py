@@ -24,29 +24,32 @@ def listing_from_paths(files: DataFrame, path_col: str = "path") -> DataFrame:
     return f.withColumn("post_id", F.substring_index("file", "-", 1))
 
 
-def resolve_media(media: DataFrame, listing: DataFrame, bodies: DataFrame) -> DataFrame:
-    """``media(post_id, pos, media_url)``, ``listing(file, post_id)``,
-    ``bodies(post_id, body, media_link)`` -> ``post_id, body, n_media, n_video_files,
-    n_missing`` with the media link replaced by the placeholders."""
+def resolve_media(media: DataFrame, listing: DataFrame, bodies: DataFrame, keys: tuple = ("post_id",),
+                  scope: tuple = ()) -> DataFrame:
+    """``media(keys, post_id, pos, media_url)``, ``listing(scope, file, post_id)``,
+    ``bodies(keys, body, media_link)`` -> ``keys, body, n_media, n_video_files, n_missing`` with the media link
+    replaced by the placeholders.  ``keys`` identify a post's row (a post id can occur in two parts), ``scope``
+    columns (the archive) bound the search for files."""
+    keys, scope = list(keys), list(scope)
     m = media.withColumn("__exp", F.concat(F.col("post_id"), F.lit("-"), basename(F.col("media_url"))))
-    exact = listing.select(F.col("file").alias("__exp"), F.lit(True).alias("__exact")).distinct()
-    m = m.join(exact, "__exp", "left")
-    per_post_files = listing.groupBy("post_id").agg(F.count(F.lit(1)).alias("__nfiles"))
-    m = m.join(per_post_files, "post_id", "left")
+    exact = listing.select(*scope, F.col("file").alias("__exp"), F.lit(True).alias("__exact")).distinct()
+    m = m.join(exact, [*scope, "__exp"], "left")
+    per_post_files = listing.groupBy(*scope, "post_id").agg(F.count(F.lit(1)).alias("__nfiles"))
+    m = m.join(per_post_files, [*scope, "post_id"], "left")
     nfiles = F.coalesce(F.col("__nfiles"), F.lit(0))
     ph = (F.when(F.col("__exact").isNotNull(), F.lit(MEDIA_PLACEHOLDER))
           .when(nfiles > 0, F.expr(f"repeat('{VIDEO_PLACEHOLDER}', __nfiles)"))
           .otherwise(F.lit(MEDIA_PLACEHOLDER)))
-    m = m.select("post_id", "pos", ph.alias("__ph"),
+    m = m.select(*keys, "pos", ph.alias("__ph"),
                  F.when(F.col("__exact").isNull() & (nfiles > 0), nfiles).otherwise(0).alias("__nv"),
                  (F.col("__exact").isNull() & (nfiles == 0)).cast("int").alias("__miss"))
-    per = m.groupBy("post_id").agg(
+    per = m.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("pos", "__ph"))).alias("__phs"),
         F.count(F.lit(1)).alias("n_media"), F.sum("__nv").alias("n_video_files"), F.sum("__miss").alias("n_missing"))
-    x = bodies.join(per, "post_id", "inner")
+    x = bodies.join(per, keys, "inner")
     joined = F.array_join(F.transform("__phs", lambda s: s["__ph"]), "\n\n")
     md = F.concat(F.when(F.col("body") == F.col("media_link"), F.lit("")).otherwise(F.lit("\n\n")), joined)
-    return x.select("post_id", F.replace(F.col("body"), F.col("media_link"), md).alias("body"),
+    return x.select(*keys, F.replace(F.col("body"), F.col("media_link"), md).alias("body"),
                     "n_media", "n_video_files", "n_missing")
 
 

@@ -83,14 +83,18 @@ def link_html(body: Column, url_list: Column) -> Column:
                                                            u["expanded_url"], F.lit("</a>")))
 
 
+def as_column(owner: str | Column) -> Column:
+    return owner if isinstance(owner, Column) else F.lit(owner)
+
+
 MENTION_PREFIX = "^((@[0-9A-Za-z_]* )*)"
 
 
-def reply_parts(body: Column, owner: str, screen_name: Column, has_screen: Column, status_id: Column) -> dict:
+def reply_parts(body: Column, owner: str | Column, screen_name: Column, has_screen: Column, status_id: Column) -> dict:
     """Leading-mention strip, name list (owner when none) and the parent link."""
     prefix = F.regexp_extract(body, MENTION_PREFIX, 1)
-    stripped = F.when(F.length(prefix) > 0, F.substring(body, F.length(prefix) + 1, F.lit(1 << 30))).otherwise(body)
-    names = F.when(F.length(prefix) > 0, whitespace_tokens(prefix)).otherwise(F.array(F.lit("@" + owner)))
+    stripped = F.when(F.length(prefix) > 0, F.substr(body, F.length(prefix) + 1)).otherwise(body)
+    names = F.when(F.length(prefix) > 0, whitespace_tokens(prefix)).otherwise(F.array(F.concat(F.lit("@"), as_column(owner))))
     screen = F.when(has_screen, screen_name).otherwise(F.get(names, 0))
     url = F.concat(F.lit(STATUS_URL_PREFIX), screen, F.lit("/status/"), status_id)
     name_list = english_list(names)
@@ -127,7 +131,7 @@ def month_columns(df: DataFrame, epoch_col: str = "ts") -> DataFrame:
     return df.withColumn("year", F.year(t)).withColumn("month", F.month(t))
 
 
-def normalize(parsed: DataFrame, owner: str) -> DataFrame:
+def normalize(parsed: DataFrame, owner: str | Column) -> DataFrame:
     """convert_tweet as one projection: ``ts, id, body, html, is_reply, is_quote,
     is_retweet, media_url0`` (media placeholders are resolved by
     :func:`threadsmith.operators.media.resolve_media`)."""
@@ -143,7 +147,7 @@ def normalize(parsed: DataFrame, owner: str) -> DataFrame:
     is_reply_hdr = F.col("has_reply_key")
     body = F.when(is_reply_hdr, rp["body"]).otherwise(md)
     html_body = F.when(is_reply_hdr, rp_html["body"]).otherwise(html)
-    permalink = F.concat(F.lit(STATUS_URL_PREFIX + owner + "/status/"), p["id_str"])
+    permalink = F.concat(F.lit(STATUS_URL_PREFIX), as_column(owner), F.lit("/status/"), p["id_str"])
     html_full = F.concat(F.when(is_reply_hdr, rp["header_html"]).otherwise(F.lit("")), F.lit("<p><blockquote>"),
                          F.regexp_replace(html_body, "\\R", "<br>\n"), F.lit("</blockquote>"),
                          F.lit('<a href="'), permalink, F.lit('">'), p["created_at"], F.lit("</a></p>"))

@@ -18,6 +18,20 @@ def strip_tags(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, F.lit("<[^>]*>"), F.lit("")), F.lit(" \t\n\r\x0b\x0c"))
 
 
+#: character references of markup; the ampersand last
+REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", "\u00a0"),
+              ("&amp;", "&"))
+#: what a captured page marks its target item and the items' bodies with
+TARGET_MARK = 'data-testid="bookmark"'
+BODY_MARK = 'data-testid="tweetText"'
+
+
+def decoded(c: Column) -> Column:
+    for name, char in REFERENCES:
+        c = F.replace(c, F.lit(name), F.lit(char))
+    return c
+
+
 def page_items(html: Column, container: str = "article", item_sep: str = "<p>") -> Column:
     """Blocks of the container element, split at ``item_sep`` (the first block is what
     precedes the first separator)."""
@@ -25,16 +39,13 @@ def page_items(html: Column, container: str = "article", item_sep: str = "<p>")
     return F.split(inner, item_sep)
 
 
-def thread_from_items(texts: Column, is_target: Callable[[Column], Column], first_pos: int = 2) -> tuple:
-    """``(target_pos, context)``: target = smallest 1-based position >= first_pos whose
-    marker predicate holds; context = non-empty texts at positions [first_pos, target)."""
-    n = F.size(texts)
-    candidates = F.filter(F.sequence(F.lit(first_pos), n), is_target)
-    target = F.when(n >= first_pos, F.array_min(candidates))
-    context = F.when(
-        target.isNotNull(),
-        F.filter(texts, lambda t, i: (i >= first_pos - 1) & (i + 1 < target) & (t != "")),
-    ).otherwise(F.array().cast("array<string>"))
+def thread_from_items(texts: Column, marked: Column) -> tuple:
+    """``(target_pos, context)``: the 1-based position of the first marked item, and the non-empty
+    texts before it."""
+    at = F.array_position(marked, F.lit(True))
+    target = F.when(at > 0, at)
+    context = F.when(target.isNotNull(), F.filter(texts, lambda t, i: (i + 1 < target) & (t != ""))).otherwise(
+        F.array().cast("array<string>"))
     return target, context
 
 
@@ -44,9 +55,25 @@ def extract_threads(pages: DataFrame, id_col: str, html_col: str,
     page has no target).  ``is_target(page_id, pos)`` is the marker predicate."""
     items = F.transform(page_items(F.col(html_col)), strip_tags)
     p = pages.select(F.col(id_col), items.alias("__texts"))
-    target, context = thread_from_items(F.col("__texts"), lambda pos: is_target(F.col(id_col), pos))
-    return p.select(id_col, target.alias("target_pos"),
-                    F.element_at(F.col("__texts"), target).alias("target_text"),
+    marked = F.transform(F.col("__texts"), lambda t, i: is_target(F.col(id_col), i + 1))
+    return _threads(p, id_col, marked)
+
+
+def extract_marked_threads(pages: DataFrame, id_col: str, html_col: str, target_mark: str = TARGET_MARK,
+                           body_mark: str = BODY_MARK) -> DataFrame:
+    """``id, target_pos, target_text, context`` of captured pages: items are the ``article`` elements, the
+    target is the first one that holds ``target_mark``, an item's text is that of its marked bodies."""
+    blocks = F.regexp_extract_all(F.col(html_col), F.lit(r"(?s)<article\b[^>]*>(.*?)</article>"), F.lit(1))
+    p = pages.select(F.col(id_col), blocks.alias("__blocks"))
+    body = F.lit(rf"(?s)<(\w+)\b[^>]*{body_mark}[^>]*>(.*?)</\1>")
+    texts = F.transform("__blocks", lambda b: decoded(strip_tags(F.array_join(F.regexp_extract_all(b, body, F.lit(2)), ""))))
+    p = p.withColumn("__texts", texts)
+    return _threads(p, id_col, F.transform("__blocks", lambda b: F.contains(b, F.lit(target_mark))))
+
+
+def _threads(p: DataFrame, id_col: str, marked: Column) -> DataFrame:
+    target, context = thread_from_items(F.col("__texts"), marked)
+    return p.select(id_col, target.alias("target_pos"), F.get(F.col("__texts"), (target - 1).cast("int")).alias("target_text"),
                     context.alias("context"))
 
 

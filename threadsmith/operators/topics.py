@@ -40,19 +40,23 @@ def topic_sentence(sents, trim_chars: str, keys, seed: str):
 
 
 def choose_topics(df: DataFrame, keys: list[str], text_col: str, lexicon: DataFrame,
-                  cfg: CorpusConfig, carry: list[str] | None = None) -> DataFrame:
+                  cfg: CorpusConfig, carry: list[str] | None = None,
+                  apart: list[str] | None = None) -> DataFrame:
     """``keys..., carry..., topic, topic_instruction`` for every input row; topic and
-    instruction are NULL when the text has at most one sentence.
+    instruction are NULL when the text has at most one sentence.  Draws depend on ``keys``
+    alone; ``apart`` columns tell rows with equal keys apart.
 
     Plan: the sentence list is computed once per row; only the chosen sentence's words
-    are exploded, tagged by a broadcast join (noun set size-checked) and re-assembled per
+    are exploded, tagged by a join with the noun set and re-assembled per
     key.  The row's other columns ride along on its first exploded word only, so the
     aggregation (partial, map-side) returns whole rows and no join back is needed: one
     shuffle in total."""
-    carry = [c for c in (carry or []) if c not in keys]
+    apart = apart or []
+    carry = [c for c in (carry or []) if c not in keys and c not in apart]
+    draw, keys = keys, [*keys, *apart]
     sents = split_sentences(F.col(text_col), cfg.delimiters)
     t = (df.select(*keys, *carry, sents.alias("__s"))
-         .select(*keys, *carry, F.when(F.size("__s") > 1, topic_sentence(F.col("__s"), cfg.topic_trim, keys, cfg.seed))
+         .select(*keys, *carry, F.when(F.size("__s") > 1, topic_sentence(F.col("__s"), cfg.topic_trim, draw, cfg.seed))
                  .alias("__sent")))
     nouns = noun_set(lexicon)
     exploded = t.select(*keys, *carry, "__sent",
@@ -68,9 +72,9 @@ def choose_topics(df: DataFrame, keys: list[str], text_col: str, lexicon: DataFr
         )).alias("__nouns"),
     )
     cnt = F.size("__nouns")
-    noun = F.when(cnt > 0, F.get(F.col("__nouns"), pick_index(uniform(keys, "noun", cfg.seed), cnt))["__word"])
+    noun = F.when(cnt > 0, F.get(F.col("__nouns"), pick_index(uniform(draw, "noun", cfg.seed), cnt))["__word"])
     topic = F.when(F.col("__sent").isNotNull(), F.coalesce(noun, F.col("__sent")))
     tmpl = templates.pick(templates.TOPIC_TEMPLATES,
-                          pick_index(uniform(keys, "ttmpl", cfg.seed), len(templates.TOPIC_TEMPLATES)))
+                          pick_index(uniform(draw, "ttmpl", cfg.seed), len(templates.TOPIC_TEMPLATES)))
     return per_key.select(*keys, *carry, topic.alias("topic"),
                           F.replace(tmpl, F.lit(templates.TOPIC_SLOT), topic).alias("topic_instruction"))

@@ -239,7 +239,8 @@ def group_lines(events: DataFrame, users: DataFrame, owner: str, cfg: CorpusConf
     lists = handle_lists(x.filter(listed), users, cfg, carry=carry)
     x = plain.unionByName(lists.select(*plain.columns))
     k, frm, when = F.col("kind"), F.col("__from"), F.concat(F.lit(": ("), F.col("created_at"), F.lit(")\n\n"))
-    line = (F.when(k == MESSAGE, F.concat(frm, when, quote_body(F.col("text"))))
+    text = expand_urls(F.col("text"), F.col("urls")) if "urls" in x.columns else F.col("text")
+    line = (F.when(k == MESSAGE, F.concat(frm, when, quote_body(text)))
             .when(k == RENAME, F.concat(frm, when, F.lit("_changed group name to: "), escape_markdown(F.col("name")),
                                         F.lit("_")))
             .when(k == SELF_JOIN, F.concat(frm, when, F.lit("_"), frm, F.lit(f" added {owner} to the group_")))

@@ -1,51 +1,62 @@
-"""Entry A end to end on a real archive directory: scan -> normalise -> media ->
-validity -> route -> instruction rows (originals) and reply candidates.
+"""Entry A end to end on archive folders: scan -> normalise -> media -> route -> instruction rows
+(originals, and replies where a thread cache is supplied), users.
 
-Used by the tests with a synthetic archive; the driver tables contain no archive."""
+Folders are the ``data`` folders of one or many archives (paths or globs, on any storage that Spark reads);
+owners come from each archive's account file by a join."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadsmith.config import CorpusConfig
-from threadsmith.operators import corpus, identity, media, posts
+from threadsmith.operators import corpus, identity, media, posts, threads
 from threadsmith.sources import archive
 
-
-def normalised_posts(spark: SparkSession, archive_dir: str, owner: str | None = None) -> DataFrame:
-    data = os.path.join(archive_dir, "data")
-    if owner is None:
-        owner = archive.account_username(spark, data).first()["username"]
-    raw = archive.read_posts(spark, data)
-    norm = posts.normalize(posts.parse_posts(raw, "json"), owner)
-    norm = posts.valid_time(norm, "ts")
-    has_media_dir = any(os.path.isdir(os.path.join(data, d)) for d in archive.MEDIA_DIRS)
-    with_media = norm.filter(F.col("media").isNotNull() & F.col("media_url0").isNotNull())
-    if has_media_dir:
-        listing = archive.media_listing(spark, data)
-        items = with_media.select(F.col("id").alias("post_id"),
-                                  F.posexplode("media").alias("pos", "m")).filter(
-            F.col("m.url").isNotNull() & F.col("m.media_url").isNotNull()).select(
-            "post_id", "pos", F.col("m.media_url").alias("media_url"))
-        bodies = with_media.select(F.col("id").alias("post_id"), "body", F.col("media_url0").alias("media_link"))
-        resolved = media.resolve_media(items, listing, bodies).select(
-            F.col("post_id").alias("id"), F.col("body").alias("__mbody"))
-        norm = norm.join(resolved, "id", "left").withColumn(
-            "body", F.coalesce("__mbody", "body")).drop("__mbody")
-    return norm
-
-
-def corpus_from_archive(spark: SparkSession, archive_dir: str, cfg: CorpusConfig,
-                        lexicon: DataFrame | None = None, owner: str | None = None):
-    """``(instruction_rows, reply_candidates, users)``."""
-    norm = normalised_posts(spark, archive_dir, owner)
-    routed = posts.route(norm.select("id", "ts", "body", "is_reply", "is_quote", "is_retweet",
-                                     "file_ord", "row_ord"))
-    originals = routed.filter(F.col("kind") == "original").select("id", F.col("body").alias("text"))
-    replies = routed.filter(F.col("kind") == "reply").select("id", F.col("body").alias("text"))
+ROW = ("archive", *archive.ROW_ORDER)
+
+
+def all_posts(spark: SparkSession, data_dirs: str | list[str]) -> DataFrame:
+    """Every post of the archives in normal form, also those without a valid time."""
+    owners = archive.account_usernames(spark, data_dirs).withColumnRenamed("username", "owner")
+    raw = archive.read_posts(spark, data_dirs).join(owners, "archive")
+    return posts.normalize(posts.parse_posts(raw, "json"), F.col("owner"))
+
+
+def with_media(spark: SparkSession, norm: DataFrame, data_dirs: str | list[str]) -> DataFrame:
+    """Bodies with their media links replaced; files are looked up in the post's own archive."""
+    listing = archive.media_listing(spark, data_dirs)
+    found = norm.filter(F.col("media").isNotNull() & F.col("media_url0").isNotNull())
+    items = found.select(*ROW, F.col("id").alias("post_id"), F.posexplode("media").alias("pos", "m")).filter(
+        F.col("m.url").isNotNull() & F.col("m.media_url").isNotNull()).select(
+        *ROW, "post_id", "pos", F.col("m.media_url").alias("media_url"))
+    bodies = found.select(*ROW, "body", F.col("media_url0").alias("media_link"))
+    resolved = media.resolve_media(items, listing, bodies, keys=ROW, scope=("archive",)).select(
+        *ROW, F.col("body").alias("__mbody"))
+    return norm.join(resolved, list(ROW), "left").withColumn("body", F.coalesce("__mbody", "body")).drop("__mbody")
+
+
+def normalised_posts(spark: SparkSession, data_dirs: str | list[str], media_files: bool = True) -> DataFrame:
+    """Posts with a valid time; ``media_files=False`` for archives that were saved without media folders."""
+    norm = posts.valid_time(all_posts(spark, data_dirs), "ts")
+    return with_media(spark, norm, data_dirs) if media_files else norm
+
+
+def corpus_from_archive(spark: SparkSession, data_dirs: str | list[str], cfg: CorpusConfig,
+                        lexicon: DataFrame | None = None, thread_cache: DataFrame | None = None,
+                        media_files: bool = True):
+    """``(instruction_rows, reply_candidates, users)``.  With a thread cache (``id, context``) the
+    replies it covers are paired with their context, ``augmentation_replies`` times."""
+    norm = normalised_posts(spark, data_dirs, media_files)
+    routed = posts.route(norm.select("archive", "id", "ts", "body", "is_reply", "is_quote", "is_retweet",
+                                     *archive.ROW_ORDER))
+    text = routed.select("kind", "id", F.col("body").alias("text"))
+    originals = text.filter(F.col("kind") == "original").drop("kind")
+    replies = text.filter(F.col("kind") == "reply").drop("kind")
     rows = corpus.original_rows(originals, cfg, lexicon, id_col="id", text_col="text")
-    users = identity.harvest_users(posts.user_observations(norm, ["file_ord", "row_ord"]))
-    return rows, replies, users
+    if thread_cache is not None:
+        pairs = corpus.reply_rows(threads.join_thread_cache(replies, thread_cache, cfg), cfg, ["id"])
+        pairs = corpus.rounds(pairs, cfg.augmentation_replies).withColumn("arm", F.lit("reply"))
+        rows = rows.unionByName(pairs.select(*rows.columns))
+    seen = posts.user_observations(all_posts(spark, data_dirs), archive.ROW_ORDER)
+    return rows, replies, identity.harvest_users(seen)

@@ -9,20 +9,17 @@ ones are an error."""
 
 from __future__ import annotations
 
-import glob
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # File names of the archive layout.
-POST_PATTERNS = ("tweet.js", "tweets.js", "tweets-part*.js")
+POST_FILES = "{tweet,tweets,tweets-part*}.js"
 ACCOUNT_FILE = "account.js"
 FOLLOWING_FILE = "following.js"
 FOLLOWER_FILE = "follower.js"
 DM_FILE = "direct-messages.js"
 GROUP_DM_FILE = "direct-messages-group.js"
-MEDIA_DIRS = ("tweet_media", "tweets_media")
+MEDIA_FILES = "{tweet_media,tweets_media}/*"
 
 #: malformed JSON is an error, not an empty result
 STRICT = {"mode": "FAILFAST"}
@@ -37,53 +34,56 @@ def js_array_body(value):
     return F.when(nl > 0, F.concat(head, F.lit("\n"), rest))
 
 
+def _paths(data_dirs: str | list[str], name: str) -> list[str]:
+    return [f"{d.rstrip('/')}/{name}" for d in ([data_dirs] if isinstance(data_dirs, str) else data_dirs)]
+
+
+def file_columns(depth: int = 0) -> list:
+    """``archive, file`` from Spark's file path, decoded: the archive is what precedes ``/data/`` and
+    ``depth`` folders."""
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return [F.regexp_extract(path, f"^(.*)/data/(?:[^/]+/){{{depth}}}[^/]+$", 1).alias("archive"), path.alias("file")]
+
+
 def read_js(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """``file, file_ord, row_ord, json`` for every element of every file."""
+    """``archive, file, file_ord, row_ord, json`` for every element of every file.  Paths may be globs over
+    many archives.  ``file_ord`` is the place of the file's kind in the archive layout; files of one kind are
+    ordered by name."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    body = js_array_body(F.col("value"))
-    arr = F.from_json(body, "array<string>", STRICT)
-    rows = raw.select("file", F.posexplode(arr).alias("row_ord", "json"))
-    # file order = the order the paths were given in (a handful of literals, not data)
-    local = F.regexp_replace(F.col("file"), "^file:(//)?", "")
-    ord_col = F.lit(0)
-    for i, p in reversed(list(enumerate(paths))):
-        ord_col = F.when(local == os.path.abspath(p), F.lit(i)).otherwise(ord_col)
-    return rows.withColumn("file_ord", ord_col)
-
-
-def post_files(data_dir: str) -> list[str]:
-    """All post parts (``tweet.js``, ``tweets.js``, ``tweets-part*.js``); no
-    de-duplication across parts; an archive without any is an error."""
-    found: list[str] = []
-    for pat in POST_PATTERNS:
-        found.extend(sorted(glob.glob(os.path.join(data_dir, pat))))
-    if not found:
-        raise FileNotFoundError(f"no post files ({', '.join(POST_PATTERNS)}) under {data_dir}")
-    return found
-
-
-def read_posts(spark: SparkSession, data_dir: str) -> DataFrame:
-    return read_js(spark, post_files(data_dir))
-
-
-def account_username(spark: SparkSession, data_dir: str) -> DataFrame:
-    """One row ``username`` from ``account.js``."""
-    acc = read_js(spark, os.path.join(data_dir, ACCOUNT_FILE))
+    raw = spark.read.text(paths, wholetext=True).select(*file_columns(), "value")
+    arr = F.from_json(js_array_body(F.col("value")), "array<string>", STRICT)
+    name = F.element_at(F.split("file", "/"), -1)
+    kind = F.when(name == "tweet.js", 0).when(name == "tweets.js", 1).when(name.startswith("tweets-part"), 2).otherwise(0)
+    return raw.select("archive", "file", kind.alias("file_ord"), F.posexplode(arr).alias("row_ord", "json"))
+
+
+#: total order of an archive's elements
+ROW_ORDER = ["file_ord", "file", "row_ord"]
+
+
+def read_posts(spark: SparkSession, data_dirs: str | list[str]) -> DataFrame:
+    """All post parts of the archives' data folders (paths or globs); no de-duplication across parts; it is an
+    error if there are none."""
+    return read_js(spark, _paths(data_dirs, POST_FILES))
+
+
+def account_usernames(spark: SparkSession, data_dirs: str | list[str]) -> DataFrame:
+    """``archive, username`` from each ``account.js``."""
+    acc = read_js(spark, _paths(data_dirs, ACCOUNT_FILE))
     return acc.filter(F.col("row_ord") == 0).select(
-        F.get_json_object("json", "$.account.username").alias("username"))
+        "archive", F.get_json_object("json", "$.account.username").alias("username"))
 
 
-def read_following(spark: SparkSession, data_dir: str) -> DataFrame:
+def read_following(spark: SparkSession, data_dir: str | list[str]) -> DataFrame:
     """Following ids (rows lacking the key skipped, duplicates kept)."""
-    d = read_js(spark, os.path.join(data_dir, FOLLOWING_FILE))
+    d = read_js(spark, _paths(data_dir, FOLLOWING_FILE))
     return d.select(F.get_json_object("json", "$.following.accountId").alias("user_id")).filter(
         F.col("user_id").isNotNull())
 
 
-def read_followers(spark: SparkSession, data_dir: str) -> DataFrame:
+def read_followers(spark: SparkSession, data_dir: str | list[str]) -> DataFrame:
     """S9/R2."""
-    d = read_js(spark, os.path.join(data_dir, FOLLOWER_FILE))
+    d = read_js(spark, _paths(data_dir, FOLLOWER_FILE))
     return d.select(F.get_json_object("json", "$.follower.accountId").alias("user_id")).filter(
         F.col("user_id").isNotNull())
 
@@ -100,24 +100,24 @@ GROUP_MESSAGE = ("struct<messageCreate:struct<senderId:string,text:string,create
 GROUP_SCHEMA = f"dmConversation struct<conversationId:string, messages:array<{GROUP_MESSAGE}>>"
 
 
-def read_dms(spark: SparkSession, data_dir: str) -> DataFrame:
+def read_dms(spark: SparkSession, data_dir: str | list[str]) -> DataFrame:
     """Two-party DM conversations (typed)."""
-    d = read_js(spark, os.path.join(data_dir, DM_FILE))
-    return d.select("file_ord", "row_ord", F.from_json("json", DM_SCHEMA, STRICT).alias("c")).select(
-        "file_ord", "row_ord", "c.dmConversation")
+    d = read_js(spark, _paths(data_dir, DM_FILE))
+    return d.select("archive", "file_ord", "row_ord", F.from_json("json", DM_SCHEMA, STRICT).alias("c")).select(
+        "archive", "file_ord", "row_ord", "c.dmConversation")
 
 
-def group_events_from_archive(spark: SparkSession, data_dir: str) -> DataFrame:
+def group_events_from_archive(spark: SparkSession, data_dir: str | list[str]) -> DataFrame:
     """S9 + G1 input: one row per group event with ``kind`` chosen by which member is set.
 
     ``msg_ord`` packs ``(file_ord, row_ord, position in the record)`` into one bigint, so it
     is unique and in archive order even when a conversation is split across records (it
     keys the per-event handle lists).  Bit budget: 28 bits for the position and 27 for the
     record, far above what a single JSON row (< 2 GB) can hold, and 8 for the file."""
-    d = read_js(spark, os.path.join(data_dir, GROUP_DM_FILE))
-    c = d.select("file_ord", "row_ord", F.from_json("json", GROUP_SCHEMA, STRICT).alias("c")).select(
-        "file_ord", "row_ord", "c.dmConversation.*")
-    m = c.select(F.col("conversationId").alias("conversation_id"),
+    d = read_js(spark, _paths(data_dir, GROUP_DM_FILE))
+    c = d.select("archive", "file_ord", "row_ord", F.from_json("json", GROUP_SCHEMA, STRICT).alias("c")).select(
+        "archive", "file_ord", "row_ord", "c.dmConversation.*")
+    m = c.select("archive", F.col("conversationId").alias("conversation_id"),
                  (F.shiftleft(F.col("file_ord").cast("bigint"), 55) + F.shiftleft(F.col("row_ord").cast("bigint"), 28))
                  .alias("__rec"),
                  F.posexplode("messages").alias("__pos", "m"))
@@ -127,20 +127,17 @@ def group_events_from_archive(spark: SparkSession, data_dir: str) -> DataFrame:
     kind = (F.when(mc.isNotNull(), "message").when(nu.isNotNull(), "rename").when(jc.isNotNull(), "join")
             .when(pj.isNotNull(), "add").when(pl.isNotNull(), "leave"))
     return m.select(
-        "conversation_id", "msg_ord", kind.alias("kind"),
+        "archive", "conversation_id", "msg_ord", kind.alias("kind"),
         F.coalesce(mc["senderId"], nu["initiatingUserId"], jc["initiatingUserId"], pj["initiatingUserId"]).alias("actor_id"),
-        mc["text"].alias("text"), nu["name"].alias("name"),
+        mc["text"].alias("text"), mc["urls"].alias("urls"), nu["name"].alias("name"),
         F.coalesce(jc["participantsSnapshot"], pj["userIds"], pl["userIds"]).alias("user_ids"),
         F.coalesce(mc["createdAt"], nu["createdAt"], jc["createdAt"], pj["createdAt"], pl["createdAt"]).alias("created_at"),
     ).filter(F.col("kind").isNotNull())
 
 
-def media_listing(spark: SparkSession, archive_data_dir: str) -> DataFrame:
-    """S3: file names in exactly one of the media directories (content never read:
-    only the ``path`` column of ``binaryFile`` is selected)."""
-    dirs = [os.path.join(archive_data_dir, d) for d in MEDIA_DIRS if os.path.isdir(os.path.join(archive_data_dir, d))]
-    if len(dirs) != 1:
-        raise FileNotFoundError(f"expected exactly one of {MEDIA_DIRS} in {archive_data_dir}, found {len(dirs)}")
-    files = spark.read.format("binaryFile").load(dirs[0]).select("path")
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select(name.alias("file"), F.substring_index(name, "-", 1).alias("post_id"))
+def media_listing(spark: SparkSession, data_dirs: str | list[str]) -> DataFrame:
+    """S3: ``archive, file, post_id`` of the archives' media files (names only, no content is read); it is an
+    error if there are none."""
+    files = spark.read.format("binaryFile").load(_paths(data_dirs, MEDIA_FILES)).select(*file_columns(depth=1))
+    name = F.element_at(F.split("file", "/"), -1)
+    return files.select("archive", name.alias("file"), F.substring_index(name, "-", 1).alias("post_id"))
