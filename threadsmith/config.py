@@ -20,6 +20,9 @@ STATUS_URL_PREFIX = "https://twitter.com/"
 PHOTO_URL_PREFIX = "https://pbs.twimg.com/media/"
 TRANSCRIPT_SEPARATOR = "\n\n----\n\n"
 IGNORE_LABEL = -100
+# How a transcript shows a local image and a local video (before and after the path).
+IMAGE_MARKUP = ("\n![](", ")\n")
+VIDEO_MARKUP = ('\n<video controls><source src="', '">Your browser does not support the video tag.</video>\n')
 LENGTH_QUANTILES = (0.9, 0.95, 0.97, 0.99, 0.999)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadsmith.config import TRANSCRIPT_SEPARATOR, USER_URL_PREFIX, CorpusConfig
+from threadsmith.config import IMAGE_MARKUP, TRANSCRIPT_SEPARATOR, USER_URL_PREFIX, VIDEO_MARKUP, CorpusConfig
 from threadsmith.functions.text import english_list, escape_markdown, filename_safe, quote_body
 from threadsmith.functions.timefmt import dm_epoch
 from threadsmith.operators.ordering import DAY, part_numbers
@@ -60,15 +60,43 @@ def dm_messages_from_archive(convs: DataFrame) -> DataFrame:
         "conversation_id", "msg_ord",
         mc["senderId"].alias("sender_id"), mc["recipientId"].alias("recipient_id"),
         mc["text"].alias("text"), mc["createdAt"].alias("created_at"), mc["urls"].alias("urls"),
+        mc["id"].alias("message_id"), mc["mediaUrls"].alias("media_urls"),
     ).filter(F.col("sender_id").isNotNull() & F.col("recipient_id").isNotNull()
              & F.col("text").isNotNull() & F.col("created_at").isNotNull())
 
 
-def dm_lines(msgs: DataFrame, users: DataFrame, cfg: CorpusConfig) -> DataFrame:
-    """D3: ``from -> to: (created_at) \\n\\n> body`` plus the epoch used for ordering."""
+def with_message_media(msgs: DataFrame, listing: DataFrame, media_dir: str) -> DataFrame:
+    """``media_markup`` of messages with exactly one media url and a url to replace: the image named
+    ``<message id>-<name>`` if the listing (``file``) has it, else the first file of the message as a video, else
+    null (the link stays).  One equi-join on the file name, one on the message id."""
+    single = (F.size("media_urls") == 1) & (F.size("urls") > 0)
+    name = F.concat(F.col("message_id"), F.lit("-"), F.element_at(F.split(F.get("media_urls", F.lit(0)), "/"), -1))
+    x = msgs.withColumn("__name", F.when(single, name)).withColumn("__mid", F.when(single, F.col("message_id")))
+    exact = listing.select(F.col("file").alias("__exact")).distinct()
+    others = listing.groupBy(F.substring_index("file", "-", 1).alias("__of")).agg(F.min("file").alias("__first"))
+    x = x.join(exact, F.col("__name") == F.col("__exact"), "left").join(others, F.col("__mid") == F.col("__of"), "left")
+
+    def markup(parts: tuple, file: Column) -> Column:
+        return F.concat(F.lit(f"{parts[0]}{media_dir.rstrip('/')}/"), file, F.lit(parts[1]))
+    return x.withColumn("media_markup", F.when(F.col("__exact").isNotNull(), markup(IMAGE_MARKUP, F.col("__exact"))).when(
+        F.col("__first").isNotNull(), markup(VIDEO_MARKUP, F.col("__first")))).drop(
+        "__name", "__mid", "__exact", "__of", "__first")
+
+
+def message_body(df: DataFrame) -> Column:
+    """P8 and D2 on a message's text, as far as the columns ``urls`` and ``media_markup`` are there."""
     body = F.col("text")
-    if "urls" in msgs.columns:
+    if "urls" in df.columns:
         body = expand_urls(body, F.col("urls"))
+        if "media_markup" in df.columns:
+            expanded = F.get("urls", F.lit(0))["expanded"]
+            body = F.coalesce(F.replace(body, expanded, F.col("media_markup")), body)
+    return body
+
+
+def dm_lines(msgs: DataFrame, users: DataFrame, cfg: CorpusConfig) -> DataFrame:
+    """D3: ``from -> to: (created_at) \\n\\n> body`` plus the epoch used for ordering."""
+    body = message_body(msgs)
     x = with_handles(msgs, users, [("sender_id", "__from"), ("recipient_id", "__to")], cfg)
     line = F.concat(F.col("__from"), F.lit(" -> "), F.col("__to"), F.lit(": ("), F.col("created_at"),
                     F.lit(") \n\n"), quote_body(body))
@@ -239,8 +267,7 @@ def group_lines(events: DataFrame, users: DataFrame, owner: str, cfg: CorpusConf
     lists = handle_lists(x.filter(listed), users, cfg, carry=carry)
     x = plain.unionByName(lists.select(*plain.columns))
     k, frm, when = F.col("kind"), F.col("__from"), F.concat(F.lit(": ("), F.col("created_at"), F.lit(")\n\n"))
-    text = expand_urls(F.col("text"), F.col("urls")) if "urls" in x.columns else F.col("text")
-    line = (F.when(k == MESSAGE, F.concat(frm, when, quote_body(text)))
+    line = (F.when(k == MESSAGE, F.concat(frm, when, quote_body(message_body(x))))
             .when(k == RENAME, F.concat(frm, when, F.lit("_changed group name to: "), escape_markdown(F.col("name")),
                                         F.lit("_")))
             .when(k == SELF_JOIN, F.concat(frm, when, F.lit("_"), frm, F.lit(f" added {owner} to the group_")))

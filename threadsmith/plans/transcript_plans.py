@@ -166,6 +166,39 @@ def dm_transcript(spark: SparkSession, sf: str) -> DataFrame:
     return dm_transcripts(spark, sf)
 
 
+MEDIA_DIR = "media"
+DM_MEDIA_SQL = f"""
+WITH m AS (SELECT conv_id * 100 + turn AS id FROM conversations),
+f AS (SELECT DISTINCT file FROM (
+        SELECT id || '-pic' || (id % 2) || '.jpg' AS file FROM m WHERE id % 5 = 0
+        UNION ALL SELECT id || '-clip' || c || '.mp4' FROM m, (SELECT unnest(['B', 'A']) AS c) WHERE id % 5 = 1)),
+o AS (SELECT split_part(file, '-', 1) AS mid, min(file) AS file FROM f GROUP BY mid),
+j AS (SELECT id, id % 3 AS n_media, e.file AS exact, o.file AS other FROM m
+      LEFT JOIN f e ON e.file = id || '-pic' || (id % 2) || '.jpg' LEFT JOIN o ON o.mid = CAST(id AS VARCHAR))
+SELECT id AS message_id, 'see ' || CASE
+         WHEN n_media = 1 AND exact IS NOT NULL THEN {S.lit_text(TR.IMAGE_MARKUP[0])} || '{MEDIA_DIR}/' || exact || {S.lit_text(TR.IMAGE_MARKUP[1])}
+         WHEN n_media = 1 AND other IS NOT NULL THEN {S.lit_text(TR.VIDEO_MARKUP[0])} || '{MEDIA_DIR}/' || other || {S.lit_text(TR.VIDEO_MARKUP[1])}
+         ELSE 'https://long/' || id END AS body
+FROM j"""
+
+
+@register("dm_media", oracle=DM_MEDIA_SQL)
+def dm_media(spark: SparkSession, sf: str) -> DataFrame:
+    """One message a turn with 0 to 2 media urls; every fifth message has its image and every fifth two videos."""
+    ident = F.col("conv_id") * 100 + F.col("turn")
+    m = table(spark, sf, "conversations").select(ident.alias("id"), ident.cast("string").alias("message_id"))
+    image = F.concat(F.lit("pic"), (F.col("id") % 2).cast("string"), F.lit(".jpg"))
+    short = F.concat(F.lit("https://t.co/"), "message_id")
+    msgs = m.select("id", "message_id", F.concat(F.lit("see "), short).alias("text"),
+                    F.array(F.struct(short.alias("url"), F.concat(F.lit("https://long/"), "message_id").alias("expanded"))).alias("urls"),
+                    F.array_repeat(F.concat(F.lit("https://host/7/"), image), (F.col("id") % 3).cast("int")).alias("media_urls"))
+    files = F.when(F.col("id") % 5 == 0, F.array(image)).when(
+        F.col("id") % 5 == 1, F.array(F.lit("clipB.mp4"), F.lit("clipA.mp4"))).otherwise(F.array().cast("array<string>"))
+    listing = m.select("message_id", F.explode(files).alias("f")).select(F.concat_ws("-", "message_id", "f").alias("file"))
+    x = TR.with_message_media(msgs, listing, MEDIA_DIR)
+    return x.select(F.col("id").alias("message_id"), TR.message_body(x).alias("body"))
+
+
 @register("dm_parts", oracle=f"""
 WITH nb AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS idx,
                    count(*) OVER (PARTITION BY user_id) AS cnt FROM events),

@@ -20,6 +20,8 @@ FOLLOWER_FILE = "follower.js"
 DM_FILE = "direct-messages.js"
 GROUP_DM_FILE = "direct-messages-group.js"
 MEDIA_FILES = "{tweet_media,tweets_media}/*"
+DM_MEDIA_FILES = "direct_messages_media/*"
+GROUP_MEDIA_FILES = "direct_messages_group_media/*"
 
 #: malformed JSON is an error, not an empty result
 STRICT = {"mode": "FAILFAST"}
@@ -129,15 +131,16 @@ def group_events_from_archive(spark: SparkSession, data_dir: str | list[str]) ->
     return m.select(
         "archive", "conversation_id", "msg_ord", kind.alias("kind"),
         F.coalesce(mc["senderId"], nu["initiatingUserId"], jc["initiatingUserId"], pj["initiatingUserId"]).alias("actor_id"),
-        mc["text"].alias("text"), mc["urls"].alias("urls"), nu["name"].alias("name"),
+        mc["text"].alias("text"), mc["urls"].alias("urls"),
+        mc["id"].alias("message_id"), mc["mediaUrls"].alias("media_urls"), nu["name"].alias("name"),
         F.coalesce(jc["participantsSnapshot"], pj["userIds"], pl["userIds"]).alias("user_ids"),
         F.coalesce(mc["createdAt"], nu["createdAt"], jc["createdAt"], pj["createdAt"], pl["createdAt"]).alias("created_at"),
     ).filter(F.col("kind").isNotNull())
 
 
-def media_listing(spark: SparkSession, data_dirs: str | list[str]) -> DataFrame:
+def media_listing(spark: SparkSession, data_dirs: str | list[str], folders: str = MEDIA_FILES) -> DataFrame:
     """S3: ``archive, file, post_id`` of the archives' media files (names only, no content is read); it is an
-    error if there are none."""
-    files = spark.read.format("binaryFile").load(_paths(data_dirs, MEDIA_FILES)).select(*file_columns(depth=1))
+    error if there are none.  ``folders`` may name the message media folders instead."""
+    files = spark.read.format("binaryFile").load(_paths(data_dirs, folders)).select(*file_columns(depth=1))
     name = F.element_at(F.split("file", "/"), -1)
     return files.select("archive", name.alias("file"), F.substring_index(name, "-", 1).alias("post_id"))
