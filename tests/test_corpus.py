@@ -53,3 +53,12 @@ def test_reply_pairs_gate(spark):
     assert pairs.filter(F.col("n_context") < 1).count() == 0
     hist = {r.n_context: r.n_pairs for r in corpus.context_histogram(pairs).collect()}
     assert sum(hist.values()) == pairs.count()
+
+
+def test_gated_replies_of_a_hot_conversation_match_the_contexts(spark):
+    """Numbers from strides equal those from whole contexts, also for a conversation with a third of all rows."""
+    rows = [(0, t, "x" * (t % 9) + " (media)") for t in range(300)] + [(c, t, "y " * (c + t)) for c in range(1, 60) for t in range(10)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    pairs = corpus.reply_rows(corpus.thread_contexts(turns), ASCII, ["conv_id", "turn"])
+    want = {(r.conv_id, r.turn): r.n_context for r in pairs.collect()}
+    assert {(r.conv_id, r.turn): r.n_context for r in corpus.gated_replies(turns, ASCII).collect()} == want

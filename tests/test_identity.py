@@ -52,3 +52,10 @@ def test_latest_names_one_aggregation_matches_seeded_union(spark):
     a = sorted(tuple(r) for r in TR.latest_names_from_events(ev).collect())
     b = sorted(tuple(r) for r in TR.latest_names(ev, ev.select("conversation_id").distinct()).collect())
     assert a == b == [("a", "a"), ("b", "B1"), ("c", "c"), ("d", "D2")]
+
+
+def test_looked_up_handles_overwrite(spark):
+    users = spark.createDataFrame([("1", "old"), ("2", "two")], "user_id string, handle string")
+    found = spark.createDataFrame([("1", "new"), ("3", "three"), ("4", None)], "user_id string, handle string")
+    got = {r.user_id: r.handle for r in identity.merge_users(users, found).collect()}
+    assert got == {"1": "new", "2": "two", "3": "three"}

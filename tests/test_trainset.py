@@ -104,3 +104,8 @@ def test_sequence_length_equals_the_encoded_length(spark):
         want = {r.k: len(r.input_ids) for r in enc.collect()}
         got = df.select("k", trainset.sequence_length(F.col("context"), F.col("target"), cfg).alias("n")).collect()
         assert {r.k: r.n for r in got} == want
+
+
+def test_drop_overlength(spark):
+    df = spark.createDataFrame([([1, 2],), ([1, 2, 3],), ([],)], "input_ids array<int>")
+    assert sorted(len(r.input_ids) for r in trainset.drop_overlength(df, 2).collect()) == [0, 2]

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from threadsmith.config import CorpusConfig
 from threadsmith.functions import templates
 from threadsmith.functions.draws import pick_index, randint, uniform
-from threadsmith.functions.text import passes_gate, split_sentences
+from threadsmith.functions.text import gate_length, passes_gate, split_sentences
+from threadsmith.operators.ordering import ordered_index
 from threadsmith.operators.topics import choose_topics
 
 ROW_COLUMNS = ["instruction", "input", "output"]
@@ -130,6 +131,16 @@ def reply_topic_rows(pairs: DataFrame, cfg: CorpusConfig, id_cols: list[str],
             .select(*keys, F.col("topic_instruction").alias("instruction"), F.lit("").alias("input"), "output"))
 
 
+def gated_replies(turns: DataFrame, cfg: CorpusConfig, conv_col: str = "conv_id", order_col: str = "turn",
+                  text_col: str = "text") -> DataFrame:
+    """X7 without the contexts themselves: turns that pass the gate and whose earlier turns together pass it,
+    with ``n_context``.  Turn numbers and running lengths come from strides, so a hot conversation spreads."""
+    x = ordered_index(turns.withColumn("__len", gate_length(F.col(text_col))), [conv_col], [order_col],
+                      idx_col="n_context", running={"__before": F.col("__len")})
+    return x.filter((F.col("__len") >= cfg.response_thresh) & (F.col("n_context") > 0)
+                    & (F.col("__before") >= cfg.response_thresh)).drop("__len", "__before")
+
+
 def context_histogram(pairs: DataFrame) -> DataFrame:
     """Number of pairs per context length."""
     return pairs.groupBy("n_context").agg(F.count(F.lit(1)).alias("n_pairs"))

@@ -27,25 +27,34 @@ def stride_of(df: DataFrame, order_col: str, stride: int) -> Column:
 
 
 def ordered_index(df: DataFrame, group_cols: list[str], order_cols: list, idx_col: str = "idx",
-                  count_col: str | None = None, stride: int = STRIDE) -> DataFrame:
-    """``df`` with the 0-based place of each row in its group's order (and the group's size)."""
+                  count_col: str | None = None, stride: int = STRIDE, running: dict[str, Column] | None = None) -> DataFrame:
+    """``df`` with the 0-based place of each row in its group's order (and the group's size).  ``running`` adds
+    columns with the sum of an expression over the earlier rows of the group."""
+    running = running or {}
     x = df.withColumn("__stride", stride_of(df, order_cols[0], stride))
-    sizes = x.groupBy(*group_cols, "__stride").agg(F.count(F.lit(1)).alias("__n"))
+    sizes = x.groupBy(*group_cols, "__stride").agg(
+        F.count(F.lit(1)).alias("__n"), *[F.sum(v).alias(f"__sum_{c}") for c, v in running.items()])
     group = Window.partitionBy(*group_cols)
     before = group.orderBy("__stride").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(group_cols)],
                            F.col("__stride").alias("__s"),
                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
-                           F.sum("__n").over(group).alias("__size"))
+                           F.sum("__n").over(group).alias("__size"),
+                           *[F.coalesce(F.sum(f"__sum_{c}").over(before), F.lit(0)).alias(f"__sum_{c}") for c in running])
     place = F.row_number().over(Window.partitionBy(*group_cols, "__stride").orderBy(*order_cols))
     same = F.col("__stride") == F.col("__s")
     for i, c in enumerate(group_cols):
         same &= F.col(c).eqNullSafe(F.col(f"__g{i}"))
-    out = x.withColumn("__in_stride", place).join(offsets, same)
-    out = out.withColumn(idx_col, (F.col("__off") + F.col("__in_stride") - 1).cast("bigint"))
+    earlier = Window.partitionBy(*group_cols, "__stride").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    x = x.withColumn("__in_stride", place).withColumns(
+        {f"__part_{c}": F.coalesce(F.sum(v).over(earlier), F.lit(0)) for c, v in running.items()})
+    out = x.join(offsets, same)
+    out = out.withColumn(idx_col, (F.col("__off") + F.col("__in_stride") - 1).cast("bigint")).withColumns(
+        {c: F.col(f"__sum_{c}") + F.col(f"__part_{c}") for c in running})
     if count_col:
         out = out.withColumn(count_col, F.col("__size"))
-    return out.drop("__stride", "__s", "__off", "__size", "__in_stride", *[f"__g{i}" for i in range(len(group_cols))])
+    return out.drop("__stride", "__s", "__off", "__size", "__in_stride", *[f"__g{i}" for i in range(len(group_cols))],
+                    *[f"__{k}_{c}" for c in running for k in ("sum", "part")])
 
 
 def hashed_index(df: DataFrame, draw: Column, ties: list[str], idx_col: str = "idx") -> DataFrame:

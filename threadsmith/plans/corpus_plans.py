@@ -203,7 +203,8 @@ def reply_topic_augment(spark: SparkSession, sf: str) -> DataFrame:
 @register("context_histogram", oracle=f"""WITH {replies_sql()}
 SELECT n_context, CAST(count(*) AS BIGINT) AS n_pairs FROM rp GROUP BY n_context""")
 def context_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    h = corpus.context_histogram(reply_pairs_df(spark, sf))
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    h = corpus.context_histogram(corpus.gated_replies(turns, CFG).filter(F.col("role") == "assistant"))
     return h.select(F.col("n_context").cast("bigint").alias("n_context"), F.col("n_pairs").cast("bigint"))
 
 
