@@ -27,12 +27,15 @@ def stride_of(df: DataFrame, order_col: str, stride: int) -> Column:
 
 
 def ordered_index(df: DataFrame, group_cols: list[str], order_cols: list, idx_col: str = "idx",
-                  count_col: str | None = None, stride: int = STRIDE, running: dict[str, Column] | None = None) -> DataFrame:
+                  count_col: str | None = None, stride: int = STRIDE, running: dict[str, Column] | None = None,
+                  counted: DataFrame | None = None) -> DataFrame:
     """``df`` with the 0-based place of each row in its group's order (and the group's size).  ``running`` adds
-    columns with the sum of an expression over the earlier rows of the group."""
+    columns with the sum of an expression over the earlier rows of the group.  ``counted`` may give the same
+    groups and order values more cheaply than ``df``, to be counted in its place."""
     running = running or {}
     x = df.withColumn("__stride", stride_of(df, order_cols[0], stride))
-    sizes = x.groupBy(*group_cols, "__stride").agg(
+    source = x if counted is None else counted.withColumn("__stride", stride_of(counted, order_cols[0], stride))
+    sizes = source.groupBy(*group_cols, "__stride").agg(
         F.count(F.lit(1)).alias("__n"), *[F.sum(v).alias(f"__sum_{c}") for c, v in running.items()])
     group = Window.partitionBy(*group_cols)
     before = group.orderBy("__stride").rowsBetween(Window.unboundedPreceding, -1)
@@ -70,9 +73,10 @@ def hashed_index(df: DataFrame, draw: Column, ties: list[str], idx_col: str = "i
 
 
 def part_numbers(df: DataFrame, group_cols: list[str], order_cols: list, part_size: int,
-                 idx_col: str = "msg_idx", part_col: str = "part", stride: int = STRIDE) -> DataFrame:
+                 idx_col: str = "msg_idx", part_col: str = "part", stride: int = STRIDE,
+                 counted: DataFrame | None = None) -> DataFrame:
     """1-based part of ``part_size`` messages when the group has more than
     ``part_size`` messages, else NULL (unnumbered)."""
-    x = ordered_index(df, group_cols, order_cols, idx_col=idx_col, count_col="__cnt", stride=stride)
+    x = ordered_index(df, group_cols, order_cols, idx_col=idx_col, count_col="__cnt", stride=stride, counted=counted)
     part = F.when(F.col("__cnt") > part_size, F.floor(F.col(idx_col) / part_size) + 1).cast("bigint")
     return x.withColumn(part_col, part).withColumnRenamed("__cnt", "group_size")

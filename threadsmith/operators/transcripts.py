@@ -115,13 +115,15 @@ def other_party(lines: DataFrame, users: DataFrame, owner: str, cfg: CorpusConfi
 
 
 def transcripts(lines: DataFrame, group_col: str, order_cols: list, header: Column, part_size: int,
-                title_cols: list[str] | None = None, titles: DataFrame | None = None) -> DataFrame:
+                title_cols: list[str] | None = None, titles: DataFrame | None = None,
+                counted: DataFrame | None = None) -> DataFrame:
     """A12 + W1: per ``(group, part)`` the header and the lines joined by the separator in
     ``order_cols`` order; ``part`` is NULL for conversations of at most ``part_size``.
     ``header`` may use ``part`` (NULL when unnumbered).  Per-conversation ``titles`` (keyed
     by ``group_col``) are joined after the aggregation, i.e. to one row per part, so a hot
-    conversation's messages never meet a join on the conversation id."""
-    numbered = part_numbers(lines, [group_col], order_cols, part_size, idx_col="__idx", part_col="part", stride=DAY)
+    conversation's messages never meet a join on the conversation id.  ``counted`` may hold
+    the lines' groups and times before they are rendered."""
+    numbered = part_numbers(lines, [group_col], order_cols, part_size, idx_col="__idx", part_col="part", stride=DAY, counted=counted)
     keep = [c for c in (title_cols or []) if c in numbered.columns]
     agg = numbered.groupBy(group_col, "part").agg(
         F.count(F.lit(1)).alias("n_messages"),

@@ -311,5 +311,5 @@ def group_transcript(spark: SparkSession, sf: str) -> DataFrame:
                                  lambda s: s["__h"])).alias("participant_names"))
     t = TR.transcripts(lines.select("conversation_id", "ts", "msg_ord", "line"), "conversation_id", ["ts", "msg_ord"],
                        TR.group_header(F.col("official_name"), F.col("participant_names")), CFG.part_size,
-                       titles=names.join(pn, "conversation_id", "left"))
+                       titles=names.join(pn, "conversation_id", "left"), counted=ev.select("conversation_id", "ts"))
     return t.select("conversation_id", "part", F.col("n_messages").cast("bigint"), "transcript")
