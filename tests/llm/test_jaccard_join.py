@@ -87,6 +87,14 @@ def test_shingles_do_not_depend_on_pieces(monkeypatch):
     assert np.array_equal(j.Shingler().hashes(text), whole)
 
 
+@pytest.mark.parametrize("limit", [1000, 3])
+def test_components_with_hubs(spark, monkeypatch, limit):
+    monkeypatch.setattr(j, "max", lambda a, b: limit, raising=False)
+    edges = [("h0", f"x{k:03d}") for k in range(300)] + [("h1", f"y{k:03d}") for k in range(50)] + [("x007", "y003"), ("p", "q")]
+    got = {r.node: r.root for r in j.components(spark.createDataFrame(edges, "a string, b string")).collect()}
+    assert got == {n: ("p" if n in "pq" else "h0") for e in edges for n in e}
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(f"{k:04d}", f"{k + 1:04d}") for k in range(200) if k % 50 != 49], "a string, b string")
     got = {r.node: r.root for r in j.components(edges).collect()}

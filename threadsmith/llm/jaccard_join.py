@@ -128,25 +128,41 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, threshold: float, re
     return plain.mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, key string, bands array<bigint>")
 
 
+#: a node is a hub if it has more than one in so many of all edge ends; there are fewer hubs than that
+HUB_SHARE = 5000
+
+
+def _with_least(edges: DataFrame, nodes: DataFrame, ends: int) -> DataFrame:
+    """``edges`` (a, b) with the least neighbour m of a from ``nodes`` (a, m, n).  Edges of hubs meet a broadcast
+    table of the hubs, of which there are fewer than ``HUB_SHARE``, so that no task gathers a hub's edges."""
+    limit = max(1000, ends // HUB_SHARE)
+    hubs = F.broadcast(nodes.where(F.col("n") > limit).select("a", "m"))
+    rest = edges.join(hubs.select("a"), "a", "left_anti").join(nodes.where(F.col("n") <= limit).select("a", "m"), "a")
+    return edges.join(hubs, "a").union(rest)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b): root is the least node of its connected component.
 
     Alternating stars: every node hands its larger neighbours to its least one, then its smaller ones.  Each
-    round is cut by a checkpoint and ends when the edges repeat; rounds grow with the logarithm of the nodes."""
+    round is cut and ends when the edges repeat; rounds grow with the logarithm of the nodes."""
+    def neighbours(e: DataFrame) -> DataFrame:
+        return e.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+
     stars = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
+    seen, count = None, stars.count()
     while True:
         both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = neighbours(both).select("a", F.least("a", "m").alias("m"), "n")
+        large = _with_least(both, least, 2 * count).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = cut(large.where("a <> b").distinct())
+        least = neighbours(large)
+        small = _with_least(large, least, 2 * count).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         stars = cut(small.union(least.select("a", F.col("m").alias("b"))).distinct())
         now = tuple(stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == seen:
             break
-        seen = now
+        seen, count = now, now[0]
     roots = stars.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
 
