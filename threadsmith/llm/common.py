@@ -46,7 +46,7 @@ def shared_folder(spark: SparkSession) -> str:
     tests) gets a private one; elsewhere that is an error, as executors could not see it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="threadsmith-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
