@@ -30,7 +30,7 @@ from threadsmith.llm.common import cut, text_or_empty
 LENGTH, GRAM = 100, 24
 REACH = LENGTH - GRAM
 #: bytes of text whose anchors one place holds; bytes of contexts in one shard
-PLACE_BYTES, SHARD_BYTES = 4 << 20, 4 << 20
+PLACE_BYTES, SHARD_BYTES = 4 << 20, 3 << 19
 #: an anchor is frequent if it is in so many texts of the sample of one text in SAMPLE_RATE
 SAMPLE_RATE, FREQUENT, MOST_FREQUENT = 64, 40, 50_000
 NULL_ID = (1 << 63) - 1
@@ -111,38 +111,45 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return place, h[first], context[first]
 
 
+def packed_bytes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number, first byte highest; zeros past the end."""
+    wide = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
+    out = np.zeros(len(data), np.uint64)
+    for j in range(8):
+        out = out << np.uint64(8) | wide[j:j + len(data)]
+    return out
+
+
 def prefix_ranks(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(suffix array, ranks) by the first ``depth`` bytes or more: ranks double the bytes they speak for, and
     only groups that are still tied are sorted again."""
     n = len(data)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
-    packed = np.zeros(n, np.uint64)
-    for j in range(8):
-        packed = packed << np.uint64(8) | padded[j:j + n]
-    order = np.argsort(packed, kind="stable")
+    packed = packed_bytes(data)
+    order = np.argsort(packed)
     values = packed[order]
     head = np.ones(n, bool)
     head[1:] = values[1:] != values[:-1]
-    del padded, packed, values
+    del packed, values
     rank = np.empty(n, np.int64)
-    rank[order] = np.flatnonzero(head)[np.cumsum(head) - 1]
-    known = 8
+    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+    known, past = 8, 2 * depth + 16
     while known < depth:
-        tied = ~head | np.append(~head[1:], False)
+        tied = ~head
+        tied[:-1] |= ~head[1:]
         slots = np.flatnonzero(tied)
         if not len(slots):
             break
         members = order[slots]
         after = members + known
-        second = np.where(after < n, rank[np.minimum(after, n - 1)], -1 - (n - np.minimum(after, n)))
-        group = rank[members]
-        sub = np.lexsort((second, group))
-        order[slots] = members[sub]
-        group, second = group[sub], second[sub]
+        second = np.where(after < n, rank[np.minimum(after, n - 1)] + past, np.minimum(n - members, past - 1))
+        pair = rank[members] * (n + past) + second
+        sub = np.argsort(pair)
+        members, pair = members[sub], pair[sub]
+        order[slots] = members
         new = np.ones(len(slots), bool)
-        new[1:] = (group[1:] != group[:-1]) | (second[1:] != second[:-1])
+        new[1:] = pair[1:] != pair[:-1]
         head[slots] = new
-        rank[order[slots]] = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
+        rank[members] = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
         known *= 2
     return order, rank
 
@@ -151,7 +158,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     """Bytes (up to about ``most``) that each suffix shares with the one before it in ``order``.
 
     Kasai's lemma, by text position: if i follows j and i + 1 follows j + 1, the second pair shares one byte
-    less.  Only positions where that chain starts, and every 16th of a chain, are compared byte by byte."""
+    less.  Only positions where that chain starts, and every 16th of a chain, are compared, eight bytes at a time."""
     n = len(data)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
@@ -160,26 +167,31 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     starts[1:] = before[1:] != before[:-1] + 1
     anchor = np.maximum.accumulate(np.where(starts, places, 0))
     starts |= (places - anchor) % 16 == 0
-    padded = np.concatenate([data, np.zeros(most + 32, np.uint8)])
+    packed = np.concatenate([packed_bytes(data), np.zeros(most + 32, np.uint64)])
     shared = np.zeros(n, np.int64)
     live = np.flatnonzero(starts & (before >= 0))
-    for step in range(most + 16):
-        live = live[padded[live + step] == padded[before[live] + step]]
-        live = live[np.maximum(live, before[live]) + step < n]
-        if not len(live):
-            break
-        shared[live] += 1
+    for step in range(0, most + 16, 8):
+        differ = packed[live + step] ^ packed[before[live] + step]
+        same = differ == 0
+        odd = differ[~same]
+        shared[live[~same]] += sum((odd < np.uint64(1 << 8 * k)).astype(np.int64) for k in range(1, 8))
+        live = live[same]
+        shared[live] += 8
+    shared = np.minimum(shared, n - np.maximum(places, before))
     anchor = np.maximum.accumulate(np.where(starts, places, 0))
     shared = np.maximum(shared[anchor] - (places - anchor), 0)
-    out = np.zeros(n, np.int64)
-    out[:] = shared[order]
-    out[before[order] < 0] = 0
-    return out
+    shared[before < 0] = 0
+    return shared[order]
+
+
+#: a place in a document as one number: the document's number above, the start below
+START_BITS = 33
 
 
-def same_windows(snippets: list[bytes], owners: pd.DataFrame) -> pd.DataFrame:
-    """Every window of the snippets: owner (row number), start in the document, group of equal windows.
-    Suffixes are sorted over the joined snippets, and neighbours with ``LENGTH`` common bytes are one group."""
+def same_windows(snippets: list[bytes], doc: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every window of the snippets, equal ones next to each other: (place, place in the joined snippets, whether a
+    new group begins).  Suffixes are sorted over the joined snippets, and neighbours with ``LENGTH`` common bytes are
+    one group."""
     sizes = np.array([len(s) for s in snippets])
     data = np.frombuffer(b"".join(snippets), np.uint8)
     order, _ = prefix_ranks(data, LENGTH)
@@ -189,36 +201,31 @@ def same_windows(snippets: list[bytes], owners: pd.DataFrame) -> pd.DataFrame:
     inside = order - base[owner]
     whole = inside + LENGTH <= sizes[owner]
     owner, inside, group, order = owner[whole], inside[whole], group[whole], order[whole]
-    return pd.DataFrame({"id": owners["id"].to_numpy()[owner], "key": owners["key"].to_numpy()[owner],
-                         "start": owners["low"].to_numpy()[owner] + inside, "group": group, "at": order})
-
-
-def spans_of(windows: pd.DataFrame) -> pd.DataFrame:
-    """Merged spans (id, key, a, b) covered by the windows."""
-    if windows.empty:
-        return pd.DataFrame({"id": np.empty(0, np.int64), "key": np.empty(0, np.int64),
-                             "a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-    w = windows.sort_values(["id", "key", "start"])
-    doc, key, start = w["id"].to_numpy(), w["key"].to_numpy(), w["start"].to_numpy()
-    new = np.ones(len(w), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]) | (start[1:] > start[:-1] + LENGTH)
+    new = np.ones(len(group), bool)
+    new[1:] = group[1:] != group[:-1]
+    return (doc[owner] << START_BITS) + low[owner] + inside, order, new
+
+
+def spans_of(place: np.ndarray, ids: np.ndarray, keys: np.ndarray) -> pd.DataFrame:
+    """Merged spans (id, key, a, b) that windows at these places cover; ids and keys by document number."""
+    place = np.unique(place)
+    new = np.ones(len(place), bool)
+    new[1:] = place[1:] > place[:-1] + LENGTH
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(w)) - 1
-    return pd.DataFrame({"id": doc[first], "key": key[first], "a": start[first], "b": start[last] + LENGTH})
+    last = np.append(first[1:], len(place))[:len(first)] - 1
+    doc, mask = place[first] >> START_BITS, (1 << START_BITS) - 1
+    return pd.DataFrame({"id": ids[doc], "key": keys[doc], "a": place[first] & mask, "b": (place[last] & mask) + LENGTH})
 
 
-def later_windows(windows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
-    """(first place of each group, all other places)."""
-    w = windows.sort_values(["group", "id", "key", "start"])
-    group = w["group"].to_numpy()
-    head = np.ones(len(w), bool)
-    head[1:] = group[1:] != group[:-1]
-    where = np.flatnonzero(head)[np.cumsum(head) - 1]
-    same = np.ones(len(w), bool)
-    for c in ("id", "key", "start"):
-        v = w[c].to_numpy()
-        same &= v == v[where]
-    return w[head], w[~same]
+def numbered_documents(ids: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of each row's document in the order of id and key, ids by number, keys by number)."""
+    order = np.lexsort((keys, ids))
+    ids, keys = ids[order], keys[order]
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
+    number = np.empty(len(ids), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return number, ids[new], keys[new]
 
 
 def window_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -351,18 +358,19 @@ def _cut_snippets(batches):
 def _resolve_shard(rows: pd.DataFrame, range_bits: int) -> pd.DataFrame:
     """Spans of a shard's repeated windows; shards of frequent anchors also hand on their runs of distinct
     windows, sorted and cut by the upper bits of the hash."""
-    rows = rows.reset_index(drop=True)
     often = bool(rows["often"].iloc[0])
     snippets = list(rows["snippet"])
-    windows = same_windows(snippets, rows)
-    firsts, later = later_windows(windows)
-    spans = spans_of(later).assign(run=None, span=-1)
+    doc, ids, keys = numbered_documents(rows["id"].to_numpy(), rows["key"].to_numpy())
+    place, at, new = same_windows(snippets, doc, rows["low"].to_numpy())
+    heads = np.flatnonzero(new)
+    first = np.minimum.reduceat(place, heads) if len(heads) else place
+    spans = spans_of(place[place != first[np.cumsum(new) - 1]], ids, keys).assign(run=None, span=-1)
     if not often:
         return spans
-    data = np.frombuffer(b"".join(snippets), np.uint8)
-    one, two = window_hashes(data, firsts["at"].to_numpy())
-    run = np.empty(len(firsts), RECORD)
-    run["h"], run["ctx"], run["id"], run["key"], run["pos"] = one, two, firsts["id"], firsts["key"], firsts["start"]
+    one, two = window_hashes(np.frombuffer(b"".join(snippets), np.uint8), at[heads])
+    run = np.empty(len(heads), RECORD)
+    run["h"], run["ctx"], run["pos"] = one, two, first & ((1 << START_BITS) - 1)
+    run["id"], run["key"] = ids[first >> START_BITS], keys[first >> START_BITS]
     run = run[np.lexsort((run["ctx"], run["h"]))]
     ranges = (run["h"] >> np.uint64(64 - range_bits)).astype(np.int64)
     edges = np.searchsorted(ranges, np.arange((1 << range_bits) + 1))
@@ -390,7 +398,8 @@ def _merge_runs(rows: pd.DataFrame) -> pd.DataFrame:
         first = best[spot]
         later.append(run[(first["id"] != run["id"]) | (first["key"] != run["key"]) | (first["pos"] != run["pos"])])
     late = np.concatenate(later)
-    return spans_of(pd.DataFrame({"id": late["id"], "key": late["key"], "start": late["pos"].astype(np.int64)}))
+    doc, ids, keys = numbered_documents(late["id"], late["key"])
+    return spans_of((doc << START_BITS) + late["pos"], ids, keys)
 
 
 def _earlier(x: np.ndarray, y: np.ndarray) -> np.ndarray:
