@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from threadsmith.config import LINK_PLACEHOLDER, MEDIA_PLACEHOLDER, STATUS_URL_PREFIX
 from threadsmith.functions import urls as U
-from threadsmith.functions.text import english_list, escape_markdown, py_strip, whitespace_tokens
+from threadsmith.functions.text import LINE_BREAK, english_list, escape_markdown, py_strip, whitespace_tokens
 from threadsmith.functions.timefmt import post_epoch
 
 URL_ENTITY = "struct<url:string,expanded_url:string,display_url:string,indices:array<int>>"
@@ -149,7 +149,7 @@ def normalize(parsed: DataFrame, owner: str | Column) -> DataFrame:
     html_body = F.when(is_reply_hdr, rp_html["body"]).otherwise(html)
     permalink = F.concat(F.lit(STATUS_URL_PREFIX), as_column(owner), F.lit("/status/"), p["id_str"])
     html_full = F.concat(F.when(is_reply_hdr, rp["header_html"]).otherwise(F.lit("")), F.lit("<p><blockquote>"),
-                         F.regexp_replace(html_body, "\\R", "<br>\n"), F.lit("</blockquote>"),
+                         F.regexp_replace(F.regexp_replace(html_body, LINE_BREAK + r"\z", ""), LINE_BREAK, "<br>\n"), F.lit("</blockquote>"),
                          F.lit('<a href="'), permalink, F.lit('">'), p["created_at"], F.lit("</a></p>"))
     r, q, rt = type_flags(F.col("__urls"), F.col("has_reply_str_key"), text)
     return x.select(

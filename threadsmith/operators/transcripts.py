@@ -135,6 +135,13 @@ def transcripts(lines: DataFrame, group_col: str, order_cols: list, header: Colu
     return agg.withColumn("transcript", F.concat(header, body)).drop("__lines")
 
 
+def totals(parts: DataFrame, group_col: str, kind: str) -> DataFrame:
+    """Conversations, files (parts) and messages of a kind of transcripts; one partial aggregation."""
+    per = parts.groupBy(group_col).agg(F.count(F.lit(1)).alias("__files"), F.sum("n_messages").alias("__messages"))
+    return per.agg(F.count(F.lit(1)).alias("n_conversations"), F.coalesce(F.sum("__files"), F.lit(0)).alias("n_files"),
+                   F.coalesce(F.sum("__messages"), F.lit(0)).alias("n_messages")).withColumn("kind", F.lit(kind))
+
+
 def dm_header(owner: str, other_name: Column) -> Column:
     part_txt = F.when(F.col("part").isNotNull(), F.concat(F.lit(", part "), F.col("part").cast("string"))).otherwise("")
     return F.concat(F.lit(f"### Conversation between {owner} and "), other_name, part_txt,

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from threadsmith.config import ASCII, TRANSCRIPT_SEPARATOR, USER_URL_PREFIX
 from threadsmith.functions.text import LINE_BREAK, english_list, escape_markdown
-from threadsmith.functions.timefmt import render_dm_time
+from threadsmith.functions.timefmt import dm_epoch, render_dm_time
 from threadsmith.operators import transcripts as TR
-from threadsmith.operators.ordering import part_numbers
+from threadsmith.operators.ordering import DAY, part_numbers
 from threadsmith.plans import sqlfrag as S
 from threadsmith.plans.identity_plans import users
 from threadsmith.plans.registry import register, table
@@ -313,3 +313,22 @@ def group_transcript(spark: SparkSession, sf: str) -> DataFrame:
                        TR.group_header(F.col("official_name"), F.col("participant_names")), CFG.part_size,
                        titles=names.join(pn, "conversation_id", "left"), counted=ev.select("conversation_id", "ts"))
     return t.select("conversation_id", "part", F.col("n_messages").cast("bigint"), "transcript")
+
+
+def totals_sql(rows: str, group: str, kind: str) -> str:
+    return (f"SELECT '{kind}' AS kind, count(*) AS n_conversations, "
+            f"CAST(coalesce(sum(ceil(n / {float(CFG.part_size)})), 0) AS BIGINT) AS n_files, "
+            f"CAST(coalesce(sum(n), 0) AS BIGINT) AS n_messages FROM (SELECT count(*) AS n FROM {rows} GROUP BY {group})")
+
+
+@register("transcript_totals", oracle=f"""WITH {DM_SQL}, {GROUP_SQL.replace(US_SQL + ",", "", 1)}
+{totals_sql("op", "other_user_id", "dm")} UNION ALL {totals_sql("gev", "conversation_id", "group")}""")
+def transcript_totals(spark: SparkSession, sf: str) -> DataFrame:
+    lines = TR.other_party(dm_messages(spark, sf).filter(
+        F.col("sender_id").isNotNull() & F.col("recipient_id").isNotNull() & F.col("text").isNotNull()),
+        users(spark, sf), OWNER, CFG).withColumn("ts", dm_epoch(F.col("created_at")))
+    dm = part_numbers(lines, ["other_user_id"], ["ts", "conversation_id", "msg_ord"], CFG.part_size, stride=DAY)
+    dm = dm.groupBy("other_user_id", "part").agg(F.count(F.lit(1)).alias("n_messages"))
+    group = part_numbers(group_parts(spark, sf)[0], ["conversation_id"], ["ts", "msg_ord"], CFG.part_size, stride=DAY)
+    group = group.groupBy("conversation_id", "part").agg(F.count(F.lit(1)).alias("n_messages"))
+    return TR.totals(dm, "other_user_id", "dm").unionByName(TR.totals(group, "conversation_id", "group"))
