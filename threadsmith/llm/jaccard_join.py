@@ -286,10 +286,17 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                recall: float = RECALL) -> DataFrame:
     """One row of ``docs``, with all its columns, of each class of ``similarity_join``: the one of the least id."""
     _, classes = near_duplicate_classes(docs, id_col, text_col, threshold, recall)
-    first = classes.groupBy("root").agg(F.min_by("key", F.struct(F.col("first_id").isNull(), "first_id", "key")).alias("key"))
-    gone = classes.join(first, "key", "left_anti").select(F.col("key").alias("__key"))
-    keyed = docs.withColumn("__key", F.md5(normal_text(text_or_empty(text_col))))
-    kept = keyed.join(gone, "__key", "left_anti")
-    order = W.partitionBy("__key").orderBy(F.col(f"`{id_col}`").asc_nulls_last())
-    return kept.withColumn("__row", F.row_number().over(order)).where("__row = 1").select(
+    order = F.struct(F.col("first_id").isNull(), "first_id", "key")
+    first = classes.groupBy("root").agg(F.min_by(F.struct("key", "first_id"), order).alias("first"))
+    keepers = first.select(F.col("first.key").alias("__key"), _id_text(F.col("first.first_id")).alias("__id"))
+    keyed = docs.withColumn("__key", F.md5(normal_text(text_or_empty(text_col)))).withColumn(
+        "__id", _id_text(F.col(f"`{id_col}`")))
+    # copies of one text have one key but many ids: both deal them out, and only rows that repeat an id meet
+    row = F.row_number().over(W.partitionBy("__key", "__id").orderBy("__key"))
+    return keyed.join(keepers, ["__key", "__id"]).withColumn("__row", row).where("__row = 1").select(
         *[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _id_text(doc_id: Column) -> Column:
+    """The id as text, null as a text that no id has."""
+    return F.coalesce(doc_id.cast("string"), F.lit("\0"))
