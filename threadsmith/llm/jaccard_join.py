@@ -133,8 +133,9 @@ HUB_SHARE = 5000
 
 
 def _with_least(edges: DataFrame, nodes: DataFrame, ends: int) -> DataFrame:
-    """``edges`` (a, b) with the least neighbour m of a from ``nodes`` (a, m, n).  Edges of hubs meet a broadcast
-    table of the hubs, of which there are fewer than ``HUB_SHARE``, so that no task gathers a hub's edges."""
+    """``edges`` (a, b) with the least neighbour m of a, its edges numbering n, from ``nodes`` (a, m, n).  Edges of hubs
+    meet a broadcast table of the hubs, of which there are fewer than ``HUB_SHARE``, so that no task gathers a hub's
+    edges.  Band buckets and their members are dealt alike."""
     limit = max(1000, ends // HUB_SHARE)
     hubs = F.broadcast(nodes.where(F.col("n") > limit).select("a", "m"))
     rest = edges.join(hubs.select("a"), "a", "left_anti").join(nodes.where(F.col("n") <= limit).select("a", "m"), "a")
@@ -237,10 +238,10 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     found = cut(signatures(docs, id_col, text_col, threshold, recall))
     classes = cut(found.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first_id"),
                                            F.any_value("bands").alias("bands")))
-    buckets = classes.select("key", F.explode("bands").alias("band"))
-    heads = buckets.groupBy("band").agg(F.min("key").alias("head"), F.max("key").alias("last")).where("head < last")
-    stars = buckets.join(heads.select("band", "head"), "band").where("key <> head")
-    groups = components(stars.select(F.col("key").alias("a"), F.col("head").alias("b")))
+    buckets = classes.select(F.explode("bands").alias("a"), F.col("key").alias("b"))
+    heads = buckets.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).where("n > 1")
+    stars = _with_least(buckets, heads, classes.count() * choose_bands(threshold, recall)[0]).where("b <> m")
+    groups = components(stars.select(F.col("b").alias("a"), F.col("m").alias("b")))
     sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
     groups = cut(groups.join(sizes, "root").join(classes.select("key", "n", "first_id"), groups["node"] == classes["key"])
                  .select("key", "root", "size", "n", "first_id"))
