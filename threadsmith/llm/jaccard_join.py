@@ -242,9 +242,10 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     heads = buckets.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).where("n > 1")
     stars = _with_least(buckets, heads, classes.count() * choose_bands(threshold, recall)[0]).where("b <> m")
     groups = components(stars.select(F.col("b").alias("a"), F.col("m").alias("b")))
-    sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
-    groups = cut(groups.join(sizes, "root").join(classes.select("key", "n", "first_id"), groups["node"] == classes["key"])
-                 .select("key", "root", "size", "n", "first_id"))
+    sizes = groups.groupBy(F.col("root").alias("a")).agg(F.count("*").alias("n")).withColumn("m", F.col("n"))
+    groups = _with_least(groups.select(F.col("root").alias("a"), F.col("node").alias("key")), sizes, classes.count())
+    groups = cut(groups.select("key", F.col("a").alias("root"), F.col("m").alias("size")).join(
+        classes.select("key", "n", "first_id"), "key"))
     shards = max(1, groups.count() // SHARD)
     text = docs.select(F.col(f"`{id_col}`").alias("id"), normal_text(text_or_empty(text_col)).alias("text"))
     text = text.select("id", F.md5("text").alias("key"), "text")
@@ -278,8 +279,9 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies of one another.  Null ids are carried (a class of null ids alone has a null class_id), repeated rows are copies, other
     columns are ignored."""
     rows, classes = near_duplicate_classes(docs, id_col, text_col, threshold, recall)
-    named = classes.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    classes = classes.join(named, "root").select("key", "class_id", (F.col("links") + F.col("n") - 1).alias("n_links"))
+    named = classes.groupBy(F.col("root").alias("a")).agg(F.min("first_id").alias("m"), F.count("*").alias("n"))
+    classes = _with_least(classes.withColumnRenamed("root", "a"), named, classes.count()).select(
+        "key", F.col("m").alias("class_id"), (F.col("links") + F.col("n") - 1).alias("n_links"))
     return rows.join(classes, "key").select(F.col("id").alias(id_col), "class_id", "n_links")
 
 
