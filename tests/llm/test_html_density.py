@@ -21,6 +21,33 @@ def test_page_without_article_takes_dense_subtrees():
     assert main_text(page) == "\n".join(" ".join((text * n).split()) for n in (3, 4))
 
 
+def test_wrappers_named_after_noise_keep_the_article():
+    text = "many words of one paragraph that go on and on for a while, " * 4
+    side = '<div class="sidebar"><p>About this site</p></div><div id="comments"><p>' + "reader says, " * 100 + "</p></div>"
+    for wrapper in ('class="content-sidebar-wrap"', 'class="page no-sidebar"', 'id="wrapper" class="has-banner"',
+                    'class="comments-open"', 'role="banner"'):
+        for inner in ("<main><article>{}</article></main>", "<main>{}</main>", "<article>{}</article>",
+                      '<div class="content no-sidebar">{}</div>', "{}"):
+            body = inner.format(f"<h1>Title</h1><p>{text}</p>")
+            page = f"<html><body><div {wrapper}>{body}{side}</div><p>Note</p></body></html>"
+            lines = main_text(page).split("\n")
+            assert lines[:2] == ["Title", text.strip()], (wrapper, inner)
+            assert not any("reader" in x or "About" in x for x in lines), (wrapper, inner)
+        page = f"<body><main><div {wrapper}><article><h1>Title</h1><p>{text}</p></article>{side}</div></main></body>"
+        assert main_text(page) == "Title\n" + text.strip(), wrapper
+
+
+def test_parts_named_noise_stay_out():
+    text = "many words of one paragraph that go on and on for a while, " * 4
+    for part in ('<div class="related"><article><p>card one of few words</p></article></div>',
+                 '<div id="comments"><article class="comment-body"><p>' + "reader says, " * 300 + "</p></article></div>",
+                 '<div class="cookie-consent"><p>' + "we value cookies, " * 300 + "</p></div>"):
+        for inner in ("<article>{}</article>", "<div>{}</div>"):
+            page = "<body>" + inner.format(f"<h1>Title</h1><p>{text}</p>") + part + "</body>"
+            assert text.strip() in main_text(page)
+            assert not any(x in main_text(page) for x in ("card", "reader", "cookies")), (part[:30], inner)
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<html></html>") == main_text("<nav>a</nav>") == ""
     assert main_text("plain") == "plain"

@@ -5,8 +5,8 @@ tags that belong to links.  The node whose children have the largest density sum
 text; menus, adverts, comments and the like can neither head nor join it.  The smallest density on the
 path from it to ``body`` (whose menus and links keep it low) is the threshold.  If the head lies in an
 ``article`` or ``main``, that whole subtree is the main text; otherwise it is the head's subtree and
-every other subtree beside that path whose density reaches the threshold.  The text is returned in page order, one
-line a block."""
+every other subtree beside that path whose density reaches the threshold.  A word of class, id or role makes a node
+noise only if the node does not wrap the page's body text.  The text is returned in page order, one line a block."""
 
 from __future__ import annotations
 
@@ -40,6 +40,9 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"},
           "th": {"tr", "table"}, "option": {"select"}}
+#: those that name a part by its content; wrappers of whole pages rather carry the others (no-sidebar, has-banner)
+PART_WORDS = frozenset("""comment comments commentlist respond disqus cookie cookies consent gdpr newsletter subscribe
+subscription signup login popup modal overlay related recommended recommendations sponsored""".split())
 _WORDS = re.compile(r"[a-z]+")
 
 
@@ -48,22 +51,25 @@ def is_noise(tag: str, attrs: list) -> bool:
         return True
     if tag in ("html", "body", "article", "main"):
         return False
+    return any(name == "hidden" or (name == "aria-hidden" and value == "true") for name, value in attrs)
+
+
+def noise_words(attrs: list) -> set[str]:
+    words: set[str] = set()
     for name, value in attrs:
         if name in ("class", "id", "role") and value:
-            if not NOISE_WORDS.isdisjoint(_WORDS.findall(value.lower())):
-                return True
-        elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-    return False
+            words.update(NOISE_WORDS.intersection(_WORDS.findall(value.lower())))
+    return words
 
 
 class Dom(HTMLParser):
-    """Flat DOM: ``tag``/``parent``/``noise`` by node number (parents come first) and the texts and
-    block edges in page order as (node, text or None)."""
+    """Flat DOM: ``tag``/``parent``/``noise`` by node number (parents come first), the noise ``words`` of nodes
+    that have any, and the texts and block edges in page order as (node, text or None)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.noise = ["#root"], [-1], [False]
+        self.words: dict[int, set[str]] = {}
         self.items: list[tuple[int, str | None]] = []
         self.open = [0]
         self.count: dict[str, int] = {}
@@ -93,6 +99,8 @@ class Dom(HTMLParser):
         self.tag.append(tag)
         self.parent.append(self.open[-1])
         self.noise.append(self.noise[self.open[-1]] or is_noise(tag, attrs))
+        if not self.noise[node] and (words := noise_words(attrs)):
+            self.words[node] = words
         if tag in BLOCKS:
             self.items.append((node, None))
         elif tag == "br":
@@ -116,6 +124,54 @@ class Dom(HTMLParser):
         self.items.append((self.open[-1], data))
 
 
+def mark_worded(dom: Dom) -> None:
+    """Mark the nodes whose words name noise, with all below them, unless they wrap the page's body text.
+
+    A wrapper holds ``main``; or the article of most text, and more text than is unmarked beside it; or more than
+    half of the body's text, with an ``h1`` or ten times the unmarked text.  Text is counted without links and
+    without untitled parts of ``PART_WORDS``; such a part wraps only pages that have no ``h1`` and hardly any other text."""
+    n = len(dom.tag)
+    marked = [i in dom.words and dom.tag[i] not in ("html", "body", "article", "main") for i in range(n)]
+    if not any(marked):
+        return
+    link, own, last = [False] * n, [0] * n, list(range(n))
+    for i in range(1, n):
+        link[i] = link[dom.parent[i]] or dom.tag[i] == "a"
+    for node, text in dom.items:
+        if text and not link[node] and not dom.noise[node]:
+            own[node] += len("".join(text.split()))
+    chars, plain, core, titled = own[:], own[:], own[:], [tag == "h1" for tag in dom.tag]
+    part = [marked[i] and not PART_WORDS.isdisjoint(dom.words[i]) for i in range(n)]
+    for i in range(n - 1, 0, -1):
+        up = dom.parent[i]
+        last[up] = max(last[up], last[i])
+        titled[up] |= titled[i] and not dom.noise[i]
+        if titled[i] or not part[i]:
+            chars[up] += chars[i]
+        if not marked[i]:
+            plain[up] += plain[i]
+            if dom.tag[i] not in ("article", "main"):
+                core[up] += core[i]
+    articles = [i for i in range(n) if dom.tag[i] == "article" and not dom.noise[i]
+                and PART_WORDS.isdisjoint(dom.words.get(i, ()))]
+    article = max(articles, key=lambda i: (core[i], -i), default=-1)
+    mains = [i for i in range(n) if dom.tag[i] == "main" and not dom.noise[i]]
+    body = next((i for i in range(n) if dom.tag[i] == "body"), 0)
+    seen = plain[body]
+    for i in range(body + 1, last[body] + 1):
+        if dom.noise[dom.parent[i]]:
+            dom.noise[i] = True
+        elif marked[i] and not dom.noise[i]:
+            if part[i] and not titled[i]:
+                wraps = not titled[body] and chars[body] * 10 < chars[i]
+            else:
+                wraps = chars[i] * 2 > chars[body] and (titled[i] or seen * 10 < chars[i])
+            if wraps or any(i < k <= last[i] for k in mains) or (i < article <= last[i] and chars[i] > seen):
+                seen += plain[i]
+            else:
+                dom.noise[i] = True
+
+
 def densities(dom: Dom) -> tuple[list[float], list[float], int]:
     """Composite density and density sum by node, and the node's body (or root)."""
     n = len(dom.tag)
@@ -191,6 +247,7 @@ def main_text(html: str | None) -> str:
     dom = Dom()
     dom.feed(html)
     dom.close()
+    mark_worded(dom)
     keep = main_nodes(dom)
     lines, line = [], []
     for node, text in dom.items:
