@@ -48,6 +48,16 @@ def test_parts_named_noise_stay_out():
             assert not any(x in main_text(page) for x in ("card", "reader", "cookies")), (part[:30], inner)
 
 
+def test_open_head_ends_where_content_starts():
+    for start in ("<html><head><title>x</title>", "<head><meta a=b><title>x</title><style>p{}</style><script>1</script>",
+                  "<title>x</title>", "<head>", "<html><head><title>x</title><noscript>"):
+        assert main_text(start + "<body><p>text</p></body></html>") == "text", start
+    assert main_text("<html><head><title>x</title></head><body><p>text</p></body></html>") == "text"
+    for content in ("<p>text", "<p>text</p></html>", "<main><p>text</p></main>", "text", "<div>text</div></head>"):
+        assert main_text("<head><title>x</title>" + content) == "text", content
+    assert main_text("<head><title>x</title><noscript><p>no</p></noscript><link a=b>\n<p>text") == "text"
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<html></html>") == main_text("<nav>a</nav>") == ""
     assert main_text("plain") == "plain"

@@ -29,6 +29,8 @@ NOISE_TAGS = frozenset("""script style noscript template head title nav header f
 input iframe object svg canvas menu dialog audio video""".split())
 #: elements whose text no reader sees; they have no density
 UNSEEN = frozenset("script style noscript template head title svg".split())
+#: what an open head holds; anything else ends it
+HEAD_CONTENT = frozenset("base basefont bgsound link meta noscript script style template title".split())
 #: words of class, id and role that mark the same parts when they are built of div and section
 NOISE_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner
 sidebar sidenav menu nav navbar navigation breadcrumb breadcrumbs header masthead footer comment comments commentlist
@@ -73,6 +75,7 @@ class Dom(HTMLParser):
         self.items: list[tuple[int, str | None]] = []
         self.open = [0]
         self.count: dict[str, int] = {}
+        self.has_body = False
 
     def _pop(self) -> None:
         node = self.open.pop()
@@ -90,7 +93,18 @@ class Dom(HTMLParser):
             if tag in scope:
                 return
 
+    def _close_head(self, tag: str) -> None:
+        """End an omitted </head> before a tag (or text, the empty tag) that no head holds; body ends whatever is
+        open in or before it."""
+        if tag == "body" and not self.has_body:
+            self.has_body = True
+            while len(self.open) > 1 and self.tag[self.open[-1]] != "html":
+                self._pop()
+        elif self.count.get("head") and self.tag[self.open[-1]] == "head" and tag not in HEAD_CONTENT:
+            self._pop()
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self._close_head(tag)
         if tag in CLOSES and any(self.count.get(t) for t in CLOSES[tag]):
             self._close_up_to(CLOSES[tag], SCOPES[tag])
         if tag in BLOCKS and self.count.get("p"):
@@ -121,6 +135,8 @@ class Dom(HTMLParser):
                     break
 
     def handle_data(self, data: str) -> None:
+        if self.count.get("head") and data.strip():
+            self._close_head("")
         self.items.append((self.open[-1], data))
 
 
@@ -217,7 +233,7 @@ def main_nodes(dom: Dom) -> list[bool]:
     inside = [False] * n
     for i in range(n):
         inside[i] = i == body or (i > body and inside[dom.parent[i]])
-    chosen = max((i for i in range(n) if inside[i] and not dom.noise[i]), key=lambda i: (score[i], -i))
+    chosen = max((i for i in range(n) if inside[i] and not dom.noise[i]), key=lambda i: (score[i], -i), default=body)
     threshold, head, path, i = density[chosen], None, {body}, chosen
     while i != body:
         path.add(i)
