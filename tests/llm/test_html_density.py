@@ -58,6 +58,17 @@ def test_open_head_ends_where_content_starts():
     assert main_text("<head><title>x</title><noscript><p>no</p></noscript><link a=b>\n<p>text") == "text"
 
 
+def test_page_without_article_keeps_headings_and_short_paragraphs():
+    text = lambda n: ("words of a paragraph " * n)[:n * 5].strip()
+    menu = "<ul>" + "<li><a href=1>link of a menu</a>" * 30 + "</ul>"
+    page = (f"<body>{menu}<div><h1><a href=1>Title</a></h1><div><p>{text(100)}</p><p>{text(101)}</p></div><p>{text(40)}</p><h2>Second</h2>"
+            f"<section><p>{text(50)}</p><div>{menu}</div><p>Yes.</p></section>in <b>line</b>, <a href=1>see</a> there<h3>Third</h3>"
+            f'<ul><li>one of a list<li><a href=1>two</a></ul><p>{text(9)} <a href=1>see</a></p></div><div>{menu}</div><div class="footer">me</div>')
+    assert main_text(page).split("\n") == [
+        "Title", text(100), text(101), text(40), "Second", text(50), "Yes.", "in line, see there", "Third", "one of a list", "two",
+        text(9) + " see"]
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<html></html>") == main_text("<nav>a</nav>") == ""
     assert main_text("plain") == "plain"

@@ -2,11 +2,11 @@
 
 Every DOM node gets a density: its characters per tag, weakened by the share of characters and
 tags that belong to links.  The node whose children have the largest density sum heads the main
-text; menus, adverts, comments and the like can neither head nor join it.  The smallest density on the
-path from it to ``body`` (whose menus and links keep it low) is the threshold.  If the head lies in an
+text; menus, adverts, comments and the like can neither head nor join it.  If the head lies in an
 ``article`` or ``main``, that whole subtree is the main text; otherwise it is the head's subtree and
-every other subtree beside that path whose density reaches the threshold.  A word of class, id or role makes a node
-noise only if the node does not wrap the page's body text.  The text is returned in page order, one line a block."""
+every other subtree beside the path from it to ``body``, however short, without blocks made mostly of links.  A word
+of class, id or role makes a node noise only if the node does not wrap the page's body text.  The text is returned
+in page order, one line a block."""
 
 from __future__ import annotations
 
@@ -37,6 +37,9 @@ sidebar sidenav menu nav navbar navigation breadcrumb breadcrumbs header masthea
 respond disqus cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe
 subscription signup login share sharing social related recommended recommendations widget toolbar pager pagination
 skip search complementary contentinfo""".split())
+#: blocks that hold others; within what is kept, those made mostly of links are menus
+GROUPS = frozenset("center div dl fieldset figure menu ol section table ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: what an open p (or the like) ends at
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
@@ -188,8 +191,11 @@ def mark_worded(dom: Dom) -> None:
                 dom.noise[i] = True
 
 
-def densities(dom: Dom) -> tuple[list[float], list[float], int]:
-    """Composite density and density sum by node, and the node's body (or root)."""
+def densities(dom: Dom) -> tuple[list[float], list[float], list[bool], int]:
+    """Composite density, density sum and whether most text is links by node, and the node's body (or root).
+
+    Blocks are judged without the groups of links inside them, inline nodes with the text and inline nodes around
+    them."""
     n = len(dom.tag)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     link, dead = [False] * n, [False] * n
@@ -202,14 +208,25 @@ def densities(dom: Dom) -> tuple[list[float], list[float], int]:
             chars[node] += size
             if link[node]:
                 link_chars[node] += size
+    run, link_run, rest, link_rest, linked = chars[:], link_chars[:], chars[:], link_chars[:], [False] * n
     for i in range(n - 1, 0, -1):
         if dead[i]:
             continue
         up = dom.parent[i]
+        linked[i] = link_rest[i] * 2 > rest[i] and dom.tag[i] not in HEADINGS
+        if not linked[i] or dom.tag[i] not in GROUPS:
+            rest[up] += rest[i]
+            link_rest[up] += link_rest[i]
+        if dom.tag[i] not in BLOCKS:
+            run[up] += chars[i]
+            link_run[up] += link_chars[i]
         chars[up] += chars[i]
         link_chars[up] += link_chars[i]
         tags[up] += tags[i] + 1
         link_tags[up] += link_tags[i] + (dom.tag[i] == "a")
+    for i in range(1, n):
+        if dom.tag[i] not in BLOCKS:
+            linked[i] = link_run[dom.parent[i]] * 2 > run[dom.parent[i]]
     body = next((i for i in range(n) if dom.tag[i] == "body"), 0)
     body_link_share = link_chars[body] / max(chars[body], 1)
     density, total = [0.0] * n, [0.0] * n
@@ -222,25 +239,24 @@ def densities(dom: Dom) -> tuple[list[float], list[float], int]:
         density[i] = chars[i] / max(tags[i], 1) * math.log(max(inner, 1.0)) / base
         if i and not dom.noise[i]:
             total[dom.parent[i]] += density[i]
-    return density, total, body
+    return density, total, linked, body
 
 
 def main_nodes(dom: Dom) -> list[bool]:
     """For every node, whether its text belongs to the main text."""
     n = len(dom.tag)
-    density, total, body = densities(dom)
+    density, total, linked, body = densities(dom)
     score = [t if t else d for t, d in zip(total, density)]
     inside = [False] * n
     for i in range(n):
         inside[i] = i == body or (i > body and inside[dom.parent[i]])
     chosen = max((i for i in range(n) if inside[i] and not dom.noise[i]), key=lambda i: (score[i], -i), default=body)
-    threshold, head, path, i = density[chosen], None, {body}, chosen
+    head, path, i = None, {body}, chosen
     while i != body:
         path.add(i)
         if head is None and dom.tag[i] in ("article", "main"):
             head = i
         i = dom.parent[i]
-        threshold = min(threshold, density[i])
     article = head is not None
     head = head if article else chosen
     keep, whole = [False] * n, [False] * n
@@ -251,8 +267,9 @@ def main_nodes(dom: Dom) -> list[bool]:
         whole[i] = i == head or (above and whole[dom.parent[i]])
         if whole[i] or i in path:
             keep[i] = whole[i] or not article
-        else:
-            keep[i] = not article and above and keep[dom.parent[i]] and density[i] >= threshold
+        elif not article and keep[dom.parent[i]]:
+            judged = dom.parent[i] in path or dom.tag[i] in GROUPS
+            keep[i] = not (judged and linked[i])
     return keep
 
 
