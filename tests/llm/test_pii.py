@@ -37,6 +37,19 @@ def test_checksums_and_context():
     assert kinds("+1 (499) 555-6503") == ["phone"] and kinds("1.2.3.999 1.2.3.4") == ["ip"]
 
 
+def test_ibans_before_capitals_and_digits():
+    found = lambda t: [t[s:e] for kind, s, e, _ in pii.find_spans(t) if kind == "iban"]
+    de, gb = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    assert pii.IBAN_CHARS["DE"] == 22 and pii.IBAN_CHARS["NO"] == 15 and pii.IBAN_CHARS["RU"] == 33
+    for text in (f"IBAN {de} BIC COBADEFFXXX", f"account {gb} USD 500", f"{gb} {de}", f"AB12 {de} 7", f"DE88 3704 {de}. {gb},X",
+                 f"IBAN {de}\nBIC", f"{gb}"):
+        assert found(text) == [x for x in sorted((de, gb), key=text.find) if x in text], text
+    assert found("DZ580002100001113000000570 BIC X") == ["DZ580002100001113000000570"]
+    assert found(f"{gb}X") == found(f"{gb}x") == found(f"X{gb}") == found("DE88370400440532013000 BIC COBADEFFXXX") == []
+    assert pii.redact(f"IBAN {de} BIC COBADEFFXXX") == "IBAN [IBAN] BIC COBADEFFXXX"
+    assert pii.find_spans("AB12 " * 80_000) == [] and len(found(f"{gb} " * 3_000)) == 3_000
+
+
 def test_long_texts_take_linear_time():
     for text in ("a" * 400_000, "a.b@" * 100_000, "1" * 400_000, "1." * 200_000, "+1 " + "(" * 400_000, "@" * 400_000):
         pii.find_spans(text)

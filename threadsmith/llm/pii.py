@@ -36,7 +36,14 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
+_IBAN_END = re.compile(r"(?<=[A-Z0-9])(?![A-Za-z0-9])")
+#: characters of an IBAN by country
+IBAN_CHARS = {country: int(row[:2]) for row in """15 NO|16 BE|18 DK FI FK FO GL NL SD|19 MK SI
+|20 AT BA EE KZ LT LU MN XK|21 CH HR LI LV|22 BG BH CR DE GB GE IE ME RS VA|23 AE GI IL IQ OM SO TL
+|24 AD CZ ES MD PK RO SA SE SK TN VG|25 LY PT ST|26 IS TR|27 BI DJ FR GR IT MC MR SM
+|28 AL AZ BY CY DO GT HN HU LB NI PL SV|29 BR EG PS QA UA|30 JO KW MU YE|31 MT SC|32 LC|33 RU""".split("|")
+              for country in row[2:].split()}
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 _PHONE_LOCAL = re.compile(r"(?<![0-9+)-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9-])")
 _NON_DIGIT = re.compile(r"[^0-9]+")
@@ -78,6 +85,22 @@ def find_emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def find_ibans(text: str) -> list[tuple[int, int]]:
+    """Leftmost non-overlapping IBANs: of each start's longest match, the part of its country's length, else (for an
+    unlisted country) the longest part of 15 characters or more that ends with a word and passes the check."""
+    out, m = [], _IBAN.search(text)
+    while m:
+        start, after, chars = m.start(), m.start() + 1, IBAN_CHARS.get(m.group()[:2])
+        for stop in reversed([e.start() for e in _IBAN_END.finditer(text, start, m.end() + 1) if e.start() <= m.end()]):
+            iban = text[start:stop].replace(" ", "")
+            if (len(iban) == chars if chars else len(iban) >= 15) and mod97(iban):
+                out.append((start, stop))
+                after = stop
+                break
+        m = _IBAN.search(text, after)
+    return out
+
+
 def _octet(part: str) -> bool:
     part = part.lstrip("0")
     return len(part) < 3 or (len(part) == 3 and part <= "255")
@@ -109,11 +132,9 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
     base = _base(text)
     taken = sorted(s for spans in base.values() for s in spans)
     out = [(kind, s, e, _score(text, kind, s, e)) for kind in BASE_KINDS for s, e in base[kind]]
-    for kind, pattern in (("iban", _IBAN), ("ssn", _SSN), ("phone_local", _PHONE_LOCAL)):
-        for m in pattern.finditer(text):
-            s, e = m.span()
-            if kind == "iban" and not mod97(m.group().replace(" ", "")):
-                continue
+    for kind, spans in (("iban", find_ibans(text)), ("ssn", [m.span() for m in _SSN.finditer(text)]),
+                        ("phone_local", [m.span() for m in _PHONE_LOCAL.finditer(text)])):
+        for s, e in spans:
             if any(a < e and s < b for a, b in taken):
                 continue
             score = _score(text, kind, s, e)
