@@ -89,6 +89,31 @@ def test_long_chain_and_hot_line(spark):
     assert all(out[2, t].parent_turn == (0 if t else None) for t in range(50))
 
 
+def test_short_quotes_link_to_the_only_earlier_message(spark):
+    rows = [(1, 0, "u", "Ok, why?"), (1, 1, "u", "Another start"), (1, 2, "u", "> Ok, why?\nBecause."),
+            (2, 0, "u", "yes"), (2, 1, "u", "Yes!"), (2, 2, "u", "> yes\nWhich one?"), (2, 3, "u", "> Which one?\nyes"),
+            (3, 0, "u", "你好吗"), (3, 1, "u", "a"), (3, 2, "u", "> 你好吗\n很好"), (3, 3, "u", "> 很好\n> 你好吗\n你好吗"),
+            (4, 0, "u", "why"), (4, 1, "u", "> why\n?"), (4, 2, "u", "why"), (5, 0, "u", "> why"), (6, 0, "u", "?"), (6, 1, "u", "> ?")]
+    out = {(r.conv_id, r.turn): r for r in q.link_quotations(with_clashes(spark.createDataFrame(rows, SCHEMA).repartition(4))).collect()}
+    linked = {k: r.parent_turn for k, r in out.items() if r.parent_turn is not None}
+    assert linked == {(1, 2): 0, (2, 3): 2, (3, 2): 0, (3, 3): 0, (4, 1): 0}
+    assert [out[1, t].position for t in range(3)] == [0, 2, 1]
+
+
+def test_rewrapped_quotes_link(spark):
+    words = [f"word{n}" for n in range(30)]
+    long, cjk = " ".join(words), "今天天气很好我们一起去公园散步吧然后回家吃饭"
+    wrapped = "\n".join("> " + " ".join(words[n:n + 7]) for n in range(0, 30, 7))
+    rows = [(1, 0, "u", "Hello all,\n\n" + long + "\n\nBye"), (1, 1, "u", "else"), (1, 2, "u", wrapped + "\nno"),
+            (1, 3, "u", "> Hello all,\n>\n" + wrapped + "\n>\n> Bye\n\nwhole"),
+            (2, 0, "u", "\n".join(" ".join(words[n:n + 4]) for n in range(0, 30, 4))), (2, 1, "u", wrapped), (2, 2, "u", "> " + long),
+            (3, 0, "u", cjk), (3, 1, "u", f"> {cjk[:9]}\n> {cjk[9:]}\nok"), (4, 1, "u", wrapped)]
+    out = {(r.conv_id, r.turn): r for r in q.link_quotations(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()}
+    assert {k: r.parent_turn for k, r in out.items() if r.parent_turn is not None} == {
+        (1, 2): 0, (1, 3): 0, (2, 1): 0, (2, 2): 0, (3, 1): 0}
+    assert [out[1, t].n_linked for t in range(4)] == [0, 0, 1, 1]
+
+
 def test_odd_rows(spark):
     rows = [(1, 0, "u", None), (1, 0, "u", None), (None, 1, "u", "x"), (2, None, None, "> y"), (3, 5, "u", "> " * 50 + "deep"),
             (4, 0, "u", "\n".join(["> long line here"] * 5000))]

@@ -1,9 +1,10 @@
 """Quotation linking: conversations in reply order, without their quotes.
 
 Quote marks at the start of a line give its level.  Runs of lines of one level are quoted passages.  Every
-quoted line is normalised, hashed and joined to the earliest message of the conversation that wrote that line
-itself; most lines decide which message a passage quotes, and the passages of the least level which message
-is replied to.  A message that quotes none starts a thread.  Threads come in the order of their first turn,
+quoted line, paragraph and whole passage is normalised, hashed without white space (clients wrap lines anew) and joined
+to the earliest message of the conversation that wrote it itself as a line, a paragraph or its whole text; a short
+one only if a single earlier turn holds it.  Most characters decide which message a passage quotes, and the passages of
+the least level which message is replied to.  A message that quotes none starts a thread.  Threads come in the order of their first turn,
 their messages by turn, so that each reply follows what it replies to."""
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql.window import Window as W
 from threadsmith.llm.common import cut
 
 MARKS = r"^(?:[ \t]*>)+"
-#: shorter normalised lines (thanks, yes) are common to many messages and link none
+#: shorter normalised texts (thanks, yes) are common to many messages and link only if a single earlier turn holds them
 LEAST_CHARS = 8
 #: "Somebody wrote:" above a quoted line belongs to the quote
 ATTRIBUTION = r"(?i)\b(wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*$"
@@ -52,13 +53,45 @@ def starts_passage(lines: Column):
         F.when(i > 0, F.get(lines, i - 1))["level"], F.lit(-1)))
 
 
-def quoted_lines(messages: DataFrame) -> DataFrame:
-    """(c, t, row, passage, level, line) of the quoted lines of messages (c, t, row, lines); line is normalised."""
+def joined_parts(bodies: Column, lines: Column) -> Column:
+    """The paragraphs (between blank lines) of an array of bodies, normalised in ``lines``, and their whole text."""
+    text = F.array_join(F.zip_with(bodies, lines, lambda b, x: F.when(F.trim(b) == "", "\n").otherwise(x)), " ")
+    parts = F.concat(F.split(text, "\n"), F.array(F.replace(text, F.lit("\n"), F.lit(" "))))
+    return F.transform(parts, lambda x: F.trim(F.regexp_replace(x, " +", " ")))
+
+
+def text_hash(text: Column) -> Column:
+    return F.md5(F.replace(text, F.lit(" "), F.lit("")))
+
+
+def originals(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of messages (c, t, own): (c, hash, original) of long texts, with the earliest turn that wrote them, and
+    (c, hash, original, next) of short ones, with the two earliest (next is null if one turn only wrote it)."""
+    lines = F.transform("own", normalise)
+    parts = messages.select("c", "t", "own", lines.alias("lines"))
+    parts = parts.select("c", "t", F.explode(F.array_distinct(F.concat(
+        "lines", joined_parts(F.col("own"), F.col("lines"))))).alias("part")).where("part <> ''")
+    parts = parts.select("c", "t", text_hash(F.col("part")).alias("hash"), (F.char_length("part") < LEAST_CHARS).alias("short"))
+    long = parts.where(~F.col("short")).groupBy("c", "hash").agg(F.min("t").alias("original"))
+    turns = parts.where("short").groupBy("c", "hash", "t").agg(F.lit(1).alias("one"))
+    first = turns.withColumn("n", F.row_number().over(W.partitionBy("c", "hash").orderBy("t"))).where("n <= 2")
+    return long, first.groupBy("c", "hash").agg(F.min("t").alias("original"),
+                                                F.max(F.when(F.col("n") == 2, F.col("t"))).alias("next"))
+
+
+def quoted_texts(messages: DataFrame) -> DataFrame:
+    """(c, t, row, passage, level, text) of the quoted lines, paragraphs and passages of messages (c, t, row, lines),
+    normalised."""
     lines = messages.select("c", "t", "row", F.posexplode("lines").alias("at", "x")).select("c", "t", "row", "at", "x.*")
     order = W.partitionBy("c", "t", "row").orderBy("at")
     begins = F.when(F.col("level") != F.coalesce(F.lag("level").over(order), F.lit(-1)), 1).otherwise(0)
     runs = lines.withColumn("begins", begins).withColumn("passage", F.sum("begins").over(order))
-    return runs.where("level > 0").select("c", "t", "row", "passage", "level", normalise(F.col("body")).alias("line"))
+    runs = runs.where("level > 0").groupBy("c", "t", "row", "passage", "level").agg(
+        F.array_sort(F.collect_list(F.struct("at", "body"))).alias("run"))
+    runs = runs.withColumn("bodies", F.col("run.body")).withColumn("lines", F.transform("run.body", normalise))
+    parts = joined_parts(F.col("bodies"), F.col("lines"))
+    return runs.select("c", "t", "row", "passage", "level", F.explode(F.concat(
+        "lines", F.array_except(parts, F.col("lines")))).alias("text")).where("text <> ''")
 
 
 def _roots(replies: DataFrame) -> DataFrame:
@@ -100,8 +133,8 @@ def link_quotations(messages: DataFrame, conv_col: str = "conv_id", turn_col: st
 
     Null text counts as empty.  Rows with a null conversation or turn are carried with null position, thread and parent.
     Messages of one turn are ordered by their text's hash, and quotes of any of them link to that turn.  Other columns are
-    ignored.  Links are joined on conversation and line hash after originals are combined to the earliest turn a hash, so that a
-    hot conversation or line spreads and adds no more rows than its quotes."""
+    ignored.  Links are joined on conversation and text hash after originals are combined to the earliest turn (or two) a hash,
+    so that a hot conversation or line spreads and adds no more rows than its quotes."""
     rows = messages.select(
         F.col(f"`{conv_col}`").alias("c"), F.col(f"`{turn_col}`").cast("long").alias("t"),
         F.col(f"`{role_col}`").alias("role"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("raw"))
@@ -109,13 +142,14 @@ def link_quotations(messages: DataFrame, conv_col: str = "conv_id", turn_col: st
     parsed = parsed.select("c", "t", "role", F.xxhash64("raw", "role").alias("row"), "lines",
                            own_lines(F.col("lines")).alias("own"))
     placed = parsed.where("c IS NOT NULL AND t IS NOT NULL")
-    originals = placed.select("c", "t", F.explode("own").alias("body")).select(
-        "c", "t", normalise(F.col("body")).alias("line")).where(F.char_length("line") >= LEAST_CHARS)
-    originals = originals.groupBy("c", F.md5("line").alias("hash")).agg(F.min("t").alias("original"))
+    long, short = originals(placed)
     quoting = placed.where(F.exists("lines", lambda x: x["level"] > 0)).dropDuplicates(["c", "t", "row"])
-    quoted = quoted_lines(quoting).select("c", "t", "row", "passage", "level", F.md5("line").alias("hash"),
-                                          F.char_length("line").alias("chars"))
-    hits = quoted.join(originals, ["c", "hash"]).where("original < t AND chars >= %d" % LEAST_CHARS)
+    quoted = quoted_texts(quoting).select("c", "t", "row", "passage", "level", text_hash(F.col("text")).alias("hash"),
+                                          F.char_length("text").alias("chars"))
+    hits = quoted.where(F.col("chars") >= LEAST_CHARS).join(long, ["c", "hash"]).where("original < t")
+    alone = quoted.where(F.col("chars") < LEAST_CHARS).join(short, ["c", "hash"]).where(
+        "original < t AND (next IS NULL OR next >= t)")
+    hits = hits.unionByName(alone.drop("next"))
     votes = hits.groupBy("c", "t", "row", "passage", "level", "original").agg(F.sum("chars").alias("chars"))
     passages = votes.groupBy("c", "t", "row", "passage", "level").agg(
         F.max(F.struct("chars", "original")).alias("best"))
