@@ -56,6 +56,17 @@ def test_blocks_of_items_give_the_same_rows(spark, monkeypatch):
     assert sorted(d.find_leaks(docs, items).collect()) == whole
 
 
+def test_short_items_are_found_inside_texts(spark):
+    texts = {1: "He asked: Who  wrote Hamlet? Nobody knew.", 2: "who wrote hamlets?", 3: "Who wrote Hamlet?", 4: "xwho wrote hamlet?",
+             5: "\u6211\u95ee\u8c01\u5199\u4e86\u5b83\u5417", 6: "who wrote it?", 7: "2+2=4, 12+2=4", 8: "12+2=4", 9: "who wrote hamlet"}
+    items = spark.createDataFrame([(1, "Who wrote Hamlet?"), (2, "\u8c01\u5199\u4e86\u5b83"), (3, "2+2=4"), (4, "wrote hamlet")], ITEMS)
+    docs = docs_of(spark, texts)
+    got = {(r.doc_id, r.item_id): (r.edits, r.end_at) for r in d.find_leaks(docs, items).collect()}
+    assert got == {(1, 1): (0, 27), (3, 1): (0, 17), (5, 2): (0, 6), (7, 3): (0, 5), (1, 4): (0, 26), (3, 4): (0, 16),
+                   (4, 4): (0, 17), (9, 4): (0, 16)}
+    assert sorted(r.doc_id for r in d.drop_leaks(docs, items).collect()) == [2, 6, 8]
+
+
 def test_odd_rows(spark):
     rows = [(1, ITEM), (1, ITEM), (None, ITEM.upper()), (2, None), (3, ""), (4, " yes. "), (5, "a" * 500_000)]
     docs = with_clashes(docs_of(spark, rows))

@@ -2,10 +2,12 @@
 
 A passage within k edits of a test item of k + 1 pieces holds at least one piece unchanged.  An
 Aho-Corasick automaton finds all piece hits in a text, each hit gives a window where the item would
-lie, overlapping windows of an item become one, and Myers' bit-parallel distance decides each window."""
+lie, overlapping windows of an item become one, and Myers' bit-parallel distance decides each window.  A short item is
+one exact piece between word boundaries."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -17,8 +19,10 @@ from threadsmith.llm.common import text_or_empty
 
 #: edits allowed: a share of the item's length, but a few edits for short items as well
 EDIT_RATE, SHORT_EDITS, SHORT_PER_EDIT = 0.06, 6, 14
-#: shorter items (normalised) match only texts that equal them
+#: shorter items (normalised) are matched without edits, as whole words
 SHORT = 20
+#: scripts written without spaces between words, where every character is a boundary
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 #: characters of items that one automaton holds; more items are searched block by block
 BLOCK_CHARS = 1_000_000
 
@@ -32,6 +36,14 @@ def edit_budget(length: int) -> int:
     return max(int(EDIT_RATE * length), min(SHORT_EDITS, length // SHORT_PER_EDIT))
 
 
+def in_word(text: str, at: int) -> bool:
+    """Whether a word goes on from before ``at`` to behind it."""
+    if not 0 < at < len(text):
+        return False
+    sides = text[at - 1:at + 1]
+    return sides[0].isalnum() and sides[1].isalnum() and not _UNSPACED.search(sides)
+
+
 def pieces(item: str) -> list[tuple[int, str]]:
     """(offset, piece) of edit budget + 1 pieces of nearly equal length."""
     n = edit_budget(len(item)) + 1
@@ -75,13 +87,12 @@ class Matcher:
     def __init__(self, items: list[tuple[object, str]]) -> None:
         self.ids = [i for i, _ in items]
         self.texts = [normalise(t) for _, t in items]
-        self.whole: dict[str, list[int]] = {}
         self.masks: dict[int, dict[str, int]] = {}
         found: dict[str, list[tuple[int, int]]] = {}
         for k, text in enumerate(self.texts):
             if len(text) < SHORT:
                 if text:
-                    self.whole.setdefault(text, []).append(k)
+                    found.setdefault(text, []).append((k, 0))
                 continue
             for offset, piece in pieces(text):
                 found.setdefault(piece, []).append((k, offset))
@@ -95,13 +106,17 @@ class Matcher:
     def search(self, raw: str | None) -> list[tuple[int, int, int]]:
         """(item number, edits, end in the normalised text), the best place of each item that matches."""
         text = normalise(raw)
-        out = [(k, 0, len(text)) for k in self.whole.get(text, ())]
         if self.empty or not text:
-            return out
+            return []
+        exact: dict[int, int] = {}
         windows: dict[int, list[list[int]]] = {}
         for last, (size, places) in self.automaton.iter(text):
             for k, offset in places:
                 length = len(self.texts[k])
+                if length < SHORT:
+                    if k not in exact and not in_word(text, last + 1 - size) and not in_word(text, last + 1):
+                        exact[k] = last + 1
+                    continue
                 slack = edit_budget(length)
                 start = last + 1 - size - offset
                 a, b = max(0, start - slack), min(len(text), start + length + slack)
@@ -110,6 +125,7 @@ class Matcher:
                     mine[-1][0], mine[-1][1] = min(a, mine[-1][0]), max(b, mine[-1][1])
                 else:
                     mine.append([a, b])
+        out = [(k, 0, end) for k, end in exact.items()]
         for k, mine in windows.items():
             item = self.texts[k]
             masks = self.masks.get(k) or self.masks.setdefault(k, symbol_masks(item))
@@ -169,7 +185,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
 def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
                item_text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no test item."""
+    """The rows of ``docs``, with all their columns, that hold no test item, short ones included."""
     at = docs.columns.index(text_col)
     for block in item_blocks(items, item_id_col, item_text_col):
         def run(batches, block=block):
