@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadsmith.llm import decontaminate, html_density, jaccard_join, multiset_hash, pii, poisson_mix, quality_net, quote_links, suffix_dedup, url_logit
+from threadsmith.llm import decontaminate, html_density, jaccard_join, multiset_hash, pii, poisson_mix, quality_net, quote_links, suffix_dedup, token_counts, url_logit
 from threadsmith.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,9 @@ FROM c
 @query("op9_multiset_hash", FINGERPRINT_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
+@query("op13_token_counts")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
