@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadsmith.llm import decontaminate, html_density, jaccard_join, multiset_hash, pii, poisson_mix, quality_net, quote_links, suffix_dedup, token_counts, url_logit
+from threadsmith.llm import collocations, decontaminate, divergence, html_density, jaccard_join, multiset_hash, pii, poisson_mix, quality_net, quote_links, suffix_dedup, token_counts, url_logit
 from threadsmith.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,70 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+      regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                         '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+t AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM k GROUP BY lang),
+s AS (SELECT lang, source, coalesce(sum(n), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+p AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS count,
+             1 + (1000000000 * (coalesce(c.n, 0) + 1)::HUGEINT) // (s.n + v.v) AS p,
+             1 + (1000000000 * (k.total + 1)::HUGEINT) // (v.n + v.v) AS q
+      FROM s JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+all_pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0) AS value
+              FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q)) // q AS value FROM p WHERE count > 0 AND p > q),
+r AS (SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (
+        PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS rank FROM all_pairs
+      UNION ALL SELECT lang, source, 'term', item, value, row_number() OVER (
+        PARTITION BY lang, source ORDER BY value DESC, encode(item)) FROM terms)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query("op11_source_divergence", DIVERGENCE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(read(spark, sf_dir, "documents"))
+
+
+PHRASES_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang, string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT row, lang, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS i FROM d),
+q AS (SELECT row, lang, i, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+w AS (SELECT row, lang, i, unnest(words) AS x, generate_subscripts(words, 1) AS j FROM q),
+t AS (SELECT lang, x, lead(x, 1) OVER here AS y, lead(x, 2) OVER here AS z FROM w WINDOW here AS (PARTITION BY row, i ORDER BY j)),
+n AS (SELECT lang, count(*) AS n FROM t GROUP BY lang),
+f1 AS (SELECT lang, x, count(*)::HUGEINT AS f FROM t GROUP BY lang, x),
+f2 AS (SELECT lang, x, y, count(*)::HUGEINT AS f FROM t WHERE y IS NOT NULL GROUP BY lang, x, y HAVING count(*) >= 10),
+f3 AS (SELECT lang, x, y, z, count(*)::HUGEINT AS f FROM t WHERE z IS NOT NULL GROUP BY lang, x, y, z HAVING count(*) >= 10),
+c2 AS (SELECT a.lang, a.x || ' ' || a.y AS phrase, a.f AS a, l.f AS l, r.f AS r, (1000000 * a.f * a.f) // (l.f * r.f) AS score
+       FROM f2 a JOIN f1 l ON l.lang = a.lang AND l.x = a.x JOIN f1 r ON r.lang = a.lang AND r.x = a.y
+       WHERE NOT EXISTS (SELECT 1 FROM f3 t WHERE t.lang = a.lang AND 100 * t.f >= 50 * a.f
+                         AND (t.x = a.x AND t.y = a.y OR t.y = a.x AND t.z = a.y))),
+c3 AS (SELECT a.lang, a.x || ' ' || a.y || ' ' || a.z AS phrase, a.f AS a, x.f AS l1, yz.f AS r1, xy.f AS l2, z.f AS r2,
+              (1000000 * a.f * a.f) // (x.f * yz.f) AS s1, (1000000 * a.f * a.f) // (xy.f * z.f) AS s2
+       FROM f3 a JOIN f1 x ON x.lang = a.lang AND x.x = a.x JOIN f1 z ON z.lang = a.lang AND z.x = a.z
+       JOIN f2 xy ON xy.lang = a.lang AND xy.x = a.x AND xy.y = a.y JOIN f2 yz ON yz.lang = a.lang AND yz.x = a.y AND yz.y = a.z),
+c AS (SELECT * FROM c2 UNION ALL SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END,
+      CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2) FROM c3),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM c)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n.n, CAST(score AS BIGINT) AS score
+FROM o JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op12_collocations", PHRASES_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_phrases(read(spark, sf_dir, "documents"))
