@@ -52,7 +52,8 @@ def rows_of(seed=1, n=90):
 def test_equals_brute_force(spark, monkeypatch, dense, side):
     monkeypatch.setattr(collocations, "DENSE", dense)
     monkeypatch.setattr(collocations, "_EDGES", np.array([side * 4**k for k in range(27)], np.int64))
-    monkeypatch.setattr(collocations, "PART_BLOCKS", 2)
+    monkeypatch.setattr(collocations, "SPLIT_BLOCKS", 2)
+    monkeypatch.setattr(collocations, "BLOCK_BYTES", 1500)
     rows = rows_of() + [("en", None), ("en", ""), ("xx", "too few words"), (None, "und is the same language")] + [("und", "new york")] * 9
     want = brute(rows)
     assert len(want) > 100

@@ -1,12 +1,14 @@
 """Phrases whose words occur together more often than apart, by direct-address tiling.
 
-Texts become sequences of numbers: word ids ranked by frequency in their language.  A pair of neighbours is a cell of the
-plane left x right, which is cut into tiles whose sides grow with the rank.  Tiles of frequent ids are small and counted in
-a dense numpy array by address (bincount); the others are counted as sorted coordinates.  The pairs found often enough
-are ranked by frequency anew, and the texts' sequences become sequences of pair ids: neighbours in these are phrases of three words.
+Texts become sequences of numbers: word ids ranked by frequency, a word of each language having its own.  A pair of
+neighbours is a cell of the plane left x right, which is cut into tiles whose sides grow with the rank.  Tiles of
+frequent ids are small and counted in a dense numpy array by address (bincount); the others are counted as sorted
+coordinates.  The pairs found often enough are ranked by frequency anew, and the texts' sequences become sequences of
+pair ids: neighbours in these are phrases of three words.
 
-Spark deals the work: blocks of texts are written once; every tile of every 64 blocks is one bounded group; the tiles' counts
-are summed by pair; ids come to the blocks by joins on the words and pairs that each block holds."""
+Spark deals the work: blocks of texts are written once; a tile is split by the hash of its cells into as many groups as
+keep each one bounded, and a group sees its cells of all blocks.  It gives the frequent pairs and the blocks that hold
+them; only these meet their new ids by a join and go back to their blocks."""
 
 from __future__ import annotations
 
@@ -29,8 +31,8 @@ NO_LANG = "und"
 SIDE, GROWTH = 256, 4
 #: cells of the largest tile that is counted densely
 DENSE = 1 << 22
-#: blocks whose tiles meet in one group
-PART_BLOCKS = 64
+#: bytes of text in a block (one text may be more); blocks whose pairs are about what one group of a split tile holds
+BLOCK_BYTES, SPLIT_BLOCKS = 8 << 20, 64
 #: cells by hash in which ids of one frequency are numbered
 NUMBER_CELLS = 256
 
@@ -55,56 +57,65 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return start, np.flatnonzero(end) + 1 - start, doc, ~run_heads([doc, piece]) if len(start) else np.empty(0, bool)
 
 
-_BLOCKS = "block long, lang string, words array<string>, counts array<long>, tokens long, seq binary"
+_BLOCKS = ("block long, tokens array<struct<lang:string,n:long>>, words array<struct<lang:string,word:string,n:long>>, "
+           "seq binary")
+
+
+def text_slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of at most ``BLOCK_BYTES`` together, but at least one text each."""
+    at = 0
+    while at < len(offsets) - 1:
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK_BYTES, "right")) - 1)
+        yield at, end
+        at = end
 
 
 def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A block of each language of every batch: its distinct words, their counts, and the texts as places in that list
+    """Blocks of texts: the distinct words of each language with their counts, and the texts as places in that list
     (-1 where a piece ends)."""
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
         langs = batch.column(0).dictionary_encode()
         data, offsets = text_bytes(batch.column(1))
-        start, size, doc, follows = word_spans(data, offsets)
-        group = langs.indices.to_numpy().astype(np.uint32)[doc]
-        ids, owners, names, counts = np.empty(len(start), np.int64), [], [], []
-        for spans, head, words in sorted_terms(LOWER[data], start, size, group):
-            ids[spans] = sum(map(len, names)) + np.cumsum(head) - 1
-            owners.append(group[spans][head])
-            names.append(words)
-            counts.append(np.diff(np.append(np.flatnonzero(head), len(spans))))
-        if not names:
-            continue
-        owner, word, count = np.concatenate(owners), pa.concat_arrays(names), np.concatenate(counts)
-        local = np.empty(len(owner), np.int64)
-        for k, lang in enumerate(langs.dictionary.to_pylist()):
-            own, mine = np.flatnonzero(owner == k), np.flatnonzero(group == k)
-            if not len(own):
+        for low, high in text_slices(offsets):
+            part = data[offsets[low]:offsets[high]]
+            start, size, doc, follows = word_spans(part, offsets[low:high + 1] - offsets[low])
+            group = langs.indices.to_numpy()[low:high].astype(np.uint32)[doc]
+            place, owners, names, counts, known = np.empty(len(start), np.int32), [], [], [], 0
+            for spans, head, words in sorted_terms(LOWER[part], start, size, group):
+                place[spans] = known + np.cumsum(head) - 1
+                known += len(words)
+                owners.append(group[spans][head])
+                names.append(words)
+                counts.append(np.diff(np.append(np.flatnonzero(head), len(spans))))
+            if not known:
                 continue
-            local[own] = np.arange(len(own))
-            seq = np.insert(local[ids[mine]], np.flatnonzero(~follows[mine]), -1).astype(np.int32)
+            owner, count = np.concatenate(owners), np.concatenate(counts)
+            held = pa.StructArray.from_arrays([langs.dictionary.take(pa.array(owner)), pa.concat_arrays(names), pa.array(count)],
+                                              ["lang", "word", "n"])
+            kinds, n = np.unique(group, return_counts=True)
+            tokens = pa.StructArray.from_arrays([langs.dictionary.take(pa.array(kinds)), pa.array(n)], ["lang", "n"])
+            seq = np.insert(place, np.flatnonzero(~follows), -1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), pa.array([lang], pa.string()),
-                 pa.ListArray.from_arrays([0, len(own)], word.take(pa.array(own))),
-                 pa.ListArray.from_arrays([0, len(own)], pa.array(count[own])),
-                 pa.array([len(mine)], pa.int64()), pa.array([seq.tobytes()], pa.binary())],
-                ["block", "lang", "words", "counts", "tokens", "seq"])
+                [pa.array([number], pa.int64()), pa.ListArray.from_arrays([0, len(tokens)], tokens),
+                 pa.ListArray.from_arrays([0, known], held), pa.array([_packed(seq)], pa.binary())],
+                ["block", "tokens", "words", "seq"])
             number += 1
 
 
 def ranked(counts: DataFrame, ties: list[str]) -> DataFrame:
-    """``counts`` (lang, n, ...) with ``id``: 0-based rank in the language by falling n, then a hash, then ``ties``.  Rows are
-    numbered inside (lang, n, cell of the hash); the counts of these and of the frequencies give the offsets."""
+    """``counts`` (n, ...) with ``id``: 0-based rank by falling n, then a hash, then ``ties``.  Rows are numbered inside
+    (n, cell of the hash); the counts of these and of the frequencies give the offsets."""
     x = counts.withColumn("cell", F.pmod(F.xxhash64(*ties), F.lit(NUMBER_CELLS)))
-    cells = x.groupBy("lang", "n", "cell").agg(F.count(F.lit(1)).alias("rows"))
+    cells = x.groupBy("n", "cell").agg(F.count(F.lit(1)).alias("rows"))
     before = Window.unboundedPreceding
-    by_n = cells.groupBy("lang", "n").agg(F.sum("rows").alias("rows")).select("lang", "n", F.coalesce(F.sum("rows").over(
-        Window.partitionBy("lang").orderBy(F.desc("n")).rowsBetween(before, -1)), F.lit(0)).alias("base"))
-    by_cell = cells.select("lang", "n", "cell", F.coalesce(F.sum("rows").over(
-        Window.partitionBy("lang", "n").orderBy("cell").rowsBetween(before, -1)), F.lit(0)).alias("skip"))
-    offsets = by_cell.join(by_n, ["lang", "n"])
-    place = F.row_number().over(Window.partitionBy("lang", "n", "cell").orderBy(*ties))
-    return x.withColumn("place", place).join(offsets, ["lang", "n", "cell"]).withColumn(
+    by_n = cells.groupBy("n").agg(F.sum("rows").alias("rows")).select("n", F.coalesce(F.sum("rows").over(
+        Window.orderBy(F.desc("n")).rowsBetween(before, -1)), F.lit(0)).alias("base"))
+    by_cell = cells.select("n", "cell", F.coalesce(F.sum("rows").over(
+        Window.partitionBy("n").orderBy("cell").rowsBetween(before, -1)), F.lit(0)).alias("skip"))
+    offsets = by_cell.join(by_n, "n")
+    place = F.row_number().over(Window.partitionBy("n", "cell").orderBy(*ties))
+    return x.withColumn("place", place).join(offsets, ["n", "cell"]).withColumn(
         "id", F.col("base") + F.col("skip") + F.col("place") - 1).drop("cell", "place", "base", "skip")
 
 
@@ -164,87 +175,106 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<i4" if data[0] == 4 else "<i8", offset=1).astype(np.int64)
 
 
-_TILES = "lang string, part long, tile int, left binary, right binary, n binary"
+_TILES = "tile int, split int, block long, left binary, right binary, n binary"
+_FOUND = "block long, left long, right long, n long"
 
 
-def _tile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The counted pairs of each block, a row a tile."""
-    for batch in batches:
-        for lang, part, seq in zip(*(c.to_pylist() for c in batch.columns)):
-            _, left, right = neighbours(_unpacked(seq))
-            tile = np.searchsorted(_EDGES, left, "right") * 32 + np.searchsorted(_EDGES, right, "right")
-            order = np.argsort(tile.astype(np.uint16), kind="stable")
-            tile, left, right = tile[order], left[order], right[order]
-            heads = np.flatnonzero(run_heads([tile])) if len(tile) else tile
-            rows = []
-            for a, b in zip(heads, np.append(heads[1:], len(tile))):
-                rows.append((int(tile[a]), *map(_packed, count_tile(int(tile[a]), left[a:b], right[a:b]))))
-            if rows:
-                tiles, *packed = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(rows), pa.string()), pa.array([part] * len(rows), pa.int64()),
-                     pa.array(tiles, pa.int32()), *(pa.array(p, pa.binary()) for p in packed)],
-                    ["lang", "part", "tile", "left", "right", "n"])
-
-
-def _merge_tile(key: tuple, rows: pa.Table) -> pa.Table:
-    """Counts of one tile in a part's blocks."""
-    left, right, n = (np.concatenate([_unpacked(x.as_py()) for x in rows[c]]) for c in ("left", "right", "n"))
-    left, right, n = count_tile(key[2].as_py(), left, right, n)
-    return pa.table({"lang": pa.array([key[0].as_py()] * len(n), pa.string()), "left": left, "right": right, "n": n})
-
-
-def frequent_pairs(blocks: DataFrame, parts: int, least: int) -> DataFrame:
-    """(lang, left, right, n, id) of the pairs of neighbours found ``least`` times or more, ranked; ``blocks`` are
-    (block, lang, seq)."""
-    part = F.pmod(F.xxhash64("block"), F.lit(parts)).alias("part")
-    tiles = blocks.select("lang", part, "seq").mapInArrow(_tile_batches, _TILES)
-    merged = tiles.groupBy("lang", "part", "tile").applyInArrow(_merge_tile, "lang string, left long, right long, n long")
-    sums = merged.groupBy("lang", "left", "right").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return cut(ranked(cut(sums), ["left", "right"]))
-
-
-def _renumbered(step: Callable[[np.ndarray], np.ndarray]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Blocks (block, lang, seq, ids: array of pos and id) with the ids that belong to the numbers ``step`` gives."""
+def split_of(left: np.ndarray, right: np.ndarray, splits: int) -> np.ndarray:
+    """Which of the groups of a tile a cell belongs to."""
+    mixed = (left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (right.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    return ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)).astype(np.int64) % splits
+
+
+def _tile_batches(splits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The counted pairs of each block (block, seq), a row a tile and split."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
             for k in range(batch.num_rows):
-                local = step(batch.column(2)[k].as_py())
-                ids = np.full(int(local.max(initial=-1)) + 2, -1, np.int64)  # the last one stands for -1
-                known = batch.column(3)[k].values
-                if known is not None:
-                    ids[known.field("pos").to_numpy()] = known.field("id").to_numpy()
-                out.append(_packed(ids[local]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
-                                             ["block", "lang", "seq"])
+                _, left, right = neighbours(_unpacked(batch.column(1)[k].as_py()))
+                tile = np.searchsorted(_EDGES, left, "right") * 32 + np.searchsorted(_EDGES, right, "right")
+                order = np.argsort(tile.astype(np.uint16), kind="stable")
+                tile, left, right = tile[order], left[order], right[order]
+                heads = np.flatnonzero(run_heads([tile])) if len(tile) else tile
+                rows = []
+                for a, b in zip(heads, np.append(heads[1:], len(tile))):
+                    cells = count_tile(int(tile[a]), left[a:b], right[a:b])
+                    split = split_of(cells[0], cells[1], splits)
+                    by_split = np.argsort(split, kind="stable")
+                    ends = np.searchsorted(split[by_split], np.arange(splits + 1))
+                    for at, (low, high) in enumerate(zip(ends, ends[1:])):
+                        if low < high:
+                            rows.append((int(tile[a]), at, *(_packed(c[by_split[low:high]]) for c in cells)))
+                if rows:
+                    tiles, split, *packed = zip(*rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(tiles, pa.int32()), pa.array(split, pa.int32()), pa.array([batch.column(0)[k].as_py()] * len(rows), pa.int64()),
+                         *(pa.array(p, pa.binary()) for p in packed)], ["tile", "split", "block", "left", "right", "n"])
     return run
 
 
-def _with_ids(blocks: DataFrame, entries: DataFrame, step: Callable[[bytes], np.ndarray]) -> DataFrame:
-    """Blocks (block, lang, seq) renumbered by ``entries`` (block, pos, id); a block's entries are bounded by its texts."""
-    lists = entries.groupBy("block").agg(F.collect_list(F.struct("pos", "id")).alias("ids"))
-    return cut(blocks.select("block", "lang", "seq").join(lists, "block").select("block", "lang", "seq", "ids").mapInArrow(
-        _renumbered(step), "block long, lang string, seq binary"))
+def _merge_tile(least: int, with_blocks: bool) -> Callable[[tuple, pa.Table], pa.Table]:
+    """The pairs of one group found often enough (block null, n their count) and, where asked for, each block that holds
+    one (n null)."""
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        left, right, n = ([_unpacked(x.as_py()) for x in rows[c]] for c in ("left", "right", "n"))
+        sizes = [len(x) for x in left]
+        left, right, n = np.concatenate(left), np.concatenate(right), np.concatenate(n)
+        a, b, count = count_tile(key[0].as_py(), left, right, n)
+        often = count >= least
+        a, b, count = a[often], b[often], count[often]
+        found = [pa.table({"block": pa.nulls(len(a), pa.int64()), "left": a, "right": b, "n": count})]
+        if with_blocks and len(a):
+            _, _, place = distinct_pairs(np.concatenate([a, left]), np.concatenate([b, right]))
+            wanted = np.zeros(place.max() + 1, bool)
+            wanted[place[:len(a)]] = True
+            keep = wanted[place[len(a):]]
+            block = np.repeat(np.array(rows["block"].to_pylist(), np.int64), sizes)[keep]
+            found.append(pa.table({"block": block, "left": left[keep], "right": right[keep], "n": pa.nulls(len(block), pa.int64())}))
+        return pa.concat_tables(found)
+    return run
 
 
-def _pair_places(seq: bytes) -> np.ndarray:
-    """For each place of a sequence but the last, the number of the pair that begins there, or -1."""
-    numbers = _unpacked(seq)
-    at, left, right = neighbours(numbers)
-    out = np.full(max(0, len(numbers) - 1), -1, np.int64)
-    out[at] = distinct_pairs(left, right)[2]
-    return out
+def frequent_pairs(blocks: DataFrame, splits: int, least: int, with_blocks: bool) -> tuple[DataFrame, DataFrame]:
+    """Of blocks (block, seq): the pairs of neighbours found ``least`` times or more, ranked, as (left, right, n, id), and
+    the blocks that hold them (block, left, right)."""
+    tiles = blocks.select("block", "seq").mapInArrow(_tile_batches(splits), _TILES)
+    found = cut(tiles.groupBy("tile", "split").applyInArrow(_merge_tile(least, with_blocks), _FOUND))
+    pairs = cut(ranked(found.where("block IS NULL").drop("block"), ["left", "right"]))
+    return pairs, found.where("block IS NOT NULL").drop("n")
 
 
-def _pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, lang, left, right, pos): the distinct pairs of each block."""
-    for batch in batches:
-        for block, lang, seq in zip(*(c.to_pylist() for c in batch.columns)):
-            left, right, _ = distinct_pairs(*neighbours(_unpacked(seq))[1:])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(left), block)), pa.array([lang] * len(left), pa.string()), pa.array(left), pa.array(right),
-                 pa.array(np.arange(len(left), dtype=np.int32))], ["block", "lang", "left", "right", "pos"])
+_SEQ = pa.schema([("block", pa.int64()), ("seq", pa.binary())])
+
+
+def _renumber(blocks: DataFrame, entries: DataFrame, ids_of: Callable[[np.ndarray, pa.Table], np.ndarray]) -> DataFrame:
+    """Blocks (block, seq) with the ids that ``ids_of`` gives their sequence and entries; a block's entries are bounded by
+    its texts.  Blocks without entries go."""
+    def run(block: pa.Table, held: pa.Table) -> pa.Table:
+        if not block.num_rows or not held.num_rows:
+            return _SEQ.empty_table()
+        seq = ids_of(_unpacked(block["seq"][0].as_py()), held)
+        return pa.table([block["block"], pa.array([_packed(seq)], pa.binary())], schema=_SEQ)
+    entries = entries.withColumn("of", F.col("block") + F.lit(0)).drop("block")  # a column of its own
+    return cut(blocks.select("block", "seq").groupBy("block").cogroup(entries.groupBy("of")).applyInArrow(run, "block long, seq binary"))
+
+
+def word_ids(seq: np.ndarray, held: pa.Table) -> np.ndarray:
+    """Ids of the words at the places of a sequence, -1 for words without."""
+    ids = np.full(int(seq.max(initial=-1)) + 2, -1, np.int64)  # the last one stands for -1
+    ids[held["pos"].to_numpy()] = held["id"].to_numpy()
+    return ids[seq]
+
+
+def pair_ids(seq: np.ndarray, held: pa.Table) -> np.ndarray:
+    """Ids of the pairs that begin at each place of a sequence but the last, -1 for pairs without."""
+    at, left, right = neighbours(seq)
+    n = held.num_rows
+    _, _, place = distinct_pairs(np.concatenate([held["left"].to_numpy(), left]), np.concatenate([held["right"].to_numpy(), right]))
+    ids = np.full(place.max(initial=-1) + 1, -1, np.int64)
+    ids[place[:n]] = held["id"].to_numpy()
+    out = np.full(max(0, len(seq) - 1), -1, np.int64)
+    out[at] = ids[place[n:]]
+    return out
 
 
 def _score(together: Column, left: Column, right: Column) -> Column:
@@ -267,37 +297,35 @@ def mine_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     texts = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(NO_LANG)).alias("lang"),
                         text_or_empty(text_col).alias("text"))
     blocks = cut(texts.mapInArrow(_block_batches, _BLOCKS))
-    parts = max(1, -(-blocks.count() // PART_BLOCKS))
-    totals = blocks.groupBy("lang").agg(F.sum("tokens").alias("all"))
-    counted = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).groupBy(
-        "lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("n")).where(F.col("n") >= least)
-    words = cut(ranked(cut(counted), ["word"]))
-    held = blocks.select("block", "lang", F.posexplode("words").alias("pos", "word"))
-    by_word = _with_ids(blocks, held.join(words, ["lang", "word"]), lambda seq: np.frombuffer(seq, np.int32))
-    pairs = frequent_pairs(by_word, parts, least)
-    held = by_word.mapInArrow(_pair_batches, "block long, lang string, left long, right long, pos int")
-    by_pair = _with_ids(by_word, held.join(pairs, ["lang", "left", "right"]), _pair_places)
-    triples = frequent_pairs(by_pair, parts, least)
+    splits = max(1, -(-blocks.count() // SPLIT_BLOCKS))
+    totals = blocks.select(F.explode("tokens").alias("t")).groupBy("t.lang").agg(F.sum("t.n").alias("all"))
+    counted = blocks.select(F.explode("words").alias("w")).groupBy("w.lang", "w.word").agg(F.sum("w.n").alias("n"))
+    words = cut(ranked(cut(counted.where(F.col("n") >= least)), ["lang", "word"]))
+    held = blocks.select("block", F.posexplode("words").alias("pos", "w")).select("block", "pos", "w.lang", "w.word")
+    by_word = _renumber(blocks, held.join(words, ["lang", "word"]).select("block", "pos", "id"), word_ids)
+    pairs, held = frequent_pairs(by_word, splits, least, True)
+    by_pair = _renumber(by_word, held.join(pairs, ["left", "right"]).select("block", "left", "right", "id"), pair_ids)
+    triples, _ = frequent_pairs(by_pair, splits, least, False)
 
     def word(side: str) -> DataFrame:
-        return words.select("lang", F.col("id").alias(side), F.col("word").alias(f"{side}_word"), F.col("n").alias(f"{side}_n"))
+        return words.select(F.col("id").alias(side), F.col("word").alias(f"{side}_word"), F.col("n").alias(f"{side}_n"))
 
     def pair(side: str, first: str, second: str) -> DataFrame:
-        return pairs.select("lang", F.col("id").alias(side), F.col("left").alias(first), F.col("right").alias(second),
+        return pairs.select(F.col("id").alias(side), F.col("left").alias(first), F.col("right").alias(second),
                             F.col("n").alias(f"{side}_n"))
 
-    holders = triples.select("lang", F.explode(F.array("left", "right")).alias("id"), "n").groupBy("lang", "id").agg(
-        F.max("n").alias("longest"))
-    seen = pairs.join(holders, ["lang", "id"], "left").where(
+    lang = words.select(F.col("id").alias("x"), "lang")
+    holders = triples.select(F.explode(F.array("left", "right")).alias("id"), "n").groupBy("id").agg(F.max("n").alias("longest"))
+    seen = pairs.join(holders, "id", "left").where(
         F.col("longest").isNull() | (100 * F.col("longest") < F.lit(round(100 * hidden)) * F.col("n")))
-    twos = seen.select("lang", F.col("left").alias("x"), F.col("right").alias("y"), F.col("n").alias("a")).join(
-        word("x"), ["lang", "x"]).join(word("y"), ["lang", "y"]).select(
+    twos = seen.select(F.col("left").alias("x"), F.col("right").alias("y"), F.col("n").alias("a")).join(lang, "x").join(
+        word("x"), "x").join(word("y"), "y").select(
         "lang", F.concat_ws(" ", "x_word", "y_word").alias("phrase"), "a", F.col("x_n").alias("l"), F.col("y_n").alias("r"),
         _score(F.col("a"), F.col("x_n"), F.col("y_n")).alias("score"))
-    threes = triples.select("lang", F.col("left").alias("xy"), F.col("right").alias("yz"), F.col("n").alias("a")).join(
-        pair("xy", "x", "y"), ["lang", "xy"]).join(pair("yz", "y_again", "z"), ["lang", "yz"])
+    threes = triples.select(F.col("left").alias("xy"), F.col("right").alias("yz"), F.col("n").alias("a")).join(
+        pair("xy", "x", "y"), "xy").join(pair("yz", "y_again", "z"), "yz").join(lang, "x")
     for side in "xyz":
-        threes = threes.join(word(side), ["lang", side])
+        threes = threes.join(word(side), side)
     cuts = F.array(*[F.struct(_score(F.col("a"), F.col(left), F.col(right)).alias("score"), F.lit(k).alias("k"),
                               F.col(left).alias("l"), F.col(right).alias("r"))
                      for k, (left, right) in enumerate((("x_n", "yz_n"), ("xy_n", "z_n")), 1)])
