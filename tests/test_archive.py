@@ -100,7 +100,28 @@ def test_marked_threads_of_captured_pages(spark):
              (2, item.format("no target", "")), (3, ""), (4, item.format("alone", mark))]
     df = spark.createDataFrame(pages, "id int, html string")
     got = {r.id: (r.target_pos, r.target_text, r.context) for r in extract_marked_threads(df, "id", "html").collect()}
-    assert got == {1: (3, "the target", ["first & best"]), 2: (None, None, []), 3: (None, None, []), 4: (1, "alone", [])}
+    assert got == {1: (3, "the target", ["first & best", ""]), 2: (None, None, []), 3: (None, None, []), 4: (1, "alone", [])}
+
+
+def test_marked_threads_with_nested_markup(spark):
+    """First body and all its text, quoted items in order, stray and missing closings, raw text and comments."""
+    from threadsmith.operators.threads import extract_marked_threads
+    body, mark = '<div data-testid="tweetText">', '<i data-testid="bookmark"/>'
+    quoted = f"<article>{body}quoted<div>!</div></div>{{}}</article>"
+    pages = [
+        (1, f"<article>{body}first <div>inner</div> tail</div></article><article>{body}t</div>{mark}</article>"),
+        (2, f"<article>{body}outer</div>{quoted.format('')}</article><article>{mark}{body}t</div></article>"),
+        (3, f"<article>{body}a</div></article><article>{body}outer</div>{quoted.format(mark)}</article>"),
+        (4, f"</div></article><p>x</article><article>{body}a</div></article><article>{mark}</article>"),
+        (5, f"<article>{body}open <b>body</article>rest<article>{body}t</div>{mark}</article>"),
+        (6, f"<script>'<article>'</script><!-- <article> > --><article><div>no body</div></article><ARTICLE>{body}t</div>{mark}</ARTICLE>"),
+        (7, f"<article><div/>{body}1 < 2 &amp; 3</div>{body}second</div></article><article>{body}t</div>{mark}"),
+        (8, None), (9, "text only"), (10, f"<article>{body}t</div></article>"), (None, f"<article>{body}t</div>{mark}</article>")]
+    df = spark.createDataFrame(pages + pages[:1], "id int, html string").repartition(3)
+    got = {r.id: (r.target_pos, r.target_text, r.context) for r in extract_marked_threads(df, "id", "html").collect()}
+    assert got == {1: (2, "t", ["first inner tail"]), 2: (3, "t", ["outer", "quoted!"]), 3: (2, "outer", ["a"]), 4: (2, None, ["a"]),
+                   5: (2, "t", ["open body"]), 6: (2, "t", []), 7: (2, "t", ["1 < 2 & 3"]), 8: (None, None, []),
+                   9: (None, None, []), 10: (None, None, []), None: (1, "t", [])}
 
 
 def test_normalise_branches(spark, arch):
@@ -110,7 +131,14 @@ def test_normalise_branches(spark, arch):
     assert n["2"].body == "thanks for the tip" and n["2"].is_reply
     assert n["2"].html == ('Replying to <a href="https://twitter.com/bob/status/111">@bob and @carol</a><br>'
                            '<p><blockquote>thanks for the tip</blockquote>'
-                           '<a href="https://twitter.com/me_owner/status/2">Tue Mar 19 14:05:17 +0000 2019</a></p>')
+                           '<a href="https://twitter.com/me_owner/status/2"><img src="../../media/tweet.ico" width="12" />&nbsp;'
+                           'Tue Mar 19 14:05:17 +0000 2019</a></p>')
+    foot = lambda i: (f'</blockquote><a href="https://twitter.com/me_owner/status/{i}"><img src="../../media/tweet.ico" width="12" />&nbsp;'
+                      'Tue Mar 19 14:05:17 +0000 2019</a></p>')
+    video = '<video controls><source src="../../media/{}">Your browser does not support the video tag.</video>'
+    assert n["800"].html == '<p><blockquote><img src="../../media/800-AAA.jpg"/>' + foot(800)
+    assert n["900"].html == ('<p><blockquote>clip <br>' + video.format("900-vid1.mp4") + "<br>\n" + video.format("900-vid2.mp4") + foot(900))
+    assert n["1000"].html == '<p><blockquote>pic <br><a href="https://t.co/m10">https://t.co/m10</a>' + foot(1000)
     assert n["5"].html.startswith('<p><blockquote>look at this <a href="https://twitter.com/someone/status/12345">')
     assert n["3"].body == "following up on my own post" and n["3"].is_reply
     assert n["4"].is_reply                                     # key present with JSON null
@@ -122,6 +150,21 @@ def test_normalise_branches(spark, arch):
     assert n["1000"].body == "pic \n\n(media)"
 
 
+def test_media_manifest_of_an_archive(spark, arch):
+    from threadsmith.plans.archive_corpus import media_manifest
+    data = os.path.join(arch, "data")
+    got = {(r.post_id, r.kind, r.file, r.source) for r in media_manifest(spark, normalised_posts(spark, data), data).collect()}
+    assert got == {("800", "photo", "800-AAA.jpg", "https://pbs.twimg.com/media/AAA.jpg:orig"), ("900", "video", "900-vid1.mp4", "v2"),
+                   ("900", "video", "900-vid2.mp4", "v2")}
+
+
+def test_group_ids_of_an_archive(spark, arch):
+    from threadsmith.operators.identity import group_ids
+    from threadsmith.sources.archive import group_events_from_archive
+    ids = {r.user_id for r in group_ids(group_events_from_archive(spark, os.path.join(arch, "data"))).collect()}
+    assert ids == {"55", "66", "1", "77", "88"}
+
+
 def test_synthesised_entities_and_reply_header(spark):
     df = spark.createDataFrame([("see http://www.example.com/a/b?x=1&y=long and http://x.org/ok http://cut.org/a…",)], "t string")
     ents = df.select(posts.synth_url_entities(F.col("t")).alias("e")).first().e

@@ -47,12 +47,6 @@ def test_partitioned_sinks(spark, tmpdir_fresh):
     posts = spark.createDataFrame([("original", 2019, 3, "1", "a"), ("reply", 2020, 1, "2", "b")],
                                   "kind string, year int, month int, id string, body string")
     p = os.path.join(tmpdir_fresh, "posts")
-    writers.write_posts_by_month(posts, p)
+    assert writers.write_posts_by_month(posts, p) == {"n_posts": 2}
     back = spark.read.parquet(p).filter("kind = 'reply' AND year = 2020")
     assert [r.id for r in back.collect()] == ["2"]
-    tr = spark.createDataFrame([("bob", 1, "t1"), ("bob", 2, "t2"), ("amy", None, "t3")],
-                               "name string, part long, transcript string")
-    q = os.path.join(tmpdir_fresh, "tr")
-    writers.write_transcripts(tr, q, "name")
-    assert spark.read.text(os.path.join(q, "conversation=amy", "part=all")).first().value == "t3"
-    assert spark.read.text(os.path.join(q, "conversation=bob", "part=2")).first().value == "t2"

@@ -38,6 +38,8 @@ class CorpusConfig:
     arms_with_replies: tuple = (0.4, 0.5, 0.7, 1.0)
     parse_replies: bool = False
     reply_topic_prob: float = 0.05
+    # exponent of the draw of a context's part: 1 draws r texts with a weight of 1 / (r + 1)
+    reply_temperature: float = 1.0
     delimiters: str = CJK_DELIMITERS
     topic_trim: str = CJK_TOPIC_TRIM
     # generated-prompt (cache) settings

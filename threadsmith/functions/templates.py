@@ -1,6 +1,6 @@
 """Prompt template banks (our own wording).
 
-Open questions, and topic templates whose ``[AAA]`` slot receives the
+Open questions, and topic templates whose ``{topic}`` slot receives the
 topic.  Index choice is ``floor(u * len(bank))`` so the banks' order is part of the
 result.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TOPIC_SLOT = "[AAA]"
+TOPIC_SLOT = "{topic}"
 
 OPEN_QUESTIONS = [
     "What have you been up to lately?",
@@ -43,30 +43,57 @@ OPEN_QUESTIONS = [
     "What caught your attention recently?",
     "Anything you want to get off your chest?",
     "What have you discovered lately?",
+    "Where did your day take you?",
+    "Who did you talk to this week, and what about?",
+    "What would you do differently if today began again?",
+    "Name one small thing that went well.",
+    "What are you looking forward to?",
+    "Which habit are you trying to keep up?",
+    "What did you change your mind about?",
+    "How did the morning go?",
+    "What is playing while you write this?",
+    "Is anything making you impatient right now?",
+    "Which question have you been asked too often?",
+    "What did you cook, fix or build most recently?",
+    "Describe the view from where you are.",
+    "What would your friends say you talk about too much?",
+    "If you had one more free hour today, where would it go?",
 ]
 
 TOPIC_TEMPLATES = [
-    "Say a few words about [AAA].",
-    "[AAA] came up in conversation. What would you add?",
-    "Write a short note that mentions [AAA].",
-    "Suppose a friend asks you about [AAA]. What do you answer?",
-    "Where does [AAA] show up in your week?",
-    "Sum up [AAA] in one post.",
-    "Post an update on [AAA].",
-    "If [AAA] were today's subject, how would you begin?",
-    "Give me your honest view on [AAA].",
-    "Remind me why [AAA] is worth a post.",
-    "When did you last deal with [AAA]?",
-    "Somebody new wants to understand [AAA]. Help them out.",
-    "Start a thread on [AAA].",
-    "Which side of [AAA] do people overlook?",
-    "Let's talk [AAA]. You go first.",
-    "Keep it brief: [AAA].",
-    "Describe [AAA] the way you would to a neighbour.",
-    "Pick [AAA] as your theme and write.",
-    "What would you change about [AAA]?",
-    "Tell us where you stand on [AAA].",
-    "One thought on [AAA], please.",
+    "Say a few words about {topic}.",
+    "{topic} came up in conversation. What would you add?",
+    "Write a short note that mentions {topic}.",
+    "Suppose a friend asks you about {topic}. What do you answer?",
+    "Where does {topic} show up in your week?",
+    "Sum up {topic} in one post.",
+    "Post an update on {topic}.",
+    "If {topic} were today's subject, how would you begin?",
+    "Give me your honest view on {topic}.",
+    "Remind me why {topic} is worth a post.",
+    "When did you last deal with {topic}?",
+    "Somebody new wants to understand {topic}. Help them out.",
+    "Start a thread on {topic}.",
+    "Which side of {topic} do people overlook?",
+    "Let's talk {topic}. You go first.",
+    "Keep it brief: {topic}.",
+    "Describe {topic} the way you would to a neighbour.",
+    "Pick {topic} as your theme and write.",
+    "What would you change about {topic}?",
+    "Tell us where you stand on {topic}.",
+    "One thought on {topic}, please.",
+    "What do newcomers get wrong about {topic}?",
+    "Compare {topic} now with how it was a year ago.",
+    "Is {topic} overrated or underrated?",
+    "Tell the short version of your history with {topic}.",
+    "Ask a question about {topic}, then answer it.",
+    "Who should hear more about {topic}, and why?",
+    "Make a case against {topic}.",
+    "What does {topic} remind you of?",
+    "Write the post about {topic} that you would like to read.",
+    "Explain {topic} without using its name twice.",
+    "What is the next thing to happen with {topic}?",
+    "Leave a reply under a post on {topic}.",
 ]
 
 

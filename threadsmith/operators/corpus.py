@@ -9,7 +9,7 @@ keyed by ``(id, round, salt)``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadsmith.config import CorpusConfig
@@ -20,6 +20,8 @@ from threadsmith.operators.ordering import ordered_index
 from threadsmith.operators.topics import choose_topics
 
 ROW_COLUMNS = ["instruction", "input", "output"]
+#: turns whose texts travel as one row to the later turns of their conversation
+SEGMENT = 64
 
 
 def rounds(df: DataFrame, factor: int) -> DataFrame:
@@ -98,11 +100,33 @@ def original_rows(posts: DataFrame, cfg: CorpusConfig, lexicon: DataFrame | None
 
 
 def thread_contexts(turns: DataFrame, conv_col: str = "conv_id", order_col: str = "turn",
-                    text_col: str = "text") -> DataFrame:
-    """Every turn with the ordered texts of all earlier turns of its conversation."""
-    w = (Window.partitionBy(conv_col).orderBy(order_col)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    return turns.withColumn("context", F.collect_list(text_col).over(w))
+                    text_col: str = "text", wanted: Column | None = None, segment: int = SEGMENT) -> DataFrame:
+    """Turns (all, or the ``wanted`` ones) with the ordered texts of all earlier turns of their conversation.
+
+    A segmented scan: turns are numbered from strides and ``segment`` of them in a row are one row of texts.
+    A segment's texts are copied to the later segments of the conversation, where they meet that segment's turns.
+    So no task needs more than one context and one segment at a time, and the shuffle is ``1/segment`` of what the
+    contexts themselves hold.  Null texts are no part of a context."""
+    x = ordered_index(turns, [conv_col], [order_col], idx_col="__i", count_col="__n")
+    row = F.struct(*[F.col(c) for c in turns.columns])
+    turn = F.struct(F.col("__i").alias("i"), F.col(text_col).alias("text"),
+                    (row if wanted is None else F.when(wanted, row)).alias("row"))
+    by_number = lambda a, b: (a["i"] - b["i"]).cast("int")  # noqa: E731  within a segment
+    segments = x.groupBy(F.col(conv_col).alias("__conv"), F.floor(F.col("__i") / segment).alias("__seg")).agg(
+        F.array_sort(F.collect_list(turn), by_number).alias("__turns"),
+        F.floor((F.max("__n") - 1) / segment).alias("__last"))
+    here = F.col("__to") == F.col("__seg")
+    said = F.transform(F.filter("__turns", lambda t: t["text"].isNotNull()), lambda t: t["text"])
+    copies = segments.select("__conv", "__seg", "__turns", F.explode(F.sequence("__seg", "__last")).alias("__to")).select(
+        "__conv", "__to", F.when(here, F.col("__turns")).alias("__own"),
+        F.when(~here, F.struct("__seg", said.alias("texts"))).alias("__said"))
+    met = copies.groupBy("__conv", "__to").agg(F.first("__own", ignorenulls=True).alias("__own"),
+                                               F.array_sort(F.collect_list("__said")).alias("__before"))
+    before = F.flatten(F.transform("__before", lambda s: s["texts"]))
+    out = met.select(before.alias("__before"), "__own", F.posexplode("__own").alias("__k", "__turn")).where(
+        F.col("__turn.row").isNotNull())
+    own = F.transform(F.filter(F.slice("__own", F.lit(1), F.col("__k")), lambda t: t["text"].isNotNull()), lambda t: t["text"])
+    return out.select("__turn.row.*", F.concat("__before", own).alias("context"))
 
 
 def reply_rows(replies: DataFrame, cfg: CorpusConfig, id_cols: list[str],
@@ -119,6 +143,40 @@ def reply_rows(replies: DataFrame, cfg: CorpusConfig, id_cols: list[str],
                     F.element_at(ctx, -1).alias("last_context")))
 
 
+def suffix_rows(replies: DataFrame, cfg: CorpusConfig, id_cols: list[str], text_col: str = "text",
+                context_col: str = "context") -> DataFrame:
+    """X11: the reply with a drawn part of its context: all of it (number 0), or its last r < n texts, with weight
+    (r + 1)^-temperature among the numbers whose texts pass the gate together.
+
+    Lengths only grow with r, so the texts that pass are 0 and all r from the first one on; one draw is inverted
+    over the weights of these, and nothing is drawn again.  A text's length is measured on its own."""
+    ctx, n = F.col(context_col), F.size(context_col)
+    gate = (passes_gate(F.col(text_col), cfg.response_thresh) & (n > 0)
+            & passes_gate(F.array_join(ctx, ""), cfg.response_thresh))
+    x = replies.filter(gate).withColumn("__n", n)
+    start = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("r"), F.lit(0).alias("least"))
+
+    def longer(a, text):
+        total, r = a["sum"] + gate_length(text), a["r"] + 1
+        least = F.when((a["least"] == 0) & (total >= cfg.response_thresh), r).otherwise(a["least"])
+        return F.struct(total.alias("sum"), r.alias("r"), least.alias("least"))
+
+    x = x.withColumn("__least", F.aggregate(F.reverse(context_col), start, longer)["least"])
+    some = (F.col("__least") > 0) & (F.col("__least") < F.col("__n"))
+    numbers = F.when(some, F.sequence(F.col("__least"), F.col("__n") - 1)).otherwise(F.array().cast("array<int>"))
+    weight = lambda r: F.pow((r + 1).cast("double"), F.lit(-float(cfg.reply_temperature)))
+    x = x.withColumn("__rs", numbers)
+    whole = F.aggregate("__rs", F.lit(1.0), lambda a, r: a + weight(r))
+    x = x.withColumn("__aim", uniform(id_cols, "suffix", cfg.seed) * whole)
+    first = F.struct(F.lit(1.0).alias("sum"), F.when(F.col("__aim") < 1.0, F.lit(0)).alias("r"))
+    found = F.aggregate("__rs", first, lambda a, r: F.struct(
+        (a["sum"] + weight(r)).alias("sum"), F.coalesce(a["r"], F.when(F.col("__aim") < a["sum"] + weight(r), r)).alias("r")))["r"]
+    x = x.withColumn("__r", F.coalesce(found, F.col("__n") - 1))
+    part = F.when(F.col("__r") == 0, ctx).otherwise(F.slice(context_col, F.col("__n") - F.col("__r") + 1, F.col("__r")))
+    return x.select(*id_cols, F.size(part).alias("n_context"), F.array_join(part, "\n").alias("instruction"),
+                    F.lit("").alias("input"), F.col(text_col).alias("output"))
+
+
 def reply_topic_rows(pairs: DataFrame, cfg: CorpusConfig, id_cols: list[str],
                      lexicon: DataFrame) -> DataFrame:
     """With probability ``reply_topic_prob`` an extra topic question about the last
@@ -132,13 +190,30 @@ def reply_topic_rows(pairs: DataFrame, cfg: CorpusConfig, id_cols: list[str],
 
 
 def gated_replies(turns: DataFrame, cfg: CorpusConfig, conv_col: str = "conv_id", order_col: str = "turn",
-                  text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", mark: str | None = None) -> DataFrame:
     """X7 without the contexts themselves: turns that pass the gate and whose earlier turns together pass it,
-    with ``n_context``.  Turn numbers and running lengths come from strides, so a hot conversation spreads."""
-    x = ordered_index(turns.withColumn("__len", gate_length(F.col(text_col))), [conv_col], [order_col],
+    with ``n_context``.  With ``mark`` all turns that have a text stay and that column tells which pass.  Turn numbers
+    and running lengths come from strides, so a hot conversation spreads."""
+    said = turns.where(F.col(text_col).isNotNull())
+    x = ordered_index(said.withColumn("__len", gate_length(F.col(text_col))), [conv_col], [order_col],
                       idx_col="n_context", running={"__before": F.col("__len")})
-    return x.filter((F.col("__len") >= cfg.response_thresh) & (F.col("n_context") > 0)
-                    & (F.col("__before") >= cfg.response_thresh)).drop("__len", "__before")
+    passes = (F.col("__len") >= cfg.response_thresh) & (F.col("n_context") > 0) & (F.col("__before") >= cfg.response_thresh)
+    x = x.filter(passes) if mark is None else x.withColumn(mark, F.coalesce(passes, F.lit(False)))
+    return x.drop("__len", "__before")
+
+
+def with_last_text(turns: DataFrame, conv_col: str = "conv_id", order_col: str = "turn", text_col: str = "text",
+                   number_col: str = "n_context") -> DataFrame:
+    """``turns`` numbered in ``number_col`` with ``last_context``, the text of the turn before.  Every turn's text is
+    copied to the next number, so no task holds a conversation."""
+    row = F.struct(*[F.col(c) for c in turns.columns])
+    shifted = turns.select(F.col(conv_col).alias("__conv"), F.explode(F.array(F.lit(0), F.lit(1))).alias("__by"),
+                           F.col(number_col).alias("__i"), F.col(text_col).alias("__text"), row.alias("__row"))
+    own = F.col("__by") == 0
+    met = shifted.groupBy("__conv", (F.col("__i") + F.col("__by")).alias("__at")).agg(
+        F.first(F.when(own, F.col("__row")), ignorenulls=True).alias("__row"),
+        F.first(F.when(~own, F.col("__text")), ignorenulls=True).alias("last_context"))
+    return met.where(F.col("__row").isNotNull()).select("__row.*", "last_context")
 
 
 def context_histogram(pairs: DataFrame) -> DataFrame:

@@ -25,6 +25,15 @@ def dm_ids(convs: DataFrame, conv_col: str = "conversation_id") -> DataFrame:
     return convs.select(F.explode(F.split(F.col(conv_col), "-")).alias("user_id")).distinct()
 
 
+def group_ids(events: DataFrame) -> DataFrame:
+    """The distinct ids of all group conversations' participants, straight from their events: senders, those who
+    join, add or are added, but not those only named as leaving."""
+    k = F.col("kind")
+    people = F.when(k == "message", F.array("actor_id")).when(k.isin("join", "add"), F.concat(
+        F.array("actor_id"), F.coalesce("user_ids", F.array().cast("array<string>"))))
+    return ids(events.select(F.explode(people).alias("user_id")), "user_id").distinct()
+
+
 def universe(following: DataFrame, followers: DataFrame, dms: DataFrame, groups: DataFrame | None = None):
     """``(without_followers, only_followers, all)`` id sets."""
     base = following.unionByName(dms)

@@ -12,6 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadsmith.config import MEDIA_PLACEHOLDER, PHOTO_URL_PREFIX, VIDEO_PLACEHOLDER
+from threadsmith.operators.posts import MEDIA_FOLDER
+
+
+# The tag of a local video, before and after its path.
+HTML_VIDEO = ('<video controls><source src="', '">Your browser does not support the video tag.</video>\n')
 
 
 def basename(p: Column) -> Column:
@@ -24,17 +29,32 @@ def listing_from_paths(files: DataFrame, path_col: str = "path") -> DataFrame:
     return f.withColumn("post_id", F.substring_index("file", "-", 1))
 
 
+#: longest post id, in digits
+ID_DIGITS = 20
+
+
+def files_of_posts(listing: DataFrame, any_prefix: bool = False) -> DataFrame:
+    """``listing`` with ``post_id`` for each post a file may belong to: the one before its ``-``; with ``any_prefix``
+    every post whose id the file's name starts with (``12*`` also takes ``123-a.jpg``), as a pattern search does.
+    The second is still a join on equal ids: a name begins with at most ``ID_DIGITS`` of them."""
+    if not any_prefix:
+        return listing
+    digits = F.length(F.regexp_extract("file", f"^[0-9]{{1,{ID_DIGITS}}}", 0))
+    prefixes = F.when(digits > 0, F.transform(F.sequence(F.lit(1), digits), lambda k: F.left("file", k)))
+    return listing.withColumn("post_id", F.explode(prefixes))
+
+
 def resolve_media(media: DataFrame, listing: DataFrame, bodies: DataFrame, keys: tuple = ("post_id",),
-                  scope: tuple = ()) -> DataFrame:
+                  scope: tuple = (), any_prefix: bool = False) -> DataFrame:
     """``media(keys, post_id, pos, media_url)``, ``listing(scope, file, post_id)``,
     ``bodies(keys, body, media_link)`` -> ``keys, body, n_media, n_video_files, n_missing`` with the media link
     replaced by the placeholders.  ``keys`` identify a post's row (a post id can occur in two parts), ``scope``
-    columns (the archive) bound the search for files."""
+    columns (the archive) bound the search for files, ``any_prefix`` widens it (see ``files_of_posts``)."""
     keys, scope = list(keys), list(scope)
     m = media.withColumn("__exp", F.concat(F.col("post_id"), F.lit("-"), basename(F.col("media_url"))))
     exact = listing.select(*scope, F.col("file").alias("__exp"), F.lit(True).alias("__exact")).distinct()
     m = m.join(exact, [*scope, "__exp"], "left")
-    per_post_files = listing.groupBy(*scope, "post_id").agg(F.count(F.lit(1)).alias("__nfiles"))
+    per_post_files = files_of_posts(listing, any_prefix).groupBy(*scope, "post_id").agg(F.count(F.lit(1)).alias("__nfiles"))
     m = m.join(per_post_files, [*scope, "post_id"], "left")
     nfiles = F.coalesce(F.col("__nfiles"), F.lit(0))
     ph = (F.when(F.col("__exact").isNotNull(), F.lit(MEDIA_PLACEHOLDER))
@@ -53,6 +73,29 @@ def resolve_media(media: DataFrame, listing: DataFrame, bodies: DataFrame, keys:
                     "n_media", "n_video_files", "n_missing")
 
 
+def media_tags(media: DataFrame, listing: DataFrame, bodies: DataFrame, keys: tuple = ("post_id",), scope: tuple = (),
+               any_prefix: bool = False, folder: str = MEDIA_FOLDER) -> DataFrame:
+    """``keys, html_body`` with the media link of ``bodies(keys, html_body, media_link)`` replaced by tags: a photo's own
+    file as an image, else each file of the post (by name) as a video, else the link itself."""
+    keys, scope = list(keys), list(scope)
+    m = media.withColumn("__exp", F.concat(F.col("post_id"), F.lit("-"), basename(F.col("media_url"))))
+    exact = listing.select(*scope, F.col("file").alias("__exp"), F.lit(True).alias("__exact")).distinct()
+    m = m.join(exact, [*scope, "__exp"], "left")
+    files = files_of_posts(listing, any_prefix).groupBy(*scope, "post_id").agg(F.sort_array(F.collect_set("file")).alias("__files"))
+    m = m.join(files, [*scope, "post_id"], "left")
+    src = lambda f: F.concat(F.lit(f"{folder}/"), f)
+    image = F.concat(F.lit('<img src="'), src(F.col("__exp")), F.lit('"/>'))
+    videos = F.array_join(F.transform("__files", lambda f: F.concat(F.lit(HTML_VIDEO[0]), src(f), F.lit(HTML_VIDEO[1]))), "")
+    tag = F.when(F.col("__exact").isNotNull(), image).when(F.size("__files") > 0, videos)
+    per = m.select(*keys, "pos", tag.alias("__tag")).groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("pos", "__tag"))).alias("__tags"))
+    link, body = F.col("media_link"), F.col("html_body")
+    anchor = F.concat(F.lit('<a href="'), link, F.lit('">'), link, F.lit("</a>"))
+    tags = F.array_join(F.transform("__tags", lambda t: F.coalesce(t["__tag"], anchor)), "<br>")
+    html = F.concat(F.when(body == link, F.lit("")).otherwise(F.lit("<br>")), tags)
+    return bodies.join(per, keys).select(*keys, F.replace(body, link, html).alias("html_body"))
+
+
 def photo_source(media_url: Column) -> Column:
     """P13 (photo): ``https://pbs.twimg.com/media/<name>:orig``."""
     return F.concat(F.lit(PHOTO_URL_PREFIX), basename(media_url), F.lit(":orig"))
@@ -68,6 +111,55 @@ def best_variants(variants: DataFrame, key_cols: list[str]) -> DataFrame:
         F.max("__br").alias("best_bitrate"))
 
 
+def media_manifest(media: DataFrame, listing: DataFrame, best: DataFrame, keys: tuple = ("post_id",), scope: tuple = (),
+                   any_prefix: bool = False) -> DataFrame:
+    """Where the best version of every kept media file is found: ``keys, pos, kind, file, source``.
+
+    A medium whose own file is in ``listing(scope, file, post_id)`` is a photo, its source the full-size url; otherwise
+    every file of the post is a video's, its source the medium's best variant (``best(keys, pos, best_url)``; without
+    one there is no row).  Media without any file have none."""
+    keys, scope = list(keys), list(scope)
+    m = media.withColumn("__exp", F.concat(F.col("post_id"), F.lit("-"), basename(F.col("media_url"))))
+    exact = listing.select(*scope, F.col("file").alias("__exp"), F.lit(True).alias("__exact")).distinct()
+    m = m.join(exact, [*scope, "__exp"], "left")
+    photos = m.where("__exact").select(*keys, "pos", F.lit("photo").alias("kind"), F.col("__exp").alias("file"),
+                                       photo_source(F.col("media_url")).alias("source"))
+    files = files_of_posts(listing, any_prefix).select(*scope, "post_id", "file").distinct()
+    videos = m.where(F.col("__exact").isNull()).join(files, list(dict.fromkeys([*scope, "post_id"]))).join(best, [*keys, "pos"])
+    return photos.unionByName(videos.select(*keys, "pos", F.lit("video").alias("kind"), "file", F.col("best_url").alias("source")))
+
+
+def retry_ledger(results: DataFrame, tries: int = 5, key: str = "file") -> DataFrame:
+    """M2: ``file, attempts, state, bytes`` after the retry rounds, from supplied results ``(file, round, success, bytes)``.
+
+    A file takes part in round 1 and in each further one while all before it failed; results of rounds it does not
+    reach do not count.  It ends as ``best`` with its first success, ``failed`` after ``tries`` failures, and is
+    ``pending`` while the result of its next round is missing.  Of several results of one round a success counts."""
+    one = results.where(F.col("round").between(1, tries)).groupBy(key, "round").agg(F.max(F.struct("success", "bytes")).alias("r"))
+    lists = one.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("round", "r"))).alias("rounds"))
+    start = F.struct(F.lit(0).cast("long").alias("attempts"), F.lit(False).alias("done"), F.lit(0).cast("long").alias("bytes"))
+
+    def step(a, x):
+        counts = ~a["done"] & (x["round"] == a["attempts"] + 1)
+        return F.struct((a["attempts"] + counts.cast("long")).alias("attempts"), (a["done"] | (counts & x["r"]["success"])).alias("done"),
+                        (a["bytes"] + F.when(counts, x["r"]["bytes"].cast("long")).otherwise(F.lit(0).cast("long"))).alias("bytes"))
+    known = results.select(key).distinct().join(lists, key, "left")
+    end = F.aggregate(F.coalesce("rounds", F.array().cast(lists.schema["rounds"].dataType)), start, step)
+    out = known.select(key, end.alias("e"))
+    state = F.when(F.col("e.done"), "best").when(F.col("e.attempts") >= tries, "failed").otherwise("pending")
+    return out.select(key, F.col("e.attempts").alias("attempts"), state.alias("state"), F.col("e.bytes").alias("bytes"))
+
+
+def retry_rounds(ledger: DataFrame, first_pause: float = 0.25, longer_by: float = 2.0) -> DataFrame:
+    """M2: ``round, n_tested, n_success, n_left, pause``: what each round of the ledger tested and left for the next, and
+    the pause between its requests."""
+    rounds = ledger.where("attempts > 0").select("state", "attempts", F.explode(F.sequence(F.lit(1).cast("long"), "attempts")).alias("round"))
+    won = (F.col("state") == "best") & (F.col("round") == F.col("attempts"))
+    out = rounds.groupBy("round").agg(F.count(F.lit(1)).alias("n_tested"), F.count_if(won).alias("n_success"))
+    return out.withColumn("n_left", F.col("n_tested") - F.col("n_success")).withColumn(
+        "pause", F.lit(first_pause) + (F.col("round") - 1) * longer_by)
+
+
 def upgrade_decisions(files: DataFrame) -> DataFrame:
     """M1/M2: decision per file from local/remote byte sizes, pixel sizes (-1 unknown)
     and the response status; ``retry`` marks the failed ones."""

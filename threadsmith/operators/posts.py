@@ -131,10 +131,22 @@ def month_columns(df: DataFrame, epoch_col: str = "ts") -> DataFrame:
     return df.withColumn("year", F.year(t)).withColumn("month", F.month(t))
 
 
+# Where a post's page finds media and the icon of its footer.
+MEDIA_FOLDER = "../../media"
+ICON = f"{MEDIA_FOLDER}/tweet.ico"
+
+
+def page_html(header: Column, body: Column, permalink: Column, created_at: Column, icon: str = ICON) -> Column:
+    """Header, the body's lines as a block quote, and the footer with the icon, the time and the link."""
+    lines = F.regexp_replace(F.regexp_replace(body, LINE_BREAK + r"\z", ""), LINE_BREAK, "<br>\n")
+    return F.concat(header, F.lit("<p><blockquote>"), lines, F.lit('</blockquote><a href="'), permalink,
+                    F.lit(f'"><img src="{icon}" width="12" />&nbsp;'), created_at, F.lit("</a></p>"))
+
+
 def normalize(parsed: DataFrame, owner: str | Column) -> DataFrame:
-    """convert_tweet as one projection: ``ts, id, body, html, is_reply, is_quote,
-    is_retweet, media_url0`` (media placeholders are resolved by
-    :func:`threadsmith.operators.media.resolve_media`)."""
+    """convert_tweet as one projection: ``ts, id, body, html_header, html_body, permalink, created_at, html, is_reply,
+    is_quote, is_retweet, media_url0`` (media links in both bodies are resolved by
+    :func:`threadsmith.operators.media.resolve_media` and ``media_tags``)."""
     p = F.col("p")
     text = p["full_text"]
     urls = effective_urls(p, F.col("has_entities"), F.col("has_media_key"), text)
@@ -148,14 +160,14 @@ def normalize(parsed: DataFrame, owner: str | Column) -> DataFrame:
     body = F.when(is_reply_hdr, rp["body"]).otherwise(md)
     html_body = F.when(is_reply_hdr, rp_html["body"]).otherwise(html)
     permalink = F.concat(F.lit(STATUS_URL_PREFIX), as_column(owner), F.lit("/status/"), p["id_str"])
-    html_full = F.concat(F.when(is_reply_hdr, rp["header_html"]).otherwise(F.lit("")), F.lit("<p><blockquote>"),
-                         F.regexp_replace(F.regexp_replace(html_body, LINE_BREAK + r"\z", ""), LINE_BREAK, "<br>\n"), F.lit("</blockquote>"),
-                         F.lit('<a href="'), permalink, F.lit('">'), p["created_at"], F.lit("</a></p>"))
+    header = F.when(is_reply_hdr, rp["header_html"]).otherwise(F.lit(""))
     r, q, rt = type_flags(F.col("__urls"), F.col("has_reply_str_key"), text)
     return x.select(
         *[c for c in parsed.columns if c not in ("p",) and not c.startswith("has_")],
         F.when(F.col("has_created_at"), post_epoch(p["created_at"])).alias("ts"),
-        p["id_str"].alias("id"), escape_markdown(body).alias("body"), html_full.alias("html"),
+        p["id_str"].alias("id"), escape_markdown(body).alias("body"), header.alias("html_header"), html_body.alias("html_body"),
+        permalink.alias("permalink"), p["created_at"].alias("created_at"),
+        page_html(header, html_body, permalink, p["created_at"]).alias("html"),
         r.alias("is_reply"), q.alias("is_quote"), rt.alias("is_retweet"),
         p["entities"]["media"].getItem(0)["url"].alias("media_url0"),
         p["extended_entities"]["media"].alias("media"),

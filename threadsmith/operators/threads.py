@@ -1,14 +1,15 @@
 """Thread context from captured pages (X18) and the thread-cache join.
 
 A page holds ordered item blocks; the *target* is the first block carrying the marker and
-its context is the text of every earlier block that has text.  Everything is computed
-inside the row with higher-order functions: no shuffle, page size bounds the work."""
+its context is the text of every earlier block that has text.  Plain items are computed
+inside the row with higher-order functions; captured pages with nested markup are cut into
+tags and texts, whose elements are matched by running depths."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadsmith.config import CorpusConfig
@@ -59,16 +60,80 @@ def extract_threads(pages: DataFrame, id_col: str, html_col: str,
     return _threads(p, id_col, marked)
 
 
+#: what a page is cut into: comments, tags, and the text between
+TOKEN = r"(?s)<!--.*?-->|</?[A-Za-z][^>]*>|<[!?][^>]*>|[^<]+|<"
+#: elements whose content is no markup
+RAW = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>"
+
+
+def page_tokens(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
+    """``id, page, pos, tok``: the tags and texts of each page in order, ``page`` being a hash of it.  A page captured
+    twice under one id is one page; one without tokens has a row without."""
+    clean = F.regexp_replace(F.col(html_col), F.lit(RAW), F.lit(""))
+    toks = pages.select(F.col(id_col).alias("id"), F.xxhash64(html_col).alias("page"),
+                        F.posexplode_outer(F.regexp_extract_all(clean, F.lit(TOKEN), F.lit(0))).alias("pos", "tok"))
+    return toks.repartition("id", "page").dropDuplicates(["id", "page", "pos"])
+
+
+def element_ends(tokens: DataFrame, names: list[str]) -> DataFrame:
+    """``tokens`` of opening tags of ``names`` with ``name`` and ``end``, the place of the matching closing tag (null where
+    it is missing).
+
+    The depth of a tag is the running sum of openings less closings of its name; closings without an opening do
+    not count, so the sum never falls below its least value so far.  Tags of one name and level take turns to
+    open and close, and the one after an opening is its closing."""
+    name = F.lower(F.regexp_extract("tok", r"^</?([A-Za-z][A-Za-z0-9]*)", 1))
+    tags = tokens.withColumn("name", name).where(F.col("name").isin(*names) & ~F.endswith("tok", F.lit("/>")))
+    closes = F.startswith("tok", F.lit("</"))
+    order = Window.partitionBy("id", "page", "name").orderBy("pos")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    tags = tags.withColumn("closes", closes).withColumn("sum", F.sum(F.when(closes, -1).otherwise(1)).over(so_far))
+    depth = F.col("sum") - F.least(F.lit(0), F.min("sum").over(so_far))
+    tags = tags.withColumn("depth", depth).withColumn("level", F.when(F.col("closes"), F.col("depth") + 1).otherwise(F.col("depth")))
+    level = Window.partitionBy("id", "page", "name", "level").orderBy("pos")
+    return tags.withColumn("end", F.lead("pos").over(level)).where(~F.col("closes")).select(
+        "id", "page", "pos", "tok", "name", "end")
+
+
 def extract_marked_threads(pages: DataFrame, id_col: str, html_col: str, target_mark: str = TARGET_MARK,
                            body_mark: str = BODY_MARK) -> DataFrame:
-    """``id, target_pos, target_text, context`` of captured pages: items are the ``article`` elements, the
-    target is the first one that holds ``target_mark``, an item's text is that of its marked bodies."""
-    blocks = F.regexp_extract_all(F.col(html_col), F.lit(r"(?s)<article\b[^>]*>(.*?)</article>"), F.lit(1))
-    p = pages.select(F.col(id_col), blocks.alias("__blocks"))
-    body = F.lit(rf"(?s)<(\w+)\b[^>]*{body_mark}[^>]*>(.*?)</\1>")
-    texts = F.transform("__blocks", lambda b: decoded(strip_tags(F.array_join(F.regexp_extract_all(b, body, F.lit(2)), ""))))
-    p = p.withColumn("__texts", texts)
-    return _threads(p, id_col, F.transform("__blocks", lambda b: F.contains(b, F.lit(target_mark))))
+    """``id, target_pos, target_text, context`` of captured pages: items are the ``article`` elements in the order in
+    which they open, also those inside others; the target is the first one with ``target_mark`` anywhere in it; an
+    item's text is all text of the first ``div`` in it that carries ``body_mark``.  The context is the texts of the
+    items before the target (an item without such a body has none).
+
+    Elements are matched by running depths over the page's tags; all tokens of a page meet in one group."""
+    tokens = page_tokens(pages, id_col, html_col)
+    places = element_ends(tokens, ["article", "div"])
+    past = F.lit(2147483647)
+    article, body = F.col("name") == "article", (F.col("name") == "div") & F.contains("tok", F.lit(body_mark))
+    span = F.struct("pos", F.coalesce("end", past).alias("end"))
+    elements = places.groupBy("id", "page").agg(F.array_sort(F.collect_list(F.when(article, span))).alias("articles"),
+                                                F.array_sort(F.collect_list(F.when(body, span))).alias("bodies"))
+    is_tag = F.startswith("tok", F.lit("<")) & (F.col("tok") != "<")
+    texts = tokens.groupBy("id", "page").agg(
+        F.array_sort(F.collect_list(F.when(~is_tag, F.struct("pos", "tok")))).alias("texts"),
+        F.collect_list(F.when(is_tag & F.contains("tok", F.lit(target_mark)), F.col("pos"))).alias("marks"))
+    same = F.col("id").eqNullSafe(F.col("e_id")) & F.col("page").eqNullSafe(F.col("e_page"))
+    p = texts.join(elements.withColumnsRenamed({"id": "e_id", "page": "e_page"}), same, "left")
+    none = F.array().cast("array<struct<pos:int,end:int>>")
+    p = p.withColumns({c: F.coalesce(c, none) for c in ("articles", "bodies")})
+
+    def text_of(a: Column) -> Column:
+        own = F.get(F.filter("bodies", lambda b: (b["pos"] > a["pos"]) & (b["pos"] < a["end"])), 0)
+        # a body left open ends with the innermost article around it
+        around = F.filter("articles", lambda x: (x["pos"] < own["pos"]) & (x["end"] > own["pos"]))
+        end = F.least(own["end"], F.array_min(F.transform(around, lambda x: x["end"])))
+        inside = F.filter("texts", lambda t: (t["pos"] > own["pos"]) & (t["pos"] < end))
+        return F.when(own.isNotNull(), decoded(F.array_join(F.transform(inside, lambda t: t["tok"]), "")))
+
+    p = p.withColumn("__texts", F.transform("articles", text_of))
+    marked = F.transform("articles", lambda a: F.exists("marks", lambda m: (m > a["pos"]) & (m < a["end"])))
+    p = p.withColumn("target_pos", F.array_position(marked, F.lit(True))).withColumn(
+        "target_pos", F.when(F.col("target_pos") > 0, F.col("target_pos")))
+    before = F.filter("__texts", lambda t, i: (i + 1 < F.col("target_pos")) & t.isNotNull())
+    return p.select(F.col("id").alias(id_col), "target_pos", F.get("__texts", (F.col("target_pos") - 1).cast("int")).alias("target_text"),
+                    F.when(F.col("target_pos").isNotNull(), before).otherwise(F.array().cast("array<string>")).alias("context"))
 
 
 def _threads(p: DataFrame, id_col: str, marked: Column) -> DataFrame:

@@ -3,8 +3,9 @@ noun of that sentence from a lexicon table, and fill a topic template.
 
 The lexicon ``(word, flag)`` replaces a part-of-speech tagger: a word counts as a noun
 when its flag contains the letter ``n``.  Plan: the chosen sentence's words are exploded,
-joined to the noun set (broadcast after a size check, shuffle join beyond it) and
-re-assembled per key in sentence order; only rows with >1 sentence take part.
+joined to the noun set (Spark chooses the join by its size) and re-assembled per key in
+sentence order; only rows with >1 sentence take part.  For text without spaces the words come
+from ``segment`` and the lexicon has a ``freq``.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from threadsmith.config import CorpusConfig
 from threadsmith.functions import templates
 from threadsmith.functions.draws import pick_index, uniform
 from threadsmith.functions.text import split_sentences, words
+from threadsmith.operators.segment import nouns as segment_nouns
+from threadsmith.operators.segment import segment
 
 
 def lexicon_from_text(df: DataFrame, text_col: str = "text", min_noun_len: int = 4) -> DataFrame:
@@ -41,10 +44,11 @@ def topic_sentence(sents, trim_chars: str, keys, seed: str):
 
 def choose_topics(df: DataFrame, keys: list[str], text_col: str, lexicon: DataFrame,
                   cfg: CorpusConfig, carry: list[str] | None = None,
-                  apart: list[str] | None = None) -> DataFrame:
+                  apart: list[str] | None = None, unspaced: str | None = None) -> DataFrame:
     """``keys..., carry..., topic, topic_instruction`` for every input row; topic and
     instruction are NULL when the text has at most one sentence.  Draws depend on ``keys``
-    alone; ``apart`` columns tell rows with equal keys apart.
+    alone; ``apart`` columns tell rows with equal keys apart.  With ``unspaced`` (a regex class body of the
+    script written without spaces) the words are those of ``segment``, found in the row.
 
     Plan: the sentence list is computed once per row; only the chosen sentence's words
     are exploded, tagged by a join with the noun set and re-assembled per
@@ -58,6 +62,9 @@ def choose_topics(df: DataFrame, keys: list[str], text_col: str, lexicon: DataFr
     t = (df.select(*keys, *carry, sents.alias("__s"))
          .select(*keys, *carry, F.when(F.size("__s") > 1, topic_sentence(F.col("__s"), cfg.topic_trim, draw, cfg.seed))
                  .alias("__sent")))
+    if unspaced is not None:
+        found = segment(t, "__sent", lexicon, "__words", unspaced).withColumn("__nouns", segment_nouns("__words"))
+        return _with_topics(found, keys, carry, draw, F.col("__nouns"), cfg)
     nouns = noun_set(lexicon)
     exploded = t.select(*keys, *carry, "__sent",
                         F.posexplode_outer(words(F.col("__sent"))).alias("__pos", "__word"))
@@ -71,10 +78,15 @@ def choose_topics(df: DataFrame, keys: list[str], text_col: str, lexicon: DataFr
             F.when(F.col("__noun").isNotNull(), F.struct(F.col("__pos"), F.col("__word")))
         )).alias("__nouns"),
     )
-    cnt = F.size("__nouns")
-    noun = F.when(cnt > 0, F.get(F.col("__nouns"), pick_index(uniform(draw, "noun", cfg.seed), cnt))["__word"])
+    return _with_topics(per_key, keys, carry, draw, F.transform("__nouns", lambda n: n["__word"]), cfg)
+
+
+def _with_topics(sentences: DataFrame, keys: list[str], carry: list[str], draw: list[str], nouns, cfg: CorpusConfig) -> DataFrame:
+    """A drawn noun of the sentence (or the sentence itself) in a drawn template."""
+    cnt = F.size(nouns)
+    noun = F.when(cnt > 0, F.get(nouns, pick_index(uniform(draw, "noun", cfg.seed), cnt)))
     topic = F.when(F.col("__sent").isNotNull(), F.coalesce(noun, F.col("__sent")))
     tmpl = templates.pick(templates.TOPIC_TEMPLATES,
                           pick_index(uniform(draw, "ttmpl", cfg.seed), len(templates.TOPIC_TEMPLATES)))
-    return per_key.select(*keys, *carry, topic.alias("topic"),
-                          F.replace(tmpl, F.lit(templates.TOPIC_SLOT), topic).alias("topic_instruction"))
+    return sentences.select(*keys, *carry, topic.alias("topic"),
+                            F.replace(tmpl, F.lit(templates.TOPIC_SLOT), topic).alias("topic_instruction"))

@@ -1,11 +1,13 @@
 """Training-set preparation.
 
-Tokenisation is re-aimed: a corpus vocabulary is built in Spark (whitespace tokens by
-frequency, ids after the special ids) and rows are encoded by a join with it.  Batching
+Rows are encoded by a join with a vocabulary: whitespace tokens of the corpus, numbered in Spark by
+frequency, or the pieces that a published sub-word vocabulary gives each pre-token (``subword``).  Batching
 cuts a drawn order of all rows, pads to the batch maximum and builds the label mask."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,26 +52,30 @@ def build_vocab(texts: DataFrame, text_cols: list[str], cfg: CorpusConfig) -> Da
     return out if cfg.vocab_size is None else out.filter(F.col("token_id") < first_id + cfg.vocab_size)
 
 
-def encode(rows: DataFrame, keys: list[str], fields: list[str], vocab: DataFrame, cfg: CorpusConfig) -> DataFrame:
-    """``keys..., <field>_ids...``: token ids of each text field, unknown tokens ->
-    ``unk_id``.  One explode (outer, so every row key survives), one vocabulary join (its
-    strategy is Spark's choice, as the vocabulary has no bound) and one aggregation per row key;
-    the texts themselves are not shuffled again (join the ids back only if needed)."""
-    parts = None
+def encode(rows: DataFrame, keys: list[str], fields: list[str], vocab: DataFrame, cfg: CorpusConfig,
+           tokens: Callable[[Column], Column] = whitespace_tokens) -> DataFrame:
+    """``keys..., <field>_ids...``: token ids of each text field, unknown tokens -> ``unk_id``.  ``vocab`` gives a token's
+    ``token_id`` or, for tokens of several pieces, its ``ids``.
+
+    Every distinct text is encoded once (rounds and templates repeat many): its tokens meet the vocabulary by a join,
+    whose strategy is Spark's choice, as the vocabulary has no bound, and come together again by the text's hash.
+    The rows carry hashes only and are never exploded."""
+    hashed = lambda f: F.md5(F.col(f))
+    texts = None
     for f in fields:
-        p = rows.select(*keys, F.lit(f).alias("__field"),
-                        F.posexplode_outer(whitespace_tokens(F.col(f))).alias("__pos", "__tok"))
-        parts = p if parts is None else parts.unionByName(p)
-    v = vocab.select(F.col("token").alias("__tok"), F.col("token_id"))
-    j = parts.join(v, "__tok", "left")
-    tid = F.coalesce(F.col("token_id"), F.lit(cfg.unk_id))
-    aggs = []
+        t = rows.where(F.col(f).isNotNull()).select(hashed(f).alias("__h"), F.col(f).alias("__text"))
+        texts = t if texts is None else texts.unionByName(t)
+    found = texts.dropDuplicates(["__h"]).select("__h", F.posexplode(tokens(F.col("__text"))).alias("__pos", "__tok"))
+    ids = F.col("ids") if "ids" in vocab.columns else F.array("token_id")
+    j = found.join(vocab.select(F.col("token").alias("__tok"), ids.alias("__ids")), "__tok", "left")
+    known = F.coalesce("__ids", F.array(F.lit(cfg.unk_id)))
+    lists = j.groupBy("__h").agg(F.array_sort(F.collect_list(F.struct("__pos", known.alias("ids")))).alias("__l")).select(
+        "__h", F.flatten(F.transform("__l", lambda x: x["ids"])).alias("__ids"))
+    out = rows.select(*keys, *[hashed(f).alias(f"__h_{f}") for f in fields])
     for f in fields:
-        aggs.append(F.transform(
-            F.array_sort(F.collect_list(F.when((F.col("__field") == f) & F.col("__pos").isNotNull(),
-                                               F.struct(F.col("__pos"), tid.alias("id"))))),
-            lambda s: s["id"]).alias(f"{f}_ids"))
-    return j.groupBy(*keys).agg(*aggs)
+        out = out.join(lists.select(F.col("__h").alias(f"__h_{f}"), F.col("__ids").alias(f"{f}_ids")), f"__h_{f}", "left")
+    none = F.array().cast("array<int>")
+    return out.select(*keys, *[F.coalesce(f"{f}_ids", none).alias(f"{f}_ids") for f in fields])
 
 
 def assemble(df: DataFrame, cfg: CorpusConfig, prompt_col: str = "context_ids",

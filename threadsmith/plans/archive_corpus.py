@@ -24,16 +24,34 @@ def all_posts(spark: SparkSession, data_dirs: str | list[str]) -> DataFrame:
 
 
 def with_media(spark: SparkSession, norm: DataFrame, data_dirs: str | list[str]) -> DataFrame:
-    """Bodies with their media links replaced; files are looked up in the post's own archive."""
+    """Both bodies with their media links replaced and the page rendered with them; files are looked up in the post's own
+    archive."""
     listing = archive.media_listing(spark, data_dirs)
     found = norm.filter(F.col("media").isNotNull() & F.col("media_url0").isNotNull())
     items = found.select(*ROW, F.col("id").alias("post_id"), F.posexplode("media").alias("pos", "m")).filter(
         F.col("m.url").isNotNull() & F.col("m.media_url").isNotNull()).select(
         *ROW, "post_id", "pos", F.col("m.media_url").alias("media_url"))
-    bodies = found.select(*ROW, "body", F.col("media_url0").alias("media_link"))
+    bodies = found.select(*ROW, "body", "html_body", F.col("media_url0").alias("media_link"))
     resolved = media.resolve_media(items, listing, bodies, keys=ROW, scope=("archive",)).select(
         *ROW, F.col("body").alias("__mbody"))
-    return norm.join(resolved, list(ROW), "left").withColumn("body", F.coalesce("__mbody", "body")).drop("__mbody")
+    tagged = media.media_tags(items, listing, bodies, keys=ROW, scope=("archive",)).withColumnRenamed("html_body", "__hbody")
+    x = norm.join(resolved, list(ROW), "left").join(tagged, list(ROW), "left")
+    x = x.withColumn("body", F.coalesce("__mbody", "body")).withColumn("html_body", F.coalesce("__hbody", "html_body"))
+    page = posts.page_html(F.col("html_header"), F.col("html_body"), F.col("permalink"), F.col("created_at"))
+    return x.withColumn("html", F.when(F.col("__hbody").isNotNull(), page).otherwise(F.col("html"))).drop("__mbody", "__hbody")
+
+
+def media_manifest(spark: SparkSession, norm: DataFrame, data_dirs: str | list[str]) -> DataFrame:
+    """``archive, ..., post_id, pos, kind, file, source`` of every kept media file of the posts."""
+    listing = archive.media_listing(spark, data_dirs)
+    found = norm.filter(F.col("media").isNotNull()).select(*ROW, F.col("id").alias("post_id"), F.posexplode("media").alias("pos", "m"))
+    keys = [*ROW, "post_id"]
+    items = found.filter(F.col("m.url").isNotNull() & F.col("m.media_url").isNotNull()).select(
+        *keys, "pos", F.col("m.media_url").alias("media_url"))
+    variants = found.select(*keys, F.col("pos").alias("media_pos"), F.posexplode("m.video_info.variants").alias("pos", "v")).select(
+        *keys, "media_pos", "pos", F.col("v.bitrate").alias("bitrate"), F.col("v.url").alias("url"))
+    best = media.best_variants(variants, [*keys, "media_pos"]).withColumnRenamed("media_pos", "pos")
+    return media.media_manifest(items, listing, best, keys=tuple(keys), scope=("archive",))
 
 
 def normalised_posts(spark: SparkSession, data_dirs: str | list[str], media_files: bool = True) -> DataFrame:

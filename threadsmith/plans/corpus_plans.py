@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from threadsmith.config import ASCII
 from threadsmith.functions import templates
+from threadsmith.functions.draws import uniform
 from threadsmith.functions.text import gate_length, split_sentences
 from threadsmith.operators import corpus, topics
 from threadsmith.plans import sqlfrag as S
@@ -34,12 +35,27 @@ def originals(spark: SparkSession, sf: str, cfg=CFG) -> DataFrame:
 
 def reply_pairs_df(spark: SparkSession, sf: str) -> DataFrame:
     conv = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
-    ctx = corpus.thread_contexts(conv).filter(F.col("role") == "assistant")
-    return corpus.reply_rows(ctx, CFG, ["conv_id", "turn"])
+    return corpus.reply_rows(contexts(conv), CFG, ["conv_id", "turn"])
+
+
+def contexts(conv: DataFrame) -> DataFrame:
+    return corpus.thread_contexts(conv, wanted=F.col("role") == "assistant")
+
+
+def gated_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """The replies that pass the gates, numbered, without their contexts."""
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    return corpus.gated_replies(turns, CFG).filter(F.col("role") == "assistant")
 
 
 def reply_topics_df(spark: SparkSession, sf: str) -> DataFrame:
-    return corpus.reply_topic_rows(reply_pairs_df(spark, sf), CFG, ["conv_id", "turn"], lexicon(spark, sf))
+    """The last context text alone is needed, and only that meets the drawn replies."""
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    keys = ["conv_id", "turn"]
+    lucky = corpus.gated_replies(turns, CFG, mark="__passes").withColumn(
+        "__passes", F.col("__passes") & (F.col("role") == "assistant") & (uniform(keys, "aug", CFG.seed) < CFG.reply_topic_prob))
+    pairs = corpus.with_last_text(lucky).filter("__passes").select(*keys, F.col("text").alias("output"), "last_context")
+    return corpus.reply_topic_rows(pairs, CFG, keys, lexicon(spark, sf))
 
 
 def corpus_union(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,7 +97,7 @@ def topics_sql(src: str, text: str, keys: list[str], prefix: str) -> str:
           FROM {p}tr LEFT JOIN {p}n USING ({k})),
 {p}topic AS (SELECT {k}, topic,
              replace({templates.sql_list(templates.TOPIC_TEMPLATES)}[{S.pick(S.u(keys, 'ttmpl'), str(nt))} + 1],
-                     '[AAA]', topic) AS topic_instruction FROM {p}tp)"""
+                     '{templates.TOPIC_SLOT}', topic) AS topic_instruction FROM {p}tp)"""
 
 
 def originals_sql(cfg=CFG) -> str:
@@ -124,7 +140,7 @@ cx AS (SELECT conv_id, turn, role, text,
                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ctx FROM conversations),
 rp AS (SELECT conv_id, turn, CAST(len(ctx) AS BIGINT) AS n_context,
               array_to_string(ctx, '{CFG.reply_delimiter}') AS instruction, '' AS input, text AS output,
-              ctx[len(ctx)] AS last_context
+              ctx[len(ctx)] AS last_context, ctx
        FROM cx WHERE role = 'assistant' AND {S.gate('text', g)} AND ctx IS NOT NULL AND len(ctx) > 0
              AND {S.gate("array_to_string(ctx, '')", g)})"""
 
@@ -195,6 +211,25 @@ def reply_pairs(spark: SparkSession, sf: str) -> DataFrame:
             .drop("last_context"))
 
 
+@register("reply_suffixes", oracle=f"""WITH {replies_sql()},
+sl AS (SELECT *, len(ctx) AS n, list_transform(ctx, lambda c: {S.gate_len('c')}) AS lens FROM rp),
+sf AS (SELECT *, list_min(list_filter(range(1, n), lambda r: list_sum(lens[n - r + 1:n]) >= {CFG.response_thresh})) AS least
+       FROM sl),
+sr AS (SELECT *, CASE WHEN least IS NULL THEN [] ELSE range(least, n) END AS rs FROM sf),
+sw AS (SELECT *, list_transform(rs, lambda r: pow(r + 1, {-CFG.reply_temperature})) AS ws FROM sr),
+sa AS (SELECT *, {S.u(['conv_id', 'turn'], 'suffix')} * (1.0 + coalesce(list_sum(ws), 0.0)) AS aim FROM sw),
+sd AS (SELECT *, CASE WHEN aim < 1.0 THEN 0 ELSE coalesce(list_min(list_filter(rs, lambda r:
+         aim < 1.0 + list_sum(ws[1:r - least + 1]))), n - 1) END AS r FROM sa)
+SELECT conv_id, turn, CASE WHEN r = 0 THEN n ELSE r END AS n_context,
+       array_to_string(CASE WHEN r = 0 THEN ctx ELSE ctx[n - r + 1:n] END, chr(10)) AS instruction, input, output
+FROM sd""")
+def reply_suffixes(spark: SparkSession, sf: str) -> DataFrame:
+    """X11: replies with a drawn suffix of their context."""
+    conv = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    rows = corpus.suffix_rows(contexts(conv), CFG, ["conv_id", "turn"])
+    return rows.withColumn("n_context", F.col("n_context").cast("bigint"))
+
+
 @register("reply_topic_augment", oracle=f"WITH {reply_topics_sql()} SELECT * FROM rt")
 def reply_topic_augment(spark: SparkSession, sf: str) -> DataFrame:
     return reply_topics_df(spark, sf)
@@ -203,8 +238,7 @@ def reply_topic_augment(spark: SparkSession, sf: str) -> DataFrame:
 @register("context_histogram", oracle=f"""WITH {replies_sql()}
 SELECT n_context, CAST(count(*) AS BIGINT) AS n_pairs FROM rp GROUP BY n_context""")
 def context_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
-    h = corpus.context_histogram(corpus.gated_replies(turns, CFG).filter(F.col("role") == "assistant"))
+    h = corpus.context_histogram(gated_turns(spark, sf))
     return h.select(F.col("n_context").cast("bigint").alias("n_context"), F.col("n_pairs").cast("bigint"))
 
 
@@ -219,4 +253,9 @@ def shuffled_corpus(spark: SparkSession, sf: str) -> DataFrame:
 @register("corpus_counters", oracle=f"""{union_sql()}
 SELECT source, round, CAST(count(*) AS BIGINT) AS n_rows FROM u GROUP BY source, round""")
 def corpus_counters(spark: SparkSession, sf: str) -> DataFrame:
-    return corpus_union(spark, sf).groupBy("source", "round").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Counted before any context is built."""
+    parts = [originals(spark, sf, WITH_REPLIES).select(F.lit("original").alias("source"), F.col("round").cast("bigint").alias("round"))]
+    for source, rows in (("reply", gated_turns(spark, sf)), ("reply_topic", reply_topics_df(spark, sf))):
+        parts.append(rows.select(F.lit(source).alias("source"), F.lit(0).cast("bigint").alias("round")))
+    rows = parts[0].union(parts[1]).union(parts[2])
+    return rows.groupBy("source", "round").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from threadsmith.config import ASCII
 from threadsmith.functions.text import PY_SPACE_CLASS
-from threadsmith.operators import trainset
+from threadsmith.operators import subword, trainset
 from threadsmith.operators.ordering import ordered_index
 from threadsmith.plans import sqlfrag as S
 from threadsmith.plans.corpus_plans import corpus_union, union_sql
@@ -123,6 +123,21 @@ def encode_rows(spark: SparkSession, sf: str) -> DataFrame:
                     F.array_join("input_ids", ",").alias("input_ids"))
 
 
+def subword_encoded(spark: SparkSession, sf: str, ranks_path: str) -> DataFrame:
+    rows = formatted(spark, sf)
+    pieces = subword.piece_table(rows, ["context", "target"], ranks_path, CFG)
+    return trainset.assemble(trainset.encode(rows, KEYS, ["context", "target"], pieces, CFG, subword.pre_tokens), CFG)
+
+
+@register("subword_rows")
+def subword_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """L2/L3 with the pieces of a public byte-level vocabulary."""
+    import public_tokenizers
+    e = subword_encoded(spark, sf, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return e.select(*KEYS, F.col("seq_len").cast("bigint"), F.size("input_ids").cast("bigint").alias("n_ids"),
+                    F.array_join("input_ids", ",").alias("input_ids"))
+
+
 @register("length_quantiles", oracle=f"""{enc_sql(PROFILE.max_seq_length)}
 SELECT unnest([0.9, 0.95, 0.97, 0.99, 0.999]::DOUBLE[]) AS quantile,
        unnest(quantile_cont(len(input_ids), [0.9, 0.95, 0.97, 0.99, 0.999]::DOUBLE[])) AS length FROM enc""")

@@ -1,7 +1,7 @@
 """Archive readers.
 
-An archive ``.js`` file is one JavaScript assignment line followed by a JSON array.  Each
-file is read whole (``wholetext``), its first line replaced by ``[`` (or ``[ {`` when that
+An archive ``.js`` file is one JavaScript assignment line followed by a JSON array.  A
+file is read whole (``wholetext``; ``js_split`` reads it by byte ranges instead), its first line replaced by ``[`` (or ``[ {`` when that
 line opens the first object), parsed as ``array<string>`` (each element kept as raw
 JSON) and exploded with its position, so the file order and element order survive for
 stable sorts and last-write-wins rules.  Files with at most one line yield no rows, malformed
@@ -47,15 +47,18 @@ def file_columns(depth: int = 0) -> list:
     return [F.regexp_extract(path, f"^(.*)/data/(?:[^/]+/){{{depth}}}[^/]+$", 1).alias("archive"), path.alias("file")]
 
 
-def read_js(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+def read_js(spark: SparkSession, paths: list[str] | str, split: bool = False) -> DataFrame:
     """``archive, file, file_ord, row_ord, json`` for every element of every file.  Paths may be globs over
     many archives.  ``file_ord`` is the place of the file's kind in the archive layout; files of one kind are
-    ordered by name."""
+    ordered by name.  With ``split`` files are read by byte ranges, so that none has to fit a row."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = spark.read.text(paths, wholetext=True).select(*file_columns(), "value")
-    arr = F.from_json(js_array_body(F.col("value")), "array<string>", STRICT)
     name = F.element_at(F.split("file", "/"), -1)
     kind = F.when(name == "tweet.js", 0).when(name == "tweets.js", 1).when(name.startswith("tweets-part"), 2).otherwise(0)
+    if split:
+        from threadsmith.sources.js_split import read_js_split
+        return read_js_split(spark, paths).select("archive", "file", kind.alias("file_ord"), "row_ord", "json")
+    raw = spark.read.text(paths, wholetext=True).select(*file_columns(), "value")
+    arr = F.from_json(js_array_body(F.col("value")), "array<string>", STRICT)
     return raw.select("archive", "file", kind.alias("file_ord"), F.posexplode(arr).alias("row_ord", "json"))
 
 
@@ -63,10 +66,10 @@ def read_js(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 ROW_ORDER = ["file_ord", "file", "row_ord"]
 
 
-def read_posts(spark: SparkSession, data_dirs: str | list[str]) -> DataFrame:
+def read_posts(spark: SparkSession, data_dirs: str | list[str], split: bool = False) -> DataFrame:
     """All post parts of the archives' data folders (paths or globs); no de-duplication across parts; it is an
     error if there are none."""
-    return read_js(spark, _paths(data_dirs, POST_FILES))
+    return read_js(spark, _paths(data_dirs, POST_FILES), split)
 
 
 def account_usernames(spark: SparkSession, data_dirs: str | list[str]) -> DataFrame:
@@ -76,16 +79,16 @@ def account_usernames(spark: SparkSession, data_dirs: str | list[str]) -> DataFr
         "archive", F.get_json_object("json", "$.account.username").alias("username"))
 
 
-def read_following(spark: SparkSession, data_dir: str | list[str]) -> DataFrame:
+def read_following(spark: SparkSession, data_dir: str | list[str], split: bool = False) -> DataFrame:
     """Following ids (rows lacking the key skipped, duplicates kept)."""
-    d = read_js(spark, _paths(data_dir, FOLLOWING_FILE))
+    d = read_js(spark, _paths(data_dir, FOLLOWING_FILE), split)
     return d.select(F.get_json_object("json", "$.following.accountId").alias("user_id")).filter(
         F.col("user_id").isNotNull())
 
 
-def read_followers(spark: SparkSession, data_dir: str | list[str]) -> DataFrame:
+def read_followers(spark: SparkSession, data_dir: str | list[str], split: bool = False) -> DataFrame:
     """S9/R2."""
-    d = read_js(spark, _paths(data_dir, FOLLOWER_FILE))
+    d = read_js(spark, _paths(data_dir, FOLLOWER_FILE), split)
     return d.select(F.get_json_object("json", "$.follower.accountId").alias("user_id")).filter(
         F.col("user_id").isNotNull())
 
@@ -102,21 +105,21 @@ GROUP_MESSAGE = ("struct<messageCreate:struct<senderId:string,text:string,create
 GROUP_SCHEMA = f"dmConversation struct<conversationId:string, messages:array<{GROUP_MESSAGE}>>"
 
 
-def read_dms(spark: SparkSession, data_dir: str | list[str]) -> DataFrame:
+def read_dms(spark: SparkSession, data_dir: str | list[str], split: bool = False) -> DataFrame:
     """Two-party DM conversations (typed)."""
-    d = read_js(spark, _paths(data_dir, DM_FILE))
+    d = read_js(spark, _paths(data_dir, DM_FILE), split)
     return d.select("archive", "file_ord", "row_ord", F.from_json("json", DM_SCHEMA, STRICT).alias("c")).select(
         "archive", "file_ord", "row_ord", "c.dmConversation")
 
 
-def group_events_from_archive(spark: SparkSession, data_dir: str | list[str]) -> DataFrame:
+def group_events_from_archive(spark: SparkSession, data_dir: str | list[str], split: bool = False) -> DataFrame:
     """S9 + G1 input: one row per group event with ``kind`` chosen by which member is set.
 
     ``msg_ord`` packs ``(file_ord, row_ord, position in the record)`` into one bigint, so it
     is unique and in archive order even when a conversation is split across records (it
     keys the per-event handle lists).  Bit budget: 28 bits for the position and 27 for the
     record, far above what a single JSON row (< 2 GB) can hold, and 8 for the file."""
-    d = read_js(spark, _paths(data_dir, GROUP_DM_FILE))
+    d = read_js(spark, _paths(data_dir, GROUP_DM_FILE), split)
     c = d.select("archive", "file_ord", "row_ord", F.from_json("json", GROUP_SCHEMA, STRICT).alias("c")).select(
         "archive", "file_ord", "row_ord", "c.dmConversation.*")
     m = c.select("archive", F.col("conversationId").alias("conversation_id"),

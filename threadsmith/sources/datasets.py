@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadsmith.sinks.cache_table import manifest, read_compacted
+
 INSTRUCTION_SCHEMA = "instruction string, input string, output string"
 FORMATTED_SCHEMA = "context string, target string"
 
@@ -31,11 +33,13 @@ def read_cache_dir(spark: SparkSession, path: str, value_col: str = "responses")
 
 
 def read_cache_table(spark: SparkSession, path: str, value_col: str = "responses") -> DataFrame:
-    """S7 (table form) with K8's append-only versions: the latest version per id wins."""
+    """S7 (table form) with K8's append-only versions, compacted or not: the latest version per id wins."""
+    if manifest(spark, path) is not None:
+        return read_compacted(spark, path).select("id", value_col)
     t = spark.read.parquet(path)
     if "version" not in t.columns:
         return t.select("id", value_col)
-    return t.groupBy("id").agg(F.max_by(value_col, "version").alias(value_col))
+    return t.groupBy("id").agg(F.max_by(value_col, F.struct("version", value_col)).alias(value_col))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
