@@ -1,8 +1,12 @@
+import math
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001
 from tests.llm.helpers import with_clashes
-from threadsmith.llm.html_density import extract_main_text, main_text
+from threadsmith.llm.html_density import Dom, densities, extract_main_text, main_text
 
 PAGE = """<html><head><title>x</title><style>p{}</style></head><body><header>Site</header><nav><a href=1>a</a></nav>
 <div class="cookie-notice">We use cookies</div><aside>side bar words</aside><div id="content"><article>
@@ -97,3 +101,88 @@ def test_given_pages_give_their_documents(spark):
     for r in rows:
         lines = [" ".join(x.split()) for x in r.doc.split("\n")]
         assert r.text.split("\n")[1:] == [x for x in lines if x]
+
+
+def test_malformed_markup_does_not_end_the_job():
+    for odd in ("<![foo[bar]]>", "<![1]>", "<![", "<![CDATA[x]]>", "<!>", "<!x", "<!DOCTYPE [", "<?php", "</", "</>", "<a <b>", "&#xffffffff;", "<!-- -"):
+        text = main_text(f"<body><p>before</p>{odd}<p>after</p></body>")
+        assert text.startswith("before"), odd
+    assert main_text("<article><p>a</p><![if IE]><p>b</p><![endif]></article>") == "a\nb"
+
+
+def test_random_markup_never_fails():
+    rng = random.Random(4)
+    bits = ["<", ">", "<!", "<![", "]]>", "[", "]", "<!--", "-->", "--", "<p>", "</p>", "<a href=1>", "</a>", "<div class='ad x'>", "</div>", "<head>", "</head>",
+            "<body>", "<article>", "</article>", "<script>", "</script>", "<title>", "</title>", "&", "&amp", "&#", "&#x;", "\"", "'", "=", "/", "text ", "é", "\0",
+            "<table><tr><td>", "<li>", "<?", "<svg/>", "<h1 id=notice>", "<textarea>", "<plaintext>", "<br/>", "</html>", "\n"]
+    for _ in range(10_000):
+        assert isinstance(main_text("".join(rng.choices(bits, k=rng.randint(1, 30)))), str)
+
+
+def test_article_parts_with_names_of_their_own_stay():
+    text = "many words of one paragraph that go on and on for a while, " * 4
+    page = (f'<body><div class="site-header">Site</div><article><header><h1>Title</h1></header><p>{text}</p><section id="search-algorithms"><h2 id="notice">'
+            f'Search</h2><p class="share-price">It rose.</p></section><div class="share-buttons">Share it</div><p class="notice">We moved</p>'
+            '<footer>by me</footer></article><div class="left_nav">x</div></body>')
+    assert main_text(page).split("\n") == ["Title", text.strip(), "Search", "It rose."]
+
+
+def test_groups_with_many_links_are_judged_by_the_threshold():
+    text = "many words of one paragraph that go on and on for a while, " * 6
+    links = "".join(f"<p>word <a href={k}>see {k}</a> more</p>" for k in range(9))
+    page = f"<body><div><div><p>{text}</p><p>{text}</p></div><section>{links}</section><section><p>Short.</p></section></div></body>"
+    assert main_text(page).split("\n") == [text.strip(), text.strip(), "Short."]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_densities_equal_a_plain_recursion(seed):
+    """Composite density and child sums by the formula, over random trees of open elements."""
+    rng = random.Random(seed)
+
+    def tree(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return "x" * rng.randint(1, 30)
+        tag = rng.choice(["div", "section", "span", "a", "b"])
+        return (tag, [tree(depth - 1) for _ in range(rng.randint(0, 4))])
+
+    def markup(t):
+        return t if isinstance(t, str) else f"<{t[0]}>{''.join(map(markup, t[1]))}</{t[0]}>"
+
+    def measure(t, link=False):
+        """chars, tags, link chars, link tags below (and, for chars, in) t."""
+        if isinstance(t, str):
+            return len(t), 0, len(t) * link, 0
+        inner = [measure(c, link or t[0] == "a") for c in t[1]]
+        below = [c for c in t[1] if not isinstance(c, str)]
+        return (sum(m[0] for m in inner), sum(m[1] for m in inner) + len(below), sum(m[2] for m in inner),
+                sum(m[3] for m in inner) + sum(c[0] == "a" for c in below))
+
+    root = ("body", [tree(5) for _ in range(6)])
+    dom = Dom()
+    dom.feed(markup(root))
+    dom.close()
+    density, total, _, _, body = densities(dom)
+    all_chars, _, all_links, _ = measure(root)
+    share = all_links / max(all_chars, 1)
+
+    def composite(t, link):
+        c, n, lc, ln = measure(t, link)
+        if not c:
+            return 0.0
+        base = math.log(c / max(c - lc, 1) * lc + share * c + math.e)
+        return c / max(n, 1) * math.log(max(1.0, c / max(lc, 1) * max(n, 1) / max(ln, 1))) / base
+
+    want = []
+
+    def walk(t, link=False):
+        if isinstance(t, str):
+            return
+        inside = link or t[0] == "a"
+        want.append((composite(t, inside), sum(composite(c, inside or c[0] == "a") for c in t[1] if not isinstance(c, str))))
+        for c in t[1]:
+            walk(c, inside)
+    walk(root)
+    got = list(zip(density[body:], total[body:]))
+    assert len(got) == len(want)
+    for a, b in zip(got, want):
+        assert a == pytest.approx(b)

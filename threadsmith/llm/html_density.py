@@ -4,9 +4,10 @@ Every DOM node gets a density: its characters per tag, weakened by the share of
 tags that belong to links.  The node whose children have the largest density sum heads the main
 text; menus, adverts, comments and the like can neither head nor join it.  If the head lies in an
 ``article`` or ``main``, that whole subtree is the main text; otherwise it is the head's subtree and
-every other subtree beside the path from it to ``body``, however short, without blocks made mostly of links.  A word
-of class, id or role makes a node noise only if the node does not wrap the page's body text.  The text is returned
-in page order, one line a block."""
+every other subtree beside the path from it to ``body``, however short, without blocks made mostly of links and those
+with many links that stay below the path's least density, the threshold.  A class, id or role makes a node noise only
+if all its words name such a part and the node does not wrap the page's body text.  The text is returned in page
+order, one line a block."""
 
 from __future__ import annotations
 
@@ -48,6 +49,10 @@ SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 #: those that name a part by its content; wrappers of whole pages rather carry the others (no-sidebar, has-banner)
 PART_WORDS = frozenset("""comment comments commentlist respond disqus cookie cookies consent gdpr newsletter subscribe
 subscription signup login popup modal overlay related recommended recommendations sponsored""".split())
+#: words that may stand beside a noise word in one name (site-header, left_nav); any other makes it a name of its own
+PLACE_WORDS = frozenset("""site page main global content wrap wrapper container box block area section inner outer top bottom
+left right bar list links link buttons button icons panel region module holder row col column primary secondary tertiary
+mobile desktop sticky fixed form js post posts article blog item items title text message thread body meta group""".split())
 _WORDS = re.compile(r"[a-z]+")
 
 
@@ -60,10 +65,14 @@ def is_noise(tag: str, attrs: list) -> bool:
 
 
 def noise_words(attrs: list) -> set[str]:
+    """Noise words of the names in class, id and role that consist of such words and of ``PLACE_WORDS``."""
     words: set[str] = set()
     for name, value in attrs:
         if name in ("class", "id", "role") and value:
-            words.update(NOISE_WORDS.intersection(_WORDS.findall(value.lower())))
+            for token in value.lower().split():
+                parts = set(_WORDS.findall(token))
+                if parts <= NOISE_WORDS | PLACE_WORDS:
+                    words |= parts & NOISE_WORDS
     return words
 
 
@@ -106,6 +115,10 @@ class Dom(HTMLParser):
         elif self.count.get("head") and self.tag[self.open[-1]] == "head" and tag not in HEAD_CONTENT:
             self._pop()
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """``<![...``: a bogus comment up to the next ``>``, whatever it holds; -1 if there is none."""
+        return self.rawdata.find(">", i + 3) + 1 or -1
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self._close_head(tag)
         if tag in CLOSES and any(self.count.get(t) for t in CLOSES[tag]):
@@ -115,8 +128,9 @@ class Dom(HTMLParser):
         node = len(self.tag)
         self.tag.append(tag)
         self.parent.append(self.open[-1])
-        self.noise.append(self.noise[self.open[-1]] or is_noise(tag, attrs))
-        if not self.noise[node] and (words := noise_words(attrs)):
+        own_header = tag == "header" and self.count.get("article")  # an article's own has its title
+        self.noise.append(self.noise[self.open[-1]] or (is_noise(tag, attrs) and not own_header))
+        if not self.noise[node] and tag not in HEADINGS and (words := noise_words(attrs)):
             self.words[node] = words
         if tag in BLOCKS:
             self.items.append((node, None))
@@ -191,8 +205,9 @@ def mark_worded(dom: Dom) -> None:
                 dom.noise[i] = True
 
 
-def densities(dom: Dom) -> tuple[list[float], list[float], list[bool], int]:
-    """Composite density, density sum and whether most text is links by node, and the node's body (or root).
+def densities(dom: Dom) -> tuple[list[float], list[float], list[bool], list[bool], int]:
+    """Composite density, density sum, whether most text is links and whether much of it is by node, and the body (or
+    root) node.
 
     Blocks are judged without the groups of links inside them, inline nodes with the text and inline nodes around
     them."""
@@ -208,12 +223,13 @@ def densities(dom: Dom) -> tuple[list[float], list[float], list[bool], int]:
             chars[node] += size
             if link[node]:
                 link_chars[node] += size
-    run, link_run, rest, link_rest, linked = chars[:], link_chars[:], chars[:], link_chars[:], [False] * n
+    run, link_run, rest, link_rest, linked, many = chars[:], link_chars[:], chars[:], link_chars[:], [False] * n, [False] * n
     for i in range(n - 1, 0, -1):
         if dead[i]:
             continue
         up = dom.parent[i]
         linked[i] = link_rest[i] * 2 > rest[i] and dom.tag[i] not in HEADINGS
+        many[i] = link_rest[i] * 5 > rest[i] and dom.tag[i] in GROUPS
         if not linked[i] or dom.tag[i] not in GROUPS:
             rest[up] += rest[i]
             link_rest[up] += link_rest[i]
@@ -239,13 +255,13 @@ def densities(dom: Dom) -> tuple[list[float], list[float], list[bool], int]:
         density[i] = chars[i] / max(tags[i], 1) * math.log(max(inner, 1.0)) / base
         if i and not dom.noise[i]:
             total[dom.parent[i]] += density[i]
-    return density, total, linked, body
+    return density, total, linked, many, body
 
 
 def main_nodes(dom: Dom) -> list[bool]:
     """For every node, whether its text belongs to the main text."""
     n = len(dom.tag)
-    density, total, linked, body = densities(dom)
+    density, total, linked, many, body = densities(dom)
     score = [t if t else d for t, d in zip(total, density)]
     inside = [False] * n
     for i in range(n):
@@ -259,6 +275,7 @@ def main_nodes(dom: Dom) -> list[bool]:
         i = dom.parent[i]
     article = head is not None
     head = head if article else chosen
+    threshold = min(density[i] for i in path)
     keep, whole = [False] * n, [False] * n
     for i in range(n):
         if not inside[i] or dom.noise[i]:
@@ -269,7 +286,7 @@ def main_nodes(dom: Dom) -> list[bool]:
             keep[i] = whole[i] or not article
         elif not article and keep[dom.parent[i]]:
             judged = dom.parent[i] in path or dom.tag[i] in GROUPS
-            keep[i] = not (judged and linked[i])
+            keep[i] = not (judged and (linked[i] or (many[i] and density[i] < threshold)))
     return keep
 
 
