@@ -65,3 +65,32 @@ def test_redaction_keeps_rows_and_counts(spark):
     found = {r.doc_id: [tuple(s)[:3] for s in r.spans] for r in pii.find_personal_data(docs).collect()}
     assert found == {None: [], 1: [("email", 5, 11)], 2: [], 3: [("phone", 2, 19)]}
     assert pii.find_personal_data(docs.limit(0)).count() == 0 and pii.redact_documents(docs.limit(0)).count() == 0
+
+
+def overlaps_base(text, start, end):
+    return any(a < end and start < b for _, a, b in plain(text))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["123-45-6789", "ssn ", "call ", "555-123-4567", "(555) 123-4567", "a@b.cd", "+1 555 123 4567", "1.2.3.4",
+                                 " ", ",", "4111111111111111", "GB82WEST12345698765432", "DE89 3704 0044 0532 0130 00", "x"]), max_size=12))
+def test_added_spans_are_those_beside_base_ones_with_enough_score(parts):
+    """Every form is tried at its own pattern's matches; overlaps are looked up in all base spans."""
+    text = "".join(parts)
+    want = []
+    for kind, spans in (("iban", pii.find_ibans(text)), ("ssn", [m.span() for m in pii._SSN.finditer(text)]),
+                        ("phone_local", [m.span() for m in pii._PHONE_LOCAL.finditer(text)])):
+        for s, e in spans:
+            near = (text[max(0, s - pii.CONTEXT_CHARS):s] + " " + text[e:e + pii.CONTEXT_CHARS]).lower()
+            hit = any(w in pii.CONTEXT_WORDS[kind] for w in re.findall(r"[^\W\d_]+", near))
+            if not overlaps_base(text, s, e) and pii.FORM_SCORE[kind] + 0.3 * hit >= pii.THRESHOLD - 1e-9:
+                want.append((kind, s, e))
+    assert [x[:3] for x in pii.find_spans(text) if x[0] not in pii.BASE_KINDS] == want
+
+
+def test_many_spans_of_one_text_take_linear_time():
+    import time
+    text = "a@b.cd ssn 123-45-6789 " * 50_000
+    began = time.process_time()
+    assert len(pii.find_spans(text)) == 100_000
+    assert time.process_time() - began < 12

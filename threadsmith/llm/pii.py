@@ -7,6 +7,8 @@ raise their score to the threshold.  Offsets are code points, the end is exclusi
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -131,11 +133,13 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
         return []
     base = _base(text)
     taken = sorted(s for spans in base.values() for s in spans)
+    starts, furthest = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
     out = [(kind, s, e, _score(text, kind, s, e)) for kind in BASE_KINDS for s, e in base[kind]]
     for kind, spans in (("iban", find_ibans(text)), ("ssn", [m.span() for m in _SSN.finditer(text)]),
                         ("phone_local", [m.span() for m in _PHONE_LOCAL.finditer(text)])):
         for s, e in spans:
-            if any(a < e and s < b for a, b in taken):
+            before = bisect_left(starts, e)
+            if before and furthest[before - 1] > s:  # a base span begins before this one's end and ends behind its start
                 continue
             score = _score(text, kind, s, e)
             if score >= THRESHOLD:
