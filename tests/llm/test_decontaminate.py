@@ -1,4 +1,5 @@
 import random
+import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -62,9 +63,31 @@ def test_short_items_are_found_inside_texts(spark):
     items = spark.createDataFrame([(1, "Who wrote Hamlet?"), (2, "\u8c01\u5199\u4e86\u5b83"), (3, "2+2=4"), (4, "wrote hamlet")], ITEMS)
     docs = docs_of(spark, texts)
     got = {(r.doc_id, r.item_id): (r.edits, r.end_at) for r in d.find_leaks(docs, items).collect()}
-    assert got == {(1, 1): (0, 27), (3, 1): (0, 17), (5, 2): (0, 6), (7, 3): (0, 5), (1, 4): (0, 26), (3, 4): (0, 16),
-                   (4, 4): (0, 17), (9, 4): (0, 16)}
-    assert sorted(r.doc_id for r in d.drop_leaks(docs, items).collect()) == [2, 6, 8]
+    assert got == {(1, 1): (0, 27), (2, 1): (1, 16), (3, 1): (0, 17), (4, 1): (0, 18), (9, 1): (1, 16), (5, 2): (0, 6), (7, 3): (0, 5),
+                   (1, 4): (0, 26), (3, 4): (0, 16), (4, 4): (0, 17), (9, 4): (0, 16)}
+    assert sorted(r.doc_id for r in d.drop_leaks(docs, items).collect()) == [6, 8]
+
+
+def test_every_length_is_found_within_its_budget(spark):
+    """Items of 5 to 60 characters with 0 to 3 edits; those without a budget as whole words only."""
+    rng = random.Random(8)
+    words = "who wrote that play about a prince of some cold land and why did he do so"
+    items, texts = [], {}
+    for n in range(5, 61):
+        item = words[:n].strip()
+        items.append((n, item))
+        for edits in range(4):
+            chars = list(item)
+            for at in rng.sample(range(1, len(chars) - 1), min(edits, len(chars) - 2)):
+                chars[at] = "#"
+            texts[n * 10 + edits] = f"intro ## {''.join(chars)} ## outro"
+    got = {(r.doc_id, r.item_id): r.edits for r in d.find_leaks(
+        docs_of(spark, texts), spark.createDataFrame(items, ITEMS)).collect()}
+    for n, item in items:
+        for doc, text in texts.items():
+            low = distance(item, text)
+            whole = any(not d.in_word(text, m.start()) and not d.in_word(text, m.end()) for m in re.finditer(re.escape(item), text))
+            assert got.get((doc, n)) == (low if low <= d.edit_budget(len(item)) and (whole or d.edit_budget(len(item))) else None)
 
 
 def test_odd_rows(spark):

@@ -2,8 +2,8 @@
 
 A passage within k edits of a test item of k + 1 pieces holds at least one piece unchanged.  An
 Aho-Corasick automaton finds all piece hits in a text, each hit gives a window where the item would
-lie, overlapping windows of an item become one, and Myers' bit-parallel distance decides each window.  A short item is
-one exact piece between word boundaries."""
+lie, overlapping windows of an item become one, and Myers' bit-parallel distance decides each window.  An item too short
+for any edit is one piece, which must stand between word boundaries."""
 
 from __future__ import annotations
 
@@ -19,8 +19,6 @@ from threadsmith.llm.common import text_or_empty
 
 #: edits allowed: a share of the item's length, but a few edits for short items as well
 EDIT_RATE, SHORT_EDITS, SHORT_PER_EDIT = 0.06, 6, 14
-#: shorter items (normalised) are matched without edits, as whole words
-SHORT = 20
 #: scripts written without spaces between words, where every character is a boundary
 _UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 #: characters of items that one automaton holds; more items are searched block by block
@@ -90,11 +88,7 @@ class Matcher:
         self.masks: dict[int, dict[str, int]] = {}
         found: dict[str, list[tuple[int, int]]] = {}
         for k, text in enumerate(self.texts):
-            if len(text) < SHORT:
-                if text:
-                    found.setdefault(text, []).append((k, 0))
-                continue
-            for offset, piece in pieces(text):
+            for offset, piece in pieces(text) if text else ():
                 found.setdefault(piece, []).append((k, offset))
         self.automaton = ahocorasick.Automaton()
         for piece, places in found.items():
@@ -113,7 +107,7 @@ class Matcher:
         for last, (size, places) in self.automaton.iter(text):
             for k, offset in places:
                 length = len(self.texts[k])
-                if length < SHORT:
+                if not edit_budget(length):
                     if k not in exact and not in_word(text, last + 1 - size) and not in_word(text, last + 1):
                         exact[k] = last + 1
                     continue
