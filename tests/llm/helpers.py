@@ -13,7 +13,9 @@ def docs_of(spark, texts, source="s"):
 
 
 def with_clashes(df):
-    """``df`` with extra columns named like the ones operators use inside or add."""
+    """``df`` with extra columns named like the ones operators and stages use inside or add."""
     from pyspark.sql import functions as F
-    names = "id key h a b n root score predicted spans host path rule place shard mix_copy mix_key words band".split()
+    names = """id key h a b n m c t row doc copy copies root score predicted spans host path rule place shard mix_n mix_copy mix_key
+mix words band bands __key __id __row rate cdf salt source_rates w r d s hash own token total bytes label held_out p term terms
+counts kinds whole groups item value rank phrase block blocks seq lang_too first first_id links size two with text_hash""".split()
     return df.select("*", *[F.lit("clash").alias(n) for n in names if n not in df.columns])

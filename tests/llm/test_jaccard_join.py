@@ -99,3 +99,11 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(f"{k:04d}", f"{k + 1:04d}") for k in range(200) if k % 50 != 49], "a string, b string")
     got = {r.node: r.root for r in j.components(edges).collect()}
     assert got == {f"{k:04d}": f"{k // 50 * 50:04d}" for k in range(200)}
+
+
+def test_keep_first_returns_clashing_columns_unchanged(spark):
+    docs = with_clashes(docs_of(spark, [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A b  c d e f"), (3, "quite another text"), (None, None)]))
+    rows = j.keep_first(docs).collect()
+    assert sorted(r.doc_id or 0 for r in rows) == [0, 1, 3]
+    kept = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+    assert all(r[c] == "clash" for r in rows for c in kept) and {"__key", "__id", "__row"} <= set(kept)

@@ -48,3 +48,10 @@ def test_large_rates_and_odd_rows(spark):
     assert set(out.columns) == set(docs.columns) and out.columns[-2:] == ["mix_copy", "mix_key"]
     assert out.where("doc_id = 1").count() % 2 == 0 and out.where("doc_id IS NULL").count() > 0
     assert p.mix_sources(docs.limit(0)).count() == 0
+
+
+def test_clashing_columns_come_back_unchanged(spark):
+    docs = with_clashes(spark.createDataFrame([(i, "t", "s") for i in range(30)], "doc_id long, text string, source string"))
+    kept = [c for c in docs.columns if c not in ("doc_id", "text", "source", "mix_copy", "mix_key")]
+    rows = p.mix_sources(docs, total=3.0).collect()
+    assert rows and all(r[c] == "clash" for r in rows for c in kept) and "mix_n" in kept

@@ -292,12 +292,11 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = F.struct(F.col("first_id").isNull(), "first_id", "key")
     first = classes.groupBy("root").agg(F.min_by(F.struct("key", "first_id"), order).alias("first"))
     keepers = first.select(F.col("first.key").alias("__key"), _id_text(F.col("first.first_id")).alias("__id"))
-    keyed = docs.withColumn("__key", F.md5(normal_text(text_or_empty(text_col)))).withColumn(
-        "__id", _id_text(F.col(f"`{id_col}`")))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                        F.md5(normal_text(text_or_empty(text_col))).alias("__key"), _id_text(F.col(f"`{id_col}`")).alias("__id"))
     # copies of one text have one key but many ids: both deal them out, and only rows that repeat an id meet
     row = F.row_number().over(W.partitionBy("__key", "__id").orderBy("__key"))
-    return keyed.join(keepers, ["__key", "__id"]).withColumn("__row", row).where("__row = 1").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    return keyed.join(keepers, ["__key", "__id"]).withColumn("__row", row).where("__row = 1").select("doc.*")
 
 
 def _id_text(doc_id: Column) -> Column:

@@ -58,7 +58,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     shuffle by source: counts are combined on the map side, the rates of a counted, bounded number
     of sources are broadcast, more are joined on a salted key.  Copies are dealt on their hashed key."""
     docs = without(docs, "mix_copy", "mix_key")
-    names = [F.col(f"d.`{c}`") for c in docs.columns]
+    row = F.struct(*[F.col(f"d.`{c}`") for c in docs.columns]).alias("row")  # no column of it meets an added one
     rates = source_rates(docs, source_col, weights, temperature, total)
     n_sources = rates.select("source").limit(BROADCAST_SOURCES + 1).count()
     source = F.col(f"d.`{source_col}`").cast("string")
@@ -70,7 +70,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
         joined = docs.alias("d").join(salted.alias("r"), source.eqNullSafe(F.col("r.source")) & (salt == F.col("r.salt")))
     at = unit_hash(F.lit(seed), F.col(f"d.`{id_col}`").cast("string"))
     count = F.size(F.filter(F.col("r.cdf"), lambda c: c <= at))
-    copies = joined.withColumn("mix_n", count).where("mix_n > 0").select(
-        *names, F.explode(F.sequence(F.lit(1), F.col("mix_n"))).alias("mix_copy"))
+    copies = joined.select(row, count.alias("n")).where("n > 0").select(
+        "row", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy")).select("row.*", F.col("copy").alias("mix_copy"))
     key = F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.col(f"`{id_col}`").cast("string"), F.col("mix_copy")))
     return copies.withColumn("mix_key", key).repartition("mix_key").sortWithinPartitions("mix_key")
