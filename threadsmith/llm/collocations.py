@@ -7,8 +7,8 @@ coordinates.  The pairs found often enough are ranked by frequency anew, and the
 pair ids: neighbours in these are phrases of three words.
 
 Spark deals the work: blocks of texts are written once; a tile is split by the hash of its cells into as many groups as
-keep each one bounded, and a group sees its cells of all blocks.  It gives the frequent pairs and the blocks that hold
-them; only these meet their new ids by a join and go back to their blocks."""
+keep each one bounded, and a group sees its cells of all blocks and gives the frequent pairs.  Once these are ranked, the
+groups meet them again and hand each block the ids of the pairs that it holds."""
 
 from __future__ import annotations
 
@@ -32,7 +32,7 @@ SIDE, GROWTH = 256, 4
 #: cells of the largest tile that is counted densely
 DENSE = 1 << 22
 #: bytes of text in a block (one text may be more); blocks whose pairs are about what one group of a split tile holds
-BLOCK_BYTES, SPLIT_BLOCKS = 8 << 20, 64
+BLOCK_BYTES, SPLIT_BLOCKS = 4 << 20, 64
 #: cells by hash in which ids of one frequency are numbered
 NUMBER_CELLS = 256
 
@@ -53,7 +53,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     end[:-1] &= ~inside[1:] | first[1:-1]
     start = np.flatnonzero(begin)
     doc = np.searchsorted(offsets, start, "right") - 1
-    piece = np.cumsum(_BREAKS[data])[start]
+    piece = np.cumsum(_BREAKS[data], dtype=np.int32)[start]
     return start, np.flatnonzero(end) + 1 - start, doc, ~run_heads([doc, piece]) if len(start) else np.empty(0, bool)
 
 
@@ -166,17 +166,19 @@ def count_tile(tile: int, left: np.ndarray, right: np.ndarray, n: np.ndarray | N
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Numbers as bytes, in four bytes each where all fit; the first byte tells."""
-    small = not len(values) or int(values.max()) < 1 << 31
-    return (b"\4" if small else b"\10") + values.astype("<i4" if small else "<i8").tobytes()
+    """Numbers as bytes, four each where all fit, else eight (the first byte tells); like bytes stand together, which
+    compresses well."""
+    size = 4 if not len(values) or (int(values.max()) < 1 << 31 and int(values.min()) >= -1 << 31) else 8
+    return bytes([size]) + values.astype(f"<i{size}").view(np.uint8).reshape(-1, size).T.tobytes()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, "<i4" if data[0] == 4 else "<i8", offset=1).astype(np.int64)
+    size = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(f"<i{size}").ravel().astype(np.int64)
 
 
 _TILES = "tile int, split int, block long, left binary, right binary, n binary"
-_FOUND = "block long, left long, right long, n long"
 
 
 def split_of(left: np.ndarray, right: np.ndarray, splits: int) -> np.ndarray:
@@ -186,7 +188,7 @@ def split_of(left: np.ndarray, right: np.ndarray, splits: int) -> np.ndarray:
 
 
 def _tile_batches(splits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The counted pairs of each block (block, seq), a row a tile and split."""
+    """The counted pairs of each block (block, seq), a row a tile and split; left ids as differences, as they rise."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
@@ -203,7 +205,8 @@ def _tile_batches(splits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                     ends = np.searchsorted(split[by_split], np.arange(splits + 1))
                     for at, (low, high) in enumerate(zip(ends, ends[1:])):
                         if low < high:
-                            rows.append((int(tile[a]), at, *(_packed(c[by_split[low:high]]) for c in cells)))
+                            x, y, n = (c[by_split[low:high]] for c in cells)
+                            rows.append((int(tile[a]), at, _packed(np.diff(x, prepend=0)), _packed(y), _packed(n)))
                 if rows:
                     tiles, split, *packed = zip(*rows)
                     yield pa.RecordBatch.from_arrays(
@@ -212,35 +215,61 @@ def _tile_batches(splits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
     return run
 
 
-def _merge_tile(least: int, with_blocks: bool) -> Callable[[tuple, pa.Table], pa.Table]:
-    """The pairs of one group found often enough (block null, n their count) and, where asked for, each block that holds
-    one (n null)."""
+def _cells(rows: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(left, right) of each block's cells in a group."""
+    return [(np.cumsum(_unpacked(x.as_py())), _unpacked(y.as_py())) for x, y in zip(rows["left"], rows["right"])]
+
+
+def _merge_tile(least: int) -> Callable[[tuple, pa.Table], pa.Table]:
+    """The pairs of one group found often enough."""
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        left, right, n = ([_unpacked(x.as_py()) for x in rows[c]] for c in ("left", "right", "n"))
-        sizes = [len(x) for x in left]
-        left, right, n = np.concatenate(left), np.concatenate(right), np.concatenate(n)
-        a, b, count = count_tile(key[0].as_py(), left, right, n)
-        often = count >= least
-        a, b, count = a[often], b[often], count[often]
-        found = [pa.table({"block": pa.nulls(len(a), pa.int64()), "left": a, "right": b, "n": count})]
-        if with_blocks and len(a):
-            _, _, place = distinct_pairs(np.concatenate([a, left]), np.concatenate([b, right]))
-            wanted = np.zeros(place.max() + 1, bool)
-            wanted[place[:len(a)]] = True
-            keep = wanted[place[len(a):]]
-            block = np.repeat(np.array(rows["block"].to_pylist(), np.int64), sizes)[keep]
-            found.append(pa.table({"block": block, "left": left[keep], "right": right[keep], "n": pa.nulls(len(block), pa.int64())}))
-        return pa.concat_tables(found)
+        left, right = (np.concatenate(x) for x in zip(*_cells(rows)))
+        n = np.concatenate([_unpacked(x.as_py()) for x in rows["n"]])
+        left, right, n = count_tile(key[0].as_py(), left, right, n)
+        often = n >= least
+        left, right, n = left[often], right[often], n[often]
+        return pa.table({"tile": pa.array([key[0].as_py()] * len(n), pa.int32()), "split": pa.array([key[1].as_py()] * len(n), pa.int32()),
+                         "left": left, "right": right, "n": n})
     return run
 
 
-def frequent_pairs(blocks: DataFrame, splits: int, least: int, with_blocks: bool) -> tuple[DataFrame, DataFrame]:
-    """Of blocks (block, seq): the pairs of neighbours found ``least`` times or more, ranked, as (left, right, n, id), and
-    the blocks that hold them (block, left, right)."""
+_HELD = pa.schema([("block", pa.int64()), ("left", pa.binary()), ("right", pa.binary()), ("id", pa.binary())])
+
+
+def _hand_ids(key: tuple, rows: pa.Table, pairs: pa.Table) -> pa.Table:
+    """A row for each block with those of its pairs in the group that have an id."""
+    if not rows.num_rows or not pairs.num_rows:
+        return _HELD.empty_table()
+    cells = _cells(rows)
+    n = pairs.num_rows
+    _, _, place = distinct_pairs(*(np.concatenate([pairs[c].to_numpy(), *x]) for c, x in zip(("left", "right"), zip(*cells))))
+    ids = np.full(place.max() + 1, -1, np.int64)
+    ids[place[:n]] = pairs["id"].to_numpy()
+    found, at = [], n
+    for block, (left, right) in zip(rows["block"].to_pylist(), cells):
+        own = ids[place[at:at + len(left)]]
+        at += len(left)
+        known = own >= 0
+        if known.any():
+            found.append((block, _packed(left[known]), _packed(right[known]), _packed(own[known])))
+    return pa.table([list(x) for x in zip(*found)], schema=_HELD) if found else _HELD.empty_table()
+
+
+def frequent_pairs(blocks: DataFrame, splits: int, least: int) -> DataFrame:
+    """(tile, split, left, right, n, id) of the pairs of neighbours in blocks (block, seq) found ``least`` times or more,
+    ranked."""
     tiles = blocks.select("block", "seq").mapInArrow(_tile_batches(splits), _TILES)
-    found = cut(tiles.groupBy("tile", "split").applyInArrow(_merge_tile(least, with_blocks), _FOUND))
-    pairs = cut(ranked(found.where("block IS NULL").drop("block"), ["left", "right"]))
-    return pairs, found.where("block IS NOT NULL").drop("n")
+    found = tiles.groupBy("tile", "split").applyInArrow(_merge_tile(least), "tile int, split int, left long, right long, n long")
+    return cut(ranked(cut(found), ["left", "right"]))
+
+
+def held_pairs(blocks: DataFrame, pairs: DataFrame, splits: int) -> DataFrame:
+    """(block, left, right, id) of the ranked pairs that each block holds, packed, a row for each group of a tile: the
+    blocks' cells meet the pairs of their group once more."""
+    tiles = blocks.select("block", "seq").mapInArrow(_tile_batches(splits), _TILES).drop("n")
+    known = pairs.select(F.col("tile").alias("in_tile"), F.col("split").alias("in_split"), "left", "right", "id")
+    return tiles.groupBy("tile", "split").cogroup(known.groupBy("in_tile", "in_split")).applyInArrow(
+        _hand_ids, "block long, left binary, right binary, id binary")
 
 
 _SEQ = pa.schema([("block", pa.int64()), ("seq", pa.binary())])
@@ -268,12 +297,12 @@ def word_ids(seq: np.ndarray, held: pa.Table) -> np.ndarray:
 def pair_ids(seq: np.ndarray, held: pa.Table) -> np.ndarray:
     """Ids of the pairs that begin at each place of a sequence but the last, -1 for pairs without."""
     at, left, right = neighbours(seq)
-    n = held.num_rows
-    _, _, place = distinct_pairs(np.concatenate([held["left"].to_numpy(), left]), np.concatenate([held["right"].to_numpy(), right]))
+    known_left, known_right, known = (np.concatenate([_unpacked(x.as_py()) for x in held[c]]) for c in ("left", "right", "id"))
+    _, _, place = distinct_pairs(np.concatenate([known_left, left]), np.concatenate([known_right, right]))
     ids = np.full(place.max(initial=-1) + 1, -1, np.int64)
-    ids[place[:n]] = held["id"].to_numpy()
+    ids[place[:len(known)]] = known
     out = np.full(max(0, len(seq) - 1), -1, np.int64)
-    out[at] = ids[place[n:]]
+    out[at] = ids[place[len(known):]]
     return out
 
 
@@ -303,9 +332,9 @@ def mine_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     words = cut(ranked(cut(counted.where(F.col("n") >= least)), ["lang", "word"]))
     held = blocks.select("block", F.posexplode("words").alias("pos", "w")).select("block", "pos", "w.lang", "w.word")
     by_word = _renumber(blocks, held.join(words, ["lang", "word"]).select("block", "pos", "id"), word_ids)
-    pairs, held = frequent_pairs(by_word, splits, least, True)
-    by_pair = _renumber(by_word, held.join(pairs, ["left", "right"]).select("block", "left", "right", "id"), pair_ids)
-    triples, _ = frequent_pairs(by_pair, splits, least, False)
+    pairs = frequent_pairs(by_word, splits, least)
+    by_pair = _renumber(by_word, held_pairs(by_word, pairs, splits), pair_ids)
+    triples = frequent_pairs(by_pair, splits, least)
 
     def word(side: str) -> DataFrame:
         return words.select(F.col("id").alias(side), F.col("word").alias(f"{side}_word"), F.col("n").alias(f"{side}_n"))
