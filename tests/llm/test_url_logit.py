@@ -39,3 +39,25 @@ def test_regression_on_unseen_hosts(spark):
             ("https://www.thether.example.com/en/12.html", "allow"), ("https://blog.sunflower.example.com/es/9", "allow")]
     got = judge_urls(spark.createDataFrame(list(enumerate(u for u, _ in urls)), "page_id long, url string")).orderBy("page_id")
     assert [r.verdict for r in got.collect()] == [v for _, v in urls]
+
+
+def test_probabilities_against_brute_force(spark):
+    """Every gram of ``^host|path`` looked up on its own, the weights summed in Python."""
+    import math
+
+    from pyspark.sql import functions as F
+
+    from threadsmith.llm import url_logit as u
+    urls = [x for x in ODD if x] + ["https://ab.example.org/é/1", "https://x/", "https://www.gardenclub.example.org/en/4"]
+    weights, intercept = u.train(u.labelled_urls(spark))
+
+    def grams(url):
+        text = "^" + "|".join(expected(url)[:2])
+        return [text[i:i + n] for n in u.GRAMS for i in range(len(text) - n + 1)]
+    distinct = sorted({g for url in urls for g in grams(url)})
+    hashed = spark.createDataFrame([(g,) for g in distinct], "g string").select("g", F.xxhash64("g").alias("h")).collect()
+    bucket = {r.g: r.h % u.BUCKETS for r in hashed}
+    got = {r.page_id: r.p_block for r in judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
+    for i, url in enumerate(urls):
+        total = intercept + sum(weights[bucket[g]] for g in grams(url))
+        assert math.isclose(got[i], 1 / (1 + math.exp(-total)), abs_tol=1e-6), url  # six digits

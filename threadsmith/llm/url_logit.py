@@ -28,13 +28,13 @@ cheap-loans.example.org/apply/1 free-money.example.com/now/8 malware-drop.exampl
 ALLOWED = """www.example.com/en/1042 blog.example.org/en/22 m.example.com/fr/9.html gardenhistory.example.org/en/55
 therivers.example.com/en/7 cityarchive.example.com/en/93 www.mountainhut.example.org/es/31 blog.weather.example.com/es/12
 library.example.org/en/5 orchestra.example.com/en/77/ m.museum.example.org/fr/3 blog.gardening.example.com/fr/8
-thatton.example.com/en/2 wherering.example.org/de/6 nationed.example.com/en/43 tionand.example.org/en/1
-thenerin.example.com/es/14 blog.sheard.example.com/en/66 andhere.example.org/en/4 oneather.example.com/fr/18
-www.thesting.example.com/en/27 historian.example.org/en/2 stationer.example.com/en/9.html blog.ereading.example.com/en/5
+lighthouse.example.com/en/2 harbour.example.org/de/6 townhall.example.com/en/43 sandstone.example.org/en/1
+restaurant.example.com/es/14 blog.shepherd.example.com/en/66 northern.example.org/en/4 leather.example.com/fr/18
+www.theatre.example.com/en/27 historian.example.org/en/2 stationer.example.com/en/9.html blog.reading.example.com/en/5
 recipes.example.com/en/3/ cooking.example.org/es/1 school.example.com/en/8 football.example.com/en/2
 university.example.org/en/310 bookshop.example.com/en/41 mathematics.example.org/en/17 hospital.example.com/fr/28
-tionsh.example.com/en/441 thothen.example.org/en/5.html www.thernation.example.com/de/20 ationes.example.org/es/87
-blog.thandthe.example.com/en/902/ m.thinkers.example.org/en/33 tionally.example.com/fr/640 otherside.example.com/en/71
+education.example.com/en/441 themountain.example.org/en/5.html www.national.example.com/de/20 stations.example.org/es/87
+blog.thunder.example.com/en/902/ m.thinkers.example.org/en/33 tradition.example.com/fr/640 otherside.example.com/en/71
 trains.example.com/en/19 gardeners.example.org/en/64 address.example.com/en/38 adults.example.org/en/71""".split()
 
 
