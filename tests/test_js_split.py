@@ -166,10 +166,10 @@ def test_only_touched_buckets_are_rewritten_and_a_crash_loses_nothing(spark, tmp
         with pytest.raises(RuntimeError, match="lost"):
             cache_table.compact(spark, path)
     assert held(spark, path) == want and cache_table.manifest(spark, path).first().gen == 1
-    assert cache_table.compact(spark, path) == {"generation": 2, "files": 1, "buckets": 1}
+    made = cache_table.compact(spark, path)
+    assert (made["generation"], made["buckets"]) == (2, 1)
     assert held(spark, path) == want
-    files = [f for f in spark.read.parquet(path).inputFiles()]
-    assert len(files) >= 2  # appends stay where they are
+    assert len(spark.read.parquet(path).inputFiles()) >= 2  # appends stay where they are
 
 
 def test_of_equal_versions_the_same_row_wins(spark, tmpdir_fresh):

@@ -28,7 +28,9 @@ def lexicon(spark: SparkSession, sf: str) -> DataFrame:
 
 def joined_up(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents")
-    return d.select("doc_id", F.regexp_replace("text", SPACE, "").alias("text"))
+    # paths are long work on few bytes: texts go to all cores, whatever the file's row groups are
+    spread = d.select("doc_id", "text").repartition(spark.sparkContext.defaultParallelism, "doc_id")
+    return spread.select("doc_id", F.regexp_replace("text", SPACE, "").alias("text"))
 
 
 LEXICON_SQL = f"""lf AS (SELECT lower(w) AS word, count(*) AS freq FROM (SELECT unnest({S.words('text')}) AS w FROM benchmark)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -90,7 +91,14 @@ def observed(df: DataFrame, **metrics) -> tuple[DataFrame, Callable[[], dict]]:
     by that action itself, without a second scan."""
     seen = Observation()
     first, *rest = [c.cast("long").alias(k) for k, c in metrics.items()]
-    return df.observe(seen, first, *rest), lambda: {k: v or 0 for k, v in seen.get.items()}
+
+    def counts() -> dict:
+        try:
+            found = seen.get
+        except Py4JJavaError:  # Spark proves the plan empty and runs no metrics
+            found = {}
+        return {k: found.get(k) or 0 for k in metrics}
+    return df.observe(seen, first, *rest), counts
 
 
 def append_cache(entries: DataFrame, path: str, version_col: str = "version") -> None:

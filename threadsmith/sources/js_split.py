@@ -127,7 +127,9 @@ def read_js_split(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     placed = placed.where("all_lines > 1").select("archive", "file", "start", "depth", "first")
     fragments = lines.select("file", "start", "line", "value").groupBy(*_RANGE).cogroup(placed.groupBy(*_RANGE)).applyInArrow(
         _cut_range, _FRAGMENT)
-    whole_ones = fragments.where("begins AND ends").select("archive", "file", "row_ord", "text")
+    # the text is null where it is only a part, so that a filter on the element never parses one
+    complete = F.col("begins") & F.col("ends")
+    whole_ones = fragments.where(complete).select("archive", "file", "row_ord", F.when(complete, F.col("text")).alias("text"))
     parts = fragments.where("NOT (begins AND ends)").groupBy("archive", "file", "row_ord").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "text"))), lambda p: p["text"]), "\n").alias("text"))
     element = F.from_json(F.concat(F.lit("["), "text", F.lit("]")), "array<string>", STRICT)[0]
