@@ -8,8 +8,8 @@ pairwise:
    windows have equal anchors at equal places.  An anchor's context is all that its windows can reach.  Anchors
    (hash, context hash, place) are dealt by hash, packed into one binary row a batch and place.
 2. Equal contexts: all but the first are covered whole.  Firsts whose anchor has other contexts are contested.
-3. Shards.  The contested contexts are cut from their texts and dealt by anchor.  Each shard gets a suffix
-   array by Larsson-Sadakane refinement and common prefixes after Kasai; neighbours that share ``LENGTH`` bytes are one
+3. Shards.  The contested contexts are cut from their texts and dealt by anchor; those without a like on either side of
+   the anchor go.  Each shard gets a suffix array by Larsson-Sadakane refinement and common prefixes after Kasai; neighbours that share ``LENGTH`` bytes are one
    string, and all but its first place are covered.
 4. An anchor that a bounded sample finds in many texts is dealt over many shards by context.  Each of
    these hands on its distinct windows as a sorted run; runs meet by ranges and are merged by binary search.
@@ -18,6 +18,7 @@ pairwise:
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -339,26 +340,46 @@ def _resolve_place(rows: pd.DataFrame) -> pd.DataFrame:
 def _cut_snippets(batches):
     """Contexts of the contested anchors of each text."""
     for batch in batches:
-        rows = {k: [] for k in ("id", "key", "low", "h", "often", "ctx", "snippet")}
+        rows = {k: [] for k in ("id", "key", "low", "h", "often", "ctx", "gram", "snippet")}
         for i, text in enumerate(batch.column(2)):
             data = text.as_py().encode()
             for spot in batch.column(3)[i].as_py():
                 low, high = max(0, spot["a"] - REACH), min(len(data), spot["a"] + LENGTH)
                 for k, v in (("id", batch.column(0)[i].as_py()), ("key", batch.column(1)[i].as_py()), ("low", low),
                              ("h", spot["h"]), ("often", spot["often"]), ("ctx", spot["ctx"]),
-                             ("snippet", data[low:high])):
+                             ("gram", spot["a"] - low), ("snippet", data[low:high])):
                     rows[k].append(v)
         if rows["id"]:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows["id"], pa.int64()), pa.array(rows["key"], pa.int32()), pa.array(rows["low"], pa.int64()),
                  pa.array(rows["h"], pa.int64()), pa.array(rows["often"], pa.bool_()), pa.array(rows["ctx"], pa.int64()),
-                 pa.array(rows["snippet"], pa.binary())], list(rows))
+                 pa.array(rows["gram"], pa.int32()), pa.array(rows["snippet"], pa.binary())], list(rows))
+
+
+#: a window around an anchor reaches as far on one side of it at least
+HALF = REACH // 2
+
+
+def with_partner(h: np.ndarray, gram: np.ndarray, snippets: list[bytes]) -> np.ndarray:
+    """Whether another context of the anchor ``h`` has the same ``HALF`` bytes before or after it.  Contexts that share a
+    window do, so the others have no repeated window."""
+    sides = [(i, side) for i, (a, b, s) in enumerate(zip(h.tolist(), gram.tolist(), snippets))
+             for side in ((a, 0, s[b - HALF:b + GRAM]) if b >= HALF else None,
+                          (a, 1, s[b:b + GRAM + HALF]) if b + GRAM + HALF <= len(s) else None) if side]
+    seen = Counter(side for _, side in sides)
+    keep = np.zeros(len(h), bool)
+    keep[[i for i, side in sides if seen[side] > 1]] = True
+    return keep
 
 
 def _resolve_shard(rows: pd.DataFrame, range_bits: int) -> pd.DataFrame:
     """Spans of a shard's repeated windows; shards of frequent anchors also hand on their runs of distinct
     windows, sorted and cut by the upper bits of the hash."""
     often = bool(rows["often"].iloc[0])
+    if not often:  # all contexts of an anchor are here
+        rows = rows[with_partner(rows["h"].to_numpy(), rows["gram"].to_numpy(), list(rows["snippet"]))]
+        if not len(rows):
+            return pd.DataFrame({c: [] for c in ("id", "key", "a", "b", "run", "span")})
     snippets = list(rows["snippet"])
     doc, ids, keys = numbered_documents(rows["id"].to_numpy(), rows["key"].to_numpy())
     place, at, new = same_windows(snippets, doc, rows["low"].to_numpy())
@@ -436,7 +457,7 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
     shards = max(1, found.where("b < 0").count() * (LENGTH + REACH) // SHARD_BYTES)
     snippets = texts.join(contested, ["id", "key"]).dropDuplicates(["id", "key"]).select("id", "key", "text", "spots")
     snippets = snippets.mapInArrow(_cut_snippets, "id long, key int, low long, h long, often boolean, ctx long, "
-                                                  "snippet binary")
+                                                  "gram int, snippet binary")
     shard = F.when(F.col("often"), F.pmod(F.xxhash64("ctx"), F.lit(shards))).otherwise(F.pmod(F.xxhash64("h"), F.lit(shards)))
     dealt = snippets.withColumn("shard", shard)
     range_bits = max(6, shards.bit_length())
