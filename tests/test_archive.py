@@ -153,7 +153,7 @@ def test_normalise_branches(spark, arch):
 def test_media_manifest_of_an_archive(spark, arch):
     from threadsmith.plans.archive_corpus import media_manifest
     data = os.path.join(arch, "data")
-    got = {(r.post_id, r.kind, r.file, r.source) for r in media_manifest(spark, normalised_posts(spark, data), data).collect()}
+    got = {(r.post_id, r.kind, r.media_file, r.source) for r in media_manifest(spark, normalised_posts(spark, data), data).collect()}
     assert got == {("800", "photo", "800-AAA.jpg", "https://pbs.twimg.com/media/AAA.jpg:orig"), ("900", "video", "900-vid1.mp4", "v2"),
                    ("900", "video", "900-vid2.mp4", "v2")}
 

@@ -230,7 +230,7 @@ def test_media_manifest(spark):
     got = {tuple(r) for r in media.media_manifest(items, files, best).collect()}
     assert got == {("1", 0, "photo", "1-a.jpg", "https://pbs.twimg.com/media/a.jpg:orig"), ("2", 0, "video", "2-v1.mp4", "best"),
                    ("2", 0, "video", "2-v2.mp4", "best")}
-    wide = {r.file for r in media.media_manifest(items, files, best, any_prefix=True).collect()}
+    wide = {r.media_file for r in media.media_manifest(items, files, best, any_prefix=True).collect()}
     assert wide == {"1-a.jpg", "2-v1.mp4", "2-v2.mp4", "23-w.mp4"}
 
 

@@ -113,7 +113,7 @@ def best_variants(variants: DataFrame, key_cols: list[str]) -> DataFrame:
 
 def media_manifest(media: DataFrame, listing: DataFrame, best: DataFrame, keys: tuple = ("post_id",), scope: tuple = (),
                    any_prefix: bool = False) -> DataFrame:
-    """Where the best version of every kept media file is found: ``keys, pos, kind, file, source``.
+    """Where the best version of every kept media file is found: ``keys, pos, kind, media_file, source``.
 
     A medium whose own file is in ``listing(scope, file, post_id)`` is a photo, its source the full-size url; otherwise
     every file of the post is a video's, its source the medium's best variant (``best(keys, pos, best_url)``; without
@@ -122,11 +122,11 @@ def media_manifest(media: DataFrame, listing: DataFrame, best: DataFrame, keys:
     m = media.withColumn("__exp", F.concat(F.col("post_id"), F.lit("-"), basename(F.col("media_url"))))
     exact = listing.select(*scope, F.col("file").alias("__exp"), F.lit(True).alias("__exact")).distinct()
     m = m.join(exact, [*scope, "__exp"], "left")
-    photos = m.where("__exact").select(*keys, "pos", F.lit("photo").alias("kind"), F.col("__exp").alias("file"),
+    photos = m.where("__exact").select(*keys, "pos", F.lit("photo").alias("kind"), F.col("__exp").alias("media_file"),
                                        photo_source(F.col("media_url")).alias("source"))
-    files = files_of_posts(listing, any_prefix).select(*scope, "post_id", "file").distinct()
+    files = files_of_posts(listing, any_prefix).select(*scope, "post_id", F.col("file").alias("media_file")).distinct()
     videos = m.where(F.col("__exact").isNull()).join(files, list(dict.fromkeys([*scope, "post_id"]))).join(best, [*keys, "pos"])
-    return photos.unionByName(videos.select(*keys, "pos", F.lit("video").alias("kind"), "file", F.col("best_url").alias("source")))
+    return photos.unionByName(videos.select(*keys, "pos", F.lit("video").alias("kind"), "media_file", F.col("best_url").alias("source")))
 
 
 def retry_ledger(results: DataFrame, tries: int = 5, key: str = "file") -> DataFrame:

@@ -42,7 +42,7 @@ def with_media(spark: SparkSession, norm: DataFrame, data_dirs: str | list[str])
 
 
 def media_manifest(spark: SparkSession, norm: DataFrame, data_dirs: str | list[str]) -> DataFrame:
-    """``archive, ..., post_id, pos, kind, file, source`` of every kept media file of the posts."""
+    """``archive, ..., post_id, pos, kind, media_file, source`` of every kept media file of the posts."""
     listing = archive.media_listing(spark, data_dirs)
     found = norm.filter(F.col("media").isNotNull()).select(*ROW, F.col("id").alias("post_id"), F.posexplode("media").alias("pos", "m"))
     keys = [*ROW, "post_id"]

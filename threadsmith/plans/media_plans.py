@@ -185,7 +185,7 @@ def media_manifest(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_orderkey").cast("string").alias("post_id"), pos.alias("pos"),
         F.concat(F.lit("https://video.example/"), F.col("l_suppkey").cast("string"), F.lit(".mp4")).alias("best_url")).distinct()
     found = MD.media_manifest(media, files, best)
-    return found.select("post_id", F.col("pos.l_linenumber").alias("line"), "kind", "file", "source")
+    return found.select("post_id", F.col("pos.l_linenumber").alias("line"), "kind", F.col("media_file").alias("file"), "source")
 
 
 def attempt_results(spark, sf) -> DataFrame:
