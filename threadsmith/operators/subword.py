@@ -76,8 +76,6 @@ def piece_table(texts: DataFrame, text_cols: list[str], ranks_path: str, cfg: Co
             ids = [[r + first_id for r in merged(t.as_py().encode(), ranks)] for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["token", "ids"])
 
-    tokens = None
-    for c in text_cols:
-        found = texts.select(F.explode(pre_tokens(c)).alias("token"))
-        tokens = found if tokens is None else tokens.unionByName(found)
+    found = texts.select(F.explode(F.array(*text_cols)).alias("text")).where(F.col("text").isNotNull())
+    tokens = found.select(F.explode(pre_tokens("text")).alias("token"))
     return tokens.distinct().mapInArrow(run, "token string, ids array<int>")

@@ -61,10 +61,8 @@ def encode(rows: DataFrame, keys: list[str], fields: list[str], vocab: DataFrame
     whose strategy is Spark's choice, as the vocabulary has no bound, and come together again by the text's hash.
     The rows carry hashes only and are never exploded."""
     hashed = lambda f: F.md5(F.col(f))
-    texts = None
-    for f in fields:
-        t = rows.where(F.col(f).isNotNull()).select(hashed(f).alias("__h"), F.col(f).alias("__text"))
-        texts = t if texts is None else texts.unionByName(t)
+    texts = rows.select(F.explode(F.array(*fields)).alias("__text")).where(F.col("__text").isNotNull()).select(
+        F.md5("__text").alias("__h"), "__text")
     found = texts.dropDuplicates(["__h"]).select("__h", F.posexplode(tokens(F.col("__text"))).alias("__pos", "__tok"))
     ids = F.col("ids") if "ids" in vocab.columns else F.array("token_id")
     j = found.join(vocab.select(F.col("token").alias("__tok"), ids.alias("__ids")), "__tok", "left")
