@@ -87,6 +87,7 @@ def as_column(owner: str | Column) -> Column:
     return owner if isinstance(owner, Column) else F.lit(owner)
 
 
+# Fixed value: what counts as leading mentions of a reply.
 MENTION_PREFIX = "^((@[0-9A-Za-z_]* )*)"
 
 

@@ -15,6 +15,7 @@ from threadsmith.functions.text import english_list, escape_markdown, filename_s
 from threadsmith.functions.timefmt import dm_epoch
 from threadsmith.operators.ordering import DAY, part_numbers
 
+# The sentences and headers that transcripts are rendered with below are fixed values.
 MESSAGE = "message"
 RENAME = "rename"
 SELF_JOIN = "join"
