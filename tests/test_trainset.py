@@ -109,3 +109,32 @@ def test_sequence_length_equals_the_encoded_length(spark):
 def test_drop_overlength(spark):
     df = spark.createDataFrame([([1, 2],), ([1, 2, 3],), ([],)], "input_ids array<int>")
     assert sorted(len(r.input_ids) for r in trainset.drop_overlength(df, 2).collect()) == [0, 2]
+
+
+def test_only_the_distinct_tokens_of_a_cell_meet_the_vocabulary(spark):
+    """One row a token and cell, however often the texts hold it; texts are shuffled once for the two uses."""
+    texts = ["a bb ccc " * 300] * 30 + [None, "", "dddd a"]
+    df = spark.createDataFrame([(i, t, "bb") for i, t in enumerate(texts)], "k int, text string, more string")
+    seen = []
+
+    def lengths(met):
+        seen.append(met)
+        return met.withColumn("ids", F.array_repeat(F.length("token"), 2)).where("token <> 'ccc'")
+    got = {r.k: r for r in trainset.encode(df, ["k"], ["text", "more"], lengths, ASCII).collect()}
+    assert got[0].text_ids == [1, 1, 2, 2, ASCII.unk_id] * 300 and got[0].more_ids == [2, 2]
+    assert (got[30].text_ids, got[31].text_ids, got[32].text_ids) == ([], [], [4, 4, 1, 1])
+    assert seen[0].count() <= 4 * len(texts) and seen[0].select("cell", "token").distinct().count() == seen[0].count()
+
+
+def shuffles_of_texts(spark, query):
+    """Shuffles that deal the rows with their texts, without those that are used again."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = query(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    return sum("REPARTITION_BY_COL" in line and "Reused" not in line for line in plan.splitlines())
+
+
+def test_encode_rows_shuffles_the_texts_once(spark):
+    assert shuffles_of_texts(spark, TP.encode_rows) == 1

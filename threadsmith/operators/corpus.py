@@ -87,8 +87,9 @@ def original_rows(posts: DataFrame, cfg: CorpusConfig, lexicon: DataFrame | None
     if lexicon is not None:
         # posts can share an id (an archive keeps both parts' copies): the text tells them apart
         tp = tp.withColumn("__text", F.md5(text))
-        topics = choose_topics(tp.dropDuplicates([*keys, "__text"]), keys, text_col, lexicon, cfg, carry=["__text"],
-                               apart=["__text"])
+        # grouped, not dropDuplicates: Spark shares the shuffles of two uses of these rows only so
+        once = tp.groupBy(*keys, "__text").agg(F.first(text).alias(text_col))
+        topics = choose_topics(once, keys, text_col, lexicon, cfg, carry=["__text"], apart=["__text"])
         tp = tp.join(topics.select(*keys, "__text", "topic_instruction"), [*keys, "__text"], "left")
         t_instr = F.coalesce(F.col("topic_instruction"), open_q)
     else:

@@ -1,6 +1,6 @@
 """Training-set preparation.
 
-Rows are encoded by a join with a vocabulary: whitespace tokens of the corpus, numbered in Spark by
+Rows are encoded by the vocabulary's entries for the tokens of their cell: whitespace tokens of the corpus, numbered in Spark by
 frequency, or the pieces that a published sub-word vocabulary gives each pre-token (``subword``).  Batching
 cuts a drawn order of all rows, pads to the batch maximum and builds the label mask."""
 
@@ -8,14 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from threadsmith.config import IGNORE_LABEL, LENGTH_QUANTILES, CorpusConfig
 from threadsmith.functions.draws import uniform
 from threadsmith.functions.text import ascii_spaced, whitespace_tokens
 from threadsmith.operators.ordering import hashed_index
 
+#: cells of rows, each with its own dictionary, that the encoding makes of a shuffle partition
+CELLS_A_PARTITION = 2
+
 
 def format_rows(rows: DataFrame) -> DataFrame:
     """L1: ``Instruction: {i}\\n`` [+ ``Input: {x}\\n``] + ``Answer: ``; target = output."""
@@ -37,7 +44,8 @@ def build_vocab(texts: DataFrame, text_cols: list[str], cfg: CorpusConfig) -> Da
     for c in text_cols:
         t = texts.select(F.explode(whitespace_tokens(F.col(c))).alias("token"))
         toks = t if toks is None else toks.unionByName(t)
-    freq = toks.groupBy("token").agg(F.count(F.lit(1)).alias("freq")).withColumn("__p", F.substring("token", 1, 3))
+    freq = toks.groupBy("token").agg(F.count(F.lit(1)).alias("freq")).withColumn(
+        "__p", F.coalesce(F.substring("token", 1, 3), F.lit("")))  # never null, so both uses of ``freq`` share its shuffle
     sizes = freq.groupBy("freq", "__p").agg(F.count(F.lit(1)).alias("__n"))
     earlier = Window.unboundedPreceding
     by_freq = sizes.groupBy("freq").agg(F.sum("__n").alias("__n")).select("freq", F.coalesce(F.sum("__n").over(
@@ -52,28 +60,66 @@ def build_vocab(texts: DataFrame, text_cols: list[str], cfg: CorpusConfig) -> Da
     return out if cfg.vocab_size is None else out.filter(F.col("token_id") < first_id + cfg.vocab_size)
 
 
-def encode(rows: DataFrame, keys: list[str], fields: list[str], vocab: DataFrame, cfg: CorpusConfig,
-           tokens: Callable[[Column], Column] = whitespace_tokens) -> DataFrame:
+def encode(rows: DataFrame, keys: list[str], fields: list[str], vocab: DataFrame | Callable[[DataFrame], DataFrame],
+           cfg: CorpusConfig, tokens: Callable[[Column], Column] = whitespace_tokens) -> DataFrame:
     """``keys..., <field>_ids...``: token ids of each text field, unknown tokens -> ``unk_id``.  ``vocab`` gives a token's
-    ``token_id`` or, for tokens of several pieces, its ``ids``.
-
-    Every distinct text is encoded once (rounds and templates repeat many): its tokens meet the vocabulary by a join,
-    whose strategy is Spark's choice, as the vocabulary has no bound, and come together again by the text's hash.
-    The rows carry hashes only and are never exploded."""
-    hashed = lambda f: F.md5(F.col(f))
-    texts = rows.select(F.explode(F.array(*fields)).alias("__text")).where(F.col("__text").isNotNull()).select(
-        F.md5("__text").alias("__h"), "__text")
-    found = texts.dropDuplicates(["__h"]).select("__h", F.posexplode(tokens(F.col("__text"))).alias("__pos", "__tok"))
-    ids = F.col("ids") if "ids" in vocab.columns else F.array("token_id")
-    j = found.join(vocab.select(F.col("token").alias("__tok"), ids.alias("__ids")), "__tok", "left")
-    known = F.coalesce("__ids", F.array(F.lit(cfg.unk_id)))
-    lists = j.groupBy("__h").agg(F.array_sort(F.collect_list(F.struct("__pos", known.alias("ids")))).alias("__l")).select(
-        "__h", F.flatten(F.transform("__l", lambda x: x["ids"])).alias("__ids"))
-    out = rows.select(*keys, *[hashed(f).alias(f"__h_{f}") for f in fields])
-    for f in fields:
-        out = out.join(lists.select(F.col("__h").alias(f"__h_{f}"), F.col("__ids").alias(f"{f}_ids")), f"__h_{f}", "left")
-    none = F.array().cast("array<int>")
-    return out.select(*keys, *[F.coalesce(f"{f}_ids", none).alias(f"{f}_ids") for f in fields])
+    ``token_id`` or, for tokens of several pieces, its ``ids``; or it is a function that adds the ``ids`` to a table of
+    ``cell, place, token``.
+
+    Rows are dealt to cells by their hash.  Only the distinct tokens of a cell meet the vocabulary, by a join whose
+    strategy is Spark's choice, as the vocabulary has no bound, and their ids come back by the token's place among the
+    sorted tokens of the cell.  So the texts are shuffled once and no task holds more than one cell and its tokens."""
+    session = rows.sparkSession
+    n_cells = CELLS_A_PARTITION * int(session.conf.get("spark.sql.shuffle.partitions"))
+    cell = F.pmod(F.xxhash64(*keys, *fields), F.lit(n_cells)).cast("int")
+    none = F.array().cast("array<string>")
+    columns = [f"{f}_ids" for f in fields]
+    # both uses below read the same columns, so that Spark shuffles the texts once for the two
+    dealt = rows.select(*keys, *fields, cell.alias("__cell")).repartition("__cell").sortWithinPartitions("__cell").select(
+        "__cell", *keys, *[F.coalesce(tokens(F.col(f)), none).alias(c) for f, c in zip(fields, columns)])
+
+    def distinct_tokens(table: pa.Table) -> pa.Table:
+        found = _distinct(table, columns)
+        cells = pa.repeat(table.column("__cell")[0], len(found))
+        return pa.Table.from_arrays([cells, pa.array(np.arange(len(found), dtype=np.int32)), found], ["cell", "place", "token"])
+
+    def numbered(table: pa.Table, entries: pa.Table) -> pa.Table:
+        found = _distinct(table, columns)
+        known = entries.column("ids")
+        ids = pa.concat_arrays([*known.chunks, pa.array([[cfg.unk_id] if pa.types.is_list(known.type) else cfg.unk_id], known.type)])
+        which = np.full(len(found), len(known), np.int64)
+        which[entries.column("place").to_numpy()] = np.arange(len(known))
+        for c in columns:
+            places = pc.index_in(_values(table, c), value_set=found).to_numpy()
+            got = ids.take(pa.array(which[places]))
+            stops = np.concatenate([[0], np.cumsum(pc.list_value_length(table.column(c)).to_numpy())])
+            if pa.types.is_list(got.type):
+                stops = np.concatenate([[0], np.cumsum(pc.list_value_length(got).to_numpy(zero_copy_only=False))])[stops]
+                got = got.flatten()
+            out = pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), got)
+            table = table.set_column(table.schema.get_field_index(c), c, out)
+        return table.select([*keys, *columns])
+
+    met = dealt.groupBy("__cell").applyInArrow(distinct_tokens, "cell int, place int, token string")
+    if callable(vocab):
+        entries = vocab(met)
+    else:
+        ids = F.col("ids" if "ids" in vocab.columns else "token_id")
+        entries = met.join(vocab.select("token", ids.alias("ids")), "token")
+    kinds = {f.name: f for f in rows.schema.fields}
+    schema = StructType([*(kinds[k] for k in keys), *(StructField(c, ArrayType(IntegerType())) for c in columns)])
+    return dealt.groupBy("__cell").cogroup(entries.select("cell", "place", "ids").groupBy("cell")).applyInArrow(numbered, schema)
+
+
+def _values(table: pa.Table, column: str) -> pa.ChunkedArray:
+    """The values of a column of lists, one after the other."""
+    return pa.chunked_array([c.flatten() for c in table.column(column).chunks], pa.string())
+
+
+def _distinct(table: pa.Table, columns: list[str]) -> pa.Array:
+    """The distinct values of columns of lists, sorted."""
+    found = pc.unique(pa.chunked_array([v for c in columns for v in _values(table, c).chunks], pa.string()))
+    return found.take(pc.sort_indices(found))
 
 
 def assemble(df: DataFrame, cfg: CorpusConfig, prompt_col: str = "context_ids",
