@@ -75,3 +75,20 @@ def test_repeated_keys_and_texts_keep_their_rows(spark):
     vocab = trainset.build_vocab(df, ["text"], ASCII)
     got = trainset.encode(df, ["k"], ["text"], vocab, ASCII).collect()
     assert sorted(len(r.text_ids) for r in got) == [1, 2, 2]
+
+
+def test_pieces_of_a_token_are_found_once_for_all_it_was_met_with(spark):
+    met = spark.createDataFrame([(c, p, t) for c in range(3) for p, t in enumerate(["It", " is", " 漢字"])] + [(9, 0, "It")],
+                                "cell int, place int, token string")
+    got = subword.with_pieces(met, PATH, ASCII).collect()
+    assert len(got) == 10 and {(r.cell, r.place) for r in got} == {(r.cell, r.place) for r in met.collect()}
+    assert all(r.ids == [i + FIRST for i in LIBRARY.encode_ordinary(r.token)] for r in got)
+
+
+def test_corpus_texts_are_shuffled_once(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = TP.subword_rows(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum("REPARTITION_BY_COL" in line and "Reused" not in line for line in plan.splitlines()) == 1

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from threadsmith.config import CorpusConfig
 
@@ -66,16 +67,24 @@ def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def piece_table(texts: DataFrame, text_cols: list[str], ranks_path: str, cfg: CorpusConfig) -> DataFrame:
-    """``token, ids`` of every distinct pre-token of the text columns; ids are ranks after the special ids."""
+def with_pieces(tokens: DataFrame, ranks_path: str, cfg: CorpusConfig) -> DataFrame:
+    """``tokens`` (``token``, and columns that it was met with) with its ``ids``: ranks after the special ids.  The pieces
+    of a token are found once."""
     ranks = read_ranks(ranks_path)
     first_id = max(cfg.pad_id, cfg.unk_id, cfg.bos_id, cfg.eos_id) + 1
+    others = [c for c in tokens.columns if c != "token"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = [[r + first_id for r in merged(t.as_py().encode(), ranks)] for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["token", "ids"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], [*batch.schema.names, "ids"])
+
+    found = tokens.groupBy("token").agg(F.collect_list(F.struct(*others)).alias("met")) if others else tokens.distinct()
+    pieces = found.mapInArrow(run, StructType([*found.schema.fields, StructField("ids", ArrayType(IntegerType()))]))
+    return pieces.select(F.explode("met").alias("met"), "token", "ids").select("met.*", "token", "ids") if others else pieces
 
+
+def piece_table(texts: DataFrame, text_cols: list[str], ranks_path: str, cfg: CorpusConfig) -> DataFrame:
+    """``token, ids`` of every distinct pre-token of the text columns."""
     found = texts.select(F.explode(F.array(*text_cols)).alias("text")).where(F.col("text").isNotNull())
-    tokens = found.select(F.explode(pre_tokens("text")).alias("token"))
-    return tokens.distinct().mapInArrow(run, "token string, ids array<int>")
+    return with_pieces(found.select(F.explode(pre_tokens("text")).alias("token")), ranks_path, cfg)

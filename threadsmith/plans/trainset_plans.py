@@ -125,7 +125,7 @@ def encode_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def subword_encoded(spark: SparkSession, sf: str, ranks_path: str) -> DataFrame:
     rows = formatted(spark, sf)
-    pieces = subword.piece_table(rows, ["context", "target"], ranks_path, CFG)
+    pieces = lambda met: subword.with_pieces(met, ranks_path, CFG)
     return trainset.assemble(trainset.encode(rows, KEYS, ["context", "target"], pieces, CFG, subword.pre_tokens), CFG)
 
 
