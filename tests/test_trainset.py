@@ -138,3 +138,8 @@ def shuffles_of_texts(spark, query):
 
 def test_encode_rows_shuffles_the_texts_once(spark):
     assert shuffles_of_texts(spark, TP.encode_rows) == 1
+
+
+def test_batches_and_masks_shuffle_the_texts_once(spark):
+    for query in (TP.padded_batches, TP.label_mask):
+        assert shuffles_of_texts(spark, query) == 1
