@@ -135,16 +135,27 @@ def retry_ledger(results: DataFrame, tries: int = 5, key: str = "file") -> DataF
     A file takes part in round 1 and in each further one while all before it failed; results of rounds it does not
     reach do not count.  It ends as ``best`` with its first success, ``failed`` after ``tries`` failures, and is
     ``pending`` while the result of its next round is missing.  Of several results of one round a success counts."""
-    one = results.where(F.col("round").between(1, tries)).groupBy(key, "round").agg(F.max(F.struct("success", "bytes")).alias("r"))
-    lists = one.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("round", "r"))).alias("rounds"))
+    # a few plain numbers for each round: one pass by hash, without lists to sort
+    outcome = F.when(F.col("success"), 2).when(~F.col("success"), 1).otherwise(0)
+    here = lambda n: F.col(key).isNotNull() & (F.col("round") == n)
+    known = results.groupBy(key).agg(*[agg for n in range(1, tries + 1) for agg in (
+        F.max(F.when(here(n), outcome)).alias(f"__best{n}"),
+        *[F.max(F.when(here(n) & (outcome == k), F.col("bytes"))).alias(f"__bytes{n}_{k}") for k in range(3)])])
+
+    def result(n):
+        best = F.col(f"__best{n}")
+        size = F.coalesce(*[F.when(best == k, F.col(f"__bytes{n}_{k}")) for k in range(3)])
+        return F.when(best.isNotNull(), F.struct(F.lit(n).alias("round"), F.struct(
+            F.when(best > 0, best == 2).alias("success"), size.alias("bytes")).alias("r")))
+
     start = F.struct(F.lit(0).cast("long").alias("attempts"), F.lit(False).alias("done"), F.lit(0).cast("long").alias("bytes"))
 
     def step(a, x):
         counts = ~a["done"] & (x["round"] == a["attempts"] + 1)
         return F.struct((a["attempts"] + counts.cast("long")).alias("attempts"), (a["done"] | (counts & x["r"]["success"])).alias("done"),
                         (a["bytes"] + F.when(counts, x["r"]["bytes"].cast("long")).otherwise(F.lit(0).cast("long"))).alias("bytes"))
-    known = results.select(key).distinct().join(lists, key, "left")
-    end = F.aggregate(F.coalesce("rounds", F.array().cast(lists.schema["rounds"].dataType)), start, step)
+    rounds = F.filter(F.array(*[result(n) for n in range(1, tries + 1)]), lambda x: x.isNotNull())
+    end = F.aggregate(rounds, start, step)
     out = known.select(key, end.alias("e"))
     state = F.when(F.col("e.done"), "best").when(F.col("e.attempts") >= tries, "failed").otherwise("pending")
     return out.select(key, F.col("e.attempts").alias("attempts"), state.alias("state"), F.col("e.bytes").alias("bytes"))

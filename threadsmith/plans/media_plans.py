@@ -191,7 +191,9 @@ def media_manifest(spark: SparkSession, sf: str) -> DataFrame:
 def attempt_results(spark, sf) -> DataFrame:
     """Results of up to five rounds a file by a draw: under 0.45 a success, above 0.97 not there yet."""
     file = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"), F.lit(".jpg"))
-    rounds = li(spark, sf).select(file.alias("file")).distinct().select("file", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("round"))
+    # a given number of partitions, as names are short but the ledger keeps more for each: few large ones would spill
+    files = li(spark, sf).select(file.alias("file")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file").distinct()
+    rounds = files.select("file", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("round"))
     drawn = rounds.withColumn("u", uniform(["file", "round"], "attempt"))
     return drawn.where("u <= 0.97").select("file", "round", (F.col("u") < 0.45).alias("success"),
                                            F.floor(F.col("u") * 1000).cast("bigint").alias("bytes"))
