@@ -74,3 +74,23 @@ def test_nouns_column(spark):
     df = segment.segment(spark.createDataFrame([("北京很好",)], "text string"), "text", lexicon_of(spark))
     assert df.select(segment.nouns("words").alias("n")).first().n == ["北京"]
     assert df.select(F.size("words").alias("n")).first().n == 2
+
+
+@pytest.mark.parametrize("table", [True, False])
+def test_lattices_of_many_runs_equal_one_path_at_a_time(table):
+    rng = random.Random(1)
+    for _ in range(40):
+        letters = "abcdé漢\U0001f600"[:rng.randint(1, 7)]
+        words = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 6))): -rng.randint(0, 6) for _ in range(rng.randint(0, 30))}
+        rows = [(w, "n", k) for w, k in words.items()]
+        unknown = min(words.values(), default=0)
+        lattices, trie = segment.Lattices(rows, unknown), segment.Trie(rows)
+        lattices.table = lattices.table if table else None
+        runs = ["".join(rng.choice(letters + "z") for _ in range(rng.choice([0, 1, 5, 40, 200]))) for _ in range(40)]
+        for run, ends in zip(runs, lattices.paths(runs)):
+            assert ends == segment.best_path(len(run), [e[:3] for e in trie.edges(run)], unknown), (rows, run)
+
+
+def test_lower_case_keeps_places():
+    for text in ("ΑΣ ΑΣ", "İstanbul", "ÀÉ漢", ""):
+        assert segment.lower_each(text) == "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
