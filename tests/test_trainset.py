@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF001
 from threadsmith.config import ASCII, IGNORE_LABEL
+from threadsmith.functions.draws import uniform
 from threadsmith.operators import trainset
 from threadsmith.plans import trainset_plans as TP
 
@@ -126,13 +127,17 @@ def test_only_the_distinct_tokens_of_a_cell_meet_the_vocabulary(spark):
     assert seen[0].count() <= 4 * len(texts) and seen[0].select("cell", "token").distinct().count() == seen[0].count()
 
 
-def shuffles_of_texts(spark, query):
-    """Shuffles that deal the rows with their texts, without those that are used again."""
+def static_plan(spark, query):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = query(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        return query(spark, SF001)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def shuffles_of_texts(spark, query):
+    """Shuffles that deal the rows with their texts, without those that are used again."""
+    plan = static_plan(spark, query)
     return sum("REPARTITION_BY_COL" in line and "Reused" not in line for line in plan.splitlines())
 
 
@@ -143,3 +148,64 @@ def test_encode_rows_shuffles_the_texts_once(spark):
 def test_batches_and_masks_shuffle_the_texts_once(spark):
     for query in (TP.padded_batches, TP.label_mask):
         assert shuffles_of_texts(spark, query) == 1
+
+
+def test_no_shuffle_follows_the_encoding(spark):
+    """The plan above the cogrouped cells, which it lists first, deals no row again."""
+    for query in (TP.padded_batches, TP.label_mask):
+        plan = static_plan(spark, query)
+        assert plan.count("FlatMapCoGroupsInArrow") == 1
+        above = plan[:plan.index("FlatMapCoGroupsInArrow")]
+        assert "Exchange" not in above and "Window" not in above
+
+
+def test_cut_texts_keeps_the_tokens_that_rows_take(spark):
+    spaces = [" ", "\t", "\n", "\u3000", "\x1c", "\xa0 ", "  \u2028"]
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(spaces) + rng.choice(["a", "bé", "𝒳𝒴", "c.d"]) for _ in range(n)) for n in range(12)] + ["", " \t", None, "a" * 9]
+    cfg = ASCII.with_(max_seq_length=5)
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    for r in trainset.cut_texts(df, ["text"], cfg).collect():
+        whole = texts[r.k]
+        assert r.text is None if whole is None else whole.startswith(r.text) and r.text.split() == whole.split()[:5]
+
+
+def test_batches_across_cells_equal_batches_of_one_order(spark):
+    """Few rows in many cells, so that batches lie across several cells, and many rows in few, with null and equal keys."""
+    rng = random.Random(8)
+
+    def row(i):
+        words = lambda: " ".join(rng.choice("abcdefg") for _ in range(rng.choice([0, 1, 4, 30, 500])))
+        return (rng.choice(["o", "r", None]), f"i{i // 2}" if i % 9 else "same", i % 2, words(), words())
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts, n in (("9", 61), ("1", 150), ("2", 3)):
+            rows = [row(i) for i in range(n)]
+            rows.append((rows[0][0], rows[0][1], rows[0][2], None, None))
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            df = spark.createDataFrame(rows, "source string, id string, round long, context string, target string")
+            entries = spark.createDataFrame([(w, k + 4) for k, w in enumerate("abcdef")], "token string, token_id int")
+            got = TP.batches_of(df, entries).collect()
+            draw = {tuple(r)[:3]: r.u for r in df.select(*TP.KEYS, uniform(TP.KEYS, "order", ASCII.seed).alias("u")).collect()}
+
+            def ids(text):
+                return ["abcdef".find(w) + 4 if w in "abcdef" else ASCII.unk_id for w in (text or "").split()]
+
+            def whole(r):
+                prompt = ids(r[3])[:ASCII.max_seq_length - 1] + [ASCII.bos_id]
+                return (prompt + ids(r[4]) + [ASCII.eos_id])[:ASCII.max_seq_length]
+            none_first = lambda key: [(v is not None, v) for v in key]
+            order = sorted(((draw[r[:3]], none_first(r[:3])) for r in rows))
+            assert sorted(map(tuple, (r.input_ids for r in got))) == sorted(tuple(whole(r)) for r in rows)
+            batches = {}
+            for r in got:
+                batches.setdefault(r.batch, []).append(r)
+            for k in range(0, len(order), ASCII.batch_size):
+                b = sorted(batches.pop(k // ASCII.batch_size), key=lambda r: r.pos_in_batch)
+                assert sorted((draw[tuple(r)[:3]], none_first(tuple(r)[:3])) for r in b) == order[k:k + ASCII.batch_size]
+                assert [r.pos_in_batch for r in b] == list(range(1, len(b) + 1))
+                assert [len(r.input_ids) for r in b] == [r.length for r in b] == sorted((r.length for r in b), reverse=True)
+                assert all(r.longest == b[0].length == len(r.padded_ids) == len(r.labels) for r in b)
+            assert not batches
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)

@@ -2,7 +2,8 @@
 
 Rows are encoded by the vocabulary's entries for the tokens of their cell: whitespace tokens of the corpus, numbered in Spark by
 frequency, or the pieces that a published sub-word vocabulary gives each pre-token (``subword``).  Batching
-cuts a drawn order of all rows, pads to the batch maximum and builds the label mask."""
+cuts a drawn order of all rows, which are dealt by ranges of the draw and encoded where they lie, pads to the batch
+maximum and builds the label mask."""
 
 from __future__ import annotations
 
@@ -17,8 +18,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from threadsmith.config import IGNORE_LABEL, LENGTH_QUANTILES, CorpusConfig
 from threadsmith.functions.draws import uniform
-from threadsmith.functions.text import ascii_spaced, whitespace_tokens
-from threadsmith.operators.ordering import hashed_index
+from threadsmith.functions.text import PY_SPACE_CLASS, ascii_spaced, whitespace_tokens
 
 #: cells of rows, each with its own dictionary, that the encoding makes of a shuffle partition
 CELLS_A_PARTITION = 2
@@ -60,23 +60,39 @@ def build_vocab(texts: DataFrame, text_cols: list[str], cfg: CorpusConfig) -> Da
     return out if cfg.vocab_size is None else out.filter(F.col("token_id") < first_id + cfg.vocab_size)
 
 
+def cut_texts(rows: DataFrame, fields: list[str], cfg: CorpusConfig) -> DataFrame:
+    """``rows`` with each text field up to the end of its first ``max_seq_length`` whitespace tokens.  ``assemble`` takes no
+    more of a field, so what it drops is neither shuffled nor numbered."""
+    first = f"^[{PY_SPACE_CLASS}]*+(?:[^{PY_SPACE_CLASS}]++[{PY_SPACE_CLASS}]*+){{0,{cfg.max_seq_length}}}+"
+    return rows.withColumns({f: F.regexp_extract(F.col(f), first, 0) for f in fields})
+
+
+def cell_count(rows: DataFrame) -> int:
+    return CELLS_A_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def encode(rows: DataFrame, keys: list[str], fields: list[str], vocab: DataFrame | Callable[[DataFrame], DataFrame],
-           cfg: CorpusConfig, tokens: Callable[[Column], Column] = whitespace_tokens) -> DataFrame:
+           cfg: CorpusConfig, tokens: Callable[[Column], Column] = whitespace_tokens, cell: Column | None = None,
+           placed: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``keys..., <field>_ids...``: token ids of each text field, unknown tokens -> ``unk_id``.  ``vocab`` gives a token's
     ``token_id`` or, for tokens of several pieces, its ``ids``; or it is a function that adds the ``ids`` to a table of
-    ``cell, place, token``.
+    ``cell, place, token``.  ``placed`` adds columns to the dealt rows (``__cell``, keys and fields), which go along.
 
-    Rows are dealt to cells by their hash.  Only the distinct tokens of a cell meet the vocabulary, by a join whose
+    Rows are dealt to cells by their hash, or by ``cell``.  Only the distinct tokens of a cell meet the vocabulary, by a join whose
     strategy is Spark's choice, as the vocabulary has no bound, and their ids come back by the token's place among the
     sorted tokens of the cell.  So the texts are shuffled once and no task holds more than one cell and its tokens."""
-    session = rows.sparkSession
-    n_cells = CELLS_A_PARTITION * int(session.conf.get("spark.sql.shuffle.partitions"))
-    cell = F.pmod(F.xxhash64(*keys, *fields), F.lit(n_cells)).cast("int")
+    if cell is None:
+        cell = F.pmod(F.xxhash64(*keys, *fields), F.lit(cell_count(rows))).cast("int")
     none = F.array().cast("array<string>")
     columns = [f"{f}_ids" for f in fields]
-    # both uses below read the same columns, so that Spark shuffles the texts once for the two
-    dealt = rows.select(*keys, *fields, cell.alias("__cell")).repartition("__cell").sortWithinPartitions("__cell").select(
-        "__cell", *keys, *[F.coalesce(tokens(F.col(f)), none).alias(c) for f, c in zip(fields, columns)])
+    # all uses below read the same columns, so that Spark shuffles the texts once for them
+    dealt = rows.select(*keys, *fields, cell.alias("__cell")).repartition("__cell")
+    further = dealt if placed is None else placed(dealt)
+    carried = [c for c in further.columns if c not in ("__cell", *fields)]
+
+    def with_tokens(df: DataFrame, others: list[str]) -> DataFrame:
+        return df.sortWithinPartitions("__cell").select(
+            "__cell", *others, *[F.coalesce(tokens(F.col(f)), none).alias(c) for f, c in zip(fields, columns)])
 
     def distinct_tokens(table: pa.Table) -> pa.Table:
         found = _distinct(table, columns)
@@ -98,17 +114,17 @@ def encode(rows: DataFrame, keys: list[str], fields: list[str], vocab: DataFrame
                 got = got.flatten()
             out = pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), got)
             table = table.set_column(table.schema.get_field_index(c), c, out)
-        return table.select([*keys, *columns])
+        return table.select([*carried, *columns])
 
-    met = dealt.groupBy("__cell").applyInArrow(distinct_tokens, "cell int, place int, token string")
+    met = with_tokens(dealt, keys).groupBy("__cell").applyInArrow(distinct_tokens, "cell int, place int, token string")
     if callable(vocab):
         entries = vocab(met)
     else:
         ids = F.col("ids" if "ids" in vocab.columns else "token_id")
         entries = met.join(vocab.select("token", ids.alias("ids")), "token")
-    kinds = {f.name: f for f in rows.schema.fields}
-    schema = StructType([*(kinds[k] for k in keys), *(StructField(c, ArrayType(IntegerType())) for c in columns)])
-    return dealt.groupBy("__cell").cogroup(entries.select("cell", "place", "ids").groupBy("cell")).applyInArrow(numbered, schema)
+    kinds = {f.name: f for f in further.schema.fields}
+    schema = StructType([*(kinds[k] for k in carried), *(StructField(c, ArrayType(IntegerType())) for c in columns)])
+    return with_tokens(further, carried).groupBy("__cell").cogroup(entries.select("cell", "place", "ids").groupBy("cell")).applyInArrow(numbered, schema)
 
 
 def _values(table: pa.Table, column: str) -> pa.ChunkedArray:
@@ -160,25 +176,54 @@ def length_quantiles(df: DataFrame, ids_col: str = "input_ids",
         F.col("z.q").alias("quantile"), F.col("z.v").alias("length"))
 
 
-def assign_batches(df: DataFrame, keys: list[str], cfg: CorpusConfig, ids_col: str = "input_ids") -> DataFrame:
-    """Rows in a drawn order, ``batch_size`` consecutive rows a batch."""
-    x = hashed_index(df, uniform(keys, "order", cfg.seed), keys, idx_col="__rn")
-    x = x.withColumn("batch", F.floor(F.col("__rn") / cfg.batch_size).cast("bigint"))
-    return x.withColumn("length", F.size(ids_col))
+def batch_cell(rows: DataFrame, keys: list[str], cfg: CorpusConfig) -> Column:
+    """The cell of a row for ``assign_batches``: an equal range of the drawn order."""
+    return F.floor(uniform(keys, "order", cfg.seed) * cell_count(rows)).cast("int")
+
+
+def assign_batches(dealt: DataFrame, keys: list[str], length: Column, cfg: CorpusConfig) -> DataFrame:
+    """Rows in a drawn order, ``batch_size`` consecutive rows a batch: ``batch``, ``length``, the batch's
+    ``longest`` and ``pos_in_batch``, longest first.  ``dealt`` are rows partitioned by ``__cell``, their ``batch_cell``.
+
+    No row leaves its cell.  A cell's first number is the count of the rows before it, and a batch that lies across
+    cells knows its other rows by their lengths: each cell shows its neighbours less than a batch of rows at either end."""
+    size = cfg.batch_size
+    # equal keys go by length and content, so that every use of this order numbers the rows alike
+    x = dealt.withColumn("length", length.cast("int")).withColumn("__u", uniform(keys, "order", cfg.seed)).withColumn(
+        "__tie", F.xxhash64(*dealt.columns))
+    cell = Window.partitionBy("__cell")
+    x = x.withColumn("__place", F.row_number().over(cell.orderBy("__u", *keys, F.desc("length"), "__tie")).cast("bigint"))
+    near_end = (F.col("__place") < size) | (F.col("__place") > F.col("__n") - size + 1)
+    ends = x.withColumn("__n", F.count(F.lit(1)).over(cell)).where(near_end).groupBy(F.col("__cell").alias("__c")).agg(
+        F.first("__n").alias("__n"), F.collect_list(F.struct("__place", "length")).alias("__ends"))
+    cells = Window.orderBy("__c")
+    ends = ends.withColumn("__off", F.coalesce(F.sum("__n").over(cells.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    ends = ends.withColumn("__ends", F.transform("__ends", lambda e: F.struct(
+        (F.col("__off") + e["__place"] - 1).alias("rn"), e["length"].alias("length"))))
+    # a cell has a row at least, so a batch reaches over less than ``size`` cells to either side
+    beside = [F.flatten(F.collect_list("__ends").over(cells.rowsBetween(*r))) for r in ((1 - size, -1), (1, size - 1))]
+    # a left join, as an inner one would add a filter below the shuffle of the texts, which were then shuffled anew
+    x = x.join(ends.select("__c", "__off", F.concat(*beside).alias("__beside")), F.col("__cell") == F.col("__c"), "left")
+    x = x.withColumn("__rn", F.col("__off") + F.col("__place") - 1)
+    x = x.withColumn("batch", F.floor(F.col("__rn") / size).cast("bigint"))
+    x = x.withColumn("__others", F.filter("__beside", lambda e: F.floor(e["rn"] / size) == F.col("batch")))
+    longest_first = Window.partitionBy("__cell", "batch").orderBy(F.desc("length"), "__rn")
+    before = F.filter("__others", lambda e: (e["length"] > F.col("length")) | (
+        (e["length"] == F.col("length")) & (e["rn"] < F.col("__rn"))))
+    x = x.withColumns({"__first": F.first("length").over(longest_first), "__in_cell": F.row_number().over(longest_first)})
+    return x.select(*dealt.columns, "batch", "length",
+                    F.greatest("__first", F.array_max(F.transform("__others", lambda e: e["length"]))).alias("longest"),
+                    (F.col("__in_cell") + F.size(before)).cast("bigint").alias("pos_in_batch"))
 
 
 def pad_and_mask(batched: DataFrame, cfg: CorpusConfig, ids_col: str = "input_ids") -> DataFrame:
-    """Order by length desc inside the batch, pad to the batch maximum,
-    labels = ignore x (seq_len-1) + ids[seq_len-1:] + ignore x padding."""
-    wb = Window.partitionBy("batch")
-    x = batched.withColumn("longest", F.max("length").over(wb))
-    x = x.withColumn("pos_in_batch", F.row_number().over(wb.orderBy(F.desc("length"), F.col("__rn"))).cast("bigint"))
+    """Pad to the batch maximum, labels = ignore x (seq_len-1) + ids[seq_len-1:] + ignore x padding."""
     pad = F.col("longest") - F.col("length")
-    x = x.withColumn("padded_ids", F.concat(F.col(ids_col), F.array_repeat(F.lit(cfg.pad_id), pad)))
+    x = batched.withColumn("padded_ids", F.concat(F.col(ids_col), F.array_repeat(F.lit(cfg.pad_id), pad)))
     labels = F.concat(F.array_repeat(F.lit(IGNORE_LABEL), F.col("seq_len") - 1),
                       F.slice(F.col(ids_col), F.col("seq_len"), F.col("length") - F.col("seq_len") + 1),
                       F.array_repeat(F.lit(IGNORE_LABEL), pad))
-    return x.withColumn("labels", labels).drop("__rn")
+    return x.withColumn("labels", labels)
 
 
 def chat_windows(pairs: DataFrame, cfg: CorpusConfig, conv_col: str = "conv_id", pair_col: str = "pair_no",

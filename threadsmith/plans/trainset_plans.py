@@ -18,6 +18,7 @@ from threadsmith.plans.registry import register, table
 
 CFG = ASCII
 KEYS = ["source", "id", "round"]
+FIELDS = ["context", "target"]
 TOK_RE = f"[^{PY_SPACE_CLASS}]+"
 
 
@@ -30,13 +31,21 @@ def vocab(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, sf: str, cfg=CFG) -> DataFrame:
-    enc = trainset.encode(formatted(spark, sf), KEYS, ["context", "target"], vocab(spark, sf), cfg)
-    return trainset.assemble(enc, cfg)
+    rows = trainset.cut_texts(formatted(spark, sf), FIELDS, cfg)
+    return trainset.assemble(trainset.encode(rows, KEYS, FIELDS, vocab(spark, sf), cfg), cfg)
 
 
 def batched(spark: SparkSession, sf: str) -> DataFrame:
-    b = trainset.assign_batches(encoded(spark, sf), KEYS, CFG)
-    return trainset.pad_and_mask(b, CFG)
+    return batches_of(formatted(spark, sf), vocab(spark, sf))
+
+
+def batches_of(rows: DataFrame, entries: DataFrame, cfg=CFG) -> DataFrame:
+    """Rows get their batches where they are dealt to be encoded: their length is known without a vocabulary."""
+    rows = trainset.cut_texts(rows, FIELDS, cfg)
+    length = trainset.sequence_length(*[F.coalesce(f, F.lit("")) for f in FIELDS], cfg)
+    placed = lambda dealt: trainset.assign_batches(dealt, KEYS, length, cfg)
+    enc = trainset.encode(rows, KEYS, FIELDS, entries, cfg, cell=trainset.batch_cell(rows, KEYS, cfg), placed=placed)
+    return trainset.pad_and_mask(trainset.assemble(enc, cfg), cfg)
 
 
 def chat_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,7 +135,7 @@ def encode_rows(spark: SparkSession, sf: str) -> DataFrame:
 def subword_encoded(spark: SparkSession, sf: str, ranks_path: str) -> DataFrame:
     rows = formatted(spark, sf)
     pieces = lambda met: subword.with_pieces(met, ranks_path, CFG)
-    return trainset.assemble(trainset.encode(rows, KEYS, ["context", "target"], pieces, CFG, subword.pre_tokens), CFG)
+    return trainset.assemble(trainset.encode(rows, KEYS, FIELDS, pieces, CFG, subword.pre_tokens), CFG)
 
 
 @register("subword_rows")
