@@ -18,7 +18,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from threadsmith.config import IGNORE_LABEL, LENGTH_QUANTILES, CorpusConfig
 from threadsmith.functions.draws import uniform
-from threadsmith.functions.text import PY_SPACE_CLASS, ascii_spaced, whitespace_tokens
+from threadsmith.functions.text import ascii_spaced, whitespace_tokens
 
 #: cells of rows, each with its own dictionary, that the encoding makes of a shuffle partition
 CELLS_A_PARTITION = 2
@@ -61,10 +61,10 @@ def build_vocab(texts: DataFrame, text_cols: list[str], cfg: CorpusConfig) -> Da
 
 
 def cut_texts(rows: DataFrame, fields: list[str], cfg: CorpusConfig) -> DataFrame:
-    """``rows`` with each text field up to the end of its first ``max_seq_length`` whitespace tokens.  ``assemble`` takes no
-    more of a field, so what it drops is neither shuffled nor numbered."""
-    first = f"^[{PY_SPACE_CLASS}]*+(?:[^{PY_SPACE_CLASS}]++[{PY_SPACE_CLASS}]*+){{0,{cfg.max_seq_length}}}+"
-    return rows.withColumns({f: F.regexp_extract(F.col(f), first, 0) for f in fields})
+    """``rows`` with each text field up to the end of its first ``max_seq_length`` whitespace tokens, with ASCII spaces.
+    ``assemble`` takes no more of a field, so what it drops is neither shuffled nor numbered."""
+    first = f"^\\s*+(?:\\S++\\s*+){{0,{cfg.max_seq_length}}}+"
+    return rows.withColumns({f: F.regexp_extract(ascii_spaced(f), first, 0) for f in fields})
 
 
 def cell_count(rows: DataFrame) -> int:
