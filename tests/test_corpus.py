@@ -62,3 +62,25 @@ def test_gated_replies_of_a_hot_conversation_match_the_contexts(spark):
     pairs = corpus.reply_rows(corpus.thread_contexts(turns), ASCII, ["conv_id", "turn"])
     want = {(r.conv_id, r.turn): r.n_context for r in pairs.collect()}
     assert {(r.conv_id, r.turn): r.n_context for r in corpus.gated_replies(turns, ASCII).collect()} == want
+
+
+def test_topics_take_sentences_through_their_shuffle(spark):
+    """Rows of equal keys and text count once, and no whole text is gathered for that."""
+    text = "one fine morning. two cold evenings, three dark nights."
+    df = spark.createDataFrame([(i, t) for i in range(40) for t in (text, text, text + " more")], "id long, text string")
+    lex = spark.createDataFrame([("morning", "n"), ("evenings", "n")], "word string, flag string")
+    rows = corpus.original_rows(df, C.CFG, lex)
+    assert "first(text" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    topic = [tuple(r) for r in rows.where("arm = 'topic'").collect()]
+    once = {tuple(r) for r in corpus.original_rows(df.dropDuplicates(), C.CFG, lex).where("arm = 'topic'").collect()}
+    assert once and set(topic) == once
+    assert all(topic.count(r) == (2 if r[-1] == text else 1) for r in once)
+
+
+def test_last_text_of_the_wanted_turns(spark):
+    df = spark.createDataFrame([(c, i, f"t{c}.{i}", i % 3 == 1) for c in (1, 2) for i in range(7)],
+                               "conv_id int, n_context long, text string, lucky boolean")
+    want = corpus.with_last_text(df).where("lucky").collect()
+    got = corpus.with_last_text(df, wanted=F.col("lucky")).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 4
+    assert all(r.last_context == f"t{r.conv_id}.{r.n_context - 1}" for r in got)

@@ -209,3 +209,26 @@ def test_batches_across_cells_equal_batches_of_one_order(spark):
             assert not batches
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
+
+
+def test_rounds_of_a_text_share_a_cell_and_its_tokens(spark):
+    """Each text comes twice, as in the corpus: its tokens meet the vocabulary once.  Rows without an id are spread."""
+    rows = [("original", None if i > 39 else f"d{i}", r, f"w{i} x{i} y{i}", "") for i in range(80) for r in (0, 1)]
+    df = spark.createDataFrame(rows, "source string, id string, round long, context string, target string")
+    seen = []
+
+    def ids(met):
+        seen.append(met)
+        return met.withColumn("ids", F.array(F.length("token")))
+    cell = TP.text_cell(df)
+    trainset.encode(df.where("id is not null"), TP.KEYS, TP.FIELDS, ids, ASCII, cell=cell).collect()
+    assert seen[0].count() == 3 * 40
+    by_id = df.select("id", cell.alias("c")).groupBy("id").agg(F.countDistinct("c").alias("n")).collect()
+    assert all(r.n == 1 for r in by_id if r.id is not None) and next(r.n for r in by_id if r.id is None) > 1
+
+
+def test_texts_cut_before_the_topic_join_give_the_same_rows(spark):
+    cfg = ASCII.with_(max_seq_length=5)
+    got = TP.formatted(spark, SF001, cfg).collect()
+    want = trainset.cut_texts(TP.formatted(spark, SF001), TP.FIELDS, cfg).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and max(len(r.target.split()) for r in got) == 5

@@ -9,6 +9,8 @@ keyed by ``(id, round, salt)``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,8 +52,10 @@ def keep_rows(df: DataFrame, keep, **cols) -> DataFrame:
 
 
 def original_rows(posts: DataFrame, cfg: CorpusConfig, lexicon: DataFrame | None,
-                  id_col: str = "id", text_col: str = "text") -> DataFrame:
-    """Instruction rows from original posts: ``id, round, arm, instruction, input, output``.
+                  id_col: str = "id", text_col: str = "text",
+                  shown: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Instruction rows from original posts: ``id, round, arm, instruction, input, output``.  ``shown`` may give the
+    part of a topic row's text that the caller needs: no more of it goes through the topic join.
 
     Plan: the draw is narrow; only topic-arm rows take part in the topic join (the other
     arms never shuffle); results are united."""
@@ -83,20 +87,18 @@ def original_rows(posts: DataFrame, cfg: CorpusConfig, lexicon: DataFrame | None
     # text.  Only these rows meet the topic table; the join is left to AQE (broadcast
     # while the topic table is small, sort-merge beyond) - carrying the text through the
     # topic aggregation instead would force a sort-based aggregate over the texts.
-    tp = base.filter(F.col("arm") == "topic")
+    tp = base.filter((F.col("arm") == "topic") & passes_gate(text, gate))
+    tp_text = text if shown is None else shown(text)
     if lexicon is not None:
         # posts can share an id (an archive keeps both parts' copies): the text tells them apart
         tp = tp.withColumn("__text", F.md5(text))
-        # grouped, not dropDuplicates: Spark shares the shuffles of two uses of these rows only so
-        once = tp.groupBy(*keys, "__text").agg(F.first(text).alias(text_col))
-        topics = choose_topics(once, keys, text_col, lexicon, cfg, carry=["__text"], apart=["__text"])
-        tp = tp.join(topics.select(*keys, "__text", "topic_instruction"), [*keys, "__text"], "left")
-        t_instr = F.coalesce(F.col("topic_instruction"), open_q)
+        topics = choose_topics(tp, keys, text_col, lexicon, cfg, apart=["__text"], once=True)
+        tp = tp.select(*keys, "arm", "__text", tp_text.alias("__shown")).join(topics.select(*keys, "__text", "topic_instruction"), [*keys, "__text"], "left")
+        t_instr, tp_text = F.coalesce(F.col("topic_instruction"), open_q), F.col("__shown")
     else:
         t_instr = open_q
-    # the text gate is cheap, so letting the optimizer push it below the join is a win
-    tp_rows = tp.filter(passes_gate(text, gate)).select(
-        id_col, "round", "arm", t_instr.alias("instruction"), F.lit("").alias("input"), text.alias("output"))
+    tp_rows = tp.select(
+        id_col, "round", "arm", t_instr.alias("instruction"), F.lit("").alias("input"), tp_text.alias("output"))
     return nt_rows.unionByName(tp_rows)
 
 
@@ -204,12 +206,14 @@ def gated_replies(turns: DataFrame, cfg: CorpusConfig, conv_col: str = "conv_id"
 
 
 def with_last_text(turns: DataFrame, conv_col: str = "conv_id", order_col: str = "turn", text_col: str = "text",
-                   number_col: str = "n_context") -> DataFrame:
-    """``turns`` numbered in ``number_col`` with ``last_context``, the text of the turn before.  Every turn's text is
-    copied to the next number, so no task holds a conversation."""
+                   number_col: str = "n_context", wanted: Column | None = None) -> DataFrame:
+    """``turns`` (all, or the ``wanted`` ones) numbered in ``number_col`` with ``last_context``, the text of the turn
+    before.  Every turn's text is copied to the next number, so no task holds a conversation."""
     row = F.struct(*[F.col(c) for c in turns.columns])
-    shifted = turns.select(F.col(conv_col).alias("__conv"), F.explode(F.array(F.lit(0), F.lit(1))).alias("__by"),
-                           F.col(number_col).alias("__i"), F.col(text_col).alias("__text"), row.alias("__row"))
+    both = F.array(F.lit(0), F.lit(1))
+    shifted = turns.select(F.col(conv_col).alias("__conv"), F.col(number_col).alias("__i"), F.col(text_col).alias("__text"),
+                           row.alias("__row"),
+                           F.explode(both if wanted is None else F.when(wanted, both).otherwise(F.array(F.lit(1)))).alias("__by"))
     own = F.col("__by") == 0
     met = shifted.groupBy("__conv", (F.col("__i") + F.col("__by")).alias("__at")).agg(
         F.first(F.when(own, F.col("__row")), ignorenulls=True).alias("__row"),

@@ -44,11 +44,12 @@ def topic_sentence(sents, trim_chars: str, keys, seed: str):
 
 def choose_topics(df: DataFrame, keys: list[str], text_col: str, lexicon: DataFrame,
                   cfg: CorpusConfig, carry: list[str] | None = None,
-                  apart: list[str] | None = None, unspaced: str | None = None) -> DataFrame:
+                  apart: list[str] | None = None, unspaced: str | None = None, once: bool = False) -> DataFrame:
     """``keys..., carry..., topic, topic_instruction`` for every input row; topic and
     instruction are NULL when the text has at most one sentence.  Draws depend on ``keys``
     alone; ``apart`` columns tell rows with equal keys apart.  With ``unspaced`` (a regex class body of the
-    script written without spaces) the words are those of ``segment``, found in the row.
+    script written without spaces) the words are those of ``segment``, found in the row.  With ``once`` rows
+    that share ``keys`` and ``apart`` count as one: their sentences meet, not their texts.
 
     Plan: the sentence list is computed once per row; only the chosen sentence's words
     are exploded, tagged by a join with the noun set and re-assembled per
@@ -62,6 +63,9 @@ def choose_topics(df: DataFrame, keys: list[str], text_col: str, lexicon: DataFr
     t = (df.select(*keys, *carry, sents.alias("__s"))
          .select(*keys, *carry, F.when(F.size("__s") > 1, topic_sentence(F.col("__s"), cfg.topic_trim, draw, cfg.seed))
                  .alias("__sent")))
+    if once:
+        # grouped, not dropDuplicates: Spark shares the shuffles of two uses of these rows only so
+        t = t.groupBy(*keys).agg(*[F.first(c).alias(c) for c in carry + ["__sent"]])
     if unspaced is not None:
         found = segment(t, "__sent", lexicon, "__words", unspaced).withColumn("__nouns", segment_nouns("__words"))
         return _with_topics(found, keys, carry, draw, F.col("__nouns"), cfg)

@@ -2,12 +2,14 @@
 
 Rows are encoded by the vocabulary's entries for the tokens of their cell: whitespace tokens of the corpus, numbered in Spark by
 frequency, or the pieces that a published sub-word vocabulary gives each pre-token (``subword``).  Batching
-cuts a drawn order of all rows, which are dealt by ranges of the draw and encoded where they lie, pads to the batch
+cuts a drawn order of all rows, whose keys and lengths are dealt by ranges of the draw, pads to the batch
 maximum and builds the label mask."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -60,23 +62,36 @@ def build_vocab(texts: DataFrame, text_cols: list[str], cfg: CorpusConfig) -> Da
     return out if cfg.vocab_size is None else out.filter(F.col("token_id") < first_id + cfg.vocab_size)
 
 
+def first_tokens(text, cfg: CorpusConfig) -> Column:
+    """A text up to the end of its first ``max_seq_length`` whitespace tokens, with ASCII spaces."""
+    return F.regexp_extract(ascii_spaced(text), f"^\\s*+(?:\\S++\\s*+){{0,{cfg.max_seq_length}}}+", 0)
+
+
 def cut_texts(rows: DataFrame, fields: list[str], cfg: CorpusConfig) -> DataFrame:
-    """``rows`` with each text field up to the end of its first ``max_seq_length`` whitespace tokens, with ASCII spaces.
-    ``assemble`` takes no more of a field, so what it drops is neither shuffled nor numbered."""
-    first = f"^\\s*+(?:\\S++\\s*+){{0,{cfg.max_seq_length}}}+"
-    return rows.withColumns({f: F.regexp_extract(ascii_spaced(f), first, 0) for f in fields})
+    """``rows`` with the ``first_tokens`` of each text field.  ``assemble`` takes no more of a field, so what it drops is
+    neither shuffled nor numbered."""
+    return rows.withColumns({f: first_tokens(f, cfg) for f in fields})
 
 
 def cell_count(rows: DataFrame) -> int:
     return CELLS_A_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def shared_cell(rows: DataFrame, alike: list[str], fields: list[str]) -> Column:
+    """A cell for ``encode`` in which the rows of equal ``alike`` columns lie together, so that what their texts share is
+    one token of the cell and, row by row, repeats in its shuffle.  Rows that miss one of these columns are dealt by their texts."""
+    missing = reduce(or_, [F.col(c).isNull() for c in alike])
+    draw = F.when(missing, F.xxhash64(*alike, *fields)).otherwise(F.xxhash64(*alike))
+    return F.pmod(draw, F.lit(cell_count(rows))).cast("int")
+
+
 def encode(rows: DataFrame, keys: list[str], fields: list[str], vocab: DataFrame | Callable[[DataFrame], DataFrame],
            cfg: CorpusConfig, tokens: Callable[[Column], Column] = whitespace_tokens, cell: Column | None = None,
            placed: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``keys..., <field>_ids...``: token ids of each text field, unknown tokens -> ``unk_id``.  ``vocab`` gives a token's
     ``token_id`` or, for tokens of several pieces, its ``ids``; or it is a function that adds the ``ids`` to a table of
-    ``cell, place, token``.  ``placed`` adds columns to the dealt rows (``__cell``, keys and fields), which go along.
+    ``cell, place, token``.  ``placed`` makes of the dealt rows (``__cell``, ``__row``, keys and fields) a table of one row for
+    each, with ``__cell``, ``__row`` and further columns, which the encoded rows get; only these come back to the cells.
 
     Rows are dealt to cells by their hash, or by ``cell``.  Only the distinct tokens of a cell meet the vocabulary, by a join whose
     strategy is Spark's choice, as the vocabulary has no bound, and their ids come back by the token's place among the
@@ -87,8 +102,13 @@ def encode(rows: DataFrame, keys: list[str], fields: list[str], vocab: DataFrame
     columns = [f"{f}_ids" for f in fields]
     # all uses below read the same columns, so that Spark shuffles the texts once for them
     dealt = rows.select(*keys, *fields, cell.alias("__cell")).repartition("__cell")
-    further = dealt if placed is None else placed(dealt)
-    carried = [c for c in further.columns if c not in ("__cell", *fields)]
+    numbers, places, further = [], None, []
+    if placed is not None:
+        # rows that this order leaves equal are equal in all columns
+        row = F.row_number().over(Window.partitionBy("__cell").orderBy(*keys, F.xxhash64(*fields)))
+        numbers, rowed = ["__row"], dealt.withColumn("__row", row)
+        places = placed(rowed)
+        further = [f for f in places.schema.fields if f.name not in ("__cell", "__row")]
 
     def with_tokens(df: DataFrame, others: list[str]) -> DataFrame:
         return df.sortWithinPartitions("__cell").select(
@@ -101,6 +121,17 @@ def encode(rows: DataFrame, keys: list[str], fields: list[str], vocab: DataFrame
 
     def numbered(table: pa.Table, entries: pa.Table) -> pa.Table:
         found = _distinct(table, columns)
+        if packed:
+            entry = entries.column("entry").to_numpy()
+            entries = entries.append_column("place", pa.array(entry >> 32)).append_column("ids", pa.array(entry.astype(np.int32)))
+        if further:
+            own = pc.is_valid(entries.column("placed"))
+            mine, entries = entries.filter(own), entries.filter(pc.invert(own))
+            which = np.empty(len(mine), np.int64)
+            which[mine.column("place").to_numpy() - 1] = np.arange(len(mine))
+            mine = mine.column("placed").take(pa.array(which[table.column("__row").to_numpy() - 1]))
+            for f in further:
+                table = table.append_column(f.name, pc.struct_field(mine, [f.name]))
         known = entries.column("ids")
         ids = pa.concat_arrays([*known.chunks, pa.array([[cfg.unk_id] if pa.types.is_list(known.type) else cfg.unk_id], known.type)])
         which = np.full(len(found), len(known), np.int64)
@@ -114,17 +145,31 @@ def encode(rows: DataFrame, keys: list[str], fields: list[str], vocab: DataFrame
                 got = got.flatten()
             out = pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), got)
             table = table.set_column(table.schema.get_field_index(c), c, out)
-        return table.select([*carried, *columns])
+        return table.select([*keys, *(f.name for f in further), *columns])
 
     met = with_tokens(dealt, keys).groupBy("__cell").applyInArrow(distinct_tokens, "cell int, place int, token string")
-    if callable(vocab):
-        entries = vocab(met)
+    # one number an id: the tokens of the cells and their ids are a large part of what is shuffled
+    packed = not callable(vocab) and "ids" not in vocab.columns
+    if packed:
+        at = met.select("token", _pair(F.col("cell"), F.col("place")).alias("__at"))
+        entries = at.join(vocab.select("token", "token_id"), "token").select(
+            F.shiftright("__at", 32).cast("int").alias("cell"), _pair(F.col("__at"), F.col("token_id")).alias("entry"))
     else:
-        ids = F.col("ids" if "ids" in vocab.columns else "token_id")
-        entries = met.join(vocab.select("token", ids.alias("ids")), "token")
-    kinds = {f.name: f for f in further.schema.fields}
-    schema = StructType([*(kinds[k] for k in carried), *(StructField(c, ArrayType(IntegerType())) for c in columns)])
-    return with_tokens(further, carried).groupBy("__cell").cogroup(entries.select("cell", "place", "ids").groupBy("cell")).applyInArrow(numbered, schema)
+        entries = (vocab(met) if callable(vocab) else met.join(vocab.select("token", "ids"), "token")).select("cell", "place", "ids")
+    kinds = {f.name: f for f in dealt.schema.fields}
+    schema = StructType([*(kinds[k] for k in keys), *further, *(StructField(c, ArrayType(IntegerType())) for c in columns)])
+    if further:
+        both = StructType(further)
+        own = [_pair(F.col("__row"), F.lit(0))] if packed else [F.col("__row"), F.lit(None).cast(entries.schema["ids"].dataType)]
+        entries = entries.withColumn("placed", F.lit(None).cast(both)).union(
+            places.select("__cell", *own, F.struct(*[f.name for f in further]).cast(both)))
+    texts = with_tokens(rowed if numbers else dealt, [*keys, *numbers])
+    return texts.groupBy("__cell").cogroup(entries.groupBy("cell")).applyInArrow(numbered, schema)
+
+
+def _pair(high: Column, low: Column) -> Column:
+    """The lower 32 bits of two numbers as one."""
+    return F.shiftleft(high.cast("bigint"), 32).bitwiseOR(low.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
 def _values(table: pa.Table, column: str) -> pa.ChunkedArray:
@@ -176,42 +221,44 @@ def length_quantiles(df: DataFrame, ids_col: str = "input_ids",
         F.col("z.q").alias("quantile"), F.col("z.v").alias("length"))
 
 
-def batch_cell(rows: DataFrame, keys: list[str], cfg: CorpusConfig) -> Column:
-    """The cell of a row for ``assign_batches``: an equal range of the drawn order."""
+def batch_range(rows: DataFrame, keys: list[str], cfg: CorpusConfig) -> Column:
+    """The range of a row in ``assign_batches``: all are equal parts of the drawn order."""
     return F.floor(uniform(keys, "order", cfg.seed) * cell_count(rows)).cast("int")
 
 
-def assign_batches(dealt: DataFrame, keys: list[str], length: Column, cfg: CorpusConfig) -> DataFrame:
-    """Rows in a drawn order, ``batch_size`` consecutive rows a batch: ``batch``, ``length``, the batch's
-    ``longest`` and ``pos_in_batch``, longest first.  ``dealt`` are rows partitioned by ``__cell``, their ``batch_cell``.
+def assign_batches(rows: DataFrame, keys: list[str], cfg: CorpusConfig) -> DataFrame:
+    """Rows in a drawn order, ``batch_size`` consecutive rows a batch: ``batch``, the batch's ``longest`` and
+    ``pos_in_batch``, longest first.  ``rows`` have a ``length``, and ``__tie`` orders those of equal keys and lengths.
 
-    No row leaves its cell.  A cell's first number is the count of the rows before it, and a batch that lies across
-    cells knows its other rows by their lengths: each cell shows its neighbours less than a batch of rows at either end."""
+    Rows are dealt by their ``batch_range``, and no row leaves it then.  A range's first number is the count of the rows
+    before it, and a batch that lies across ranges knows its other rows by their lengths: each range shows its neighbours
+    less than a batch of rows at either end."""
     size = cfg.batch_size
-    # equal keys go by length and content, so that every use of this order numbers the rows alike
-    x = dealt.withColumn("length", length.cast("int")).withColumn("__u", uniform(keys, "order", cfg.seed)).withColumn(
-        "__tie", F.xxhash64(*dealt.columns))
-    cell = Window.partitionBy("__cell")
-    x = x.withColumn("__place", F.row_number().over(cell.orderBy("__u", *keys, F.desc("length"), "__tie")).cast("bigint"))
+    x = rows.withColumn("__u", uniform(keys, "order", cfg.seed)).withColumn("__range", batch_range(rows, keys, cfg))
+    cell = Window.partitionBy("__range")
+    # all columns take part, so that every use of this order numbers the rows alike and reads the same shuffle
+    others = [c for c in rows.columns if c not in (*keys, "length", "__tie")]
+    x = x.withColumn("__place", F.row_number().over(
+        cell.orderBy("__u", *keys, F.desc("length"), "__tie", *others)).cast("bigint"))
     near_end = (F.col("__place") < size) | (F.col("__place") > F.col("__n") - size + 1)
-    ends = x.withColumn("__n", F.count(F.lit(1)).over(cell)).where(near_end).groupBy(F.col("__cell").alias("__c")).agg(
+    ends = x.withColumn("__n", F.count(F.lit(1)).over(cell)).where(near_end).groupBy(F.col("__range").alias("__c")).agg(
         F.first("__n").alias("__n"), F.collect_list(F.struct("__place", "length")).alias("__ends"))
     cells = Window.orderBy("__c")
     ends = ends.withColumn("__off", F.coalesce(F.sum("__n").over(cells.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     ends = ends.withColumn("__ends", F.transform("__ends", lambda e: F.struct(
         (F.col("__off") + e["__place"] - 1).alias("rn"), e["length"].alias("length"))))
-    # a cell has a row at least, so a batch reaches over less than ``size`` cells to either side
+    # a range here has a row at least, so a batch reaches over less than ``size`` of them to either side
     beside = [F.flatten(F.collect_list("__ends").over(cells.rowsBetween(*r))) for r in ((1 - size, -1), (1, size - 1))]
-    # a left join, as an inner one would add a filter below the shuffle of the texts, which were then shuffled anew
-    x = x.join(ends.select("__c", "__off", F.concat(*beside).alias("__beside")), F.col("__cell") == F.col("__c"), "left")
+    # a left join, as an inner one would add a filter below the shuffle of the rows, which were then shuffled anew
+    x = x.join(ends.select("__c", "__off", F.concat(*beside).alias("__beside")), F.col("__range") == F.col("__c"), "left")
     x = x.withColumn("__rn", F.col("__off") + F.col("__place") - 1)
     x = x.withColumn("batch", F.floor(F.col("__rn") / size).cast("bigint"))
     x = x.withColumn("__others", F.filter("__beside", lambda e: F.floor(e["rn"] / size) == F.col("batch")))
-    longest_first = Window.partitionBy("__cell", "batch").orderBy(F.desc("length"), "__rn")
+    longest_first = Window.partitionBy("__range", "batch").orderBy(F.desc("length"), "__rn")
     before = F.filter("__others", lambda e: (e["length"] > F.col("length")) | (
         (e["length"] == F.col("length")) & (e["rn"] < F.col("__rn"))))
     x = x.withColumns({"__first": F.first("length").over(longest_first), "__in_cell": F.row_number().over(longest_first)})
-    return x.select(*dealt.columns, "batch", "length",
+    return x.select(*rows.columns, "batch",
                     F.greatest("__first", F.array_max(F.transform("__others", lambda e: e["length"]))).alias("longest"),
                     (F.col("__in_cell") + F.size(before)).cast("bigint").alias("pos_in_batch"))
 

@@ -4,7 +4,9 @@ used; the CJK set of the original is the library default."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadsmith.config import ASCII
@@ -29,8 +31,8 @@ def lexicon(spark: SparkSession, sf: str) -> DataFrame:
     return topics.lexicon_from_text(table(spark, sf, "benchmark"), "text")
 
 
-def originals(spark: SparkSession, sf: str, cfg=CFG) -> DataFrame:
-    return corpus.original_rows(posts(spark, sf), cfg, lexicon(spark, sf), id_col="doc_id")
+def originals(spark: SparkSession, sf: str, cfg=CFG, shown: Callable[[Column], Column] | None = None) -> DataFrame:
+    return corpus.original_rows(posts(spark, sf), cfg, lexicon(spark, sf), id_col="doc_id", shown=shown)
 
 
 def reply_pairs_df(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,13 +56,14 @@ def reply_topics_df(spark: SparkSession, sf: str) -> DataFrame:
     keys = ["conv_id", "turn"]
     lucky = corpus.gated_replies(turns, CFG, mark="__passes").withColumn(
         "__passes", F.col("__passes") & (F.col("role") == "assistant") & (uniform(keys, "aug", CFG.seed) < CFG.reply_topic_prob))
-    pairs = corpus.with_last_text(lucky).filter("__passes").select(*keys, F.col("text").alias("output"), "last_context")
+    pairs = corpus.with_last_text(lucky, wanted=F.col("__passes")).select(*keys, F.col("text").alias("output"), "last_context")
     return corpus.reply_topic_rows(pairs, CFG, keys, lexicon(spark, sf))
 
 
-def corpus_union(spark: SparkSession, sf: str) -> DataFrame:
-    """Originals, replies and reply topics; with replies the originals draw by the arms for that case."""
-    o = originals(spark, sf, WITH_REPLIES).select(F.lit("original").alias("source"), F.col("doc_id").cast("string").alias("id"),
+def corpus_union(spark: SparkSession, sf: str, shown: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Originals, replies and reply topics; with replies the originals draw by the arms for that case.  ``shown`` is the
+    part of an output that the caller needs, as in ``original_rows``."""
+    o = originals(spark, sf, WITH_REPLIES, shown).select(F.lit("original").alias("source"), F.col("doc_id").cast("string").alias("id"),
                                     F.col("round").cast("bigint").alias("round"), "instruction", "input", "output")
     r = reply_pairs_df(spark, sf)
     rid = F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))

@@ -22,8 +22,12 @@ FIELDS = ["context", "target"]
 TOK_RE = f"[^{PY_SPACE_CLASS}]+"
 
 
-def formatted(spark: SparkSession, sf: str) -> DataFrame:
-    return trainset.format_rows(corpus_union(spark, sf)).select(*KEYS, "context", "target")
+def formatted(spark: SparkSession, sf: str, cut=None) -> DataFrame:
+    """The corpus as contexts and targets; with a configuration as ``cut``, no further than its sequences reach."""
+    if cut is None:
+        return trainset.format_rows(corpus_union(spark, sf)).select(*KEYS, *FIELDS)
+    rows = corpus_union(spark, sf, lambda text: trainset.first_tokens(text, cut))
+    return trainset.cut_texts(trainset.format_rows(rows).select(*KEYS, *FIELDS), FIELDS, cut)
 
 
 def vocab(spark: SparkSession, sf: str) -> DataFrame:
@@ -31,20 +35,30 @@ def vocab(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, sf: str, cfg=CFG) -> DataFrame:
-    rows = trainset.cut_texts(formatted(spark, sf), FIELDS, cfg)
-    return trainset.assemble(trainset.encode(rows, KEYS, FIELDS, vocab(spark, sf), cfg), cfg)
+    rows = formatted(spark, sf, cfg)
+    return trainset.assemble(trainset.encode(rows, KEYS, FIELDS, vocab(spark, sf), cfg, cell=text_cell(rows)), cfg)
+
+
+def text_cell(rows: DataFrame):
+    """The rounds of a post share a cell, as they share their text and its tokens."""
+    return trainset.shared_cell(rows, ["source", "id"], FIELDS)
 
 
 def batched(spark: SparkSession, sf: str) -> DataFrame:
-    return batches_of(formatted(spark, sf), vocab(spark, sf))
+    return batches_of(formatted(spark, sf, CFG), vocab(spark, sf), cut=True)
 
 
-def batches_of(rows: DataFrame, entries: DataFrame, cfg=CFG) -> DataFrame:
-    """Rows get their batches where they are dealt to be encoded: their length is known without a vocabulary."""
-    rows = trainset.cut_texts(rows, FIELDS, cfg)
+def batches_of(rows: DataFrame, entries: DataFrame, cfg=CFG, cut: bool = False) -> DataFrame:
+    """Rows are batched by their keys and lengths alone, which are known without a vocabulary, and meet their place in a
+    batch where they are encoded.  ``cut`` tells that ``rows`` are cut already."""
+    rows = rows if cut else trainset.cut_texts(rows, FIELDS, cfg)
     length = trainset.sequence_length(*[F.coalesce(f, F.lit("")) for f in FIELDS], cfg)
-    placed = lambda dealt: trainset.assign_batches(dealt, KEYS, length, cfg)
-    enc = trainset.encode(rows, KEYS, FIELDS, entries, cfg, cell=trainset.batch_cell(rows, KEYS, cfg), placed=placed)
+    tie = F.xxhash64(*KEYS, *FIELDS, trainset.batch_range(rows, KEYS, cfg))
+
+    def placed(dealt: DataFrame) -> DataFrame:
+        lengths = dealt.select("__cell", "__row", *KEYS, length.cast("int").alias("length"), tie.alias("__tie"))
+        return trainset.assign_batches(lengths, KEYS, cfg).drop(*KEYS, "__tie")
+    enc = trainset.encode(rows, KEYS, FIELDS, entries, cfg, cell=text_cell(rows), placed=placed)
     return trainset.pad_and_mask(trainset.assemble(enc, cfg), cfg)
 
 
@@ -135,7 +149,7 @@ def encode_rows(spark: SparkSession, sf: str) -> DataFrame:
 def subword_encoded(spark: SparkSession, sf: str, ranks_path: str) -> DataFrame:
     rows = formatted(spark, sf)
     pieces = lambda met: subword.with_pieces(met, ranks_path, CFG)
-    return trainset.assemble(trainset.encode(rows, KEYS, FIELDS, pieces, CFG, subword.pre_tokens), CFG)
+    return trainset.assemble(trainset.encode(rows, KEYS, FIELDS, pieces, CFG, subword.pre_tokens, text_cell(rows)), CFG)
 
 
 @register("subword_rows")
