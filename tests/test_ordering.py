@@ -63,3 +63,19 @@ def test_order_by_time_null_and_negative(spark):
     df = spark.createDataFrame(rows, "g string, t long")
     got = sorted((str(r.g), -1e9 if r.t is None else r.t, r.idx) for r in ordered_index(df, ["g"], ["t"], stride=2).collect())
     assert got == [("None", 1, 0), ("None", 2, 1), ("g", -1e9, 0), ("g", -5, 1), ("g", 3, 2), ("g", 10 ** 6, 3)]
+
+
+def test_wide_rows_are_shuffled_once_and_numbered_alike(spark):
+    """A group and its stride as one value, null groups among them, give the same numbers without a second shuffle."""
+    rows = [(g, t, f"{g}-{t}") for g in (None, 1, 2) for t in range(0, 90, 7)]
+    df = spark.createDataFrame(rows, "g int, t int, text string")
+    number = lambda wide: ordered_index(df, ["g"], ["t"], count_col="n", stride=16, running={"sum": F.col("t")}, wide=wide)
+    assert sorted(map(str, number(True).collect())) == sorted(map(str, number(False).collect()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffles = [number(w)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for w in (True, False)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert shuffles[0] == shuffles[1] - 1

@@ -110,7 +110,7 @@ def thread_contexts(turns: DataFrame, conv_col: str = "conv_id", order_col: str
     A segment's texts are copied to the later segments of the conversation, where they meet that segment's turns.
     So no task needs more than one context and one segment at a time, and the shuffle is ``1/segment`` of what the
     contexts themselves hold.  Null texts are no part of a context."""
-    x = ordered_index(turns, [conv_col], [order_col], idx_col="__i", count_col="__n")
+    x = ordered_index(turns, [conv_col], [order_col], idx_col="__i", count_col="__n", wide=True)
     row = F.struct(*[F.col(c) for c in turns.columns])
     turn = F.struct(F.col("__i").alias("i"), F.col(text_col).alias("text"),
                     (row if wanted is None else F.when(wanted, row)).alias("row"))
@@ -199,7 +199,7 @@ def gated_replies(turns: DataFrame, cfg: CorpusConfig, conv_col: str = "conv_id"
     and running lengths come from strides, so a hot conversation spreads."""
     said = turns.where(F.col(text_col).isNotNull())
     x = ordered_index(said.withColumn("__len", gate_length(F.col(text_col))), [conv_col], [order_col],
-                      idx_col="n_context", running={"__before": F.col("__len")})
+                      idx_col="n_context", running={"__before": F.col("__len")}, wide=True)
     passes = (F.col("__len") >= cfg.response_thresh) & (F.col("n_context") > 0) & (F.col("__before") >= cfg.response_thresh)
     x = x.filter(passes) if mark is None else x.withColumn(mark, F.coalesce(passes, F.lit(False)))
     return x.drop("__len", "__before")

@@ -28,12 +28,15 @@ def stride_of(df: DataFrame, order_col: str, stride: int) -> Column:
 
 def ordered_index(df: DataFrame, group_cols: list[str], order_cols: list, idx_col: str = "idx",
                   count_col: str | None = None, stride: int = STRIDE, running: dict[str, Column] | None = None,
-                  counted: DataFrame | None = None) -> DataFrame:
+                  counted: DataFrame | None = None, wide: bool = False) -> DataFrame:
     """``df`` with the 0-based place of each row in its group's order (and the group's size).  ``running`` adds
     columns with the sum of an expression over the earlier rows of the group.  ``counted`` may give the same
-    groups and order values more cheaply than ``df``, to be counted in its place."""
+    groups and order values more cheaply than ``df``, to be counted in its place.  ``wide`` rows go with their group and
+    stride as one value, in which nulls are equal: a null-safe join of several columns would shuffle them again."""
     running = running or {}
     x = df.withColumn("__stride", stride_of(df, order_cols[0], stride))
+    if wide:
+        x = x.withColumn("__at", F.struct(*group_cols, "__stride"))
     source = x if counted is None else counted.withColumn("__stride", stride_of(counted, order_cols[0], stride))
     sizes = source.groupBy(*group_cols, "__stride").agg(
         F.count(F.lit(1)).alias("__n"), *[F.sum(v).alias(f"__sum_{c}") for c, v in running.items()])
@@ -44,11 +47,17 @@ def ordered_index(df: DataFrame, group_cols: list[str], order_cols: list, idx_co
                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
                            F.sum("__n").over(group).alias("__size"),
                            *[F.coalesce(F.sum(f"__sum_{c}").over(before), F.lit(0)).alias(f"__sum_{c}") for c in running])
-    place = F.row_number().over(Window.partitionBy(*group_cols, "__stride").orderBy(*order_cols))
-    same = F.col("__stride") == F.col("__s")
-    for i, c in enumerate(group_cols):
-        same &= F.col(c).eqNullSafe(F.col(f"__g{i}"))
-    earlier = Window.partitionBy(*group_cols, "__stride").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    if wide:
+        offsets = offsets.withColumn("__key", F.struct(*[F.col(f"__g{i}").alias(c) for i, c in enumerate(group_cols)],
+                                                       F.col("__s").alias("__stride")))
+        same = F.col("__at") == F.col("__key")
+    else:
+        same = F.col("__stride") == F.col("__s")
+        for i, c in enumerate(group_cols):
+            same &= F.col(c).eqNullSafe(F.col(f"__g{i}"))
+    in_stride = Window.partitionBy(*(["__at"] if wide else [*group_cols, "__stride"])).orderBy(*order_cols)
+    place = F.row_number().over(in_stride)
+    earlier = in_stride.rowsBetween(Window.unboundedPreceding, -1)
     x = x.withColumn("__in_stride", place).withColumns(
         {f"__part_{c}": F.coalesce(F.sum(v).over(earlier), F.lit(0)) for c, v in running.items()})
     out = x.join(offsets, same)
@@ -56,7 +65,7 @@ def ordered_index(df: DataFrame, group_cols: list[str], order_cols: list, idx_co
         {c: F.col(f"__sum_{c}") + F.col(f"__part_{c}") for c in running})
     if count_col:
         out = out.withColumn(count_col, F.col("__size"))
-    return out.drop("__stride", "__s", "__off", "__size", "__in_stride", *[f"__g{i}" for i in range(len(group_cols))],
+    return out.drop("__stride", "__s", "__off", "__size", "__in_stride", "__at", "__key", *[f"__g{i}" for i in range(len(group_cols))],
                     *[f"__{k}_{c}" for c in running for k in ("sum", "part")])
 
 
