@@ -4,21 +4,21 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier:
 or earlier in the same one.  The work follows content, so that equal strings meet without comparing shards
 pairwise:
 
-1. Anchors.  In every window of ``LENGTH`` bytes the ``GRAM``-byte string of least hash is an anchor; equal
-   windows have equal anchors at equal places.  An anchor's context is all that its windows can reach.  Anchors
+1. Anchors.  In every window of ``LENGTH`` bytes the ``GRAM``-byte string of least hash is its anchor; equal
+   windows have equal anchors at equal places.  An anchor's context is all that its own windows cover.  Anchors
    (hash, context hash, place) are dealt by hash, packed into one binary row a batch and place.
 2. Equal contexts: all but the first are covered whole.  Firsts whose anchor has other contexts are contested.
-3. Shards.  The contested contexts are cut from their texts and dealt by anchor; those without a like on either side of
-   the anchor go.  Each shard gets a suffix array by Larsson-Sadakane refinement and common prefixes after Kasai; neighbours that share ``LENGTH`` bytes are one
-   string, and all but its first place are covered.
-4. An anchor that a bounded sample finds in many texts is dealt over many shards by context.  Each of
-   these hands on its distinct windows as a sorted run; runs meet by ranges and are merged by binary search.
+3. Shards.  The contested contexts are cut from their texts and dealt by anchor, and trimmed to what another context
+   of the anchor may share.  Each shard gets a suffix array by Larsson-Sadakane refinement and common prefixes after
+   Kasai; neighbours that share ``LENGTH`` bytes are one string, and all but its first place are covered.
+4. An anchor that a bounded sample finds in many texts is dealt over many shards by context, if another context is like it on
+   either side of the anchor.  Each of these shards hands on its distinct windows as a sorted run; runs meet by ranges and
+   are merged by binary search.
 5. Covered spans join their texts, which are cut and hashed."""
 
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -36,6 +36,9 @@ PLACE_BYTES, SHARD_BYTES = 4 << 20, 3 << 19
 SAMPLE_RATE, FREQUENT, MOST_FREQUENT = 64, 40, 50_000
 NULL_ID = (1 << 63) - 1
 RECORD = np.dtype([("h", "<u8"), ("ctx", "<u8"), ("id", "<i8"), ("key", "<i4"), ("pos", "<u4")])
+#: anchors also have the bytes of their context on either side of the anchor's first byte; frequent ones hashes of both halves
+ANCHOR = np.dtype([*RECORD.descr, ("left", "u1"), ("right", "u1")])
+OFTEN = np.dtype([*ANCHOR.descr, ("l", "<u8"), ("r", "<u8")])
 SPAN = np.dtype([("id", "<i8"), ("key", "<i4"), ("a", "<u4"), ("b", "<u4")])
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -65,51 +68,77 @@ class Powers:
 
 
 POWERS = Powers()
-#: a text is hashed in pieces of so many windows, whose places fit the mask
-PIECE = 1 << 19
+#: texts are hashed in pieces of so many bytes, whose places fit the mask and whose numbers fit a core's cache
+PIECE = 1 << 15
 PLACE_MASK = np.uint64((1 << 20) - 1)
 
 
 def _sliding_min_places(h: np.ndarray, width: int) -> np.ndarray:
-    """Places of the leftmost minimum (of the upper 44 bits) of every window of ``width`` values, each place once."""
-    n = len(h) - width + 1
-    blocks = -(-len(h) // width)
-    padded = np.full(blocks * width, np.iinfo(np.uint64).max)
-    padded[:len(h)] = h & ~PLACE_MASK | np.arange(len(h), dtype=np.uint64)
-    grid = padded.reshape(blocks, width)
-    left = np.minimum.accumulate(grid, axis=1).ravel()
-    right = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    low = (np.minimum(right[:n], left[width - 1:width - 1 + n]) & PLACE_MASK).astype(np.int64)
-    new = np.ones(n, bool)
-    new[1:] = low[1:] != low[:-1]
-    return low[new]
-
-
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place, anchor hash, context hash) of a text's anchors; none below ``LENGTH`` bytes."""
-    n, out = len(data), []
-    if n < LENGTH:
-        empty = np.empty(0, np.uint64)
-        return empty.astype(np.int64), empty, empty
-    for at in range(0, n - LENGTH + 1, PIECE):
-        # windows start in [at, at + PIECE); contexts reach REACH bytes to the left of them
-        low, high = max(0, at - REACH), min(n, at + PIECE + 2 * LENGTH + REACH)
+    """Place of the leftmost minimum (of the upper 44 bits) of every window of ``width`` values."""
+    low, reach = h & ~PLACE_MASK | np.arange(len(h), dtype=np.uint64), 1
+    while reach < width:
+        step = min(reach, width - reach)
+        low = np.minimum(low[:-step], low[step:])
+        reach += step
+    return (low & PLACE_MASK).astype(np.int64)
+
+
+#: a window around an anchor reaches as far on one side of it at least
+HALF = REACH // 2
+
+
+def anchors(data: np.ndarray, ends: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(place, anchor hash, context hash, context's begin and end) of the anchors of texts that are joined in ``data``
+    and end at ``ends``; none below ``LENGTH`` bytes."""
+    ends = np.array([len(data)]) if ends is None else ends
+    begins, n, out = np.append(0, ends[:-1]), len(data), []
+    for at in range(0, n, PIECE):
+        # anchors stand in [at, at + PIECE); their windows reach REACH bytes to the left and LENGTH to the right
+        low, high = max(0, at - REACH), min(n, at + PIECE + LENGTH)
+        if high - low < LENGTH:
+            continue
         part = data[low:high]
         up, down = POWERS.upto(len(part) + 1)
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(_TABLE[part] * up[:len(part)], out=sums[1:])
-        first, last = at - low, min(at + PIECE, n - LENGTH + 1) - 1 - low
-        grams = np.arange(first, last + REACH + 1)
-        h = mixed((sums[grams + GRAM] - sums[grams]) * down[grams])
-        place = grams[_sliding_min_places(h, REACH + 1)]
-        a = np.maximum(place - REACH, 0)
-        b = np.minimum(place + LENGTH, len(part))
-        context = (sums[b] - sums[a]) * down[a]
+        h = mixed((sums[GRAM:] - sums[:-GRAM]) * down[:len(part) - GRAM + 1])
+        least = _sliding_min_places(h, REACH + 1)
+        first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+        place, last = least[first], np.append(first[1:], len(least)) - 1
+        # windows that cross the end of a text are none
+        text = np.searchsorted(ends, place + low, "right")
+        first, last = np.maximum(first, begins[text] - low), np.minimum(last, ends[text] - LENGTH - low)
+        kept = (first <= last) & (place >= at - low) & (place < at - low + PIECE)
+        place, a, b = place[kept], first[kept], last[kept] + LENGTH
         shape = (place - a) * (LENGTH + 1) + (b - place)
-        out.append((place + low, h[place - first], mixed(context ^ mixed(shape.astype(np.uint64)))))
-    place, h, context = (np.concatenate(x) for x in zip(*out))
-    place, first = np.unique(place, return_index=True)
-    return place, h[first], context[first]
+        context = (sums[b] - sums[a]) * down[a] ^ mixed(shape.astype(np.uint64))
+        out.append((place + low, h[place], mixed(context), a + low, b + low))
+    if not out:
+        empty = np.empty(0, np.int64)
+        return empty, empty.view(np.uint64), empty.view(np.uint64), empty, empty
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def half_hashes(data: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the ``HALF`` bytes before, and of those after, each anchor with it; 0 where its context has fewer."""
+    width, out = GRAM + HALF, []
+    for odd, start, whole in ((1, place - HALF, place - low >= HALF), (0, place, high - place >= width)):
+        start, found = start[whole], np.zeros(len(place), np.uint64)
+        sums = np.zeros(len(start), np.uint64)
+        for k in range(width):
+            sums = (sums + _TABLE[data[start + k]]) * np.uint64(_BASE)
+        found[whole] = mixed(sums) & ~np.uint64(3) | np.uint64(2 + odd)
+        out.append(found)
+    return out[0], out[1]
+
+
+def joined_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(all bytes of a column of texts without nulls, where each begins, where each ends)."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+    return data[offsets[0]:offsets[-1]], offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
 
 
 def packed_bytes(data: np.ndarray) -> np.ndarray:
@@ -165,7 +194,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     before[order[1:]] = order[:-1]
     places = np.arange(n)
     starts = np.ones(n, bool)
-    starts[1:] = before[1:] != before[:-1] + 1
+    starts[1:] = (before[1:] != before[:-1] + 1) | (before[:-1] < 0)  # the first suffix follows none
     anchor = np.maximum.accumulate(np.where(starts, places, 0))
     starts |= (places - anchor) % 16 == 0
     packed = np.concatenate([packed_bytes(data), np.zeros(most + 32, np.uint64)])
@@ -242,7 +271,7 @@ def window_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 _PLACED = "place bigint, often boolean, blob binary"
-_FOUND = "id bigint, key int, a bigint, b bigint, h bigint, often boolean, ctx bigint"
+_FOUND = "id bigint, key int, a bigint, b bigint, gram int, h bigint, often boolean, ctx bigint, l bigint, r bigint"
 
 
 def _pack(records: np.ndarray, place: np.ndarray, often: bool) -> list[tuple[int, bool, bytes]]:
@@ -253,33 +282,39 @@ def _pack(records: np.ndarray, place: np.ndarray, often: bool) -> list[tuple[int
     return [(int(place[a]), often, records[a:b].tobytes()) for a, b in zip(cuts, ends)]
 
 
-def _first_of_context(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct records sorted by (anchor, context, place), and whether each is the first of its context."""
-    records = records[np.lexsort([records[c] for c in ("pos", "key", "id", "ctx", "h")])]
-    distinct = np.ones(len(records), bool)
-    distinct[1:] = records[1:] != records[:-1]
-    records = records[distinct]
-    first = np.ones(len(records), bool)
-    first[1:] = (records["h"][1:] != records["h"][:-1]) | (records["ctx"][1:] != records["ctx"][:-1])
-    return records, first
-
-
-def _context(pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.maximum(pos - REACH, 0), pos + LENGTH
+def _first_of_context(records: np.ndarray, alone: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct records sorted by (anchor, context, place), and whether each is the first of its context; ``alone``: also
+    those whose anchor no other record has."""
+    order = np.argsort(records["h"])
+    h = records["h"][order]
+    same = np.zeros(len(h) + 1, bool)
+    same[1:-1] = h[1:] == h[:-1]
+    tied = np.flatnonzero(same[1:] | same[:-1])
+    members = order[tied]
+    few = records[members]
+    order[tied] = members[np.lexsort([few[c] for c in ("pos", "key", "id", "ctx", "h")])]
+    records = records[order if alone else order[tied]]
+    new = np.ones(len(records), bool)
+    new[1:] = (records["h"][1:] != records["h"][:-1]) | (records["ctx"][1:] != records["ctx"][:-1])
+    distinct = new.copy()
+    for c in ("pos", "id", "key"):
+        distinct[1:] |= records[c][1:] != records[c][:-1]
+    return records[distinct], new[distinct]
 
 
 def _found(records: np.ndarray, covered: bool, often: bool) -> pd.DataFrame:
-    """Rows for ``_FOUND``: covered contexts from a to b, or contested anchors at a (b is -1)."""
-    pos = records["pos"].astype(np.int64)
-    low, high = _context(pos)
-    return pd.DataFrame({"id": records["id"], "key": records["key"], "a": low if covered else pos,
-                         "b": high if covered else -1, "h": records["h"].view(np.int64), "often": often,
-                         "ctx": records["ctx"].view(np.int64)})
+    """Rows for ``_FOUND``: contexts from a to b that are covered (``gram`` is -1), or contested ones with the bytes before
+    their anchor; of frequent anchors with the hashes of their halves."""
+    pos, left = records["pos"].astype(np.int64), records["left"].astype(np.int32)
+    out = pd.DataFrame({"id": records["id"], "key": records["key"], "a": pos - left, "b": pos + records["right"],
+                        "gram": np.int32(-1) if covered else left, "h": records["h"].view(np.int64), "often": often,
+                        "ctx": records["ctx"].view(np.int64), "l": 0, "r": 0})
+    return out.assign(l=records["l"].view(np.int64), r=records["r"].view(np.int64)) if often else out
 
 
 def _merge_spans(found: pd.DataFrame) -> pd.DataFrame:
-    """Covered contexts of one document that touch become one row."""
-    f = found.sort_values(["id", "key", "a"])
+    """Covered contexts of one document that touch become one row.  Contexts that begin later end later."""
+    f = found.sort_values(["id", "key", "a", "b"])
     doc, key, a, b = (f[c].to_numpy() for c in ("id", "key", "a", "b"))
     new = np.ones(len(f), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]) | (a[1:] > b[:-1])
@@ -288,31 +323,47 @@ def _merge_spans(found: pd.DataFrame) -> pd.DataFrame:
     return f.iloc[first].assign(b=b[last]) if len(f) else f
 
 
+#: bytes of text whose anchors are found at a time
+SLICE = 4 << 20
+
+
+def _anchor_records(batch: pa.RecordBatch, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The records of all anchors of a batch of texts: of those that are not frequent, of frequent ones."""
+    ids, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    data, begins, ends = joined_texts(batch.column(2))
+    out = [[np.empty(0, ANCHOR)], [np.empty(0, OFTEN)]]
+    cuts = np.unique(np.append(np.searchsorted(begins, np.arange(0, len(data), SLICE)), len(begins)))
+    for i, j in zip(cuts, cuts[1:]):
+        part, upto = data[begins[i]:ends[j - 1]], ends[i:j] - begins[i]
+        pos, h, ctx, low, high = anchors(part, upto)
+        row = np.searchsorted(upto, pos, "right") + i
+        hot = np.isin(h, frequent)
+        columns = {"h": h, "ctx": ctx, "id": ids[row], "key": keys[row], "pos": pos + begins[i] - begins[row],
+                   "left": pos - low, "right": high - pos}
+        halves = dict(zip("lr", half_hashes(part, pos[hot], low[hot], high[hot])))
+        for found, mine in zip(out, (~hot, hot)):
+            records = np.empty(np.count_nonzero(mine), found[0].dtype)
+            for c in records.dtype.names:
+                records[c] = halves[c] if c in halves else columns[c][mine]
+            found.append(records)
+    return np.concatenate(out[0]), np.concatenate(out[1])
+
+
 def _anchor_batches(places: int, frequent: np.ndarray):
     def run(batches):
         for batch in batches:
-            parts = []
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            keys = batch.column(1).to_numpy(zero_copy_only=False)
-            for row, text in enumerate(batch.column(2)):
-                pos, h, ctx = anchors(np.frombuffer(text.as_py().encode(), np.uint8))
-                if len(pos):
-                    part = np.empty(len(pos), RECORD)
-                    part["h"], part["ctx"], part["id"], part["key"], part["pos"] = h, ctx, ids[row], keys[row], pos
-                    parts.append(part)
-            if not parts:
-                continue
-            records, first = _first_of_context(np.concatenate(parts))
-            covered = _merge_spans(_found(records[~first], True, False))
-            records = records[first]
-            often = np.isin(records["h"], frequent)
-            rows = _pack(records[~often], records["h"][~often] % np.uint64(places), False)
-            rows += _pack(records[often], mixed(records["h"][often] ^ records["ctx"][often]) % np.uint64(places), True)
-            if len(covered):
-                spans = np.empty(len(covered), SPAN)
-                for c in SPAN.names:
-                    spans[c] = covered[c]
-                rows.append((int(ids[0]) % places, None, spans.tobytes()))
+            rows = []
+            for often, records in enumerate(_anchor_records(batch, frequent)):
+                records, first = _first_of_context(records)
+                covered = _merge_spans(_found(records[~first], True, bool(often)))
+                records = records[first]
+                place = mixed(records["h"] ^ records["ctx"]) if often else records["h"]
+                rows += _pack(records, place % np.uint64(places), bool(often))
+                if len(covered):
+                    spans = np.empty(len(covered), SPAN)
+                    for c in SPAN.names:
+                        spans[c] = covered[c]
+                    rows.append((int(spans["id"][0]) % places, None, spans.tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.bool_()),
                  pa.array([r[2] for r in rows], pa.binary())], ["place", "often", "blob"])
@@ -325,67 +376,107 @@ def _resolve_place(rows: pd.DataFrame) -> pd.DataFrame:
     spans = np.frombuffer(b"".join(rows["blob"][rows["often"].isna()]), SPAN)
     if len(spans):
         out.append(pd.DataFrame({c: spans[c].astype(np.int64) for c in SPAN.names}).assign(
-            h=0, often=False, ctx=0))
+            gram=-1, h=0, often=False, ctx=0, l=0, r=0))
     for often, part in rows[rows["often"].notna()].groupby("often"):
-        records, first = _first_of_context(np.frombuffer(b"".join(part["blob"]), RECORD))
-        out.append(_merge_spans(_found(records[~first], True, False)))
+        records, first = _first_of_context(np.frombuffer(b"".join(part["blob"]), OFTEN if often else ANCHOR), bool(often))
+        out.append(_merge_spans(_found(records[~first], True, bool(often))))
         heads = records[first]
         if not often:
-            _, inverse, counts = np.unique(heads["h"], return_inverse=True, return_counts=True)
-            heads = heads[counts[inverse] > 1]
+            group = np.cumsum(np.append(True, heads["h"][1:] != heads["h"][:-1])[:len(heads)]) - 1
+            heads = heads[np.bincount(group)[group] > 1]
         out.append(_found(heads, False, bool(often)))
     return pd.concat(out)
 
 
-def _cut_snippets(batches):
-    """Contexts of the contested anchors of each text."""
-    for batch in batches:
-        rows = {k: [] for k in ("id", "key", "low", "h", "often", "ctx", "gram", "snippet")}
-        for i, text in enumerate(batch.column(2)):
-            data = text.as_py().encode()
-            for spot in batch.column(3)[i].as_py():
-                low, high = max(0, spot["a"] - REACH), min(len(data), spot["a"] + LENGTH)
-                for k, v in (("id", batch.column(0)[i].as_py()), ("key", batch.column(1)[i].as_py()), ("low", low),
-                             ("h", spot["h"]), ("often", spot["often"]), ("ctx", spot["ctx"]),
-                             ("gram", spot["a"] - low), ("snippet", data[low:high])):
-                    rows[k].append(v)
-        if rows["id"]:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["id"], pa.int64()), pa.array(rows["key"], pa.int32()), pa.array(rows["low"], pa.int64()),
-                 pa.array(rows["h"], pa.int64()), pa.array(rows["often"], pa.bool_()), pa.array(rows["ctx"], pa.int64()),
-                 pa.array(rows["gram"], pa.int32()), pa.array(rows["snippet"], pa.binary())], list(rows))
+def with_partner(often: DataFrame) -> DataFrame:
+    """The contested contexts of frequent anchors that have the same ``HALF`` bytes before or after the anchor as another
+    one.  Contexts that share a window do, so the others have no repeated window.  Counted over all places in partial sums."""
+    sides = often.select("*", F.explode(F.array("l", "r")).alias("side")).where("side != 0")
+    shared = cut(sides.groupBy("h", "side").count().where("count > 1").select("h", "side"))
+    return sides.join(shared, ["h", "side"], "left_semi").select(often.columns).dropDuplicates(["id", "key", "a"])
 
 
-#: a window around an anchor reaches as far on one side of it at least
-HALF = REACH // 2
+_SNIPPET = "id long, key int, low long, h long, often boolean, shard long, gram int, snippet binary"
 
 
-def with_partner(h: np.ndarray, gram: np.ndarray, snippets: list[bytes]) -> np.ndarray:
-    """Whether another context of the anchor ``h`` has the same ``HALF`` bytes before or after it.  Contexts that share a
-    window do, so the others have no repeated window."""
-    sides = [(i, side) for i, (a, b, s) in enumerate(zip(h.tolist(), gram.tolist(), snippets))
-             for side in ((a, 0, s[b - HALF:b + GRAM]) if b >= HALF else None,
-                          (a, 1, s[b:b + GRAM + HALF]) if b + GRAM + HALF <= len(s) else None) if side]
-    seen = Counter(side for _, side in sides)
-    keep = np.zeros(len(h), bool)
-    keep[[i for i, side in sides if seen[side] > 1]] = True
-    return keep
+def _cut_snippets(batches):
+    """Contested contexts of each text."""
+    for batch in batches:
+        data, begins, _ = joined_texts(batch.column(2))
+        spots = batch.column(3)
+        row = np.repeat(np.arange(len(spots)), spots.value_lengths().to_numpy(zero_copy_only=False))
+        a, b, gram, h, often, shard = spots.flatten().flatten()
+        low, size, data = begins[row] + a.to_numpy(), b.to_numpy() - a.to_numpy(), memoryview(data)
+        row = pa.array(row)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(row), batch.column(1).take(row), a, h, often, shard, gram,
+             pa.array([bytes(data[i:i + k]) for i, k in zip(low.tolist(), size.tolist())], pa.binary())],
+            ["id", "key", "low", "h", "often", "shard", "gram", "snippet"])
+
+
+def shared_reach(h: np.ndarray, gram: np.ndarray, snippets: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """How many bytes before and from the anchor's first byte on another context of the anchor ``h`` shares at most.  Among
+    sorted strings one of the neighbours shares the most."""
+    sizes = np.array([len(x) for x in snippets])
+    edge = np.zeros(LENGTH, np.uint8)
+    data = np.concatenate([edge, np.frombuffer(b"".join(snippets), np.uint8), edge])
+    start = np.cumsum(sizes) - sizes + gram + LENGTH
+    head = h.astype(">i8").view(np.uint8).reshape(-1, 8)
+    out = []
+    for have, offsets in ((gram, -1 - np.arange(REACH)), (sizes - gram, np.arange(LENGTH))):
+        side = data[start[:, None] + offsets]
+        side[np.arange(len(offsets)) >= have[:, None]] = 0
+        side = np.concatenate([head, side], axis=1)
+        order = np.argsort(side.view(f"S{side.shape[1]}").ravel())
+        side = side[order]
+        differ = side[1:] != side[:-1]
+        shared = np.where(differ.any(axis=1), differ.argmax(axis=1), side.shape[1]) - 8
+        most = np.empty(len(have), np.int64)
+        most[order] = np.maximum(np.append(0, shared), np.append(shared, 0))
+        out.append(np.clip(most, 0, have))
+    return out[0], out[1]
+
+
+def _trimmed(rows: pd.DataFrame, doc: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """The contexts of a shard that holds all of their anchors, cut to what another context of the anchor shares at most;
+    of equal ones the first: (strings, their documents, their places, all windows of the others as places)."""
+    gram, low, h = (rows[c].to_numpy().astype(np.int64) for c in ("gram", "low", "h"))
+    before, after = shared_reach(h, gram, list(rows["snippet"]))
+    kept = np.flatnonzero(before + after >= LENGTH)
+    place = (doc << START_BITS) + low + gram - before
+    kept = kept[np.argsort(place[kept], kind="stable")]
+    strings, firsts, again, seen = [], [], [], set()
+    for i, x, g, s, l, r in zip(kept.tolist(), h[kept].tolist(), gram[kept].tolist(), rows["snippet"].iloc[kept],
+                                before[kept].tolist(), after[kept].tolist()):
+        string = s[g - l:g + r]
+        if (x, l, string) in seen:
+            again.append(i)
+        else:
+            seen.add((x, l, string))
+            strings.append(string)
+            firsts.append(i)
+    firsts, again = np.array(firsts, np.int64), np.array(again, np.int64)
+    windows = (before + after)[again] - LENGTH + 1
+    covered = np.repeat(place[again] - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
+    return strings, doc[firsts], (low + gram - before)[firsts], covered
 
 
 def _resolve_shard(rows: pd.DataFrame, range_bits: int) -> pd.DataFrame:
     """Spans of a shard's repeated windows; shards of frequent anchors also hand on their runs of distinct
     windows, sorted and cut by the upper bits of the hash."""
     often = bool(rows["often"].iloc[0])
-    if not often:  # all contexts of an anchor are here
-        rows = rows[with_partner(rows["h"].to_numpy(), rows["gram"].to_numpy(), list(rows["snippet"]))]
-        if not len(rows):
-            return pd.DataFrame({c: [] for c in ("id", "key", "a", "b", "run", "span")})
-    snippets = list(rows["snippet"])
     doc, ids, keys = numbered_documents(rows["id"].to_numpy(), rows["key"].to_numpy())
-    place, at, new = same_windows(snippets, doc, rows["low"].to_numpy())
+    if often:
+        snippets, low, covered = list(rows["snippet"]), rows["low"].to_numpy(), np.empty(0, np.int64)
+    else:
+        snippets, doc, low, covered = _trimmed(rows, doc)
+        if not snippets:
+            return pd.DataFrame({c: [] for c in ("id", "key", "a", "b", "run", "span")})
+    place, at, new = same_windows(snippets, doc, low)
     heads = np.flatnonzero(new)
     first = np.minimum.reduceat(place, heads) if len(heads) else place
-    spans = spans_of(place[place != first[np.cumsum(new) - 1]], ids, keys).assign(run=None, span=-1)
+    late = place[place != first[np.cumsum(new) - 1]]
+    spans = spans_of(np.concatenate([late, covered]), ids, keys).assign(run=None, span=-1)
     if not often:
         return spans
     one, two = window_hashes(np.frombuffer(b"".join(snippets), np.uint8), at[heads])
@@ -400,19 +491,25 @@ def _resolve_shard(rows: pd.DataFrame, range_bits: int) -> pd.DataFrame:
     return pd.concat([spans, pd.DataFrame(runs)]) if runs else spans
 
 
+def _merged(best: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """Two sorted runs as one: of a window in both the earlier place."""
+    best = best.copy()
+    at = np.searchsorted(best["h"], run["h"])
+    at_safe = np.minimum(at, len(best) - 1)
+    known = (best["h"][at_safe] == run["h"]) & (best["ctx"][at_safe] == run["ctx"])
+    spot, mine = at_safe[known], run[known]
+    earlier = _earlier(mine, best[spot])
+    best[spot[earlier]] = mine[earlier]
+    return np.insert(best, at[~known], run[~known])
+
+
 def _merge_runs(rows: pd.DataFrame) -> pd.DataFrame:
-    """Merges the sorted runs of one range by binary search: a window that is earlier in another run is covered."""
+    """Merges the sorted runs of one range by binary search, two by two: a window that is earlier in another run is covered."""
     runs = [np.frombuffer(b, RECORD) for b in rows["run"]]
-    best = runs[0].copy()
-    for run in runs[1:]:
-        at = np.searchsorted(best["h"], run["h"])
-        at_safe = np.minimum(at, len(best) - 1)
-        known = (best["h"][at_safe] == run["h"]) & (best["ctx"][at_safe] == run["ctx"])
-        spot, mine = at_safe[known], run[known]
-        old = best[spot]
-        earlier = _earlier(mine, old)
-        best[spot[earlier]] = mine[earlier]
-        best = np.insert(best, at[~known], run[~known])
+    level = runs
+    while len(level) > 1:
+        level = [_merged(*level[i:i + 2]) if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
+    best = level[0]
     later = []
     for run in runs:
         spot = np.searchsorted(best["h"], run["h"])
@@ -433,9 +530,14 @@ def frequent_anchors(texts: DataFrame) -> np.ndarray:
     ``MOST_FREQUENT``.  They only decide how the work is dealt, not its result."""
     def run(batches):
         for batch in batches:
-            found = [np.unique(anchors(np.frombuffer(t.as_py().encode(), np.uint8))[1]) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((np.concatenate(found) if found else np.empty(0, np.uint64)).view(np.int64))], ["h"])
+            data, _, ends = joined_texts(batch.column(0))
+            place, h = anchors(data, ends)[:2]
+            row = np.searchsorted(ends, place, "right")
+            order = np.lexsort((h, row))
+            row, h = row[order], h[order]
+            once = np.ones(len(h), bool)
+            once[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(h[once].view(np.int64))], ["h"])
     sample = texts.where(F.pmod(F.xxhash64("key", "id"), F.lit(SAMPLE_RATE)) == 0).select("text")
     often = sample.mapInArrow(run, "h bigint").groupBy("h").count().where(F.col("count") >= FREQUENT)
     rows = often.orderBy(F.desc("count"), "h").limit(MOST_FREQUENT).collect()
@@ -451,16 +553,19 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
     frequent = frequent_anchors(texts)
     packed = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_anchor_batches(places, frequent), _PLACED)
     found = cut(packed.groupBy("place").applyInPandas(_resolve_place, _FOUND))
-    spans = found.where("b >= 0").select("id", "key", "a", "b")
-    contested = found.where("b < 0").groupBy("id", "key").agg(
-        F.collect_list(F.struct("a", "h", "often", "ctx")).alias("spots"))
-    shards = max(1, found.where("b < 0").count() * (LENGTH + REACH) // SHARD_BYTES)
+    spans, contested = found.where("gram < 0").select("id", "key", "a", "b"), found.where("gram >= 0")
+    if len(frequent):
+        often = cut(with_partner(contested.where("often")))
+        contested = contested.where("not often").union(often)
+    # contexts of frequent anchors have shards and ranges of their own, as runs are as many as both multiplied
+    held = {r["often"]: r["n"] for r in contested.groupBy("often").agg(F.sum(F.col("b") - F.col("a")).alias("n")).collect()}
+    shards, often_shards = (max(1, held.get(often, 0) // SHARD_BYTES) for often in (False, True))
+    shard = F.when(F.col("often"), F.pmod(F.xxhash64("ctx"), F.lit(often_shards))).otherwise(F.pmod(F.xxhash64("h"), F.lit(shards)))
+    contested = contested.withColumn("shard", shard.cast("long")).groupBy("id", "key").agg(
+        F.collect_list(F.struct("a", "b", "gram", "h", "often", "shard")).alias("spots"))
     snippets = texts.join(contested, ["id", "key"]).dropDuplicates(["id", "key"]).select("id", "key", "text", "spots")
-    snippets = snippets.mapInArrow(_cut_snippets, "id long, key int, low long, h long, often boolean, ctx long, "
-                                                  "gram int, snippet binary")
-    shard = F.when(F.col("often"), F.pmod(F.xxhash64("ctx"), F.lit(shards))).otherwise(F.pmod(F.xxhash64("h"), F.lit(shards)))
-    dealt = snippets.withColumn("shard", shard)
-    range_bits = max(6, shards.bit_length())
+    dealt = snippets.mapInArrow(_cut_snippets, _SNIPPET)
+    range_bits = 2 + often_shards.bit_length()
     resolved = cut(dealt.groupBy("shard", "often").applyInPandas(
         lambda rows: _resolve_shard(rows, range_bits), "id long, key int, a long, b long, run binary, span long"))
     merged = resolved.where("span >= 0").groupBy("span").applyInPandas(
@@ -472,31 +577,31 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
 def _cut_texts(batches):
     """Merges each text's spans, cuts them out and hashes the rest."""
     for batch in batches:
-        n_bytes, removed, runs, digest = [], [], [], []
-        for text, spans in zip(batch.column(1), batch.column(2)):
-            data = text.as_py().encode()
-            found = spans.as_py()
-            gone, count, begin, end, last, kept = 0, 0, 0, -1, 0, hashlib.sha256()
-            if found:
-                for s in sorted((s["a"], min(s["b"], len(data))) for s in found):
-                    if s[0] > end:
-                        if end >= 0:
-                            gone += end - begin
-                            last = end
-                        begin, end = s
-                        count += 1
-                        kept.update(data[last:begin])
-                    else:
-                        end = max(end, s[1])
-                gone += end - begin
-                last = end
-            kept.update(data[last:])
-            n_bytes.append(len(data))
-            removed.append(gone)
-            runs.append(count)
+        data, begins, ends = joined_texts(batch.column(1))
+        lists = batch.column(2)
+        many = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(many)), many)
+        a, b = (x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten())
+        a, b = a + begins[row], np.minimum(b + begins[row], ends[row])
+        order = np.argsort(a, kind="stable")
+        row, a, b = row[order], a[order], np.maximum.accumulate(b[order])
+        new = np.ones(len(a), bool)
+        new[1:] = (row[1:] != row[:-1]) | (a[1:] > b[:-1])
+        first = np.flatnonzero(new)
+        row, a, b = row[first], a[first], b[np.append(first[1:], len(b))[:len(first)] - 1]
+        runs = np.bincount(row, minlength=len(many))
+        gone = np.append(0, np.cumsum(b - a))
+        upto = np.cumsum(runs)
+        view, a, b, digest = memoryview(data), a.tolist(), b.tolist(), []
+        for begin, end, n, k in zip(begins.tolist(), ends.tolist(), runs.tolist(), (upto - runs).tolist()):
+            kept = hashlib.sha256()
+            for i in range(k, k + n):
+                kept.update(view[begin:a[i]])
+                begin = b[i]
+            kept.update(view[begin:end])
             digest.append(kept.hexdigest())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()),
+            [batch.column(0), pa.array(ends - begins), pa.array(gone[upto] - gone[upto - runs]), pa.array(runs, pa.int64()),
              pa.array(digest, pa.string())], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
